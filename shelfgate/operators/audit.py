@@ -145,7 +145,7 @@ def audit_json(report: DataFrame) -> DataFrame:
     """The report as nested JSON text (one row, column ``report``)."""
     split = lambda c: F.when(F.col(c) == "", F.array().cast("array<string>")).otherwise(F.split(F.col(c), ","))
     nulls = F.when(F.col("null_counts") == "", F.create_map().cast("map<string,bigint>")).otherwise(
-        F.transform_values(F.str_to_map(F.col("null_counts"), ",", "="), lambda k, v: v.cast("bigint")))
+        F.transform_values(F.str_to_map(F.col("null_counts"), F.lit(","), F.lit("=")), lambda k, v: v.cast("bigint")))
     body = F.struct(
         F.struct(F.col("schema_passed").alias("passed"),
                  F.struct(split("missing_columns").alias("missing_columns"),

@@ -180,17 +180,19 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
         "*", rules_failed.cast("long").alias("rules_failed"),
         # a file whose only problems are rule errors keeps no rows
         (any_rule_rows | F.lit(not errors)).alias("_file_ok"))
-    facts = materialize(facts)
+    facts = materialize(facts, "gate-facts")
+    stats = facts.agg(F.count(F.lit(1)).alias("files"), F.sum("n_rows").alias("rows")).first()
+    n_files, n_rows = int(stats["files"]), int(stats["rows"] or 0)
 
     # ---- pass 2: row flags -----------------------------------------------
     rows = base
     for i, p in active:
         if p.fails is None:
-            rows = with_key_count(rows, ["_file", p.rule.column], out_col=f"_k{i}")
+            rows = with_key_count(rows, ["_file", p.rule.column], out_col=f"_k{i}", total=n_rows)
     keep = ["_file", "_file_ok"] + [f"s{i}" for i, _ in active] + [
         f"nf{i}" for i, p in active if p.fails is None]
     small = facts.select(*keep)
-    if facts.count() <= MAX_BROADCAST_FILES:
+    if n_files <= MAX_BROADCAST_FILES:
         small = F.broadcast(small)
     rows = rows.join(small, "_file", "left")
     tags = []

@@ -43,7 +43,7 @@ def key_counts(df: DataFrame, keys: list[str], count_col: str = "n") -> DataFram
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
 
 
-def hot_keys(df: DataFrame, keys: list[str], *, nulls_equal: bool,
+def hot_keys(df: DataFrame, keys: list[str], *, nulls_equal: bool, total: int | None = None,
              hot_rows: int | None = None, max_hot: int = MAX_HOT_KEYS) -> DataFrame | None:
     """Keys with more than ``T`` rows, materialized; None when there are none.
 
@@ -51,27 +51,31 @@ def hot_keys(df: DataFrame, keys: list[str], *, nulls_equal: bool,
     ``max_hot`` rows, which is what makes broadcasting it safe.
     """
     floor = HOT_ROWS_FLOOR if hot_rows is None else hot_rows
-    total = df.count()
+    if total is None:
+        total = df.count()
     threshold = max(floor, -(-total // max_hot))
     if total <= threshold:
         return None
     src = df if nulls_equal else df.where(_all([F.col(k).isNotNull() for k in keys]))
     hot = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hot_n"))
            .where(F.col("_hot_n") > threshold))
-    hot = materialize(hot)
+    hot = materialize(hot, "hot-keys")
     return hot if hot.take(1) else None
 
 
 def with_key_count(df: DataFrame, keys: list[str], out_col: str = "_key_n", *,
-                   nulls_equal: bool = False, hot_rows: int | None = None) -> DataFrame:
+                   nulls_equal: bool = False, total: int | None = None,
+                   hot_rows: int | None = None) -> DataFrame:
     """Add the exact number of rows sharing the row's key.
 
     ``nulls_equal=False``: a key with a null part matches nothing (SQL
     equality) and gets a null count. ``nulls_equal=True``: null parts are
     equal to each other (``dropDuplicates`` / ``GROUP BY`` semantics).
+    ``total`` (the row count of ``df``, when the caller already knows it)
+    saves a counting job.
     """
     cols = df.columns
-    hot = hot_keys(df, keys, nulls_equal=nulls_equal, hot_rows=hot_rows)
+    hot = hot_keys(df, keys, nulls_equal=nulls_equal, total=total, hot_rows=hot_rows)
     nonnull = _all([F.col(k).isNotNull() for k in keys])
     spread_nulls = F.lit(False) if nulls_equal else ~nonnull
     if hot is not None:

@@ -85,29 +85,37 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None) -> DataFram
             .agg(F.max("n_distinct").cast("long").alias("n_distinct")))
 
 
-def kinds(df: DataFrame, max_categorical: int = CATEGORICAL_MAX_DISTINCT) -> DataFrame:
-    """(column, kind): Boolean, DateTime, Numeric, Categorical, Text or Unsupported.
+def column_stats(df: DataFrame, max_categorical: int = CATEGORICAL_MAX_DISTINCT) -> DataFrame:
+    """(column, kind, n_nonnull, n_distinct) — kind is Boolean, DateTime, Numeric,
+    Categorical, Text or Unsupported.
 
     Unsupported = no non-null value; text columns with at most
     ``max_categorical`` distinct values are Categorical, the rest Text.
+    ``n_distinct`` is exact for text and boolean columns, null otherwise.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    text_cols = [c for c in df.columns if isinstance(types[c], StringType)]
+    counted = [c for c in df.columns if isinstance(types[c], (StringType, BooleanType))]
     nonnull = df.agg(*[F.count(_q(c)).alias(f"_c{i}") for i, c in enumerate(df.columns)])
     base = nonnull.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.lit(_static_kind(types[c])).alias("_k"),
-                 F.col(f"_c{i}").alias("_nonnull"))
+                 F.col(f"_c{i}").alias("n_nonnull"))
         for i, c in enumerate(df.columns)])))
-    if text_cols:
-        nd = distinct_counts(df, text_cols)
+    if counted:
+        nd = distinct_counts(df, counted)
         base = base.join(F.broadcast(nd), "column", "left")  # at most one row per column
     else:
         base = base.withColumn("n_distinct", F.lit(None).cast("long"))
-    kind = (F.when(F.col("_nonnull") == 0, "Unsupported")
+    kind = (F.when(F.col("n_nonnull") == 0, "Unsupported")
             .when(F.col("_k") != "Text", F.col("_k"))
             .when(F.col("n_distinct") <= max_categorical, "Categorical")
             .otherwise("Text"))
-    return base.select("column", kind.alias("kind"))
+    return base.select("column", kind.alias("kind"), F.col("n_nonnull").cast("long").alias("n_nonnull"),
+                       "n_distinct")
+
+
+def kinds(df: DataFrame, max_categorical: int = CATEGORICAL_MAX_DISTINCT) -> DataFrame:
+    """(column, kind) per column; see :func:`column_stats`."""
+    return column_stats(df, max_categorical).select("column", "kind")
 
 
 def _static_kind(t: DataType) -> str:
@@ -175,11 +183,12 @@ def categorical_association(df: DataFrame, columns: list[str], digits: int = 6)
         F.col("n").cast("long").alias("n"))
 
 
-def association_columns(df: DataFrame, kinds_df: DataFrame) -> list[str]:
-    """Categorical and boolean columns that are not constant (small metadata read)."""
-    ks = {r["column"]: r["kind"] for r in kinds_df.collect()}
-    consts = {r["column"] for r in constant_columns(df).collect()}
-    return [c for c in df.columns if ks.get(c) in ("Categorical", "Boolean") and c not in consts]
+def association_columns(df: DataFrame, stats: DataFrame | None = None) -> list[str]:
+    """Categorical and boolean columns with more than one level (reads one small table)."""
+    stats = stats if stats is not None else column_stats(df)
+    keep = {r["column"] for r in stats.where(F.col("kind").isin("Categorical", "Boolean")
+                                             & (F.col("n_distinct") > 1)).select("column").collect()}
+    return [c for c in df.columns if c in keep]
 
 
 def _row_hashes(df: DataFrame) -> tuple[Column, Column]:

@@ -235,16 +235,23 @@ def _ingest_sql(latest_only: bool) -> str:
     return _with(*ctes) + f"SELECT {_conformed_cols()} FROM flags WHERE NOT {_any_failed()} AND _f NOT IN (SELECT _f FROM bad_files)"
 
 
-def _assoc_sql(columns: list[str]) -> str:
+def _assoc_sql() -> str:
+    """Cramér's V over every pair of text/boolean columns whose level count is 2..50."""
+    cands = [n for n in NAMES + ["Source_File"] if n not in FLOAT_COLS and n != "Run_Date"]
+    levels = " UNION ALL ".join(
+        f"SELECT '{c}' AS col, count(DISTINCT {c}) AS nd FROM eda" for c in cands)
     parts = []
-    for a, b in combinations(columns, 2):
+    for a, b in combinations(cands, 2):
         parts.append(f"""SELECT '{a}' AS column_a, '{b}' AS column_b, CAST({a} AS VARCHAR) AS va, CAST({b} AS VARCHAR) AS vb
   FROM eda WHERE {a} IS NOT NULL AND {b} IS NOT NULL""")
-    cells = "cells AS (SELECT column_a, column_b, va, vb, count(*) AS n_ab FROM (" + \
-        " UNION ALL ".join(parts) + ") GROUP BY ALL)"
-    return _with(LISTING, LISTING_SRC, EDA, cells) + """,
+    cells = ("cells AS (SELECT column_a, column_b, va, vb, count(*) AS n_ab FROM (" +
+             " UNION ALL ".join(parts) + ") GROUP BY ALL)")
+    lv = f"lv AS ({levels})"
+    return _with(LISTING, LISTING_SRC, EDA, lv, cells) + """,
 m AS (SELECT *, sum(n_ab) OVER (PARTITION BY column_a, column_b, va) AS n_a,
-             sum(n_ab) OVER (PARTITION BY column_a, column_b, vb) AS n_b FROM cells),
+             sum(n_ab) OVER (PARTITION BY column_a, column_b, vb) AS n_b FROM cells
+      WHERE column_a IN (SELECT col FROM lv WHERE nd BETWEEN 2 AND 50)
+        AND column_b IN (SELECT col FROM lv WHERE nd BETWEEN 2 AND 50)),
 p AS (SELECT column_a, column_b, sum(n_ab) AS n, sum(CAST(n_ab AS DOUBLE) * n_ab / (n_a * n_b)) AS s,
              count(DISTINCT va) AS r, count(DISTINCT vb) AS c FROM m GROUP BY column_a, column_b)
 SELECT column_a, column_b,
@@ -253,11 +260,6 @@ SELECT column_a, column_b,
   CAST(n AS BIGINT) AS n FROM p"""
 
 
-# --- fixed values: categorical columns of the listing profile at the check scale
-ASSOC_COLUMNS = ["Retailer", "Retailer_Website", "Category_Traversal", "Brand",
-                 "Size_Or_Quantity", "In_Stock", "Source_File"]
-
-
 def _kinds_sql() -> str:
     eda_cols = NAMES + ["Source_File"]
     rows = []
@@ -452,5 +454,5 @@ HAVING count(*) > 1 ORDER BY l_orderkey NULLS FIRST, l_linenumber NULLS FIRST LI
     q["profile_dataset"] = _dataset_sql()
     q["profile_kinds"] = _kinds_sql()
     q["profile_corr_numeric"] = _corr_sql()
-    q["profile_assoc_categorical"] = _assoc_sql(ASSOC_COLUMNS)
+    q["profile_assoc_categorical"] = _assoc_sql()
     return q

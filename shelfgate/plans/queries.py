@@ -329,7 +329,7 @@ def q_profile_corr_numeric(spark, sf):
 
 def q_profile_assoc_categorical(spark, sf):
     df = _eda(spark, sf)
-    cols = P.association_columns(df, P.kinds(df))
+    cols = P.association_columns(df)
     return P.categorical_association(df, cols)
 
 

@@ -69,15 +69,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Compute ``df`` once into a parquet table in the shared folder and read it back.
 
     Used only for small derived tables (per-file facts, hot keys) that feed
-    a later join, so the large input is not scanned twice for them and a
-    lost executor does not force the upstream aggregation to rerun.
+    later joins: the large input is not scanned again for them, the lineage
+    is cut (a lost executor does not rerun the upstream aggregation), and
+    the read-back relation carries its real size for Spark's join planning.
+    A reliable ``checkpoint()`` would compute the plan twice (once for the
+    action, once to write the checkpoint); one write computes it once.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def in_local_mode(spark: SparkSession) -> bool:
