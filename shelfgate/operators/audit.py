@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.schema import AUDIT_KEYS, CANONICAL, required_names, types_compatible
-from .keys import with_key_count
+from ..session import materialize
+from .keys import MAX_BROADCAST_KEYS, attach_repeats, repeated_keys
 
 
 def available_keys(df: DataFrame, keys: list[str]) -> list[str]:
@@ -42,13 +43,24 @@ def duplicate_rows(df: DataFrame, keys: list[str] = AUDIT_KEYS, limit: int | Non
     """Rows whose key occurs more than once, with ``dup_count``; first ``limit`` by key.
 
     The order is keys, then ``order`` (default: all other columns) so the
-    sample is deterministic.
+    sample is deterministic. Null key parts are equal (``GROUP BY``).
+
+    Plan: the repeated keys come from a map-side combined aggregation over
+    the key columns. With a limit, the first ``limit`` rows in key order can
+    only carry the first ``limit`` repeated keys, so only those are kept
+    and broadcast; without one, all repeated keys are broadcast when their
+    checked count allows it, else the salted window takes over.
     """
     ks = available_keys(df, keys)
-    flagged = with_key_count(df, ks, "dup_count", nulls_equal=True).where(F.col("dup_count") > 1)
+    rest = order if order is not None else [c for c in df.columns if c not in ks]
+    rk = repeated_keys(df, ks, nulls_equal=True)
+    if limit is not None:
+        rk = rk.orderBy(*[F.col(c).asc_nulls_first() for c in ks]).limit(limit)
+    rk = materialize(rk, "repeated-keys")
+    n = rk.count()
+    flagged = attach_repeats(df, ks, rk, n, "dup_count", nulls_equal=True).where(F.col("dup_count") > 1)
     if limit is None:
         return flagged
-    rest = order if order is not None else [c for c in df.columns if c not in ks]
     return flagged.orderBy(*[F.col(c).asc_nulls_first() for c in ks + rest]).limit(limit)
 
 
@@ -63,14 +75,27 @@ def duplicate_sample(df: DataFrame, keys: list[str] = AUDIT_KEYS, limit: int = 5
 def dedupe_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """One row per key: the smallest by ``order`` (default: the other columns).
 
-    ``min`` over a struct is a partial aggregate, so a hot key is reduced on
-    the map side instead of being sorted in one task.
+    Rows whose key does not repeat pass through without a shuffle; only the
+    rows of repeated keys (found by a key-only, map-side combined count and
+    broadcast after a size check) are reduced with ``min`` over a struct, a
+    partial aggregate, so a hot key is combined on the map side. When the
+    repeated keys are too many to broadcast, one ``groupBy`` does it all.
     """
     rest = order if order is not None else [c for c in df.columns if c not in keys]
     others = [c for c in df.columns if c not in keys]
     pick = F.min(F.struct(*[F.col(c) for c in rest + [o for o in others if o not in rest]]))
-    return df.groupBy(*keys).agg(pick.alias("_r")).select(
-        *[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
+
+    def reduce_(frame: DataFrame) -> DataFrame:
+        return frame.groupBy(*keys).agg(pick.alias("_r")).select(
+            *[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
+
+    rk = materialize(repeated_keys(df, keys, nulls_equal=True), "repeated-keys")
+    n = rk.count()
+    if n > MAX_BROADCAST_KEYS:
+        return reduce_(df)
+    flagged = attach_repeats(df, keys, rk, n, "_dup", nulls_equal=True)
+    singles = flagged.where(F.col("_dup") == 1).select(*df.columns)
+    return singles.unionByName(reduce_(flagged.where(F.col("_dup") > 1).select(*df.columns)))
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

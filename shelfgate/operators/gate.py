@@ -10,12 +10,18 @@ whose DataFrames are all lazy:
 * ``verdicts()``  one row per file: accept / repair / reject
 * ``rule_report()`` one row per (file, rule)
 
-Plan shape: one aggregation pass builds the per-file facts (row counts,
-failing counts per rule, null and duplicate counts for uniqueness rules);
-the facts are tiny (one row per file), materialized once and broadcast when
-their row count is below ``MAX_BROADCAST_FILES``. Row flags for uniqueness
-come from :func:`keys.with_key_count` (skew-safe); every other rule is a
-row-local expression inside the same projection.
+Plan shape (no full-row shuffle in the common case):
+
+1. per uniqueness rule, the repeated ``(file, value)`` keys with their
+   counts: an aggregation over the two key columns only, combined map-side,
+   materialized (it is small: only values that repeat);
+2. per-file facts (row counts, failing counts per rule, null counts),
+   joined with per-file sums of (1), materialized (one row per file);
+3. the row pass: one scan, a broadcast join of (1) when its checked row
+   count is within ``keys.MAX_BROADCAST_KEYS`` (else the exact salted
+   window of ``keys.with_key_count``), the facts as literals (one file) or a
+   broadcast join (checked against ``MAX_BROADCAST_FILES``), and every rule
+   as a Column expression in one projection.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import env_int, materialize
-from .keys import with_key_count
+from .keys import attach_repeats, repeated_keys
 from .rules import Rule, RulePlan, plan_rules
 
 ALL_FILES = "<all>"
@@ -41,6 +47,7 @@ class GateResult:
     file_col: str | None
     missing_required: list[str] = field(default_factory=list)
     _input_cols: list[str] = field(default_factory=list)
+    n_files: int = 0
 
     # -- row outputs -------------------------------------------------------
     def survivors(self) -> DataFrame:
@@ -62,7 +69,10 @@ class GateResult:
             F.count(F.lit(1)).alias("rows"),
             F.count_if(F.size("failed_rules") > 0).alias("failing_rows"),
         )
-        v = counts.join(F.broadcast(self.facts.select("_file", "rules_failed")), "_file", "left")
+        small = self.facts.select("_file", "rules_failed")
+        if self.n_files <= MAX_BROADCAST_FILES:
+            small = F.broadcast(small)
+        v = counts.join(small, "_file", "left")
         survivors = F.col("rows") - F.col("failing_rows")
         if self.missing_required:
             outcome = F.lit("reject")
@@ -140,6 +150,14 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
     active = [(i, p) for i, p in enumerate(plans) if p.status == "active"]
     errors = [p for p in plans if p.status == "error"]
 
+    # ---- pass 1: repeated keys per uniqueness rule (key columns only) ------
+    repeats = {}
+    for i, p in active:
+        if p.fails is None:
+            rk = materialize(repeated_keys(base, ["_file", p.rule.column], nulls_equal=False),
+                             "gate-repeats")
+            repeats[i] = rk
+
     # ---- pass 1: per-file facts ------------------------------------------
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for i, p in active:
@@ -150,14 +168,9 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
         else:
             aggs.append(F.count_if(c.isNull()).alias(f"z{i}"))
     facts = base.groupBy("_file").agg(*aggs)
-    for i, p in active:
-        if p.fails is None:
-            c = F.col(f"`{p.rule.column}`")
-            kc = base.where(c.isNotNull()).groupBy("_file", c.alias("_v")).agg(
-                F.count(F.lit(1)).alias("_n"))
-            dup = kc.groupBy("_file").agg(
-                F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias(f"f{i}"))
-            facts = facts.join(dup, "_file", "left").withColumn(f"f{i}", F.coalesce(F.col(f"f{i}"), F.lit(0)))
+    for i, rk in repeats.items():
+        dup = rk.groupBy("_file").agg(F.sum("_n").alias(f"f{i}"))   # small: repeated keys only
+        facts = facts.join(dup, "_file", "left").withColumn(f"f{i}", F.coalesce(F.col(f"f{i}"), F.lit(0)))
 
     derived = []
     for i, p in active:
@@ -186,27 +199,33 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
 
     # ---- pass 2: row flags -----------------------------------------------
     rows = base
-    for i, p in active:
-        if p.fails is None:
-            rows = with_key_count(rows, ["_file", p.rule.column], out_col=f"_k{i}", total=n_rows)
-    keep = ["_file", "_file_ok"] + [f"s{i}" for i, _ in active] + [
-        f"nf{i}" for i, p in active if p.fails is None]
-    small = facts.select(*keep)
-    if n_files <= MAX_BROADCAST_FILES:
-        small = F.broadcast(small)
-    rows = rows.join(small, "_file", "left")
+    for i, rk in repeats.items():
+        rows = attach_repeats(rows, ["_file", plans[i].rule.column], rk, rk.count(), f"_k{i}",
+                              nulls_equal=False, total=n_rows)
+    keep = ["_file_ok"] + [f"s{i}" for i, _ in active] + [f"nf{i}" for i in repeats]
+    if file_col is None:
+        # one file: its facts are one row of flags, inlined as literals (no join)
+        one = facts.select(*keep).first() if n_files else None
+        for k in keep:
+            rows = rows.withColumn(k, F.lit(bool(one[k]) if one is not None else False))
+    else:
+        small = facts.select("_file", *keep)
+        if n_files <= MAX_BROADCAST_FILES:
+            small = F.broadcast(small)
+        rows = rows.join(small, "_file", "left")
     tags = []
     for i, p in active:
         if p.fails is not None:
             bad = p.fails
         else:
             c = F.col(f"`{p.rule.column}`")
-            bad = (c.isNotNull() & (F.col(f"_k{i}") > 1)) | (c.isNull() & F.col(f"nf{i}"))
+            bad = (c.isNotNull() & (F.coalesce(F.col(f"_k{i}"), F.lit(1)) > 1)) | (c.isNull() & F.col(f"nf{i}"))
         tags.append(F.when(bad & ~F.col(f"s{i}"), F.lit(p.rule.rule_id)))
     if tags:
         failed = F.filter(F.array(*tags), lambda x: x.isNotNull())
     else:
         failed = F.array().cast("array<string>")
-    rows = rows.select(*[F.col(f"`{c}`") for c in input_cols], "_file", "_file_ok",
+    rows = rows.select(*[F.col(f"`{c}`") for c in input_cols], "_file",
+                       F.coalesce(F.col("_file_ok"), F.lit(False)).alias("_file_ok"),
                        failed.alias("failed_rules"))
-    return GateResult(rows, facts, plans, file_col, [], input_cols)
+    return GateResult(rows, facts, plans, file_col, [], input_cols, n_files)

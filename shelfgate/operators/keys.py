@@ -94,3 +94,40 @@ def with_key_count(df: DataFrame, keys: list[str], out_col: str = "_key_n", *,
     if not nulls_equal:
         n = F.when(nonnull, n)
     return df.withColumn(out_col, n).drop("_salt", "_hot_n")
+
+
+MAX_BROADCAST_KEYS = env_int("SHELFGATE_MAX_BROADCAST_KEYS", 1_000_000)
+
+
+def repeated_keys(df: DataFrame, keys: list[str], *, nulls_equal: bool,
+                  count_col: str = "_n") -> DataFrame:
+    """Keys occurring more than once, with their count (map-side combined)."""
+    src = df if nulls_equal else df.where(_all([F.col(k).isNotNull() for k in keys]))
+    return (src.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
+            .where(F.col(count_col) > 1))
+
+
+def attach_repeats(df: DataFrame, keys: list[str], repeats: DataFrame, n_repeats: int,
+                   out_col: str, *, nulls_equal: bool, total: int | None = None,
+                   count_col: str = "_n") -> DataFrame:
+    """Add ``out_col`` = rows sharing the key when it repeats, else 1 (null key: null).
+
+    ``repeats`` is the materialized output of :func:`repeated_keys` and
+    ``n_repeats`` its row count. When that count is within
+    ``MAX_BROADCAST_KEYS`` the repeated keys are broadcast and ``df`` is
+    never shuffled; beyond it the exact salted window of
+    :func:`with_key_count` takes over.
+    """
+    if n_repeats > MAX_BROADCAST_KEYS:
+        return with_key_count(df, keys, out_col, nulls_equal=nulls_equal, total=total)
+    cols = df.columns
+    nonnull = _all([F.col(k).isNotNull() for k in keys])
+    r = repeats.select(*[F.col(k).alias(f"_rk{i}") for i, k in enumerate(keys)],
+                       F.col(count_col).alias("_rn"))
+    cond = _all([
+        (F.col(k).eqNullSafe(F.col(f"_rk{i}")) if nulls_equal else F.col(k) == F.col(f"_rk{i}"))
+        for i, k in enumerate(keys)])
+    n = F.coalesce(F.col("_rn"), F.lit(1).cast("long"))
+    if not nulls_equal:
+        n = F.when(nonnull, n)
+    return df.join(F.broadcast(r), cond, "left").select(*cols, n.alias(out_col))

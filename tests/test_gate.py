@@ -204,3 +204,16 @@ def test_float_rounding_of_prices(spark):
     out = conform_types(df).collect()[0]
     assert math.isclose(out["Original_Price"], 9644.4, rel_tol=1e-6)
     assert dict(conform_types(df).dtypes)["Original_Price"] == "float"
+
+
+def test_gate_window_fallback_matches_broadcast(spark, monkeypatch):
+    """Beyond the broadcast limit the salted window gives the same flags."""
+    from shelfgate.operators import keys
+
+    rows = [row(i, pid=str(i % 9) if i % 5 else None, cat=None if i % 23 == 0 else "c") for i in range(200)]
+    df = frame(spark, rows).withColumn("file", F.when(F.col("Product_Name") < "unit 5", "f1").otherwise("f2"))
+    a = sorted((k, tuple(v)) for k, v in _failed(gate(df, RULES, file_col="file")).items())
+    monkeypatch.setattr(keys, "MAX_BROADCAST_KEYS", 0)
+    monkeypatch.setattr(keys, "HOT_ROWS_FLOOR", 5)
+    b = sorted((k, tuple(v)) for k, v in _failed(gate(df, RULES, file_col="file")).items())
+    assert a == b
