@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -164,14 +164,19 @@ def categorical_association(df: DataFrame, columns: list[str], digits: int = 6)
         for i, (a, b) in enumerate(pairs)])))
     cells = (cells.where(F.col("va").isNotNull() & F.col("vb").isNotNull())
              .groupBy("pair", "va", "vb").agg(F.count(F.lit(1)).alias("n_ab")))
-    # the contingency table is small (pairs x levels^2); its margins are plain aggregates
-    ma = cells.groupBy("pair", "va").agg(F.sum("n_ab").alias("n_a"))
-    mb = cells.groupBy("pair", "vb").agg(F.sum("n_ab").alias("n_b"))
-    t = cells.join(ma, ["pair", "va"]).join(mb, ["pair", "vb"])
+    # the contingency table is small (pairs x levels^2): margins and level
+    # counts are windows over it, so the source is scanned once
+    whole = (Window.unboundedPreceding, Window.unboundedFollowing)
+    wa = Window.partitionBy("pair", "va").orderBy("vb")
+    wb = Window.partitionBy("pair", "vb").orderBy("va")
+    t = (cells.select("*", F.sum("n_ab").over(wa.rowsBetween(*whole)).alias("n_a"),
+                      (F.row_number().over(wa) == 1).alias("first_a"))
+         .select("*", F.sum("n_ab").over(wb.rowsBetween(*whole)).alias("n_b"),
+                 (F.row_number().over(wb) == 1).alias("first_b")))
     per_pair = t.groupBy("pair").agg(
         F.sum("n_ab").alias("n"),
         F.sum(F.col("n_ab") * F.col("n_ab") / (F.col("n_a") * F.col("n_b"))).alias("s"),
-        F.countDistinct("va").alias("r"), F.countDistinct("vb").alias("c"))
+        F.count_if("first_a").alias("r"), F.count_if("first_b").alias("c"))
     k = F.least(F.col("r"), F.col("c")) - 1
     v = F.when(k > 0, F.sqrt(F.greatest(F.col("n") * (F.col("s") - 1), F.lit(0.0)) / (F.col("n") * k)))
     names = F.create_map(*[x for i, (a, b) in enumerate(pairs)
