@@ -125,19 +125,24 @@ def schema_findings(df: DataFrame, schema: StructType = CANONICAL, required: lis
 
 def audit(df: DataFrame, schema: StructType = CANONICAL, keys: list[str] = AUDIT_KEYS,
           required: list[str] | None = None, checked_at: str | None = None) -> DataFrame:
-    """One-row audit report (the four checks, each with details, and the verdict)."""
+    """One-row audit report (the four checks, each with details, and the verdict).
+
+    Keys missing from ``df`` are dropped from the duplicate key; with no key
+    column left the duplicate check fails with ``duplicate_error`` set.
+    """
     req = required or required_names(schema)
     missing, extra, mismatches = schema_findings(df, schema, req)
     ks = available_keys(df, keys)
     present_req = [c for c in req if c in df.columns]
-    if not ks:
-        raise ValueError("no key column present for the duplicate check")
-    per_key = df.groupBy(*ks).agg(
+    # key groups carry row and null counts, so one aggregation does it all;
+    # without a key the groups collapse to one and the unique count is unknown
+    group_cols = ks or [F.lit(0).alias("_nokey")]
+    per_key = df.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.count_if(F.col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(present_req)])
     totals = per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_records"),
-        F.count(F.lit(1)).cast("long").alias("unique_records"),
+        (F.count(F.lit(1)) if ks else F.lit(None)).cast("long").alias("unique_records"),
         *[F.coalesce(F.sum(f"_z{i}"), F.lit(0)).cast("long").alias(f"_z{i}")
           for i in range(len(present_req))])
     null_text = F.concat_ws(",", *[
@@ -147,6 +152,7 @@ def audit(df: DataFrame, schema: StructType = CANONICAL, keys: list[str] = AUDIT
     for i in range(len(present_req)):
         any_null = any_null | (F.col(f"_z{i}") > 0)
     mism_text = ",".join(f"{m['column']}:{m['expected_type']}->{m['actual_type']}" for m in mismatches)
+    dup_ok = F.coalesce(F.col("total_records") == F.col("unique_records"), F.lit(False))
     out = totals.select(
         F.lit(not missing).alias("schema_passed"),
         F.lit(",".join(missing)).alias("missing_columns"),
@@ -155,12 +161,26 @@ def audit(df: DataFrame, schema: StructType = CANONICAL, keys: list[str] = AUDIT
         F.lit(mism_text).alias("type_mismatches"),
         "total_records", "unique_records",
         (F.col("total_records") - F.col("unique_records")).alias("duplicate_records"),
-        (F.col("total_records") == F.col("unique_records")).alias("duplicates_passed"),
+        dup_ok.alias("duplicates_passed"),
         (~any_null).alias("nulls_passed"),
         null_text.alias("null_counts"),
     )
     out = out.withColumn("overall_passed", F.col("schema_passed") & F.col("types_passed")
                          & F.col("duplicates_passed") & F.col("nulls_passed"))
+    if not ks:
+        out = out.withColumn("duplicate_error", F.lit("Missing key columns for duplicate check"))
+    if checked_at is not None:
+        out = out.withColumn("checked_at", F.to_timestamp(F.lit(checked_at)))
+    return out
+
+
+def unavailable_report(spark, checked_at: str | None = None) -> DataFrame:
+    """The report when the table cannot be loaded: every check false, no verdict."""
+    row = [(False, "", "", False, "", None, None, None, False, False, "", None)]
+    schema = ("schema_passed boolean, missing_columns string, extra_columns string, types_passed boolean, "
+              "type_mismatches string, total_records long, unique_records long, duplicate_records long, "
+              "duplicates_passed boolean, nulls_passed boolean, null_counts string, overall_passed boolean")
+    out = spark.createDataFrame(row, schema)
     if checked_at is not None:
         out = out.withColumn("checked_at", F.to_timestamp(F.lit(checked_at)))
     return out
@@ -177,10 +197,15 @@ def audit_json(report: DataFrame) -> DataFrame:
                           split("extra_columns").alias("extra_columns")).alias("details")
                  ).alias("schema_validation"),
         F.struct(F.col("types_passed").alias("passed"),
-                 F.struct(split("type_mismatches").alias("type_mismatches")).alias("details")
-                 ).alias("data_type_validation"),
+                 F.struct(F.transform(split("type_mismatches"), lambda x: F.struct(
+                     F.regexp_extract(x, r"^([^:]*):", 1).alias("column"),
+                     F.regexp_extract(x, r":(.*)->", 1).alias("expected_type"),
+                     F.regexp_extract(x, r"->(.*)$", 1).alias("actual_type"))).alias("type_mismatches")
+                 ).alias("details")).alias("data_type_validation"),
         F.struct(F.col("duplicates_passed").alias("passed"),
-                 F.struct("total_records", "unique_records", "duplicate_records").alias("details")
+                 F.struct("total_records", "unique_records", "duplicate_records",
+                          *([F.col("duplicate_error").alias("error")]
+                            if "duplicate_error" in report.columns else [])).alias("details")
                  ).alias("duplicate_check"),
         F.struct(F.col("nulls_passed").alias("passed"),
                  F.struct(nulls.alias("null_counts")).alias("details")).alias("null_check"),

@@ -169,8 +169,11 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
             aggs.append(F.count_if(c.isNull()).alias(f"z{i}"))
     facts = base.groupBy("_file").agg(*aggs)
     for i, rk in repeats.items():
-        dup = rk.groupBy("_file").agg(F.sum("_n").alias(f"f{i}"))   # small: repeated keys only
-        facts = facts.join(dup, "_file", "left").withColumn(f"f{i}", F.coalesce(F.col(f"f{i}"), F.lit(0)))
+        # small: repeated keys only; rows in repeated keys and number of such keys
+        dup = rk.groupBy("_file").agg(F.sum("_n").alias(f"f{i}"), F.count(F.lit(1)).alias(f"kd{i}"))
+        facts = (facts.join(dup, "_file", "left")
+                 .withColumn(f"f{i}", F.coalesce(F.col(f"f{i}"), F.lit(0)))
+                 .withColumn(f"kd{i}", F.coalesce(F.col(f"kd{i}"), F.lit(0))))
 
     derived = []
     for i, p in active:
@@ -194,14 +197,15 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
         # a file whose only problems are rule errors keeps no rows
         (any_rule_rows | F.lit(not errors)).alias("_file_ok"))
     facts = materialize(facts, "gate-facts")
-    stats = facts.agg(F.count(F.lit(1)).alias("files"), F.sum("n_rows").alias("rows")).first()
+    stats = facts.agg(F.count(F.lit(1)).alias("files"), F.sum("n_rows").alias("rows"),
+                      *[F.sum(f"kd{i}").alias(f"kd{i}") for i in repeats]).first()
     n_files, n_rows = int(stats["files"]), int(stats["rows"] or 0)
 
     # ---- pass 2: row flags -----------------------------------------------
     rows = base
     for i, rk in repeats.items():
-        rows = attach_repeats(rows, ["_file", plans[i].rule.column], rk, rk.count(), f"_k{i}",
-                              nulls_equal=False, total=n_rows)
+        rows = attach_repeats(rows, ["_file", plans[i].rule.column], rk, int(stats[f"kd{i}"] or 0),
+                              f"_k{i}", nulls_equal=False, total=n_rows)
     keep = ["_file_ok"] + [f"s{i}" for i, _ in active] + [f"nf{i}" for i in repeats]
     if file_col is None:
         # one file: its facts are one row of flags, inlined as literals (no join)

@@ -82,7 +82,8 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: reading it back needs no footer-inference job
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def in_local_mode(spark: SparkSession) -> bool:

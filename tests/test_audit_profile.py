@@ -75,3 +75,16 @@ def test_cramers_v_perfect_and_independent(spark):
     rows = [("a", "x"), ("a", "y"), ("b", "x"), ("b", "y")] * 5
     v = P.categorical_association(spark.createDataFrame(rows, "p string, q string"), ["p", "q"]).collect()[0]
     assert math.isclose(v["cramers_v"], 0.0, abs_tol=1e-9)
+
+
+def test_audit_without_keys_and_missing_table(spark):
+    from shelfgate.plans.audit import run_audit
+
+    df = spark.createDataFrame([(1,), (1,)], "Brand int")
+    rep = A.report_dict(A.audit(df))
+    assert rep["duplicate_check"]["passed"] is False
+    assert rep["duplicate_check"]["details"]["error"] == "Missing key columns for duplicate check"
+    assert rep["data_type_validation"]["details"]["type_mismatches"] == [
+        {"column": "Brand", "expected_type": "string", "actual_type": "int"}]
+    missing = A.report_dict(run_audit(spark, "/tmp/no-such-table-here", checked_at="2025-01-01 00:00:00"))
+    assert "overall_passed" not in missing and missing["schema_validation"]["passed"] is False
