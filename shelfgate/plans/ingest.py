@@ -27,15 +27,16 @@ from ..operators.catalog import latest_as_of
 from ..operators.conform import conform_types
 from ..operators.gate import GateResult, gate
 from ..operators.rules import Rule
-from ..operators.schema_checks import new_column_log, schema_signature
+from ..operators.schema_checks import new_column_log, schema_missing, schema_signature
+from ..session import materialize
 from ..sources.catalog import parse_names, read_catalog
-from ..sources.listing import file_schemas, scan_group
+from ..sources.listing import UNREADABLE, file_schemas, scan_group
 from ..sources.sinks import append_column_log, write_unified
 
 
 @dataclass
 class IngestOutcome:
-    unified: DataFrame          # conformed survivors of accepted/repaired files
+    unified: DataFrame | None   # conformed survivors of accepted/repaired files
     verdicts: DataFrame         # one row per file
     gates: list[GateResult]
 
@@ -84,30 +85,47 @@ def run_ingest(spark: SparkSession, input_dir: str, output_path: str, rules: lis
     catalog = read_catalog(spark, input_dir, sources)
     latest = latest_as_of(catalog, reference_date)
     chosen = catalog.join(F.broadcast(latest.select("path")), "path", "left_semi")
-    schemas = file_schemas(chosen)
-    sig = schema_signature(schemas)
+    schemas = materialize(file_schemas(chosen), "file-schemas")
+    readable = schemas.where(F.col("column") != UNREADABLE)
+    sig = schema_signature(readable)
     # at most one chosen file per source: this is the list of scans to open
     plan = chosen.join(sig, "file_name").select("file_name", "path", "signature").collect()
-    if not plan:
+    broken = (schemas.where(F.col("column") == UNREADABLE)
+              .select(F.col("file_name").alias("file"), F.col("type").alias("error")).collect())
+    if not plan and not broken:
         return IngestResult(False, "no files found")
     groups: dict[str, list[str]] = {}
     for r in plan:
         groups.setdefault(r["signature"], []).append(r["path"])
 
     if column_log_path and detection_time:
-        append_column_log(new_column_log(schemas, detection_time, schema), column_log_path)
+        # like the reference, only files that pass the required-column check log new columns
+        rejected = schema_missing(readable, required_names(schema)).select("file_name")
+        kept = readable.join(rejected, "file_name", "left_anti")
+        append_column_log(new_column_log(kept, detection_time, schema), column_log_path)
 
     outcomes = []
     for paths in groups.values():
         df = scan_group(spark, input_dir, paths)
         outcomes.append(ingest_frame(df, rules, file_col=SOURCE_FILE, schema=schema,
                                      on_type_error=on_type_error))
+    verdict_parts = [o.verdicts for o in outcomes]
+    if broken:
+        verdict_parts.append(spark.createDataFrame(
+            [(r["file"], 0, 0, 0, 0, "reject", "unreadable: " + r["error"]) for r in broken],
+            "file string, rows long, failing_rows long, survivors long, rules_failed long, "
+            "outcome string, reason string"))
+    if not outcomes:
+        verdicts = reduce(lambda a, b: a.unionByName(b), verdict_parts)
+        return IngestResult(False, "no file survived the gate", IngestOutcome(None, verdicts, []),
+                            [r["file"] for r in broken])
     unified = reduce(lambda a, b: a.unionByName(b), [o.unified for o in outcomes])
-    verdicts = reduce(lambda a, b: a.unionByName(b), [o.verdicts for o in outcomes])
+    verdicts = reduce(lambda a, b: a.unionByName(b), verdict_parts)
     outcome = IngestOutcome(unified, verdicts, [g for o in outcomes for g in o.gates])
     accepted = verdicts.where(F.col("outcome") != "reject").count()
     if accepted == 0:
-        return IngestResult(False, "no file survived the gate", outcome, [r["file_name"] for r in plan])
+        return IngestResult(False, "no file survived the gate", outcome,
+                            [r["file_name"] for r in plan] + [r["file"] for r in broken])
     write_unified(unified, output_path, partition_by=partition_by,
                   overwrite_partitions=overwrite_partitions)
-    return IngestResult(True, "ok", outcome, [r["file_name"] for r in plan])
+    return IngestResult(True, "ok", outcome, [r["file_name"] for r in plan] + [r["file"] for r in broken])

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ..functions.schema import SOURCE_FILE
 
 _SCHEMA_ROW = "file_name string, ordinal int, column string, type string"
+# marker column of a file whose footer cannot be read (``type`` holds the error)
+UNREADABLE = "<unreadable>"
 
 
 def _footer_rows(batches):
@@ -30,8 +32,12 @@ def _footer_rows(batches):
         out = []
         for name, path in zip(pdf["file_name"], pdf["sample_file"]):
             uri = path if "://" in path else "file://" + path.removeprefix("file:")
-            fs, inner = pafs.FileSystem.from_uri(uri)
-            schema = pq.read_schema(inner, filesystem=fs)
+            try:
+                fs, inner = pafs.FileSystem.from_uri(uri)
+                schema = pq.read_schema(inner, filesystem=fs)
+            except Exception as exc:  # noqa: BLE001 - an unreadable file is reported, not fatal
+                out.append((name, 0, UNREADABLE, f"{type(exc).__name__}: {exc}"[:500]))
+                continue
             for i, field in enumerate(schema):
                 try:
                     t = from_arrow_type(field.type).simpleString()

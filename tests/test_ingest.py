@@ -118,3 +118,19 @@ def load_rules_default():
 
 def test_missing_output_is_none(spark):
     assert read_unified(spark, "/tmp/definitely-not-here-" + str(dt.datetime.now().timestamp())) is None
+
+
+def test_run_ingest_unreadable_file_rejected(spark):
+    root = tempfile.mkdtemp(prefix="landing-bad-", dir="/tmp") + "/in"
+    import os
+
+    os.makedirs(root)
+    frame(spark, [row(1), row(2)]).coalesce(1).write.parquet(f"{root}/cubesmart_weekly_20250127_181344.parquet")
+    with open(f"{root}/storagemart_weekly_20250127_090843.parquet", "w") as fh:
+        fh.write("broken")
+    res = run_ingest(spark, root, root.replace("/in", "/out"), load_rules_default(),
+                     reference_date="2025-02-05")
+    assert res.ok
+    v = {r["file"]: (r["outcome"], r["reason"][:11]) for r in res.outcome.verdicts.collect()}
+    assert v == {"cubesmart_weekly_20250127_181344.parquet": ("accept", "all rules p"),
+                 "storagemart_weekly_20250127_090843.parquet": ("reject", "unreadable:")}
