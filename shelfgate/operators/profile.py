@@ -72,9 +72,21 @@ def _orderable(t: DataType) -> bool:
     return isinstance(t, (NumericType, StringType, BooleanType, TimestampType, TimestampNTZType, DateType))
 
 
-def distinct_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(column, n_distinct) exact, nulls excluded, for the given columns."""
+def distinct_counts(df: DataFrame, columns: list[str] | None = None,
+                    approx_rsd: float | None = None) -> DataFrame:
+    """(column, n_distinct), nulls excluded, for the given columns.
+
+    Exact by default (one shuffle of distinct ``(column, value)`` pairs).
+    With ``approx_rsd`` it is one HyperLogLog++ pass with no value shuffle,
+    for very wide text columns where an estimate is enough.
+    """
     cols = columns or df.columns
+    if approx_rsd is not None:
+        agg = df.agg(*[F.approx_count_distinct(_q(c), rsd=approx_rsd).alias(f"_d{i}")
+                       for i, c in enumerate(cols)])
+        return agg.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(f"_d{i}").cast("long").alias("n_distinct"))
+            for i, c in enumerate(cols)])))
     pairs = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), _q(c).cast("string").alias("value")) for c in cols])))
     per_col = (pairs.where(F.col("value").isNotNull()).distinct()
@@ -85,7 +97,8 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None) -> DataFram
             .agg(F.max("n_distinct").cast("long").alias("n_distinct")))
 
 
-def column_stats(df: DataFrame, max_categorical: int = CATEGORICAL_MAX_DISTINCT) -> DataFrame:
+def column_stats(df: DataFrame, max_categorical: int = CATEGORICAL_MAX_DISTINCT,
+                 approx_rsd: float | None = None) -> DataFrame:
     """(column, kind, n_nonnull, n_distinct) — kind is Boolean, DateTime, Numeric,
     Categorical, Text or Unsupported.
 
@@ -101,7 +114,7 @@ def column_stats(df: DataFrame, max_categorical: int = CATEGORICAL_MAX_DISTINCT)
                  F.col(f"_c{i}").alias("n_nonnull"))
         for i, c in enumerate(df.columns)])))
     if counted:
-        nd = distinct_counts(df, counted)
+        nd = distinct_counts(df, counted, approx_rsd)
         base = base.join(F.broadcast(nd), "column", "left")  # at most one row per column
     else:
         base = base.withColumn("n_distinct", F.lit(None).cast("long"))

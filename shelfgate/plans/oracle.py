@@ -294,7 +294,7 @@ def _dataset_sql() -> str:
         f"count(*) FILTER (WHERE {n} IS NULL" + (f" OR isnan({n}))" if n in FLOAT_COLS else ")") for n in eda_cols)
     nv = len(eda_cols)
     return _with(LISTING, LISTING_SRC, EDA) + f"""
-SELECT rows, {nv} AS variables, missing_cells, missing_cells * 100.0 / (rows * {nv}) AS missing_pct,
+SELECT rows, CAST({nv} AS BIGINT) AS variables, missing_cells, missing_cells * 100.0 / (rows * {nv}) AS missing_pct,
   rows - distinct_rows AS duplicate_rows, (rows - distinct_rows) * 100.0 / rows AS duplicate_pct
 FROM (SELECT count(*) AS rows, CAST({miss} AS BIGINT) AS missing_cells FROM eda),
      (SELECT count(*) AS distinct_rows FROM (SELECT DISTINCT * FROM eda))"""
@@ -417,7 +417,7 @@ GROUP BY signature, n_columns"""
 
     q["constraint_missing_rate"] = _missing_rate_sql()
     q["constraint_json_rate"] = _json_rate_sql()
-    q["constraint_unique_per_group"] = L + """SELECT Retailer, sum(n) AS ids, count(*) AS distinct_ids,
+    q["constraint_unique_per_group"] = L + """SELECT Retailer, CAST(sum(n) AS BIGINT) AS ids, count(*) AS distinct_ids,
   count(*) FILTER (WHERE n > 1) AS duplicated_ids, count(*) FILTER (WHERE n > 1) = 0 AS passed
 FROM (SELECT Retailer, Product_ID, count(*) AS n FROM listing WHERE Product_ID IS NOT NULL GROUP BY ALL) GROUP BY Retailer"""
     q["derive_range_bounds"] = _bounds_sql()

@@ -37,6 +37,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+               partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings for a cluster run over ``input_bytes`` of listing data.
+
+    Scan splits and shuffle partitions target ``partition_bytes`` each, so a
+    task's input fits comfortably in executor memory; AQE coalesces small
+    shuffle partitions and splits skewed ones at run time. The explicit
+    broadcasts in this package are all guarded by row-count checks, so the
+    automatic threshold stays moderate.
+    """
+    slots = max(1, executors * cores_per_executor)
+    shuffle_parts = max(slots * 2, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes * 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide shared folder (``spark.checkpoint.dir``).
 

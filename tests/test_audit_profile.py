@@ -88,3 +88,19 @@ def test_audit_without_keys_and_missing_table(spark):
         {"column": "Brand", "expected_type": "string", "actual_type": "int"}]
     missing = A.report_dict(run_audit(spark, "/tmp/no-such-table-here", checked_at="2025-01-01 00:00:00"))
     assert "overall_passed" not in missing and missing["schema_validation"]["passed"] is False
+
+
+def test_distinct_counts_exact_and_approx(spark):
+    df = spark.createDataFrame([(str(i % 7), None) for i in range(100)], "a string, b string")
+    exact = {r["column"]: r["n_distinct"] for r in P.distinct_counts(df).collect()}
+    assert exact == {"a": 7, "b": 0}
+    approx = {r["column"]: r["n_distinct"] for r in P.distinct_counts(df, approx_rsd=0.01).collect()}
+    assert approx == {"a": 7, "b": 0}
+
+
+def test_scale_conf():
+    from shelfgate.session import scale_conf
+
+    conf = scale_conf(100 << 40, executors=1000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
