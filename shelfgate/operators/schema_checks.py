@@ -1,10 +1,10 @@
 """Column-level checks over per-file schema rows.
 
 Input is a DataFrame ``(file_name, ordinal, column, type)`` with one row per
-column of each file (see :func:`sources.listing.file_schemas`). All checks
-group by file — a group is one file's columns, bounded by the schema width —
-and compare against the canonical schema held as literal arrays and maps,
-so there is no join and no cross product.
+column of each file (see :func:`sources.listing.file_schemas`). Checks are
+row filters or group by file — a group is one file's columns, bounded by
+the schema width — and compare against the canonical schema held as literal
+arrays and maps, so there is no join and no cross product.
 """
 
 from __future__ import annotations
@@ -16,22 +16,27 @@ from pyspark.sql.types import StructType
 from ..functions.schema import CANONICAL, compatible_col, required_names, schema_rows
 
 
-def _columns_per_file(schemas: DataFrame) -> DataFrame:
-    return schemas.groupBy("file_name").agg(F.collect_set("column").alias("cols"))
-
-
 def schema_missing(schemas: DataFrame, required: list[str] | None = None) -> DataFrame:
-    """(file_name, missing_column) for each required column a file lacks."""
-    req = F.array(*[F.lit(c) for c in (required or required_names())])
-    return (_columns_per_file(schemas)
-            .select("file_name", F.explode(F.array_except(req, F.col("cols"))).alias("missing_column")))
+    """(file_name, missing_column) for each required column a file lacks.
+
+    Each file's present required columns fold into a bit mask (``bit_or``, a
+    fixed-width hash aggregate); the missing names are read off the mask.
+    """
+    req = required or required_names()
+    if len(req) > 62:
+        raise ValueError("at most 62 required columns fit the bit mask")
+    bits = F.create_map(*[x for i, c in enumerate(req) for x in (F.lit(c), F.lit(1 << i).cast("long"))])
+    bit = F.element_at(bits, F.col("column"))
+    masks = schemas.groupBy("file_name").agg(F.bit_or(F.coalesce(bit, F.lit(0).cast("long"))).alias("_m"))
+    absent = F.array(*[F.when((F.col("_m").bitwiseAND(F.lit(1 << i)) == 0), F.lit(c)) for i, c in enumerate(req)])
+    return (masks.select("file_name", F.explode(absent).alias("missing_column"))
+            .where(F.col("missing_column").isNotNull()))
 
 
 def schema_extra(schemas: DataFrame, schema: StructType = CANONICAL) -> DataFrame:
-    """(file_name, extra_column) for each column not in the canonical schema."""
-    canon = F.array(*[F.lit(c) for c in schema.fieldNames()])
-    return (_columns_per_file(schemas)
-            .select("file_name", F.explode(F.array_except(F.col("cols"), canon)).alias("extra_column")))
+    """(file_name, extra_column) for each column not in the canonical schema (a filter, no shuffle)."""
+    return (schemas.where(~F.col("column").isin(schema.fieldNames()))
+            .select("file_name", F.col("column").alias("extra_column")))
 
 
 def type_mismatch(schemas: DataFrame, schema: StructType = CANONICAL) -> DataFrame:

@@ -101,6 +101,8 @@ def file_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     text_prices = et.isin("click", "view")
     price_t = F.when(text_prices, F.lit("string")).otherwise(F.lit("double"))
     entries = []
+    droppable = {}                      # position -> condition (on event id) that the column is absent
+    e = F.col("_eid")
     for f in CANONICAL.fields:
         t = F.lit(f.dataType.simpleString())
         present = F.lit(True)
@@ -114,13 +116,20 @@ def file_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
             t = F.when(eid % 73 == 0, F.lit("date")).otherwise(F.lit("timestamp"))
         if f.name == "Brand":
             present = eid % 97 != 0
+            droppable[len(entries)] = e % 97 == 0
         elif f.name == "Currency":
             present = eid % 89 != 0
+            droppable[len(entries)] = e % 89 == 0
         entries.append(F.struct(F.lit(f.name).alias("column"), t.alias("type"), present.alias("present")))
         if f.name == "Url":
+            droppable[len(entries)] = e % 83 != 0
             entries.append(F.struct(F.lit("Promo_Code").alias("column"), F.lit("string").alias("type"),
                                     (eid % 83 == 0).alias("present")))
-    cols = F.filter(F.array(*entries), lambda x: x["present"])
-    return (ev.select(fname.alias("file_name"), F.posexplode(cols).alias("pos", "c"))
-              .select("file_name", (F.col("pos") + 1).alias("ordinal"),
-                      F.col("c.column").alias("column"), F.col("c.type").alias("type")))
+    exploded = ev.select(fname.alias("file_name"), eid.alias("_eid"),
+                         F.posexplode(F.array(*entries)).alias("pos", "c"))
+    # ordinal among present columns: position minus the absent columns before it
+    skipped = sum([F.when((F.lit(i) < F.col("pos")) & cond, 1).otherwise(0) for i, cond in droppable.items()],
+                  F.lit(0))
+    return (exploded.where(F.col("c.present"))
+            .select("file_name", (F.col("pos") + 1 - skipped).cast("int").alias("ordinal"),
+                    F.col("c.column").alias("column"), F.col("c.type").alias("type")))
