@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.schema import AUDIT_KEYS, CANONICAL, required_names, types_compatible
-from ..session import materialize
+from ..session import is_small, materialize
 from .keys import MAX_BROADCAST_KEYS, attach_repeats, repeated_keys
 
 
@@ -75,11 +75,12 @@ def duplicate_sample(df: DataFrame, keys: list[str] = AUDIT_KEYS, limit: int = 5
 def dedupe_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """One row per key: the smallest by ``order`` (default: the other columns).
 
-    Rows whose key does not repeat pass through without a shuffle; only the
-    rows of repeated keys (found by a key-only, map-side combined count and
-    broadcast after a size check) are reduced with ``min`` over a struct, a
-    partial aggregate, so a hot key is combined on the map side. When the
-    repeated keys are too many to broadcast, one ``groupBy`` does it all.
+    Large input: rows whose key does not repeat pass through without a
+    shuffle; only the rows of repeated keys (found by a key-only, map-side
+    combined count and broadcast after a size check) are reduced with
+    ``min`` over a struct, a partial aggregate, so a hot key is combined on
+    the map side. Small input (Catalyst's size estimate), or too many
+    repeated keys to broadcast: one ``groupBy`` does it all.
     """
     rest = order if order is not None else [c for c in df.columns if c not in keys]
     others = [c for c in df.columns if c not in keys]
@@ -89,6 +90,8 @@ def dedupe_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None
         return frame.groupBy(*keys).agg(pick.alias("_r")).select(
             *[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
+    if is_small(df):
+        return reduce_(df)
     rk = materialize(repeated_keys(df, keys, nulls_equal=True), "repeated-keys")
     n = rk.count()
     if n > MAX_BROADCAST_KEYS:

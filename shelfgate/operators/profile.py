@@ -32,7 +32,7 @@ from pyspark.sql.types import (
 )
 
 from ..functions.predicates import is_missing
-from ..session import env_int
+from ..session import env_int, is_small
 
 # --- fixed values: distinct-count ceiling for a categorical text column ----
 CATEGORICAL_MAX_DISTINCT = 50
@@ -220,12 +220,17 @@ def _row_hashes(df: DataFrame) -> tuple[Column, Column]:
 def duplicate_row_count(df: DataFrame) -> int:
     """Rows minus distinct rows, exact.
 
-    Rows are first grouped by a 128-bit hash (16 bytes per row cross the
-    shuffle instead of whole rows); only rows whose hash repeats are then
-    compared on all columns, through a broadcast semi-join when there are
-    at most ``MAX_BROADCAST_CANDIDATES`` such hashes, else by one exact
-    ``groupBy`` over all columns.
+    Large input: rows are first grouped by a 128-bit hash (16 bytes per row
+    cross the shuffle instead of whole rows); only rows whose hash repeats
+    are then compared on all columns, through a broadcast semi-join when
+    there are at most ``MAX_BROADCAST_CANDIDATES`` such hashes, else by one
+    exact ``groupBy`` over all columns. Small input (Catalyst's estimate):
+    that one exact ``groupBy`` directly.
     """
+    exact = (lambda frame: frame.groupBy(*[_q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+             .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("d")))
+    if is_small(df):
+        return int(exact(df).first()["d"])
     h1, h2 = _row_hashes(df)
     hashed = df.select("*", h1.alias("_h1"), h2.alias("_h2"))
     cand = (hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
@@ -237,9 +242,7 @@ def duplicate_row_count(df: DataFrame) -> int:
         suspects = hashed.join(F.broadcast(cand), ["_h1", "_h2"], "left_semi").drop("_h1", "_h2")
     else:
         suspects = df
-    dup = (suspects.groupBy(*[_q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-           .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("d")))
-    return int(dup.first()["d"])
+    return int(exact(suspects).first()["d"])
 
 
 def dataset_summary(df: DataFrame) -> DataFrame:

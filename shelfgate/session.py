@@ -111,6 +111,22 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SMALL_INPUT_BYTES = int(os.environ.get("SHELFGATE_SMALL_INPUT_BYTES", 1 << 30))
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (from file sizes; no job)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: treat as large
+        return 1 << 62
+
+
+def is_small(df: DataFrame) -> bool:
+    """True when one plain shuffle of ``df`` is cheaper than a multi-pass plan."""
+    return estimated_bytes(df) <= SMALL_INPUT_BYTES
+
+
 def in_local_mode(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

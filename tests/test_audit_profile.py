@@ -104,3 +104,17 @@ def test_scale_conf():
     conf = scale_conf(100 << 40, executors=1000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_large_input_paths_match_small(spark, monkeypatch):
+    """The multi-pass plans for large inputs give the same answers as the direct ones."""
+    from shelfgate import session
+
+    rows = [(i % 13, f"v{i % 5}", None if i % 7 == 0 else i % 3) for i in range(300)]
+    rows += rows[:40]
+    df = spark.createDataFrame(rows, "k int, s string, x int")
+    small_d = P.duplicate_row_count(df)
+    small_dd = sorted(tuple(r) for r in A.dedupe_by_key(df, ["k", "s"]).collect())
+    monkeypatch.setattr(session, "SMALL_INPUT_BYTES", -1)
+    assert P.duplicate_row_count(df) == small_d
+    assert sorted(tuple(r) for r in A.dedupe_by_key(df, ["k", "s"]).collect()) == small_dd
