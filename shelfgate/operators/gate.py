@@ -226,7 +226,7 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
             bad = (c.isNotNull() & (F.coalesce(F.col(f"_k{i}"), F.lit(1)) > 1)) | (c.isNull() & F.col(f"nf{i}"))
         tags.append(F.when(bad & ~F.col(f"s{i}"), F.lit(p.rule.rule_id)))
     if tags:
-        failed = F.filter(F.array(*tags), lambda x: x.isNotNull())
+        failed = F.array_compact(F.array(*tags))
     else:
         failed = F.array().cast("array<string>")
     rows = rows.select(*[F.col(f"`{c}`") for c in input_cols], "_file",
