@@ -59,11 +59,13 @@ def ingest_latest_frame(df: DataFrame, rules: list[Rule], *, sources: list[str],
                         file_col: str = SOURCE_FILE, **kw) -> IngestOutcome:
     """Keep only the newest file per source on or before ``reference_date``, then ingest.
 
-    The chosen-file list has at most one row per source, so it is broadcast.
+    The chosen-file list has at most one row per source: it is computed once
+    (written to the shared folder, so the gate's passes do not recompute it)
+    and broadcast.
     """
     names = df.select(F.col(file_col).alias("path")).distinct()
-    latest = latest_as_of(parse_names(names, sources), reference_date).select(
-        F.col("file_name").alias("_chosen"))
+    latest = materialize(latest_as_of(parse_names(names, sources), reference_date).select(
+        F.col("file_name").alias("_chosen")), "latest-files")
     chosen = df.join(F.broadcast(latest), F.col(file_col) == F.col("_chosen"), "left_semi")
     return ingest_frame(chosen, rules, file_col=file_col, **kw)
 
