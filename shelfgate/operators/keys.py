@@ -35,14 +35,6 @@ def _all(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
-def key_counts(df: DataFrame, keys: list[str], count_col: str = "n") -> DataFrame:
-    """One row per key with its row count (map-side combined, skew-safe).
-
-    Null key parts group together, like ``dropDuplicates``.
-    """
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
-
-
 def hot_keys(df: DataFrame, keys: list[str], *, nulls_equal: bool, total: int | None = None,
              hot_rows: int | None = None, max_hot: int = MAX_HOT_KEYS) -> DataFrame | None:
     """Keys with more than ``T`` rows, materialized; None when there are none.

@@ -127,10 +127,6 @@ def is_small(df: DataFrame) -> bool:
     return estimated_bytes(df) <= SMALL_INPUT_BYTES
 
 
-def in_local_mode(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

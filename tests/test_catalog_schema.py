@@ -80,3 +80,26 @@ def test_schema_checks(spark):
         ("d.parquet", "Original_Price", "float", "string")]
     groups = sorted((r["n_files"], r["first_file"]) for r in S.schema_groups(sc).collect())
     assert groups == [(1, "c.parquet"), (1, "d.parquet"), (2, "a.parquet")]
+
+
+def test_catalog_helpers(spark):
+    import datetime as dt
+
+    from shelfgate.operators.rules import rules_frame
+
+    names = ["cubesmart_weekly_20250127_181344.parquet", "storagemart_weekly_20251399_101010.parquet",
+             "x.csv"]
+    counts = {r["status"]: r["files"] for r in C.catalog_status_counts(_catalog(spark, names)).collect()}
+    assert counts == {"ok": 1, "bad_date": 1, "no_match": 1}
+    assert C.default_reference_date(dt.date(2025, 2, 11)) == dt.date(2025, 2, 10)
+    rf = rules_frame(spark, default_rules()).orderBy("position").collect()
+    assert [r["kind"] for r in rf].count("not_null") == 9 and rf[6]["rule_id"] == "unique:Product_ID"
+
+
+def test_with_source_file(spark):
+    from shelfgate.operators.conform import with_source_file
+
+    path = tempfile.mkdtemp(prefix="src-", dir="/tmp") + "/cubesmart_weekly_20250127_181344.parquet"
+    spark.createDataFrame([(1,)], "a int").coalesce(1).write.parquet(path)
+    names = {r["Source_File"] for r in with_source_file(spark.read.parquet(path)).collect()}
+    assert len(names) == 1 and next(iter(names)).startswith("part-")
