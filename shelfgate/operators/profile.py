@@ -50,7 +50,7 @@ def missing(df: DataFrame) -> DataFrame:
                  *[F.count_if(is_missing(_q(c), types[c])).alias(f"_m{i}") for i, c in enumerate(df.columns)])
     return agg.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"_m{i}").cast("long").alias("n_missing"),
-                 (F.col(f"_m{i}") * 100.0 / F.col("_rows")).alias("pct_missing"))
+                 F.try_divide(F.col(f"_m{i}") * 100.0, F.col("_rows")).alias("pct_missing"))
         for i, c in enumerate(df.columns)])))
 
 
@@ -188,10 +188,12 @@ def categorical_association(df: DataFrame, columns: list[str], digits: int = 6)
                  (F.row_number().over(wb) == 1).alias("first_b")))
     per_pair = t.groupBy("pair").agg(
         F.sum("n_ab").alias("n"),
-        F.sum(F.col("n_ab") * F.col("n_ab") / (F.col("n_a") * F.col("n_b"))).alias("s"),
+        # doubles: at 10^12 rows the products of counts overflow a long
+        F.sum(F.try_divide(F.col("n_ab").cast("double") * F.col("n_ab"),
+                           F.col("n_a").cast("double") * F.col("n_b"))).alias("s"),
         F.count_if("first_a").alias("r"), F.count_if("first_b").alias("c"))
     k = F.least(F.col("r"), F.col("c")) - 1
-    v = F.when(k > 0, F.sqrt(F.greatest(F.col("n") * (F.col("s") - 1), F.lit(0.0)) / (F.col("n") * k)))
+    v = F.when(k > 0, F.sqrt(F.try_divide(F.greatest(F.col("n") * (F.col("s") - 1), F.lit(0.0)), F.col("n") * k)))
     names = F.create_map(*[x for i, (a, b) in enumerate(pairs)
                            for x in (F.lit(i), F.array(F.lit(a), F.lit(b)))])
     return per_pair.select(
@@ -254,9 +256,9 @@ def dataset_summary(df: DataFrame) -> DataFrame:
     m = df.agg(F.count(F.lit(1)).alias("rows"), miss.alias("missing_cells"))
     return m.select(
         "rows", F.lit(nvar).cast("long").alias("variables"), "missing_cells",
-        (F.col("missing_cells") * 100.0 / (F.col("rows") * nvar)).alias("missing_pct"),
+        F.try_divide(F.col("missing_cells") * 100.0, F.col("rows") * nvar).alias("missing_pct"),
         F.lit(dups).cast("long").alias("duplicate_rows"),
-        (F.lit(dups) * 100.0 / F.col("rows")).alias("duplicate_pct"))
+        F.try_divide(F.lit(dups) * 100.0, F.col("rows")).alias("duplicate_pct"))
 
 
 def price_bounds(df: DataFrame, columns: list[str], tolerance: float = 0.2) -> DataFrame:

@@ -217,3 +217,18 @@ def test_gate_window_fallback_matches_broadcast(spark, monkeypatch):
     monkeypatch.setattr(keys, "HOT_ROWS_FLOOR", 5)
     b = sorted((k, tuple(v)) for k, v in _failed(gate(df, RULES, file_col="file")).items())
     assert a == b
+
+
+def test_empty_input(spark):
+    from shelfgate.operators import audit as A
+    from shelfgate.operators import profile as P
+
+    df = frame(spark, []).withColumn("file", F.lit("f"))
+    g = gate(df, RULES, required=required_names())
+    assert g.survivors().count() == 0 and g.quarantine().count() == 0 and g.verdicts().count() == 0
+    g2 = gate(df, RULES, file_col="file")
+    assert g2.rule_report().count() == 0
+    rep = A.report_dict(A.audit(df.drop("file")))
+    assert rep["duplicate_check"]["details"]["total_records"] == 0 and rep["overall_passed"] is True
+    s = P.dataset_summary(df.drop("file")).first()
+    assert s["rows"] == 0 and s["duplicate_rows"] == 0
