@@ -122,7 +122,8 @@ def run_ingest(spark: SparkSession, input_dir: str, output_path: str, rules: lis
         return IngestResult(False, "no file survived the gate", IngestOutcome(None, verdicts, []),
                             [r["file"] for r in broken])
     unified = reduce(lambda a, b: a.unionByName(b), [o.unified for o in outcomes])
-    verdicts = reduce(lambda a, b: a.unionByName(b), verdict_parts)
+    # one row per file, computed once: it decides the write and is returned
+    verdicts = materialize(reduce(lambda a, b: a.unionByName(b), verdict_parts), "verdicts")
     outcome = IngestOutcome(unified, verdicts, [g for o in outcomes for g in o.gates])
     accepted = verdicts.where(F.col("outcome") != "reject").count()
     if accepted == 0:
