@@ -102,7 +102,7 @@ def _file_schemas_cte() -> str:
         if f.name == "Url":
             pos += 1
             cols.append((pos, "Promo_Code"))
-    values = ", ".join(f"({p}, '{n}')" for p, n in cols)
+    values = ", ".join(f"{{'pos': {p}, 'name': '{n}'}}" for p, n in cols)
     type_case = "CASE c.name " + " ".join(
         f"WHEN '{f.name}' THEN '{f.dataType.simpleString()}'" for f in CANONICAL.fields) + " ELSE 'string' END"
     return f"""fs_files AS (
@@ -110,19 +110,19 @@ def _file_schemas_cte() -> str:
     concat(event_type, '_weekly_', strftime(ts, '%Y%m%d'), '_', strftime(ts, '%H%M%S'), '_',
            CAST(event_id AS VARCHAR), '.parquet') AS file_name
   FROM events),
-fs_cols AS (SELECT * FROM (VALUES {values}) v(pos, name)),
+fs_exp AS (SELECT event_id, event_type, file_name, unnest([{values}]) AS c FROM fs_files),
 fs_raw AS (
-  SELECT f.file_name, c.pos, c.name AS "column",
+  SELECT file_name, c.pos AS pos, c.name AS "column",
     CASE WHEN c.name IN ('Average_Rating', 'Original_Price', 'Sale_Price')
-           THEN CASE WHEN f.event_type IN ('click', 'view') THEN 'string' ELSE 'double' END
+           THEN CASE WHEN event_type IN ('click', 'view') THEN 'string' ELSE 'double' END
          WHEN c.name = 'Number_Of_Reviews' THEN 'double'
-         WHEN c.name = 'In_Stock' THEN CASE WHEN f.event_id % 79 = 0 THEN 'string' ELSE 'boolean' END
-         WHEN c.name = 'Run_Date' THEN CASE WHEN f.event_id % 73 = 0 THEN 'date' ELSE 'timestamp' END
+         WHEN c.name = 'In_Stock' THEN CASE WHEN event_id % 79 = 0 THEN 'string' ELSE 'boolean' END
+         WHEN c.name = 'Run_Date' THEN CASE WHEN event_id % 73 = 0 THEN 'date' ELSE 'timestamp' END
          ELSE {type_case} END AS type
-  FROM fs_files f, fs_cols c
-  WHERE NOT (c.name = 'Brand' AND f.event_id % 97 = 0)
-    AND NOT (c.name = 'Currency' AND f.event_id % 89 = 0)
-    AND NOT (c.name = 'Promo_Code' AND f.event_id % 83 <> 0)),
+  FROM fs_exp
+  WHERE NOT (c.name = 'Brand' AND event_id % 97 = 0)
+    AND NOT (c.name = 'Currency' AND event_id % 89 = 0)
+    AND NOT (c.name = 'Promo_Code' AND event_id % 83 <> 0)),
 file_schemas AS (
   SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY pos) AS ordinal, "column", type
   FROM fs_raw)"""
@@ -296,8 +296,8 @@ def _dataset_sql() -> str:
     return _with(LISTING, LISTING_SRC, EDA) + f"""
 SELECT rows, CAST({nv} AS BIGINT) AS variables, missing_cells, missing_cells * 100.0 / (rows * {nv}) AS missing_pct,
   rows - distinct_rows AS duplicate_rows, (rows - distinct_rows) * 100.0 / rows AS duplicate_pct
-FROM (SELECT count(*) AS rows, CAST({miss} AS BIGINT) AS missing_cells FROM eda),
-     (SELECT count(*) AS distinct_rows FROM (SELECT DISTINCT * FROM eda))"""
+FROM (SELECT count(*) AS rows, CAST({miss} AS BIGINT) AS missing_cells,
+             (SELECT count(*) FROM (SELECT DISTINCT * FROM eda)) AS distinct_rows FROM eda)"""
 
 
 def _constant_sql() -> str:
@@ -323,8 +323,10 @@ SELECT true AS schema_passed, '' AS missing_columns, '' AS extra_columns, true A
   total_records = unique_records AS duplicates_passed, NOT ({anyz}) AS nulls_passed,
   concat_ws(',', {text}) AS null_counts,
   (total_records = unique_records) AND NOT ({anyz}) AS overall_passed
-FROM (SELECT count(*) AS total_records, {nulls} FROM conformed),
-     (SELECT count(*) AS unique_records FROM (SELECT DISTINCT Retailer, Store_Info, Product_ID, Run_Date FROM conformed))"""
+FROM (SELECT count(*) AS total_records,
+             (SELECT count(*) FROM (SELECT DISTINCT Retailer, Store_Info, Product_ID, Run_Date FROM conformed))
+               AS unique_records,
+             {nulls} FROM conformed)"""
 
 
 def _missing_rate_sql() -> str:
@@ -386,9 +388,9 @@ def oracle_sql() -> dict[str, str]:
          if n in OPTIONAL_DROPPED else n) for n in canon)
     q["union_conformed"] = LC + f"SELECT {keep} FROM conformed"
 
-    q["schema_missing"] = FS + "SELECT file_name, r.missing_column FROM (SELECT DISTINCT file_name FROM file_schemas) f, (VALUES " + \
-        ", ".join(f"('{c}')" for c in req) + ") r(missing_column) WHERE NOT EXISTS (SELECT 1 FROM file_schemas s " \
-        'WHERE s.file_name = f.file_name AND s."column" = r.missing_column)'
+    req_list = "[" + ", ".join(f"'{c}'" for c in req) + "]"
+    q["schema_missing"] = FS + f"""SELECT file_name, unnest(list_filter({req_list}, lambda x: NOT list_contains(cols, x)))
+  AS missing_column FROM (SELECT file_name, list("column") AS cols FROM file_schemas GROUP BY file_name)"""
     q["schema_extra"] = FS + 'SELECT file_name, "column" AS extra_column FROM file_schemas WHERE "column" NOT IN (' + \
         ", ".join(f"'{c}'" for c in canon) + ")"
     q["type_mismatch"] = FS + f"""SELECT file_name, "column", expected_type, actual_type FROM (
