@@ -232,3 +232,26 @@ def test_empty_input(spark):
     assert rep["duplicate_check"]["details"]["total_records"] == 0 and rep["overall_passed"] is True
     s = P.dataset_summary(df.drop("file")).first()
     assert s["rows"] == 0 and s["duplicate_rows"] == 0
+
+
+def test_reordered_columns_conform_by_name(spark):
+    df = frame(spark, [row(1), row(2)])
+    shuffled = df.select(*reversed(df.columns))
+    g = gate(shuffled, RULES, required=required_names())
+    out = conform_types(g.survivors(), fill_missing=True)
+    assert out.columns == CANONICAL.fieldNames()
+    assert sorted(r["Product_Name"] for r in out.collect()) == ["unit 1", "unit 2"]
+
+
+def test_bad_date_text_passes_gate_then_audit_finds_it(spark):
+    from shelfgate.operators import audit as A
+
+    rows = [row(1), row(2)]
+    df = frame(spark, rows).withColumn(
+        "Run_Date", F.when(F.col("Product_Name") == "unit 1", "2025-01-27 00:00:00").otherwise("27/01/2025?"))
+    g = gate(df, RULES, required=required_names())
+    assert _verdict(g) == {"<all>": "accept"}                 # non-null text passes the not-null rule
+    table = conform_types(g.survivors(), fill_missing=True)
+    rep = A.report_dict(A.audit(table))
+    assert rep["null_check"]["details"]["null_counts"] == {"Run_Date": 1}
+    assert rep["overall_passed"] is False
