@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -10,6 +12,9 @@ from ..operators.audit import audit, save_report, unavailable_report
 from ..sources.sinks import read_unified
 
 
+log = logging.getLogger("shelfgate.audit")
+
+
 def run_audit(spark: SparkSession, table_path: str, *, schema: StructType = CANONICAL,
               keys: list[str] = AUDIT_KEYS, checked_at: str | None = None,
               report_path: str | None = None) -> DataFrame:
@@ -19,8 +24,11 @@ def run_audit(spark: SparkSession, table_path: str, *, schema: StructType = CANO
     false, no overall verdict), like the reference.
     """
     df = read_unified(spark, table_path)
-    report = unavailable_report(spark, checked_at) if df is None else audit(
-        df, schema, keys, checked_at=checked_at)
+    if df is None:
+        log.error("table not found or unreadable: %s", table_path)
+        report = unavailable_report(spark, checked_at)
+    else:
+        report = audit(df, schema, keys, checked_at=checked_at)
     if report_path:
         save_report(report, report_path)
     return report

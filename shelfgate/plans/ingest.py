@@ -15,6 +15,7 @@ the scans.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from functools import reduce
 
@@ -34,6 +35,9 @@ from ..sources.listing import UNREADABLE, file_schemas, scan_group
 from ..sources.sinks import append_column_log, write_unified
 
 
+log = logging.getLogger("shelfgate.ingest")
+
+
 @dataclass
 class IngestOutcome:
     unified: DataFrame | None   # conformed survivors of accepted/repaired files
@@ -95,7 +99,9 @@ def run_ingest(spark: SparkSession, input_dir: str, output_path: str, rules: lis
     broken = (schemas.where(F.col("column") == UNREADABLE)
               .select(F.col("file_name").alias("file"), F.col("type").alias("error")).collect())
     if not plan and not broken:
+        log.warning("no files found in %s on or before %s", input_dir, reference_date)
         return IngestResult(False, "no files found")
+    log.info("chosen files: %s", sorted([r["file_name"] for r in plan] + [r["file"] for r in broken]))
     groups: dict[str, list[str]] = {}
     for r in plan:
         groups.setdefault(r["signature"], []).append(r["path"])
@@ -125,10 +131,15 @@ def run_ingest(spark: SparkSession, input_dir: str, output_path: str, rules: lis
     # one row per file, computed once: it decides the write and is returned
     verdicts = materialize(reduce(lambda a, b: a.unionByName(b), verdict_parts), "verdicts")
     outcome = IngestOutcome(unified, verdicts, [g for o in outcomes for g in o.gates])
-    accepted = verdicts.where(F.col("outcome") != "reject").count()
+    tally = {r["outcome"]: r["files"] for r in
+             verdicts.groupBy("outcome").agg(F.count(F.lit(1)).alias("files")).collect()}
+    log.info("file verdicts: %s", tally)
+    accepted = sum(n for k, n in tally.items() if k != "reject")
     if accepted == 0:
+        log.error("no file survived the gate")
         return IngestResult(False, "no file survived the gate", outcome,
                             [r["file_name"] for r in plan] + [r["file"] for r in broken])
     write_unified(unified, output_path, partition_by=partition_by,
                   overwrite_partitions=overwrite_partitions)
+    log.info("appended survivors to %s", output_path)
     return IngestResult(True, "ok", outcome, [r["file_name"] for r in plan] + [r["file"] for r in broken])
