@@ -28,7 +28,9 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     eid, uid, et, val = F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("value")
     return ev.select(
-        F.date_trunc("week", F.col("ts")).alias("Run_Date"),
+        # wall-clock week start, like a pandas-written file (no time zone); the
+        # conformed table casts it to the canonical timestamp
+        F.date_trunc("week", F.col("ts")).cast("timestamp_ntz").alias("Run_Date"),
         et.alias("Retailer"),
         F.when(uid % 10 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("https://"), et, F.lit(".example"))).alias("Retailer_Website"),
