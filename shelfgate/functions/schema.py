@@ -47,6 +47,11 @@ AUDIT_KEYS = ["Retailer", "Store_Info", "Product_ID", "Run_Date"]
 SOURCE_FILE = "Source_File"
 
 
+def col(name: str) -> Column:
+    """Column by exact name (dots and spaces are part of the name, not paths)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def canonical_names(schema: StructType = CANONICAL) -> list[str]:
     return schema.fieldNames()
 

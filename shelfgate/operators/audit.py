@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.schema import AUDIT_KEYS, CANONICAL, required_names, types_compatible
+from ..functions.schema import AUDIT_KEYS, CANONICAL, col, required_names, types_compatible
 from ..session import is_small, materialize
 from .keys import MAX_BROADCAST_KEYS, attach_repeats, repeated_keys
 
@@ -29,7 +29,7 @@ def duplicate_summary(df: DataFrame, keys: list[str] = AUDIT_KEYS) -> DataFrame:
     ks = available_keys(df, keys)
     if not ks:
         raise ValueError("no key column present for the duplicate check")
-    g = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n"))
+    g = df.groupBy(*[col(k) for k in ks]).agg(F.count(F.lit(1)).alias("_n"))
     total = F.coalesce(F.sum("_n"), F.lit(0)).cast("long")
     unique = F.count(F.lit(1)).cast("long")
     return g.agg(total.alias("total_records"), unique.alias("unique_records")).select(
@@ -55,21 +55,21 @@ def duplicate_rows(df: DataFrame, keys: list[str] = AUDIT_KEYS, limit: int | Non
     rest = order if order is not None else [c for c in df.columns if c not in ks]
     rk = repeated_keys(df, ks, nulls_equal=True)
     if limit is not None:
-        rk = rk.orderBy(*[F.col(c).asc_nulls_first() for c in ks]).limit(limit)
+        rk = rk.orderBy(*[col(c).asc_nulls_first() for c in ks]).limit(limit)
     rk = materialize(rk, "repeated-keys")
     n = rk.count()
     flagged = attach_repeats(df, ks, rk, n, "dup_count", nulls_equal=True).where(F.col("dup_count") > 1)
     if limit is None:
         return flagged
-    return flagged.orderBy(*[F.col(c).asc_nulls_first() for c in ks + rest]).limit(limit)
+    return flagged.orderBy(*[col(c).asc_nulls_first() for c in ks + rest]).limit(limit)
 
 
 def duplicate_sample(df: DataFrame, keys: list[str] = AUDIT_KEYS, limit: int = 5) -> DataFrame:
     """First ``limit`` duplicated keys in key order, with their row count."""
     ks = available_keys(df, keys)
-    return (df.groupBy(*ks).agg(F.count(F.lit(1)).alias("dup_count"))
+    return (df.groupBy(*[col(k) for k in ks]).agg(F.count(F.lit(1)).alias("dup_count"))
             .where(F.col("dup_count") > 1)
-            .orderBy(*[F.col(c).asc_nulls_first() for c in ks]).limit(limit))
+            .orderBy(*[col(c).asc_nulls_first() for c in ks]).limit(limit))
 
 
 def dedupe_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -84,11 +84,11 @@ def dedupe_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None
     """
     rest = order if order is not None else [c for c in df.columns if c not in keys]
     others = [c for c in df.columns if c not in keys]
-    pick = F.min(F.struct(*[F.col(c) for c in rest + [o for o in others if o not in rest]]))
+    pick = F.min(F.struct(*[col(c) for c in rest + [o for o in others if o not in rest]]))
 
     def reduce_(frame: DataFrame) -> DataFrame:
-        return frame.groupBy(*keys).agg(pick.alias("_r")).select(
-            *[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
+        return frame.groupBy(*[col(k) for k in keys]).agg(pick.alias("_r")).select(
+            *[col(c) if c in keys else F.col("_r").getField(c).alias(c) for c in df.columns])
 
     if is_small(df):
         return reduce_(df)
@@ -97,8 +97,8 @@ def dedupe_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None
     if n > MAX_BROADCAST_KEYS:
         return reduce_(df)
     flagged = attach_repeats(df, keys, rk, n, "_dup", nulls_equal=True)
-    singles = flagged.where(F.col("_dup") == 1).select(*df.columns)
-    return singles.unionByName(reduce_(flagged.where(F.col("_dup") > 1).select(*df.columns)))
+    singles = flagged.where(F.col("_dup") == 1).select(*[col(c) for c in df.columns])
+    return singles.unionByName(reduce_(flagged.where(F.col("_dup") > 1).select(*[col(c) for c in df.columns])))
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -106,9 +106,9 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     cols = [c for c in (columns or required_names()) if c in df.columns]
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, null_count long")
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    agg = df.agg(*[F.count_if(col(c).isNull()).alias(c) for c in cols])
     stacked = agg.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("null_count")) for c in cols])))
+        F.struct(F.lit(c).alias("column"), col(c).cast("long").alias("null_count")) for c in cols])))
     return stacked.where(F.col("null_count") > 0)
 
 
@@ -142,7 +142,7 @@ def audit(df: DataFrame, schema: StructType = CANONICAL, keys: list[str] = AUDIT
     group_cols = ks or [F.lit(0).alias("_nokey")]
     per_key = df.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(present_req)])
+        *[F.count_if(col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(present_req)])
     totals = per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_records"),
         (F.count(F.lit(1)) if ks else F.lit(None)).cast("long").alias("unique_records"),
@@ -191,7 +191,7 @@ def unavailable_report(spark, checked_at: str | None = None) -> DataFrame:
 
 def audit_json(report: DataFrame) -> DataFrame:
     """The report as nested JSON text (one row, column ``report``)."""
-    split = lambda c: F.when(F.col(c) == "", F.array().cast("array<string>")).otherwise(F.split(F.col(c), ","))
+    split = lambda c: F.when(col(c) == "", F.array().cast("array<string>")).otherwise(F.split(col(c), ","))
     nulls = F.when(F.col("null_counts") == "", F.create_map().cast("map<string,bigint>")).otherwise(
         F.transform_values(F.str_to_map(F.col("null_counts"), F.lit(","), F.lit("=")), lambda k, v: v.cast("bigint")))
     body = F.struct(

@@ -24,6 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.schema import col
 from ..session import env_int, materialize
 
 HOT_ROWS_FLOOR = env_int("SHELFGATE_HOT_ROWS", 1_000_000)
@@ -48,8 +49,8 @@ def hot_keys(df: DataFrame, keys: list[str], *, nulls_equal: bool, total: int |
     threshold = max(floor, -(-total // max_hot))
     if total <= threshold:
         return None
-    src = df if nulls_equal else df.where(_all([F.col(k).isNotNull() for k in keys]))
-    hot = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hot_n"))
+    src = df if nulls_equal else df.where(_all([col(k).isNotNull() for k in keys]))
+    hot = (src.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_hot_n"))
            .where(F.col("_hot_n") > threshold))
     hot = materialize(hot, "hot-keys")
     return hot if hot.take(1) else None
@@ -68,20 +69,20 @@ def with_key_count(df: DataFrame, keys: list[str], out_col: str = "_key_n", *,
     """
     cols = df.columns
     hot = hot_keys(df, keys, nulls_equal=nulls_equal, total=total, hot_rows=hot_rows)
-    nonnull = _all([F.col(k).isNotNull() for k in keys])
+    nonnull = _all([col(k).isNotNull() for k in keys])
     spread_nulls = F.lit(False) if nulls_equal else ~nonnull
     if hot is not None:
-        h = hot.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_hot_n")
+        h = hot.select(*[col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_hot_n")
         cond = _all([
-            (F.col(k).eqNullSafe(F.col(f"_hk{i}")) if nulls_equal else F.col(k) == F.col(f"_hk{i}"))
+            (col(k).eqNullSafe(F.col(f"_hk{i}")) if nulls_equal else col(k) == F.col(f"_hk{i}"))
             for i, k in enumerate(keys)])
-        df = df.join(F.broadcast(h), cond, "left").select(*cols, "_hot_n")
+        df = df.join(F.broadcast(h), cond, "left").select(*[col(c) for c in cols], "_hot_n")
     else:
         df = df.withColumn("_hot_n", F.lit(None).cast("long"))
     spread = spread_nulls | F.col("_hot_n").isNotNull()
     salt = (F.lit(1) + F.floor(F.rand(17) * SALT_BUCKETS)).cast("int")
     df = df.withColumn("_salt", F.when(spread, salt).otherwise(F.lit(0)))
-    w = Window.partitionBy(*[F.col(k) for k in keys], F.col("_salt"))
+    w = Window.partitionBy(*[col(k) for k in keys], F.col("_salt"))
     n = F.coalesce(F.col("_hot_n"), F.count(F.lit(1)).over(w))
     if not nulls_equal:
         n = F.when(nonnull, n)
@@ -94,8 +95,8 @@ MAX_BROADCAST_KEYS = env_int("SHELFGATE_MAX_BROADCAST_KEYS", 1_000_000)
 def repeated_keys(df: DataFrame, keys: list[str], *, nulls_equal: bool,
                   count_col: str = "_n") -> DataFrame:
     """Keys occurring more than once, with their count (map-side combined)."""
-    src = df if nulls_equal else df.where(_all([F.col(k).isNotNull() for k in keys]))
-    return (src.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
+    src = df if nulls_equal else df.where(_all([col(k).isNotNull() for k in keys]))
+    return (src.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(count_col))
             .where(F.col(count_col) > 1))
 
 
@@ -113,13 +114,13 @@ def attach_repeats(df: DataFrame, keys: list[str], repeats: DataFrame, n_repeats
     if n_repeats > MAX_BROADCAST_KEYS:
         return with_key_count(df, keys, out_col, nulls_equal=nulls_equal, total=total)
     cols = df.columns
-    nonnull = _all([F.col(k).isNotNull() for k in keys])
-    r = repeats.select(*[F.col(k).alias(f"_rk{i}") for i, k in enumerate(keys)],
+    nonnull = _all([col(k).isNotNull() for k in keys])
+    r = repeats.select(*[col(k).alias(f"_rk{i}") for i, k in enumerate(keys)],
                        F.col(count_col).alias("_rn"))
     cond = _all([
-        (F.col(k).eqNullSafe(F.col(f"_rk{i}")) if nulls_equal else F.col(k) == F.col(f"_rk{i}"))
+        (col(k).eqNullSafe(F.col(f"_rk{i}")) if nulls_equal else col(k) == F.col(f"_rk{i}"))
         for i, k in enumerate(keys)])
     n = F.coalesce(F.col("_rn"), F.lit(1).cast("long"))
     if not nulls_equal:
         n = F.when(nonnull, n)
-    return df.join(F.broadcast(r), cond, "left").select(*cols, n.alias(out_col))
+    return df.join(F.broadcast(r), cond, "left").select(*[col(c) for c in cols], n.alias(out_col))
