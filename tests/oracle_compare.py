@@ -3,7 +3,7 @@
 Usage: python tests/oracle_compare.py [sf_dir] [query ...]
 
 Comparison: row count, sorted column names, and the sorted multiset of
-rows (floats compared to 1e-9 relative, timestamps as ISO text).
+rows, exact (floats bit for bit; NaN equals NaN; timestamps as ISO text).
 """
 
 from __future__ import annotations
@@ -24,10 +24,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 def _norm(v):
     if v is None:
         return None
-    if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return float(f"{v:.12g}")
+    if isinstance(v, float) and math.isnan(v):
+        return "NaN"
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     if hasattr(v, "item"):
