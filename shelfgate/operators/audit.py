@@ -24,15 +24,31 @@ def available_keys(df: DataFrame, keys: list[str]) -> list[str]:
     return [k for k in keys if k in df.columns]
 
 
+def _surplus(df: DataFrame, keys: list[str]) -> int:
+    """Rows beyond the first of each key (null parts equal), via repeated keys."""
+    r = repeated_keys(df, keys, nulls_equal=True).agg(F.sum(F.col("_n") - 1).alias("d")).first()
+    return int(r["d"] or 0)
+
+
 def duplicate_summary(df: DataFrame, keys: list[str] = AUDIT_KEYS) -> DataFrame:
-    """(total_records, unique_records, duplicate_records, passed); null keys are equal."""
+    """(total_records, unique_records, duplicate_records, passed); null keys are equal.
+
+    Small input: one aggregation over key groups. Large input: the total is a
+    map-side count and the surplus rows come from the repeated keys alone
+    (hash-first, exact), so distinct keys never cross the shuffle as text.
+    """
     ks = available_keys(df, keys)
     if not ks:
         raise ValueError("no key column present for the duplicate check")
-    g = df.groupBy(*[col(k) for k in ks]).agg(F.count(F.lit(1)).alias("_n"))
-    total = F.coalesce(F.sum("_n"), F.lit(0)).cast("long")
-    unique = F.count(F.lit(1)).cast("long")
-    return g.agg(total.alias("total_records"), unique.alias("unique_records")).select(
+    if is_small(df):
+        g = df.groupBy(*[col(k) for k in ks]).agg(F.count(F.lit(1)).alias("_n"))
+        counts = g.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_records"),
+                       F.count(F.lit(1)).cast("long").alias("unique_records"))
+    else:
+        surplus = _surplus(df, ks)
+        counts = df.agg(F.count(F.lit(1)).cast("long").alias("total_records")).select(
+            "total_records", (F.col("total_records") - F.lit(surplus)).alias("unique_records"))
+    return counts.select(
         "total_records", "unique_records",
         (F.col("total_records") - F.col("unique_records")).alias("duplicate_records"),
         (F.col("total_records") == F.col("unique_records")).alias("passed"))
@@ -137,17 +153,24 @@ def audit(df: DataFrame, schema: StructType = CANONICAL, keys: list[str] = AUDIT
     missing, extra, mismatches = schema_findings(df, schema, req)
     ks = available_keys(df, keys)
     present_req = [c for c in req if c in df.columns]
-    # key groups carry row and null counts, so one aggregation does it all;
-    # without a key the groups collapse to one and the unique count is unknown
-    group_cols = ks or [F.lit(0).alias("_nokey")]
-    per_key = df.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(present_req)])
-    totals = per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_records"),
-        (F.count(F.lit(1)) if ks else F.lit(None)).cast("long").alias("unique_records"),
-        *[F.coalesce(F.sum(f"_z{i}"), F.lit(0)).cast("long").alias(f"_z{i}")
-          for i in range(len(present_req))])
+    nulls = [F.count_if(col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(present_req)]
+    if ks and is_small(df):
+        # key groups carry row and null counts, so one aggregation does it all
+        per_key = df.groupBy(*[col(k) for k in ks]).agg(F.count(F.lit(1)).alias("_n"), *nulls)
+        totals = per_key.agg(
+            F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_records"),
+            F.count(F.lit(1)).cast("long").alias("unique_records"),
+            *[F.coalesce(F.sum(f"_z{i}"), F.lit(0)).cast("long").alias(f"_z{i}")
+              for i in range(len(present_req))])
+    else:
+        # large input: totals and null counts are map-side counts; the unique
+        # count subtracts the surplus rows of repeated keys (hash-first, exact);
+        # without a key column the unique count is unknown
+        surplus = _surplus(df, ks) if ks else None
+        totals = df.agg(F.count(F.lit(1)).cast("long").alias("total_records"), *nulls)
+        unique = (F.col("total_records") - F.lit(surplus)) if surplus is not None else F.lit(None)
+        totals = totals.select("total_records", unique.cast("long").alias("unique_records"),
+                               *[F.col(f"_z{i}").cast("long").alias(f"_z{i}") for i in range(len(present_req))])
     null_text = F.concat_ws(",", *[
         F.when(F.col(f"_z{i}") > 0, F.concat(F.lit(f"{c}="), F.col(f"_z{i}").cast("string")))
         for i, c in enumerate(present_req)]) if present_req else F.lit("")

@@ -23,9 +23,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions.schema import col
-from ..session import env_int, materialize
+from ..session import env_int, is_small, materialize
 
 HOT_ROWS_FLOOR = env_int("SHELFGATE_HOT_ROWS", 1_000_000)
 MAX_HOT_KEYS = env_int("SHELFGATE_MAX_HOT_KEYS", 100_000)
@@ -90,14 +91,50 @@ def with_key_count(df: DataFrame, keys: list[str], out_col: str = "_key_n", *,
 
 
 MAX_BROADCAST_KEYS = env_int("SHELFGATE_MAX_BROADCAST_KEYS", 1_000_000)
+MAX_BROADCAST_CANDIDATES = env_int("SHELFGATE_MAX_BROADCAST_CANDIDATES", 1_000_000)
+
+
+def key_hash(df: DataFrame, keys: list[str]) -> Column:
+    """64-bit hash of a key; null parts are marked so (null, x) differs from (x, null).
+
+    Floating parts are normalized first (-0.0 to 0.0), as ``GROUP BY`` does,
+    so values a grouping treats as equal also hash equal.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    parts = []
+    for k in keys:
+        c = col(k)
+        if isinstance(types.get(k), (DoubleType, FloatType)):
+            c = F.when(c == 0, F.lit(0.0).cast(types[k])).otherwise(c)
+        parts += [c, col(k).isNull()]
+    return F.xxhash64(*parts)
 
 
 def repeated_keys(df: DataFrame, keys: list[str], *, nulls_equal: bool,
                   count_col: str = "_n") -> DataFrame:
-    """Keys occurring more than once, with their count (map-side combined)."""
+    """Keys occurring more than once, with their count. Exact.
+
+    Small input: one ``groupBy`` over the keys. Large input: the keys are
+    first counted by their 64-bit hash (8 bytes per key cross the shuffle,
+    combined map-side, instead of the key text); only rows whose hash
+    repeats — true repeats plus rare collisions — are then grouped on the
+    real key, after a broadcast semi-join whose side is checked against
+    ``MAX_BROADCAST_CANDIDATES`` (else the one ``groupBy`` is used).
+    """
     src = df if nulls_equal else df.where(_all([col(k).isNotNull() for k in keys]))
-    return (src.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(count_col))
-            .where(F.col(count_col) > 1))
+
+    def exact(frame: DataFrame) -> DataFrame:
+        return (frame.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(count_col))
+                .where(F.col(count_col) > 1))
+
+    if is_small(df):
+        return exact(src)
+    hashed = src.withColumn("_kh", key_hash(src, keys))
+    cand = materialize(hashed.groupBy("_kh").agg(F.count(F.lit(1)).alias("_c"))
+                       .where(F.col("_c") > 1).select("_kh"), "key-hash-candidates")
+    if cand.count() > MAX_BROADCAST_CANDIDATES:
+        return exact(src)
+    return exact(hashed.join(F.broadcast(cand), "_kh", "left_semi").drop("_kh"))
 
 
 def attach_repeats(df: DataFrame, keys: list[str], repeats: DataFrame, n_repeats: int,

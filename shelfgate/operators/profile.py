@@ -10,9 +10,8 @@ Every statistic is an aggregation that Spark combines map-side:
 * categorical association (Cramér's V) explodes each row into one
   ``(pair, a, b)`` entry per column pair (bounded by the schema width) and
   aggregates the contingency counts, so only the small count table moves;
-* duplicate rows are first counted by a 128-bit row hash; only rows whose
-  hash repeats are compared exactly (broadcast when few, else one exact
-  ``groupBy`` over all columns).
+* duplicate rows use the repeated-key plan of :mod:`keys` over all columns
+  (a 64-bit row hash first, exact comparison only where hashes repeat).
 """
 
 from __future__ import annotations
@@ -32,11 +31,10 @@ from pyspark.sql.types import (
 )
 
 from ..functions.predicates import is_missing
-from ..session import env_int, is_small
+from .keys import repeated_keys
 
 # --- fixed values: distinct-count ceiling for a categorical text column ----
 CATEGORICAL_MAX_DISTINCT = 50
-MAX_BROADCAST_CANDIDATES = env_int("SHELFGATE_MAX_BROADCAST_CANDIDATES", 1_000_000)
 
 
 def _q(c: str) -> Column:
@@ -211,40 +209,15 @@ def association_columns(df: DataFrame, stats: DataFrame | None = None) -> list[s
     return [c for c in df.columns if c in keep]
 
 
-def _row_hashes(df: DataFrame) -> tuple[Column, Column]:
-    cols = [_q(c) for c in df.columns]
-    marks = [F.isnull(c) for c in cols]
-    h1 = F.xxhash64(*[x for pair in zip(cols, marks) for x in pair])
-    h2 = F.xxhash64(F.lit("second"), *reversed([x for pair in zip(cols, marks) for x in pair]))
-    return h1, h2
-
-
 def duplicate_row_count(df: DataFrame) -> int:
-    """Rows minus distinct rows, exact.
-
-    Large input: rows are first grouped by a 128-bit hash (16 bytes per row
-    cross the shuffle instead of whole rows); only rows whose hash repeats
-    are then compared on all columns, through a broadcast semi-join when
-    there are at most ``MAX_BROADCAST_CANDIDATES`` such hashes, else by one
-    exact ``groupBy`` over all columns. Small input (Catalyst's estimate):
-    that one exact ``groupBy`` directly.
+    """Rows minus distinct rows, exact: the repeated-key plan over all columns.
+
+    Large input: rows are counted by a 64-bit hash first (8 bytes per row
+    cross the shuffle instead of whole rows) and only rows whose hash
+    repeats are compared on all columns; small input: one ``groupBy``.
     """
-    exact = (lambda frame: frame.groupBy(*[_q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-             .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("d")))
-    if is_small(df):
-        return int(exact(df).first()["d"])
-    h1, h2 = _row_hashes(df)
-    hashed = df.select("*", h1.alias("_h1"), h2.alias("_h2"))
-    cand = (hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > 1).select("_h1", "_h2"))
-    n_cand = cand.count()
-    if n_cand == 0:
-        return 0
-    if n_cand <= MAX_BROADCAST_CANDIDATES:
-        suspects = hashed.join(F.broadcast(cand), ["_h1", "_h2"], "left_semi").drop("_h1", "_h2")
-    else:
-        suspects = df
-    return int(exact(suspects).first()["d"])
+    r = repeated_keys(df, df.columns, nulls_equal=True).agg(F.sum(F.col("_n") - 1).alias("d")).first()
+    return int(r["d"] or 0)
 
 
 def dataset_summary(df: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.schema import CANONICAL, SOURCE_FILE, eda_schema, required_names
 from ..operators import audit as A
 from ..operators import catalog as C
+from ..operators import constraints as K
 from ..operators import profile as P
 from ..operators import schema_checks as S
 from ..operators.conform import (
@@ -197,37 +198,15 @@ def q_file_verdict(spark, sf):
 # ---- written constraints ---------------------------------------------------------
 
 def q_constraint_missing_rate(spark, sf):
-    df = _conformed(spark, sf)
-    cols = list(MISSING_RATE_LIMITS)
-    agg = df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in cols])
-    return agg.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("missing_rate"),
-                 F.lit(MISSING_RATE_LIMITS[c]).alias("max_missing_rate"),
-                 (F.col(c) <= F.lit(MISSING_RATE_LIMITS[c])).alias("passed"))
-        for c in cols])))
+    return K.missing_rates(_conformed(spark, sf), MISSING_RATE_LIMITS)
 
 
 def q_constraint_json_rate(spark, sf):
-    from ..functions.predicates import json_valid
-
-    df = _listing(spark, sf)
-    cols = list(JSON_RATE_FLOORS)
-    agg = df.agg(*[F.avg(json_valid(F.col(c)).cast("int")).alias(c) for c in cols])
-    return agg.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("valid_rate"),
-                 F.lit(JSON_RATE_FLOORS[c]).alias("min_valid_rate"),
-                 (F.col(c) >= F.lit(JSON_RATE_FLOORS[c])).alias("passed"))
-        for c in cols])))
+    return K.json_rates(_listing(spark, sf), JSON_RATE_FLOORS)
 
 
 def q_constraint_unique_per_group(spark, sf):
-    df = _listing(spark, sf).where(F.col("Product_ID").isNotNull())
-    per_key = df.groupBy("Retailer", "Product_ID").agg(F.count(F.lit(1)).alias("n"))
-    return per_key.groupBy("Retailer").agg(
-        F.sum("n").cast("long").alias("ids"),
-        F.count(F.lit(1)).cast("long").alias("distinct_ids"),
-        F.count_if(F.col("n") > 1).cast("long").alias("duplicated_ids"),
-    ).withColumn("passed", F.col("duplicated_ids") == 0)
+    return K.unique_per_group(_listing(spark, sf), ["Retailer"], "Product_ID")
 
 
 def q_derive_range_bounds(spark, sf):
