@@ -12,6 +12,8 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+LARGE = ["gate_survivors", "audit_overall", "duplicate_summary", "dedupe_by_key",
+         "constraint_unique_per_group"]
 CORE = ["gate_survivors", "file_verdict", "ingest_unified", "audit_overall", "duplicate_summary",
         "duplicate_rows", "dedupe_by_key", "profile_dataset", "profile_assoc_categorical",
         "latest_as_of", "schema_missing", "constraint_unique_per_group"]
@@ -40,6 +42,16 @@ def main() -> None:
     for name in CORE:
         df = QUERIES[name](spark, sf)
         out += [f"## {name}", "", "```", plan_text(df), "```", ""]
+    # the plans chosen for large inputs (forced here by a zero size threshold)
+    from shelfgate import session
+
+    session.SMALL_INPUT_BYTES = -1
+    out += ["# Large-input plans", "",
+            "The same queries where the input is above `session.SMALL_INPUT_BYTES` (forced here):",
+            "hash-first repeated keys, map-side totals, pass-through dedupe.", ""]
+    for name in LARGE:
+        df = QUERIES[name](spark, sf)
+        out += [f"## {name} (large input)", "", "```", plan_text(df), "```", ""]
     with open(os.path.join(ROOT, "PLANS.md"), "w") as fh:
         fh.write("\n".join(out))
 
