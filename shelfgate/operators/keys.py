@@ -1,20 +1,25 @@
 """Key multiplicity without skew.
 
 Flagging every row whose key repeats is the core of the uniqueness rule and
-the duplicate audit. A plain ``count().over(Window.partitionBy(key))`` puts
-all rows of one key into one task, and all null keys into one task; a third
-of the data may share one key. Here:
-
-* keys with more than ``T`` rows ("hot" keys) are found by a partial
-  (map-side combined) aggregation; ``T`` is at least ``total / MAX_HOT_KEYS``
-  so there are provably at most ``MAX_HOT_KEYS`` of them, and they are
-  broadcast with their counts;
-* hot-key rows (and null-key rows when nulls never match) get a random
-  salt, so they spread over ``SALT_BUCKETS`` window partitions; every other
-  key keeps salt 0, so its window partition holds the whole key (at most
-  ``T`` rows) and its count is exact;
-* the count of a hot row comes from the broadcast, never from the salted
-  window.
+the duplicate audit. A plain ``count().over(Window.partitionBy(key))`` shuffles
+every full row and puts all rows of one key (and all null keys) into one
+task; a third of the data may share one key. Three tools replace it:
+
+* :func:`repeated_keys` — the keys that occur more than once, with counts.
+  Large input: counted by a 64-bit key hash first (8 bytes per key in the
+  shuffle, combined map-side), then only rows whose hash repeats are
+  grouped on the real key. Exact.
+* :func:`attach_repeats` — joins those counts back to the rows through a
+  broadcast whose row count is checked (``MAX_BROADCAST_KEYS``); the rows
+  themselves never move.
+* :func:`with_key_count` — the fallback beyond that bound: keys with more
+  than ``T`` rows ("hot" keys) are found by a partial aggregation; ``T`` is
+  at least ``total / MAX_HOT_KEYS``, so there are provably at most
+  ``MAX_HOT_KEYS`` of them, and they are broadcast with their counts.
+  Hot-key rows (and null-key rows when nulls never match) get a random salt
+  over ``SALT_BUCKETS`` window partitions; every other key keeps salt 0, so
+  its window partition holds the whole key (at most ``T`` rows) and its
+  count is exact; a hot row's count comes from the broadcast.
 """
 
 from __future__ import annotations
