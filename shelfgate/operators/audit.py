@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -178,7 +178,8 @@ def audit(df: DataFrame, schema: StructType = CANONICAL, keys: list[str] = AUDIT
     any_null = F.lit(False)
     for i in range(len(present_req)):
         any_null = any_null | (F.col(f"_z{i}") > 0)
-    mism_text = ",".join(f"{m['column']}:{m['expected_type']}->{m['actual_type']}" for m in mismatches)
+    # ";" between entries: type names such as decimal(10,2) contain commas
+    mism_text = ";".join(f"{m['column']}:{m['expected_type']}->{m['actual_type']}" for m in mismatches)
     dup_ok = F.coalesce(F.col("total_records") == F.col("unique_records"), F.lit(False))
     out = totals.select(
         F.lit(not missing).alias("schema_passed"),
@@ -215,7 +216,9 @@ def unavailable_report(spark, checked_at: str | None = None) -> DataFrame:
 
 def audit_json(report: DataFrame) -> DataFrame:
     """The report as nested JSON text (one row, column ``report``)."""
-    split = lambda c: F.when(col(c) == "", F.array().cast("array<string>")).otherwise(F.split(col(c), ","))
+    def split(c: str, sep: str = ",") -> Column:
+        return F.when(col(c) == "", F.array().cast("array<string>")).otherwise(F.split(col(c), sep))
+
     nulls = F.when(F.col("null_counts") == "", F.create_map().cast("map<string,bigint>")).otherwise(
         F.transform_values(F.str_to_map(F.col("null_counts"), F.lit(","), F.lit("=")), lambda k, v: v.cast("bigint")))
     body = F.struct(
@@ -224,7 +227,7 @@ def audit_json(report: DataFrame) -> DataFrame:
                           split("extra_columns").alias("extra_columns")).alias("details")
                  ).alias("schema_validation"),
         F.struct(F.col("types_passed").alias("passed"),
-                 F.struct(F.transform(split("type_mismatches"), lambda x: F.struct(
+                 F.struct(F.transform(split("type_mismatches", ";"), lambda x: F.struct(
                      F.regexp_extract(x, r"^([^:]*):", 1).alias("column"),
                      F.regexp_extract(x, r":(.*)->", 1).alias("expected_type"),
                      F.regexp_extract(x, r"->(.*)$", 1).alias("actual_type"))).alias("type_mismatches")

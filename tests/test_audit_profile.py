@@ -118,3 +118,12 @@ def test_large_input_paths_match_small(spark, monkeypatch):
     monkeypatch.setattr(session, "SMALL_INPUT_BYTES", -1)
     assert P.duplicate_row_count(df) == small_d
     assert sorted(tuple(r) for r in A.dedupe_by_key(df, ["k", "s"]).collect()) == small_dd
+
+
+def test_audit_report_decimal_type_names(spark):
+    from decimal import Decimal
+
+    df = spark.createDataFrame([(Decimal("1.50"), "a")], "Original_Price decimal(10,2), Retailer string")
+    rep = A.report_dict(A.audit(df, keys=["Retailer"]))
+    assert rep["data_type_validation"]["details"]["type_mismatches"] == [
+        {"column": "Original_Price", "expected_type": "float", "actual_type": "decimal(10,2)"}]
