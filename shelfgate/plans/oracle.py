@@ -187,7 +187,7 @@ def _gate_pairs(kind: str) -> str:
     return _with(LISTING, _flags_cte("'<all>'", rules)) + sel
 
 
-def _rule_report_sql() -> str:
+def _rule_report_sql(file_expr: str = "'<all>'") -> str:
     rows = []
     for i, r in enumerate(RULES):
         c = r.column
@@ -198,11 +198,11 @@ def _rule_report_sql() -> str:
         else:
             unexpected = f"count(*) FILTER (WHERE r{i})"
         rows.append(
-            f"SELECT '<all>' AS file, {r.position} AS position, '{r.rule_id}' AS rule_id, "
+            f"SELECT CAST(_f AS VARCHAR) AS file, {r.position} AS position, '{r.rule_id}' AS rule_id, "
             f"'{r.expectation_type}' AS expectation_type, '{c}' AS column, "
             f"CASE WHEN {unexpected} = 0 THEN 'pass' ELSE 'fail' END AS status, "
-            f"{unexpected} = 0 AS success, {unexpected} AS unexpected_rows, '' AS reason FROM flags")
-    return _with(LISTING, _flags_cte("'<all>'")) + " UNION ALL ".join(rows)
+            f"{unexpected} = 0 AS success, {unexpected} AS unexpected_rows, '' AS reason FROM flags GROUP BY _f")
+    return _with(LISTING, _flags_cte(file_expr)) + " UNION ALL ".join(rows)
 
 
 def _verdict_sql(file_col: str, src_ctes: tuple, src: str) -> str:
@@ -371,6 +371,7 @@ def oracle_sql() -> dict[str, str]:
     q["scan_listing"] = L + "SELECT * FROM listing"
     q["file_catalog"] = CAT + "SELECT * FROM catalog"
     q["file_basename"] = _with(NAMES_CTE) + "SELECT path, regexp_extract(path, '([^/]*)$', 1) AS file_name FROM names"
+    q["catalog_status"] = CAT + "SELECT status, count(*) AS files FROM catalog GROUP BY status"
     q["files_per_retailer"] = CAT + "SELECT retailer, count(*) AS files FROM catalog WHERE status = 'ok' GROUP BY retailer"
     q["latest_as_of"] = CAT + f"""SELECT retailer, file_name, path, file_date, file_time FROM (
   SELECT *, row_number() OVER (PARTITION BY retailer ORDER BY file_date DESC, file_time DESC, file_name DESC) AS rn
@@ -415,6 +416,7 @@ GROUP BY signature, n_columns"""
     q["gate_quarantine"] = _with(LISTING, _flags_cte("'<all>'")) + \
         f"SELECT {_raw_cols()}, {_failed_text()} AS failed_rules FROM flags WHERE {_any_failed()}"
     q["rule_report"] = _rule_report_sql()
+    q["rule_report_per_file"] = _rule_report_sql("Retailer")
     q["file_verdict"] = _verdict_sql("Retailer", (LISTING,), "listing")
 
     q["constraint_missing_rate"] = _missing_rate_sql()
@@ -455,6 +457,7 @@ HAVING count(*) > 1 ORDER BY l_orderkey NULLS FIRST, l_linenumber NULLS FIRST LI
     q["profile_constant"] = _constant_sql()
     q["profile_dataset"] = _dataset_sql()
     q["profile_kinds"] = _kinds_sql()
+    q["profile_kind_counts"] = ("SELECT kind, count(*) AS variables FROM (" + _kinds_sql() + ") GROUP BY kind")
     q["profile_corr_numeric"] = _corr_sql()
     q["profile_assoc_categorical"] = _assoc_sql()
     return q

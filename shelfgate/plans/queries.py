@@ -82,6 +82,10 @@ def q_file_basename(spark, sf):
     return X.file_names(spark, sf).select("path", basename(F.col("path")).alias("file_name"))
 
 
+def q_catalog_status(spark, sf):
+    return C.catalog_status_counts(_catalog(spark, sf))
+
+
 def q_files_per_retailer(spark, sf):
     return C.files_per_retailer(_catalog(spark, sf))
 
@@ -190,6 +194,10 @@ def q_rule_report(spark, sf):
     return gate(_listing(spark, sf), _rules()).rule_report()
 
 
+def q_rule_report_per_file(spark, sf):
+    return gate(_listing(spark, sf), _rules(), file_col="Retailer").rule_report()
+
+
 def q_file_verdict(spark, sf):
     return gate(_listing(spark, sf), _rules(), file_col="Retailer",
                 required=required_names()).verdicts()
@@ -302,6 +310,10 @@ def q_profile_kinds(spark, sf):
     return P.kinds(_eda(spark, sf))
 
 
+def q_profile_kind_counts(spark, sf):
+    return P.kind_counts(P.kinds(_eda(spark, sf)))
+
+
 def q_profile_corr_numeric(spark, sf):
     return P.numeric_correlation(_eda(spark, sf))
 
