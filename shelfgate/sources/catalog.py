@@ -21,6 +21,10 @@ DEFAULT_SOURCES = ["cubesmart", "smartstopselfstorage", "storagemart"]
 
 
 def name_pattern(sources: list[str]) -> str:
+    """Anchored file-name regex; groups: source, date, time.
+
+    Fixed value: the name format ``<source>_weekly_<8 digits>_<6 digits>.parquet``.
+    """
     alts = "|".join(sorted(sources))
     return rf"^({alts})_weekly_(\d{{8}})_(\d{{6}})\.parquet$"
 
