@@ -73,7 +73,7 @@ def duplicate_rows(df: DataFrame, keys: list[str] = AUDIT_KEYS, limit: int | Non
     rk = repeated_keys(df, ks, nulls_equal=True)
     if limit is not None:
         rk = rk.orderBy(*[col(c).asc_nulls_first() for c in ks]).limit(limit)
-    rk = materialize(rk, "repeated-keys")
+    rk = materialize(rk, "repeated-keys", in_memory=is_small(df))
     n = rk.count()
     flagged = attach_repeats(df, ks, rk, n, "dup_count", nulls_equal=True).where(F.col("dup_count") > 1)
     if limit is None:

@@ -31,7 +31,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import env_int, materialize
+from ..session import env_int, is_small, materialize
 from .keys import attach_repeats, repeated_keys
 from .rules import Rule, RulePlan, plan_rules
 
@@ -149,13 +149,14 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
 
     active = [(i, p) for i, p in enumerate(plans) if p.status == "active"]
     errors = [p for p in plans if p.status == "error"]
+    in_memory = is_small(df)   # helper tables of a small input stay in memory
 
     # ---- pass 1: repeated keys per uniqueness rule (key columns only) ------
     repeats = {}
     for i, p in active:
         if p.fails is None:
             rk = materialize(repeated_keys(base, ["_file", p.rule.column], nulls_equal=False),
-                             "gate-repeats")
+                             "gate-repeats", in_memory=in_memory)
             repeats[i] = rk
 
     # ---- pass 1: per-file facts ------------------------------------------
@@ -196,7 +197,7 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
         "*", rules_failed.cast("long").alias("rules_failed"),
         # a file whose only problems are rule errors keeps no rows
         (any_rule_rows | F.lit(not errors)).alias("_file_ok"))
-    facts = materialize(facts, "gate-facts")
+    facts = materialize(facts, "gate-facts", in_memory=in_memory)
     stats = facts.agg(F.count(F.lit(1)).alias("files"), F.sum("n_rows").alias("rows"),
                       *[F.sum(f"kd{i}").alias(f"kd{i}") for i in repeats]).first()
     n_files, n_rows = int(stats["files"]), int(stats["rows"] or 0)

@@ -29,7 +29,7 @@ from ..operators.conform import conform_types
 from ..operators.gate import GateResult, gate
 from ..operators.rules import Rule
 from ..operators.schema_checks import new_column_log, schema_missing, schema_signature
-from ..session import materialize
+from ..session import is_small, materialize
 from ..sources.catalog import parse_names, read_catalog
 from ..sources.listing import UNREADABLE, file_schemas, scan_group
 from ..sources.sinks import append_column_log, write_unified
@@ -69,7 +69,7 @@ def ingest_latest_frame(df: DataFrame, rules: list[Rule], *, sources: list[str],
     """
     names = df.select(F.col(file_col).alias("path")).distinct()
     latest = materialize(latest_as_of(parse_names(names, sources), reference_date).select(
-        F.col("file_name").alias("_chosen")), "latest-files")
+        F.col("file_name").alias("_chosen")), "latest-files", in_memory=is_small(df))
     chosen = df.join(F.broadcast(latest), F.col(file_col) == F.col("_chosen"), "left_semi")
     return ingest_frame(chosen, rules, file_col=file_col, **kw)
 

@@ -94,16 +94,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", *, in_memory: bool = False) -> DataFrame:
     """Compute ``df`` once into a parquet table in the shared folder and read it back.
 
-    Used only for small derived tables (per-file facts, hot keys) that feed
-    later joins: the large input is not scanned again for them, the lineage
-    is cut (a lost executor does not rerun the upstream aggregation), and
-    the read-back relation carries its real size for Spark's join planning.
-    A reliable ``checkpoint()`` would compute the plan twice (once for the
-    action, once to write the checkpoint); one write computes it once.
+    Used only for small derived tables (per-file facts, repeated keys) that
+    feed later joins: the large input is not scanned again for them, the
+    lineage is cut (a lost executor does not rerun the upstream
+    aggregation), and the read-back relation carries its real size for
+    Spark's join planning. A reliable ``checkpoint()`` would compute the
+    plan twice (once for the action, once to write the checkpoint); one
+    write computes it once.
+
+    ``in_memory`` (callers pass it when their *input* is small, see
+    :func:`is_small`): keep the table in the block manager instead. Its
+    lineage is one short aggregation over a small input, so recomputing it
+    after a lost executor is cheap, and the write's commit cost is saved.
     """
+    if in_memory:
+        from pyspark import StorageLevel
+
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        kept.count()
+        return kept
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
