@@ -11,6 +11,7 @@ distinct keys never cross the shuffle as text.
 from __future__ import annotations
 
 import json
+import logging
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,9 @@ from ..session import is_small, materialize
 from .keys import MAX_BROADCAST_KEYS, attach_repeats, repeated_keys
 
 
+log = logging.getLogger("shelfgate.audit")
+
+
 def available_keys(df: DataFrame, keys: list[str]) -> list[str]:
     return [k for k in keys if k in df.columns]
 
@@ -246,9 +250,26 @@ def audit_json(report: DataFrame) -> DataFrame:
     return report.select(F.to_json(body, {"pretty": "true"}).alias("report"))
 
 
-def save_report(report: DataFrame, path: str) -> None:
-    """Write the JSON report (a one-row text table) to ``path``."""
-    audit_json(report).coalesce(1).write.mode("overwrite").text(path)
+def save_report(report: DataFrame, path: str, *, raise_errors: bool = False) -> bool:
+    """Write the JSON report (a one-row text table) to ``path``.
+
+    Like the reference, a failed write is logged and reported as ``False``
+    rather than raised, unless ``raise_errors``.
+    """
+    try:
+        audit_json(report).coalesce(1).write.mode("overwrite").text(path)
+        return True
+    except Exception:  # noqa: BLE001 - report sink errors are logged only
+        if raise_errors:
+            raise
+        log.exception("could not save the audit report to %s", path)
+        return False
+
+
+def preview(df: DataFrame, n: int = 20, order: list[str] | None = None) -> DataFrame:
+    """First ``n`` rows in a fixed order (default: all columns), so a preview repeats."""
+    keys = order or df.columns
+    return df.orderBy(*[col(c).asc_nulls_first() for c in keys]).limit(n)
 
 
 def report_dict(report: DataFrame) -> dict:

@@ -289,7 +289,7 @@ def q_audit_overall(spark, sf):
 
 
 def q_preview_rows(spark, sf):
-    return _conformed(spark, sf).orderBy("Run_Date", "Retailer", "Product_Name").limit(20)
+    return A.preview(_conformed(spark, sf), 20, ["Run_Date", "Retailer", "Product_Name"])
 
 
 # ---- profile ----------------------------------------------------------------------------

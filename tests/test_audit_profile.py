@@ -127,3 +127,11 @@ def test_audit_report_decimal_type_names(spark):
     rep = A.report_dict(A.audit(df, keys=["Retailer"]))
     assert rep["data_type_validation"]["details"]["type_mismatches"] == [
         {"column": "Original_Price", "expected_type": "float", "actual_type": "decimal(10,2)"}]
+
+
+def test_save_report_logs_instead_of_raising(spark, tmp_path):
+    df = _keys_frame(spark)
+    rep = A.audit(df, keys=["Retailer"])
+    good = str(tmp_path / "report")
+    assert A.save_report(rep, good) is True
+    assert A.save_report(rep, "/proc/not-writable/report") is False
