@@ -42,13 +42,14 @@ def parse_names(df: DataFrame, sources: list[str], path_col: str = "path") -> Da
     """
     pat = name_pattern(sources)
     name = basename(F.col(path_col))
-    matched = name.rlike(pat)
+    source = F.regexp_extract(name, pat, 1)
+    matched = source != ""           # the source group is never empty on a match
     date_txt = F.regexp_extract(name, pat, 2)
     file_date = F.to_date(F.try_to_timestamp(date_txt, F.lit("yyyyMMdd")))
     return df.select(
         F.col(path_col).alias("path"),
         name.alias("file_name"),
-        F.when(matched, F.regexp_extract(name, pat, 1)).alias("retailer"),
+        F.when(matched, source).alias("retailer"),
         F.when(matched, file_date).alias("file_date"),
         F.when(matched, F.regexp_extract(name, pat, 3)).alias("file_time"),
         F.when(~matched, F.lit("no_match"))
