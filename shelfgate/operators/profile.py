@@ -201,9 +201,13 @@ def categorical_association(df: DataFrame, columns: list[str], digits: int = 6)
         F.col("n").cast("long").alias("n"))
 
 
-def association_columns(df: DataFrame, stats: DataFrame | None = None) -> list[str]:
-    """Categorical and boolean columns with more than one level (reads one small table)."""
-    stats = stats if stats is not None else column_stats(df)
+def association_columns(df: DataFrame, stats: DataFrame | None = None,
+                        max_categorical: int = CATEGORICAL_MAX_DISTINCT) -> list[str]:
+    """Categorical and boolean columns with more than one level (reads one small table).
+
+    ``max_categorical`` caps the levels of a text column taken as categorical.
+    """
+    stats = stats if stats is not None else column_stats(df, max_categorical)
     keep = {r["column"] for r in stats.where(F.col("kind").isin("Categorical", "Boolean")
                                              & (F.col("n_distinct") > 1)).select("column").collect()}
     return [c for c in df.columns if c in keep]

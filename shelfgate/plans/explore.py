@@ -53,9 +53,14 @@ def explore(spark: SparkSession, input_dir: str, sources: list[str] | None = Non
     return ExploreResult(schema_groups(readable), unified, unreadable)
 
 
-def profile_report(df: DataFrame) -> dict[str, DataFrame]:
-    """All profile statistics of ``df`` as DataFrames (the HTML report's numbers)."""
-    stats = P.column_stats(df)
+def profile_report(df: DataFrame, max_categorical: int = P.CATEGORICAL_MAX_DISTINCT,
+                   approx_rsd: float | None = None) -> dict[str, DataFrame]:
+    """All profile statistics of ``df`` as DataFrames (the HTML report's numbers).
+
+    ``max_categorical``: level cap for categorical text columns (and for the
+    association pairs); ``approx_rsd``: estimate distinct counts with HLL++.
+    """
+    stats = P.column_stats(df, max_categorical, approx_rsd)
     kinds = stats.select("column", "kind")
     return {
         "dataset": P.dataset_summary(df),
