@@ -6,7 +6,7 @@ whose DataFrames are all lazy:
 
 * ``rows``        input columns + ``failed_rules array<string>``
 * ``survivors()`` rows with no failed rule, from files that are not rejected
-* ``quarantine()`` rows with at least one failed rule
+* ``quarantine()`` every other row: failed rules, or a rejected file
 * ``verdicts()``  one row per file: accept / repair / reject
 * ``rule_report()`` one row per (file, rule)
 
@@ -36,6 +36,7 @@ from .keys import attach_repeats, repeated_keys
 from .rules import Rule, RulePlan, plan_rules
 
 ALL_FILES = "<all>"
+NO_FILE = "<no file>"
 MAX_BROADCAST_FILES = env_int("SHELFGATE_MAX_BROADCAST_FILES", 2_000_000)
 
 
@@ -50,12 +51,17 @@ class GateResult:
     n_files: int = 0
 
     # -- row outputs -------------------------------------------------------
+    def _survives(self) -> Column:
+        return (F.size("failed_rules") == 0) & F.col("_file_ok")
+
     def survivors(self) -> DataFrame:
-        keep = (F.size("failed_rules") == 0) & F.col("_file_ok")
-        return self.rows.where(keep).select(*self._input_cols)
+        return self.rows.where(self._survives()).select(*[F.col(f"`{c}`") for c in self._input_cols])
 
     def quarantine(self) -> DataFrame:
-        return self.rows.where(F.size("failed_rules") > 0).select(*self._input_cols, "failed_rules")
+        """Every row that does not survive: rows with failed rules, and all rows of
+        rejected files (their ``failed_rules`` may be empty; ``verdicts`` says why)."""
+        return self.rows.where(~self._survives()).select(
+            *[F.col(f"`{c}`") for c in self._input_cols], "failed_rules")
 
     def flagged(self) -> DataFrame:
         return self.rows.select(*self._input_cols, "failed_rules")
@@ -136,7 +142,9 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
          on_type_error: str = "cast", required: list[str] | None = None) -> GateResult:
     input_cols = list(df.columns)
     missing = [c for c in (required or []) if c not in input_cols]
-    base = df.withColumn("_file", F.col(file_col).cast("string") if file_col else F.lit(ALL_FILES))
+    # a null file key still names one file, so none of its rows is orphaned
+    base = df.withColumn("_file", F.coalesce(F.col(f"`{file_col}`").cast("string"), F.lit(NO_FILE))
+                         if file_col else F.lit(ALL_FILES))
     plans = plan_rules(df.schema, rules, on_type_error)
     if missing:
         # Rejected before any rule runs: no rows survive, no rule is evaluated.

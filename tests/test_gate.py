@@ -255,3 +255,19 @@ def test_bad_date_text_passes_gate_then_audit_finds_it(spark):
     rep = A.report_dict(A.audit(table))
     assert rep["null_check"]["details"]["null_counts"] == {"Run_Date": 1}
     assert rep["overall_passed"] is False
+
+
+def test_every_row_is_survivor_or_quarantined(spark):
+    """Rows of rejected files (rule error, no failing row) and of a null file key are kept track of."""
+    rules = parse_rules({"expectations": [
+        {"expectation_type": "ExpectColumnValuesToNotBeNull", "kwargs": {}},
+        {"expectation_type": "ExpectColumnValuesToNotBeNull", "kwargs": {"column": "Category_Traversal"}}]})
+    rows = [row(1), row(2, cat=None), row(3), row(4)]
+    df = frame(spark, rows).withColumn(
+        "file", F.when(F.col("Product_Name") == "unit 4", F.lit(None)).when(
+            F.col("Product_Name") == "unit 3", "b").otherwise("a"))
+    g = gate(df, rules, file_col="file")
+    v = {r["file"]: r["outcome"] for r in g.verdicts().collect()}
+    assert v == {"a": "repair", "b": "reject", "<no file>": "reject"}
+    assert g.survivors().count() + g.quarantine().count() == 4
+    assert sorted(r["Product_Name"] for r in g.quarantine().collect()) == ["unit 2", "unit 3", "unit 4"]
