@@ -47,6 +47,21 @@ class IngestOutcome:
     def rule_report(self) -> DataFrame:
         return reduce(lambda a, b: a.unionByName(b), [g.rule_report() for g in self.gates])
 
+    def quarantine(self) -> DataFrame | None:
+        """Rows that did not survive, raw values as text, with ``failed_rules``.
+
+        Text keeps what the file held (``"$12.00"``) and lets schema groups
+        with different raw types union by name.
+        """
+        parts = []
+        for g in self.gates:
+            q = g.quarantine()
+            parts.append(q.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in q.columns
+                                    if c != "failed_rules"], "failed_rules"))
+        if not parts:
+            return None
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
 
 def ingest_frame(df: DataFrame, rules: list[Rule], *, file_col: str = SOURCE_FILE,
                  schema: StructType = CANONICAL, on_type_error: str = "cast",
@@ -86,7 +101,7 @@ def run_ingest(spark: SparkSession, input_dir: str, output_path: str, rules: lis
                reference_date, sources: list[str] | None = None, schema: StructType = CANONICAL,
                column_log_path: str | None = None, detection_time: str | None = None,
                on_type_error: str = "cast", partition_by: list[str] | None = None,
-               overwrite_partitions: bool = False) -> IngestResult:
+               overwrite_partitions: bool = False, quarantine_path: str | None = None) -> IngestResult:
     """End-to-end ingest of one landing folder (the reference's ``run_pipeline``)."""
     catalog = read_catalog(spark, input_dir, sources)
     latest = latest_as_of(catalog, reference_date)
@@ -142,4 +157,7 @@ def run_ingest(spark: SparkSession, input_dir: str, output_path: str, rules: lis
     write_unified(unified, output_path, partition_by=partition_by,
                   overwrite_partitions=overwrite_partitions)
     log.info("appended survivors to %s", output_path)
+    if quarantine_path:
+        # the reference discards these rows; kept here for whoever fixes the source
+        outcome.quarantine().write.mode("append").parquet(quarantine_path)
     return IngestResult(True, "ok", outcome, [r["file_name"] for r in plan] + [r["file"] for r in broken])

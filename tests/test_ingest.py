@@ -60,8 +60,12 @@ def test_run_ingest_end_to_end(spark, landing):
     rules = load_rules(rules_path)
     res = run_ingest(spark, landing, f"{out}/unified.parquet", rules,
                      reference_date=dt.date(2025, 2, 5), column_log_path=f"{out}/column_log.parquet",
-                     detection_time="2025-02-05 12:00:00")
+                     detection_time="2025-02-05 12:00:00", quarantine_path=f"{out}/quarantine.parquet")
     assert res.ok, res.reason
+    quarantined = spark.read.parquet(f"{out}/quarantine.parquet")
+    assert sorted(r["Product_Name"] for r in quarantined.collect()) == [
+        "unit 20", "unit 21", "unit 23", "unit 30", "unit 31"]     # repeated id, low price, missing Brand
+    assert dict(quarantined.dtypes)["Original_Price"] == "string"
     assert sorted(res.files) == ["cubesmart_weekly_20250203_181358.parquet",
                                  "smartstopselfstorage_weekly_20250203_090120.parquet",
                                  "storagemart_weekly_20250127_090843.parquet"]
