@@ -32,7 +32,7 @@ from ..sources.listing import entry_name
 
 
 def _process(rules: list[Rule], sources: list[str], output_path: str, verdicts_path: str | None,
-             schema: StructType, on_type_error: str):
+             quarantine_path: str | None, schema: StructType, on_type_error: str):
     pattern = name_pattern(sources)
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -43,13 +43,19 @@ def _process(rules: list[Rule], sources: list[str], output_path: str, verdicts_p
         if verdicts_path:
             (g.verdicts().withColumn("batch_id", F.lit(batch_id).cast("long"))
              .write.mode("append").parquet(verdicts_path))
+        if quarantine_path:
+            q = g.quarantine()
+            (q.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in q.columns if c != "failed_rules"],
+                      "failed_rules", F.lit(batch_id).cast("long").alias("batch_id"))
+             .write.mode("append").parquet(quarantine_path))
 
     return run
 
 
 def stream_ingest(spark: SparkSession, input_dir: str, raw_schema: StructType, output_path: str,
                   rules: list[Rule], *, checkpoint_location: str, sources: list[str],
-                  verdicts_path: str | None = None, schema: StructType = CANONICAL,
+                  verdicts_path: str | None = None, quarantine_path: str | None = None,
+                  schema: StructType = CANONICAL,
                   on_type_error: str = "cast", max_files_per_trigger: int | None = None,
                   available_now: bool = True) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops after the files present now."""
@@ -60,7 +66,8 @@ def stream_ingest(spark: SparkSession, input_dir: str, raw_schema: StructType, o
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     src = reader.parquet(input_dir).withColumn(SOURCE_FILE, entry_name(input_dir))
     writer = (src.writeStream
-              .foreachBatch(_process(rules, sources, output_path, verdicts_path, schema, on_type_error))
+              .foreachBatch(_process(rules, sources, output_path, verdicts_path, quarantine_path,
+                                     schema, on_type_error))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -25,6 +25,7 @@ def test_stream_ingest_takes_new_files_once(spark):
     raw = spark.read.parquet(f"{landing}/cubesmart_weekly_20250127_181344.parquet").schema
     assert [f.name for f in raw.fields] == [c.split()[0] for c in RAW_NUM.split(", ")]
     kw = dict(checkpoint_location=f"{base}/ckpt", verdicts_path=f"{base}/verdicts",
+              quarantine_path=f"{base}/quarantine",
               sources=["cubesmart", "smartstopselfstorage", "storagemart"])
     q = stream_ingest(spark, landing, raw, f"{base}/out", default_rules(), **kw)
     q.awaitTermination(120)
@@ -37,5 +38,7 @@ def test_stream_ingest_takes_new_files_once(spark):
     q.awaitTermination(120)
     out = spark.read.parquet(f"{base}/out")
     assert sorted(r["Product_Name"] for r in out.collect()) == ["unit 3", "unit 4", "unit 5", "unit 7"]
+    q = spark.read.parquet(f"{base}/quarantine").collect()
+    assert sorted(r["Product_Name"] for r in q) == ["unit 1", "unit 2"]
     v = spark.read.parquet(f"{base}/verdicts").where(F.col("outcome") == "repair").collect()
     assert [r["file"] for r in v] == ["cubesmart_weekly_20250127_181344.parquet"]
