@@ -35,8 +35,11 @@ class ExploreResult:
 
 
 def explore(spark: SparkSession, input_dir: str, sources: list[str] | None = None,
-            schema: StructType = CANONICAL) -> ExploreResult:
+            schema: StructType = CANONICAL, files: list[str] | None = None) -> ExploreResult:
+    """Group, normalize and union the folder's listing files (or only ``files``, by name)."""
     catalog = usable(read_catalog(spark, input_dir, sources))
+    if files is not None:
+        catalog = catalog.where(F.col("file_name").isin(list(files)))
     schemas = materialize(file_schemas(catalog), "file-schemas")
     readable = schemas.where(F.col("column") != UNREADABLE)
     unreadable = schemas.where(F.col("column") == UNREADABLE).select(

@@ -35,3 +35,13 @@ def test_explore_folder(spark):
     assert rep["dataset"].first()["rows"] == 4
     kinds = {r["column"]: r["kind"] for r in rep["kinds"].collect()}
     assert kinds["Number_Of_Reviews"] == "Unsupported" and kinds["In_Stock"] == "Boolean"
+
+
+def test_explore_named_files(spark):
+    root = tempfile.mkdtemp(prefix="explore-named-", dir="/tmp") + "/in"
+    os.makedirs(root)
+    names = ["cubesmart_weekly_20250127_181344.parquet", "cubesmart_weekly_20250203_181358.parquet"]
+    for i, n in enumerate(names):
+        frame(spark, [row(i)]).coalesce(1).write.parquet(f"{root}/{n}")
+    res = explore(spark, root, files=names[1:])
+    assert [r["Source_File"] for r in res.unified.collect()] == names[1:]
