@@ -206,8 +206,11 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
         # a file whose only problems are rule errors keeps no rows
         (any_rule_rows | F.lit(not errors)).alias("_file_ok"))
     facts = materialize(facts, "gate-facts", in_memory=in_memory)
+    keep = ["_file_ok"] + [f"s{i}" for i, _ in active] + [f"nf{i}" for i in repeats]
+    # one small job: file and row totals, repeated-key counts, and (one file) its flags
     stats = facts.agg(F.count(F.lit(1)).alias("files"), F.sum("n_rows").alias("rows"),
-                      *[F.sum(f"kd{i}").alias(f"kd{i}") for i in repeats]).first()
+                      *[F.sum(f"kd{i}").alias(f"kd{i}") for i in repeats],
+                      *[F.first(k).alias(k) for k in keep]).first()
     n_files, n_rows = int(stats["files"]), int(stats["rows"] or 0)
 
     # ---- pass 2: row flags -----------------------------------------------
@@ -215,12 +218,10 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
     for i, rk in repeats.items():
         rows = attach_repeats(rows, ["_file", plans[i].rule.column], rk, int(stats[f"kd{i}"] or 0),
                               f"_k{i}", nulls_equal=False, total=n_rows)
-    keep = ["_file_ok"] + [f"s{i}" for i, _ in active] + [f"nf{i}" for i in repeats]
     if file_col is None:
         # one file: its facts are one row of flags, inlined as literals (no join)
-        one = facts.select(*keep).first() if n_files else None
         for k in keep:
-            rows = rows.withColumn(k, F.lit(bool(one[k]) if one is not None else False))
+            rows = rows.withColumn(k, F.lit(bool(stats[k]) if n_files else False))
     else:
         small = facts.select("_file", *keep)
         if n_files <= MAX_BROADCAST_FILES:
