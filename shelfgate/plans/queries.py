@@ -71,60 +71,73 @@ def _text(failed):
 # ---- scans, catalog --------------------------------------------------------
 
 def q_scan_listing(spark, sf):
+    """Listing rows as scanned."""
     return _listing(spark, sf)
 
 
 def q_file_catalog(spark, sf):
+    """File names parsed into the catalog."""
     return _catalog(spark, sf)
 
 
 def q_file_basename(spark, sf):
+    """Base name of a path."""
     return X.file_names(spark, sf).select("path", basename(F.col("path")).alias("file_name"))
 
 
 def q_catalog_status(spark, sf):
+    """Catalog entries counted by status."""
     return C.catalog_status_counts(_catalog(spark, sf))
 
 
 def q_files_per_retailer(spark, sf):
+    """Usable files per source."""
     return C.files_per_retailer(_catalog(spark, sf))
 
 
 def q_latest_as_of(spark, sf):
+    """Newest file per source on or before the date."""
     return C.latest_as_of(_catalog(spark, sf), REFERENCE_DATE)
 
 
 def q_catalog_newest_first(spark, sf):
+    """O1: files per source, newest first."""
     return C.newest_first(_catalog(spark, sf))
 
 
 # ---- conformance -------------------------------------------------------------
 
 def q_canonical_projection(spark, sf):
+    """Canonical columns in canonical order."""
     df = _listing(spark, sf)
     shuffled = df.select(*reversed(df.columns[:9]), F.lit("x").alias("Promo_Code"), *df.columns[9:])
     return canonical_projection(shuffled)
 
 
 def q_conform_types(spark, sf):
+    """Canonical types, bad values null."""
     return _conformed(spark, sf)
 
 
 def q_conform_integer(spark, sf):
+    """P5: integer coercion."""
     df = _listing(spark, sf).select("Product_Name", "Product_ID", "Size_Or_Quantity")
     return conform_integer(df, ["Product_ID", "Size_Or_Quantity"])
 
 
 def q_conform_fill_missing(spark, sf):
+    """Absent canonical columns filled with typed nulls."""
     return conform_types(_listing(spark, sf).drop(*OPTIONAL_DROPPED), fill_missing=True)
 
 
 def q_rows_per_source(spark, sf):
+    """Rows per Source_File."""
     return (X.listing_with_source(spark, sf).groupBy(SOURCE_FILE)
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
 def q_union_conformed(spark, sf):
+    """Conformed parts unioned by name."""
     df = _listing(spark, sf)
     full = df.where(F.col("Retailer").isin(TEXT_SOURCE_RETAILERS))
     thin = df.where(~F.col("Retailer").isin(TEXT_SOURCE_RETAILERS)).drop(*OPTIONAL_DROPPED)
@@ -134,22 +147,27 @@ def q_union_conformed(spark, sf):
 # ---- schema checks -----------------------------------------------------------
 
 def q_schema_missing(spark, sf):
+    """Required columns a file lacks."""
     return S.schema_missing(X.file_schemas(spark, sf))
 
 
 def q_schema_extra(spark, sf):
+    """Columns outside the canonical schema."""
     return S.schema_extra(X.file_schemas(spark, sf))
 
 
 def q_type_mismatch(spark, sf):
+    """Incompatible column types per file."""
     return S.type_mismatch(X.file_schemas(spark, sf))
 
 
 def q_schema_groups(spark, sf):
+    """Files grouped by ordered (name, type) list."""
     return S.schema_groups(X.file_schemas(spark, sf))
 
 
 def q_schema_listing(spark, sf):
+    """Schema as rows."""
     return S.schema_listing(spark, _conformed(spark, sf)).drop("nullable")
 
 
@@ -161,29 +179,35 @@ def _quarantine_pairs(spark, sf, kind):
 
 
 def q_rule_not_null(spark, sf):
+    """Q1: rows failing a not-null rule."""
     return _quarantine_pairs(spark, sf, "not_null")
 
 
 def q_rule_unique(spark, sf):
+    """Q2: rows failing the uniqueness rule."""
     g = gate(_listing(spark, sf), _rules("unique"))
     return g.quarantine().select("Product_Name", "Product_ID")
 
 
 def q_rule_between(spark, sf):
+    """Q3: rows failing a range rule."""
     return _quarantine_pairs(spark, sf, "between")
 
 
 def q_gate_failed_rules(spark, sf):
+    """Q4: failed rules of every row."""
     g = gate(_listing(spark, sf), _rules())
     return g.flagged().select("Product_Name", _text(F.col("failed_rules")).alias("failed_rules"))
 
 
 def q_gate_survivors(spark, sf):
+    """Q5: surviving rows, conformed."""
     g = gate(_listing(spark, sf), _rules(), required=required_names())
     return conform_types(g.survivors())
 
 
 def q_gate_quarantine(spark, sf):
+    """Q6: rows that do not survive."""
     g = gate(_listing(spark, sf), _rules())
     q = g.quarantine()
     return q.select(*[c for c in q.columns if c != "failed_rules"],
@@ -191,14 +215,17 @@ def q_gate_quarantine(spark, sf):
 
 
 def q_rule_report(spark, sf):
+    """Per-rule result of the one-file gate."""
     return gate(_listing(spark, sf), _rules()).rule_report()
 
 
 def q_rule_report_per_file(spark, sf):
+    """A5: per-rule result per file."""
     return gate(_listing(spark, sf), _rules(), file_col="Retailer").rule_report()
 
 
 def q_file_verdict(spark, sf):
+    """Accept / repair / reject per file."""
     return gate(_listing(spark, sf), _rules(), file_col="Retailer",
                 required=required_names()).verdicts()
 
@@ -206,22 +233,27 @@ def q_file_verdict(spark, sf):
 # ---- written constraints ---------------------------------------------------------
 
 def q_constraint_missing_rate(spark, sf):
+    """Q11: missing-rate constraints."""
     return K.missing_rates(_conformed(spark, sf), MISSING_RATE_LIMITS)
 
 
 def q_constraint_json_rate(spark, sf):
+    """JSON-validity constraints."""
     return K.json_rates(_listing(spark, sf), JSON_RATE_FLOORS)
 
 
 def q_constraint_unique_per_group(spark, sf):
+    """Q13: unique id per retailer."""
     return K.unique_per_group(_listing(spark, sf), ["Retailer"], "Product_ID")
 
 
 def q_derive_range_bounds(spark, sf):
+    """Bounds from observed min/max with tolerance."""
     return P.price_bounds(_eda(spark, sf), PRICES, RANGE_TOLERANCE)
 
 
 def q_json_extract(spark, sf):
+    """fields out of JSON text."""
     df = _listing(spark, sf)
     return df.select(
         "Product_Name",
@@ -232,15 +264,18 @@ def q_json_extract(spark, sf):
 # ---- ingest and sinks -------------------------------------------------------------
 
 def q_ingest_file(spark, sf):
+    """Every file gated and conformed."""
     return ingest_frame(X.listing_with_source(spark, sf), _rules()).unified
 
 
 def q_ingest_unified(spark, sf):
+    """Newest file per source, gated, conformed."""
     return ingest_latest_frame(X.listing_with_source(spark, sf), _rules(),
                                sources=X.EVENT_SOURCES, reference_date=REFERENCE_DATE).unified
 
 
 def q_sink_unified(spark, sf):
+    """Append twice (a rerun) and read back."""
     path = scratch_path(spark, "unified")
     out = q_ingest_unified(spark, sf)
     write_unified(out, path)   # first run creates the table
@@ -249,6 +284,7 @@ def q_sink_unified(spark, sf):
 
 
 def q_column_log(spark, sf):
+    """Column-change log appended and read."""
     path = scratch_path(spark, "column-log")
     schemas = X.file_schemas(spark, sf)
     rows = S.new_column_log(schemas, DETECTION_TIME)
@@ -265,60 +301,74 @@ def _lineitem(spark, sf):
 
 
 def q_duplicate_summary(spark, sf):
+    """A1-A3: total, unique and duplicate records."""
     return A.duplicate_summary(_lineitem(spark, sf), LINEITEM_KEYS)
 
 
 def q_duplicate_rows(spark, sf):
+    """First duplicated rows."""
     return A.duplicate_rows(_lineitem(spark, sf), LINEITEM_KEYS, limit=10)
 
 
 def q_duplicate_sample(spark, sf):
+    """First duplicated keys."""
     return A.duplicate_sample(_lineitem(spark, sf), LINEITEM_KEYS, limit=5)
 
 
 def q_dedupe_by_key(spark, sf):
+    """U4: one row per key."""
     return A.dedupe_by_key(_lineitem(spark, sf), LINEITEM_KEYS)
 
 
 def q_audit_null_counts(spark, sf):
+    """A4, Q9: nulls in required columns."""
     return A.null_counts(_conformed(spark, sf))
 
 
 def q_audit_overall(spark, sf):
+    """The whole audit."""
     return A.audit(_conformed(spark, sf))
 
 
 def q_preview_rows(spark, sf):
+    """Ordered preview."""
     return A.preview(_conformed(spark, sf), 20, ["Run_Date", "Retailer", "Product_Name"])
 
 
 # ---- profile ----------------------------------------------------------------------------
 
 def q_profile_missing(spark, sf):
+    """Missing values per column."""
     return P.missing(_eda(spark, sf))
 
 
 def q_profile_constant(spark, sf):
+    """A10: constant columns."""
     return P.constant_columns(_eda(spark, sf))
 
 
 def q_profile_dataset(spark, sf):
+    """Dataset summary."""
     return P.dataset_summary(_eda(spark, sf))
 
 
 def q_profile_kinds(spark, sf):
+    """Variable kinds."""
     return P.kinds(_eda(spark, sf))
 
 
 def q_profile_kind_counts(spark, sf):
+    """Variables per kind."""
     return P.kind_counts(P.kinds(_eda(spark, sf)))
 
 
 def q_profile_corr_numeric(spark, sf):
+    """Numeric correlation."""
     return P.numeric_correlation(_eda(spark, sf))
 
 
 def q_profile_assoc_categorical(spark, sf):
+    """Cramér's V between categorical columns."""
     df = _eda(spark, sf)
     cols = P.association_columns(df)
     return P.categorical_association(df, cols)
