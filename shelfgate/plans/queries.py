@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.schema import CANONICAL, SOURCE_FILE, eda_schema, required_names
+from ..functions.schema import SOURCE_FILE, eda_schema, required_names
 from ..operators import audit as A
 from ..operators import catalog as C
 from ..operators import constraints as K
