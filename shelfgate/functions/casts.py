@@ -64,3 +64,16 @@ def as_double(c: Column, source: DataType) -> Column:
 
 def typed_null(target: DataType) -> Column:
     return F.lit(None).cast(target)
+
+
+def nanos_to_timestamp_ntz(c: Column) -> Column:
+    """Nanoseconds since the epoch (a parquet TIMESTAMP(NANOS) read as a long) to a
+    wall-clock ``timestamp_ntz``, truncated to microseconds.
+
+    Built as epoch + day-time interval, so no session time zone is involved.
+    """
+    # exact decimal arithmetic: a double cannot hold 19-digit nanosecond counts
+    micros = F.floor(c.cast("decimal(20,0)") / F.lit(1000))
+    secs = (micros.cast("decimal(20,0)") / F.lit(1000000)).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.when(c.isNotNull(), epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs))

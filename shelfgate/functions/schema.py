@@ -85,7 +85,7 @@ _FAMILY = {
     "float": "fractional", "double": "fractional", "real": "fractional",
     "string": "string", "varchar": "string", "char": "string",
     "timestamp": "timestamp", "timestamp_ntz": "timestamp",
-    "timestamp_ltz": "timestamp",
+    "timestamp_ltz": "timestamp", "timestamp_ns": "timestamp",
     "date": "date",
     "boolean": "boolean",
     "binary": "binary",

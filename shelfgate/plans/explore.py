@@ -21,10 +21,10 @@ from ..functions.schema import CANONICAL, SOURCE_FILE, eda_schema
 from ..operators import profile as P
 from ..operators.catalog import usable
 from ..operators.conform import conform_types
-from ..operators.schema_checks import file_schema_group, schema_groups
+from ..operators.schema_checks import schema_groups, schema_signature
 from ..session import materialize
 from ..sources.catalog import read_catalog
-from ..sources.listing import UNREADABLE, file_schemas, scan_group
+from ..sources.listing import UNREADABLE, file_schemas, nanos_columns, scan_group
 
 
 @dataclass
@@ -45,13 +45,13 @@ def explore(spark: SparkSession, input_dir: str, sources: list[str] | None = Non
     unreadable = schemas.where(F.col("column") == UNREADABLE).select(
         "file_name", F.col("type").alias("error"))
     # the scans to open: one path list per schema group (file metadata, not rows)
-    routes = (file_schema_group(readable).join(catalog.select("file_name", "path"), "file_name")
-              .select("schema_group", "path").collect())
+    routes = (schema_signature(readable).join(catalog.select("file_name", "path"), "file_name")
+              .select("signature", "path").collect())
     by_group: dict[str, list[str]] = {}
     for r in routes:
-        by_group.setdefault(r["schema_group"], []).append(r["path"])
-    parts = [conform_types(scan_group(spark, input_dir, paths), eda_schema(schema), fill_missing=True,
-                           keep=[SOURCE_FILE]) for paths in by_group.values()]
+        by_group.setdefault(r["signature"], []).append(r["path"])
+    parts = [conform_types(scan_group(spark, input_dir, paths, nanos_columns(sig)), eda_schema(schema),
+                           fill_missing=True, keep=[SOURCE_FILE]) for sig, paths in by_group.items()]
     unified = reduce(lambda a, b: a.unionByName(b), parts) if parts else None
     return ExploreResult(schema_groups(readable), unified, unreadable)
 

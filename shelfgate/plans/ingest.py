@@ -31,7 +31,7 @@ from ..operators.rules import Rule
 from ..operators.schema_checks import new_column_log, schema_missing, schema_signature
 from ..session import is_small, materialize
 from ..sources.catalog import parse_names, read_catalog
-from ..sources.listing import UNREADABLE, file_schemas, scan_group
+from ..sources.listing import UNREADABLE, file_schemas, nanos_columns, scan_group
 from ..sources.sinks import append_column_log, write_unified
 
 
@@ -128,8 +128,8 @@ def run_ingest(spark: SparkSession, input_dir: str, output_path: str, rules: lis
         append_column_log(new_column_log(kept, detection_time, schema), column_log_path)
 
     outcomes = []
-    for paths in groups.values():
-        df = scan_group(spark, input_dir, paths)
+    for signature, paths in groups.items():
+        df = scan_group(spark, input_dir, paths, nanos_columns(signature))
         outcomes.append(ingest_frame(df, rules, file_col=SOURCE_FILE, schema=schema,
                                      on_type_error=on_type_error))
     verdict_parts = [o.verdicts for o in outcomes]

@@ -14,9 +14,12 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.casts import nanos_to_timestamp_ntz
 from ..functions.schema import SOURCE_FILE
 
 _SCHEMA_ROW = "file_name string, ordinal int, column string, type string"
+# type name of a parquet TIMESTAMP(NANOS) column, which Spark reads only as a long
+NANOS = "timestamp_ns"
 # marker column of a file whose footer cannot be read (``type`` holds the error)
 UNREADABLE = "<unreadable>"
 
@@ -24,6 +27,7 @@ UNREADABLE = "<unreadable>"
 def _footer_rows(batches):
     """mapInPandas body: read each file's parquet footer (no data pages)."""
     import pandas as pd
+    import pyarrow as pa
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
     from pyspark.sql.pandas.types import from_arrow_type
@@ -40,7 +44,10 @@ def _footer_rows(batches):
                 continue
             for i, field in enumerate(schema):
                 try:
-                    t = from_arrow_type(field.type).simpleString()
+                    if pa.types.is_timestamp(field.type) and field.type.unit == "ns":
+                        t = NANOS
+                    else:
+                        t = from_arrow_type(field.type).simpleString()
                 except Exception:  # noqa: BLE001 - unknown arrow type: keep its own name
                     t = str(field.type)
                 out.append((name, i + 1, field.name, t))
@@ -62,6 +69,23 @@ def entry_name(root: str) -> F.Column:
     return F.regexp_extract(F.col("_metadata.file_path"), leaf + r"/([^/]+)", 1)
 
 
-def scan_group(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
-    """One scan over all files of a schema group, with ``Source_File`` lineage."""
-    return spark.read.parquet(*paths).withColumn(SOURCE_FILE, entry_name(root))
+def nanos_columns(signature: str) -> list[str]:
+    """Columns stored as TIMESTAMP(NANOS), from a ``name:type,...`` signature."""
+    return [e.rsplit(":", 1)[0] for e in signature.split(",") if e.endswith(":" + NANOS)]
+
+
+def scan_group(spark: SparkSession, root: str, paths: list[str],
+               nanos: list[str] | None = None) -> DataFrame:
+    """One scan over all files of a schema group, with ``Source_File`` lineage.
+
+    Parquet TIMESTAMP(NANOS) columns (pandas' default for datetime64[ns]) can
+    only be read by Spark as longs; the session is switched to that reading
+    (``spark.sql.legacy.parquet.nanosAsLong``) and the columns are turned
+    back into wall-clock timestamps.
+    """
+    if nanos:
+        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    df = spark.read.parquet(*paths)
+    for c in nanos or []:
+        df = df.withColumn(c, nanos_to_timestamp_ntz(F.col(f"`{c}`")))
+    return df.withColumn(SOURCE_FILE, entry_name(root))

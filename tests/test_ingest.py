@@ -138,3 +138,23 @@ def test_run_ingest_unreadable_file_rejected(spark):
     v = {r["file"]: (r["outcome"], r["reason"][:11]) for r in res.outcome.verdicts.collect()}
     assert v == {"cubesmart_weekly_20250127_181344.parquet": ("accept", "all rules p"),
                  "storagemart_weekly_20250127_090843.parquet": ("reject", "unreadable:")}
+
+
+def test_run_ingest_reads_nanosecond_timestamps(spark):
+    """pandas writes datetime64[ns] as parquet TIMESTAMP(NANOS); Spark reads it only as a long."""
+    import os
+
+    import pyarrow.parquet as pq
+
+    root = tempfile.mkdtemp(prefix="landing-ns-", dir="/tmp") + "/in"
+    os.makedirs(root)
+    cols = [c.split()[0] for c in RAW_NUM.split(", ")]
+    pdf = pd.DataFrame([row(1), row(2)], columns=cols)
+    pdf["Run_Date"] = pd.to_datetime(["2025-01-27 10:11:12.123456999", "2025-01-27 00:00:00.000000001"])
+    path = f"{root}/cubesmart_weekly_20250127_181344.parquet"
+    pdf.to_parquet(path, index=False)
+    assert str(pq.read_schema(path).field("Run_Date").type) == "timestamp[ns]"
+    res = run_ingest(spark, root, root.replace("/in", "/out"), load_rules_default(), reference_date="2025-02-05")
+    assert res.ok, res.reason
+    got = sorted(r["Run_Date"] for r in read_unified(spark, root.replace("/in", "/out")).collect())
+    assert got == [dt.datetime(2025, 1, 27, 0, 0), dt.datetime(2025, 1, 27, 10, 11, 12, 123456)]
