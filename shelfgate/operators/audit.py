@@ -86,13 +86,29 @@ def duplicate_rows(df: DataFrame, keys: list[str] = AUDIT_KEYS, limit: int | Non
 
 
 def duplicate_sample(df: DataFrame, keys: list[str] = AUDIT_KEYS, limit: int = 5) -> DataFrame:
-    """First ``limit`` duplicated keys in key order, with their row count."""
+    """First ``limit`` duplicated keys in key order, with their row count (null parts equal).
+
+    Built on the repeated keys (hash-first for large inputs), then a top-k.
+    """
     ks = available_keys(df, keys)
-    return (df.groupBy(*[col(k) for k in ks]).agg(F.count(F.lit(1)).alias("dup_count"))
-            .where(F.col("dup_count") > 1)
+    return (repeated_keys(df, ks, nulls_equal=True).withColumnRenamed("_n", "dup_count")
             .orderBy(*[col(c).asc_nulls_first() for c in ks]).limit(limit))
 
 
+def with_duplicate_sample(report: DataFrame, df: DataFrame, keys: list[str], limit: int = 5) -> DataFrame:
+    """Add ``sample_duplicates`` (first ``limit`` duplicated keys) to a one-row report.
+
+    The sample is at most ``limit`` rows, read once and embedded as a typed literal.
+    """
+    ks = available_keys(df, keys)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    rows = duplicate_sample(df, ks, limit).collect()
+    entries = [F.struct(*[F.lit(r[k]).cast(types[k]).alias(k) for k in ks]) for r in rows]
+    sample = F.array(*entries) if entries else F.array().cast(
+        "array<struct<" + ",".join(f"`{k}`:{types[k].simpleString()}" for k in ks) + ">>")
+    return report.withColumn("sample_duplicates", sample)
+
+
 def dedupe_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """One row per key: the smallest by ``order`` (default: the other columns).
 
@@ -239,7 +255,9 @@ def audit_json(report: DataFrame) -> DataFrame:
         F.struct(F.col("duplicates_passed").alias("passed"),
                  F.struct("total_records", "unique_records", "duplicate_records",
                           *([F.col("duplicate_error").alias("error")]
-                            if "duplicate_error" in report.columns else [])).alias("details")
+                            if "duplicate_error" in report.columns else []),
+                          *([F.col("sample_duplicates")]
+                            if "sample_duplicates" in report.columns else [])).alias("details")
                  ).alias("duplicate_check"),
         F.struct(F.col("nulls_passed").alias("passed"),
                  F.struct(nulls.alias("null_counts")).alias("details")).alias("null_check"),

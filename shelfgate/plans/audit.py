@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..functions.schema import AUDIT_KEYS, CANONICAL
-from ..operators.audit import audit, save_report, unavailable_report
+from ..operators.audit import (
+    audit,
+    available_keys,
+    save_report,
+    unavailable_report,
+    with_duplicate_sample,
+)
 from ..sources.sinks import read_unified
 
 
@@ -17,11 +23,12 @@ log = logging.getLogger("shelfgate.audit")
 
 def run_audit(spark: SparkSession, table_path: str, *, schema: StructType = CANONICAL,
               keys: list[str] = AUDIT_KEYS, checked_at: str | None = None,
-              report_path: str | None = None) -> DataFrame:
+              report_path: str | None = None, sample: int = 5) -> DataFrame:
     """Load the table, audit it, optionally save the JSON report; returns the one-row report.
 
     A missing or unreadable table gives the default report (every check
-    false, no overall verdict), like the reference.
+    false, no overall verdict), like the reference. When duplicates exist,
+    the first ``sample`` duplicated keys go into the report.
     """
     df = read_unified(spark, table_path)
     if df is None:
@@ -29,6 +36,10 @@ def run_audit(spark: SparkSession, table_path: str, *, schema: StructType = CANO
         report = unavailable_report(spark, checked_at)
     else:
         report = audit(df, schema, keys, checked_at=checked_at)
+        if sample and available_keys(df, keys):
+            dups = report.select("duplicate_records").first()[0]
+            if dups:
+                report = with_duplicate_sample(report, df, keys, sample)
     if report_path:
         save_report(report, report_path)
     return report

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shelfgate.functions.schema import CANONICAL
 from shelfgate.operators.audit import audit, report_dict
 from shelfgate.operators.rules import DEFAULT_RULE_CONFIG, load_rules
+from shelfgate.plans.audit import run_audit
 from shelfgate.plans.ingest import run_ingest
 from shelfgate.sources.sinks import read_column_log, read_unified
 
@@ -90,9 +91,12 @@ def test_run_ingest_end_to_end(spark, landing):
     # a rerun appends again: the audit now finds every key twice
     res2 = run_ingest(spark, landing, f"{out}/unified.parquet", rules, reference_date=dt.date(2025, 2, 5))
     assert res2.ok
-    rep2 = report_dict(audit(read_unified(spark, f"{out}/unified.parquet")))
+    rep2 = report_dict(run_audit(spark, f"{out}/unified.parquet", checked_at="2025-02-05 13:00:00"))
     assert rep2["duplicate_check"]["details"]["duplicate_records"] == 5
     assert rep2["overall_passed"] is False
+    sample = rep2["duplicate_check"]["details"]["sample_duplicates"]
+    assert len(sample) == 5 and sample[0]["Retailer"] == "shop"
+    assert sample[0]["Run_Date"].startswith("2025-01-27T00:00:00")
 
 
 def test_run_ingest_partition_overwrite_is_rerun_safe(spark, landing):
