@@ -106,16 +106,15 @@ def materialize(df: DataFrame, name: str = "table", *, in_memory: bool = False)
     write computes it once.
 
     ``in_memory`` (callers pass it when their *input* is small, see
-    :func:`is_small`): keep the table in the block manager instead. Its
-    lineage is one short aggregation over a small input, so recomputing it
-    after a lost executor is cheap, and the write's commit cost is saved.
+    :func:`is_small`): keep the table in the block manager instead, filled
+    by its first use. Its lineage is one short aggregation over a small
+    input, so recomputing it after a lost executor is cheap, and the write's
+    commit cost and a separate job are saved.
     """
     if in_memory:
         from pyspark import StorageLevel
 
-        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-        kept.count()
-        return kept
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)

@@ -18,7 +18,7 @@ def test_materialize_written_and_in_memory(spark):
     plan = written._jdf.queryExecution().optimizedPlan().toString()
     assert "Relation" in plan and "Aggregate" not in plan      # lineage cut: a scan of the table
     kept = session.materialize(df, "t", in_memory=True)
-    assert kept.is_cached and kept.count() == 7
+    assert kept.is_cached and kept.count() == 7      # filled by its first use
 
 
 def test_size_estimate_and_scratch_paths(spark):
