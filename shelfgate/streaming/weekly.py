@@ -52,13 +52,20 @@ def _process(rules: list[Rule], sources: list[str], output_path: str, verdicts_p
     return run
 
 
-def stream_ingest(spark: SparkSession, input_dir: str, raw_schema: StructType, output_path: str,
+def stream_ingest(spark: SparkSession, input_dir: str, raw_schema: StructType | None, output_path: str,
                   rules: list[Rule], *, checkpoint_location: str, sources: list[str],
                   verdicts_path: str | None = None, quarantine_path: str | None = None,
                   schema: StructType = CANONICAL,
                   on_type_error: str = "cast", max_files_per_trigger: int | None = None,
                   available_now: bool = True) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it stops after the files present now."""
+    """Start the stream; with ``available_now`` it stops after the files present now.
+
+    ``raw_schema`` None: taken from the files already in the folder (one
+    schema group per stream).
+    """
+    if raw_schema is None:
+        raw_schema = (spark.read.option("recursiveFileLookup", "true")
+                      .option("pathGlobFilter", "*.parquet").parquet(input_dir).schema)
     reader = (spark.readStream.schema(raw_schema)
               .option("recursiveFileLookup", "true")
               .option("pathGlobFilter", "*.parquet"))

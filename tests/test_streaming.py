@@ -34,7 +34,7 @@ def test_stream_ingest_takes_new_files_once(spark):
     assert sorted(r["Product_Name"] for r in out.collect()) == ["unit 3", "unit 4", "unit 5"]
 
     frame(spark, [row(7)]).coalesce(1).write.parquet(f"{landing}/cubesmart_weekly_20250203_181358.parquet")
-    q = stream_ingest(spark, landing, raw, f"{base}/out", default_rules(), **kw)
+    q = stream_ingest(spark, landing, None, f"{base}/out", default_rules(), **kw)   # schema from the files
     q.awaitTermination(120)
     out = spark.read.parquet(f"{base}/out")
     assert sorted(r["Product_Name"] for r in out.collect()) == ["unit 3", "unit 4", "unit 5", "unit 7"]
