@@ -136,18 +136,42 @@ def rules_frame(spark: SparkSession, rules: list[Rule]) -> DataFrame:
 
 
 def read_rules_json(spark: SparkSession, path: str) -> DataFrame:
-    """Rule file read by Spark itself: one row per expectation."""
+    """Rule file read by Spark itself (any file system Spark reaches): one row per expectation."""
     raw = spark.read.option("multiLine", True).json(path)
     e = F.posexplode("expectations").alias("pos", "e")
-    return raw.select(e).select(
+    rows = raw.select(e)
+    kw_fields = set()
+    for f in rows.schema["e"].dataType.fields:
+        if f.name == "kwargs":
+            kw_fields = set(f.dataType.fieldNames())
+
+    def kw(name: str, cast: str) -> Column:
+        return (F.col(f"e.kwargs.{name}").cast(cast) if name in kw_fields
+                else F.lit(None).cast(cast)).alias(name)
+
+    return rows.select(
         (F.col("pos") + 1).alias("position"),
         F.col("e.expectation_type").alias("expectation_type"),
-        F.col("e.kwargs.column").alias("column"),
-        F.col("e.kwargs.min_value").cast("double").alias("min_value"),
-        F.col("e.kwargs.max_value").cast("double").alias("max_value"),
+        kw("column", "string"), kw("min_value", "double"), kw("max_value", "double"),
+        kw("mostly", "double"),
     )
 
 
+def load_rules_spark(spark: SparkSession, path: str) -> list[Rule]:
+    """:func:`load_rules` for a file on a cluster file system (S3, HDFS, ...).
+
+    The rule file is control data (a dozen rows): it is read by Spark and
+    the rows are brought to the driver to build the Column expressions.
+    """
+    out = []
+    for r in read_rules_json(spark, path).orderBy("position").collect():
+        kw = {k: r[k] for k in ("column", "min_value", "max_value", "mostly") if r[k] is not None}
+        out.append(Rule(expectation_type=r["expectation_type"] or "", column=r["column"],
+                        min_value=r["min_value"], max_value=r["max_value"], mostly=r["mostly"],
+                        position=int(r["position"]), kwargs=kw))
+    return out
+
+
 # ---------------------------------------------------------------------------
 # Planning: which rules apply to a given raw schema, and their predicates.
 

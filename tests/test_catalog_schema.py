@@ -46,6 +46,10 @@ def test_rule_file_roundtrip(spark):
     rules = default_rules()
     assert [r["column"] for r in rows] == [r.column for r in rules]
     assert rows[9]["min_value"] == 4.0 and rows[10]["max_value"] == 9644.4
+    from shelfgate.operators.rules import load_rules_spark
+
+    via_spark = load_rules_spark(spark, path)
+    assert via_spark == rules          # same rules as the Python reader (kwargs not compared)
 
 
 def test_type_families():
