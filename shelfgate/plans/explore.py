@@ -24,7 +24,7 @@ from ..operators.conform import conform_types
 from ..operators.schema_checks import schema_groups, schema_signature
 from ..session import materialize
 from ..sources.catalog import read_catalog
-from ..sources.listing import UNREADABLE, file_schemas, nanos_columns, scan_group
+from ..sources.listing import UNREADABLE, file_schemas, nanos_columns, scan_group, with_spark_fallback
 
 
 @dataclass
@@ -40,7 +40,7 @@ def explore(spark: SparkSession, input_dir: str, sources: list[str] | None = Non
     catalog = usable(read_catalog(spark, input_dir, sources))
     if files is not None:
         catalog = catalog.where(F.col("file_name").isin(list(files)))
-    schemas = materialize(file_schemas(catalog), "file-schemas")
+    schemas = with_spark_fallback(spark, materialize(file_schemas(catalog), "file-schemas"), catalog)
     readable = schemas.where(F.col("column") != UNREADABLE)
     unreadable = schemas.where(F.col("column") == UNREADABLE).select(
         "file_name", F.col("type").alias("error"))

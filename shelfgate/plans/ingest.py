@@ -31,7 +31,7 @@ from ..operators.rules import Rule
 from ..operators.schema_checks import new_column_log, schema_missing, schema_signature
 from ..session import is_small, materialize
 from ..sources.catalog import parse_names, read_catalog
-from ..sources.listing import UNREADABLE, file_schemas, nanos_columns, scan_group
+from ..sources.listing import UNREADABLE, file_schemas, nanos_columns, scan_group, with_spark_fallback
 from ..sources.sinks import append_column_log, write_unified
 
 
@@ -106,7 +106,7 @@ def run_ingest(spark: SparkSession, input_dir: str, output_path: str, rules: lis
     catalog = read_catalog(spark, input_dir, sources)
     latest = latest_as_of(catalog, reference_date)
     chosen = catalog.join(F.broadcast(latest.select("path")), "path", "left_semi")
-    schemas = materialize(file_schemas(chosen), "file-schemas")
+    schemas = with_spark_fallback(spark, materialize(file_schemas(chosen), "file-schemas"), chosen)
     readable = schemas.where(F.col("column") != UNREADABLE)
     sig = schema_signature(readable)
     # at most one chosen file per source: this is the list of scans to open

@@ -63,6 +63,29 @@ def file_schemas(catalog: DataFrame) -> DataFrame:
     return catalog.select("file_name", "sample_file").mapInPandas(_footer_rows, _SCHEMA_ROW)
 
 
+def with_spark_fallback(spark: SparkSession, schemas: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Footers the executors could not open are read once more through Spark's own
+    reader, which uses the cluster's file-system settings (pyarrow may lack them,
+    e.g. for S3 or HDFS). Files that Spark cannot read either stay unreadable.
+
+    Only the failed files come to the driver (file names, not data).
+    """
+    failed = (schemas.where(F.col("column") == UNREADABLE)
+              .join(catalog.select("file_name", "path"), "file_name")
+              .select("file_name", "path", "type").collect())
+    if not failed:
+        return schemas
+    rows = []
+    for r in failed:
+        try:
+            fields = spark.read.parquet(r["path"]).schema.fields
+            rows += [(r["file_name"], i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)]
+        except Exception:  # noqa: BLE001 - still unreadable: keep the executor's error
+            rows.append((r["file_name"], 0, UNREADABLE, r["type"]))
+    fixed = spark.createDataFrame(rows, _SCHEMA_ROW)
+    return schemas.where(F.col("column") != UNREADABLE).unionByName(fixed)
+
+
 def entry_name(root: str) -> F.Column:
     """Name of the top-level entry under ``root`` holding the scanned row."""
     leaf = re.escape(root.rstrip("/").split("/")[-1])

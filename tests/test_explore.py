@@ -45,3 +45,23 @@ def test_explore_named_files(spark):
         frame(spark, [row(i)]).coalesce(1).write.parquet(f"{root}/{n}")
     res = explore(spark, root, files=names[1:])
     assert [r["Source_File"] for r in res.unified.collect()] == names[1:]
+
+
+def test_footer_fallback_through_spark(spark):
+    """A footer the executors could not open is read again by Spark; a broken file stays unreadable."""
+    from shelfgate.sources.listing import UNREADABLE, with_spark_fallback
+
+    root = tempfile.mkdtemp(prefix="fallback-", dir="/tmp")
+    good = f"{root}/good.parquet"
+    spark.createDataFrame([(1, "a")], "x bigint, y string").coalesce(1).write.parquet(good)
+    with open(f"{root}/bad.parquet", "w") as fh:
+        fh.write("broken")
+    schemas = spark.createDataFrame(
+        [("good.parquet", 0, UNREADABLE, "OSError: no such file system"),
+         ("bad.parquet", 0, UNREADABLE, "ArrowInvalid: not parquet")],
+        "file_name string, ordinal int, column string, type string")
+    catalog = spark.createDataFrame([("good.parquet", good), ("bad.parquet", f"{root}/bad.parquet")],
+                                    "file_name string, path string")
+    out = sorted(tuple(r) for r in with_spark_fallback(spark, schemas, catalog).collect())
+    assert out == [("bad.parquet", 0, UNREADABLE, "ArrowInvalid: not parquet"),
+                   ("good.parquet", 1, "x", "bigint"), ("good.parquet", 2, "y", "string")]
