@@ -134,7 +134,6 @@ RULES = default_rules()
 
 def _flags_cte(file_expr: str, rules=RULES, src: str = "listing") -> str:
     """Per-row failure flags ``r1..rN`` (row fails the rule and the rule failed in its file)."""
-    uniq = [r for r in rules if r.kind == "unique"]
     a_cols, b_cols = [], []
     for i, r in enumerate(rules):
         if r.kind == "unique":
@@ -161,7 +160,6 @@ def _flags_cte(file_expr: str, rules=RULES, src: str = "listing") -> str:
     a = f"fa AS (SELECT *, {file_expr} AS _f{''.join(', ' + x for x in a_cols)} FROM {src})"
     b = f"fb AS (SELECT *{''.join(', ' + x for x in b_cols)} FROM fa)"
     ff = f"flags AS (SELECT *, {', '.join(flags)} FROM fb)"
-    del uniq
     return ",\n".join([a, b, ff])
 
 
