@@ -128,20 +128,27 @@ def run_ingest(spark: SparkSession, input_dir: str, output_path: str, rules: lis
         append_column_log(new_column_log(kept, detection_time, schema), column_log_path)
 
     outcomes = []
+    errored = []
+    name_of = {r["path"]: r["file_name"] for r in plan}
     for signature, paths in groups.items():
-        df = scan_group(spark, input_dir, paths, nanos_columns(signature))
-        outcomes.append(ingest_frame(df, rules, file_col=SOURCE_FILE, schema=schema,
-                                     on_type_error=on_type_error))
+        try:
+            df = scan_group(spark, input_dir, paths, nanos_columns(signature))
+            outcomes.append(ingest_frame(df, rules, file_col=SOURCE_FILE, schema=schema,
+                                         on_type_error=on_type_error))
+        except Exception as exc:  # noqa: BLE001 - like the reference, an error rejects the file, not the run
+            log.error("files %s rejected: %s", [name_of[p] for p in paths], exc)
+            errored += [(name_of[p], f"error: {type(exc).__name__}: {exc}"[:500]) for p in paths]
     verdict_parts = [o.verdicts for o in outcomes]
-    if broken:
+    failures = [(r["file"], "unreadable: " + r["error"]) for r in broken] + errored
+    if failures:
         verdict_parts.append(spark.createDataFrame(
-            [(r["file"], 0, 0, 0, 0, "reject", "unreadable: " + r["error"]) for r in broken],
+            [(f, 0, 0, 0, 0, "reject", why) for f, why in failures],
             "file string, rows long, failing_rows long, survivors long, rules_failed long, "
             "outcome string, reason string"))
     if not outcomes:
         verdicts = reduce(lambda a, b: a.unionByName(b), verdict_parts)
         return IngestResult(False, "no file survived the gate", IngestOutcome(None, verdicts, []),
-                            [r["file"] for r in broken])
+                            [r["file_name"] for r in plan] + [r["file"] for r in broken])
     unified = reduce(lambda a, b: a.unionByName(b), [o.unified for o in outcomes])
     # one row per file, computed once: it decides the write and is returned
     verdicts = materialize(reduce(lambda a, b: a.unionByName(b), verdict_parts), "verdicts")

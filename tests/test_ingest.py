@@ -162,3 +162,24 @@ def test_run_ingest_reads_nanosecond_timestamps(spark):
     assert res.ok, res.reason
     got = sorted(r["Run_Date"] for r in read_unified(spark, root.replace("/in", "/out")).collect())
     assert got == [dt.datetime(2025, 1, 27, 0, 0), dt.datetime(2025, 1, 27, 10, 11, 12, 123456)]
+
+
+def test_run_ingest_error_rejects_only_that_group(spark, landing, monkeypatch):
+    """An error while gating one schema group rejects its files; the others are ingested."""
+    from shelfgate.plans import ingest as I
+
+    real = I.ingest_frame
+
+    def flaky(df, *a, **kw):
+        if any("smartstop" in f for f in df.inputFiles()):
+            raise RuntimeError("corrupt page")
+        return real(df, *a, **kw)
+
+    monkeypatch.setattr(I, "ingest_frame", flaky)
+    out = landing.replace("/in", "/out-err") + "/unified.parquet"
+    res = run_ingest(spark, landing, out, load_rules_default(), reference_date=dt.date(2025, 2, 5))
+    assert res.ok
+    v = {r["file"]: (r["outcome"], r["reason"][:12]) for r in res.outcome.verdicts.collect()}
+    assert v["smartstopselfstorage_weekly_20250203_090120.parquet"] == ("reject", "error: Runti")
+    assert v["cubesmart_weekly_20250203_181358.parquet"][0] == "accept"
+    assert read_unified(spark, out).count() == 4
