@@ -253,11 +253,21 @@ def association_columns(df: DataFrame, stats: DataFrame | None = None,
     """Categorical and boolean columns with more than one level (reads one small table).
 
     ``max_categorical`` caps the levels of a text column taken as categorical.
+    Without ``stats`` only the distinct counts of text and boolean columns are
+    computed (one job).
     """
-    stats = stats if stats is not None else column_stats(df, max_categorical)
-    keep = {r["column"] for r in stats.where(F.col("kind").isin("Categorical", "Boolean")
-                                             & (F.col("n_distinct") > 1)).select("column").collect()}
-    return [c for c in df.columns if c in keep]
+    if stats is not None:
+        keep = {r["column"] for r in stats.where(F.col("kind").isin("Categorical", "Boolean")
+                                                 & (F.col("n_distinct") > 1)).select("column").collect()}
+        return [c for c in df.columns if c in keep]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    counted = [c for c in df.columns if isinstance(types[c], (StringType, BooleanType))]
+    if not counted:
+        return []
+    nd = (distinct_counts(df, counted) if is_small(df)
+          else capped_distinct_counts(df, counted, max_categorical))
+    levels = {r["column"]: r["n_distinct"] for r in nd.collect()}   # one row per column
+    return [c for c in counted if levels.get(c) is not None and 1 < levels[c] <= max(max_categorical, 2)]
 
 
 def duplicate_row_count(df: DataFrame) -> int:
