@@ -280,7 +280,7 @@ def q_sink_unified(spark, sf):
     out = q_ingest_unified(spark, sf)
     write_unified(out, path)   # first run creates the table
     write_unified(out, path)   # a rerun appends (no key check), like the reference
-    return spark.read.parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
 
 
 def q_column_log(spark, sf):
