@@ -102,7 +102,19 @@ def run_ingest(spark: SparkSession, input_dir: str, output_path: str, rules: lis
                column_log_path: str | None = None, detection_time: str | None = None,
                on_type_error: str = "cast", partition_by: list[str] | None = None,
                overwrite_partitions: bool = False, quarantine_path: str | None = None) -> IngestResult:
-    """End-to-end ingest of one landing folder (the reference's ``run_pipeline``)."""
+    """End-to-end ingest of one landing folder (the reference's ``run_pipeline``).
+
+    Takes the newest file per source (``sources``, matched by the name format)
+    dated on or before ``reference_date``, gates every chosen file on its raw
+    columns, and appends the conformed survivors to ``output_path``.
+    ``column_log_path`` + ``detection_time`` log columns outside the schema;
+    ``quarantine_path`` keeps the rows that did not survive; ``partition_by``
+    + ``overwrite_partitions`` make a rerun replace its partitions.
+
+    Returns ``IngestResult(ok, reason, outcome, files)``: ``ok`` is False when
+    no file is found or none survives (nothing is written then);
+    ``outcome.verdicts`` has one row per chosen file.
+    """
     catalog = read_catalog(spark, input_dir, sources)
     latest = latest_as_of(catalog, reference_date)
     chosen = catalog.join(F.broadcast(latest.select("path")), "path", "left_semi")
