@@ -3,7 +3,10 @@
 Sampled splitters range-partition the texts (``repartitionByRange`` samples
 its own splitters), the external sort below the window places equal texts
 next to each other, and the window compares neighbouring texts in full to
-find where a group starts and ends. One row of each group stays.
+find where a group starts and ends. One row of each group stays. Texts are
+ordered by their first ``PREFIX`` characters, then by a hash, then in full:
+the splitters, which Spark samples through the driver, stay short however
+long the texts are, and texts with one common beginning spread over ranges.
 
 Skew: all rows of one text would meet in one range. Texts that occur more
 than ``max(HOT_ROWS, rows / MAX_HOT)`` times are found by a count over
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
+PREFIX = 64
 HOT_ROWS = 1000
 MAX_HOT = 100_000
 SALTS = 64
@@ -36,27 +40,27 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     if keep not in ("largest", "smallest"):
         raise ValueError(f"keep must be 'largest' or 'smallest', not {keep!r}")
-    src = docs.select(F.col(f"`{id_col}`").alias("_id"),
-                      F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_t"))
+    src = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_t"))
+    src = src.select("_id", "_t", F.left("_t", F.lit(PREFIX)).alias("_p"), F.xxhash64("_t").alias("_h"))
     total = src.count()
     threshold = max(hot_rows, -(-total // MAX_HOT))
     hot = None
     if total > threshold:
-        hot = materialize(src.groupBy(F.xxhash64("_t").alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
-                          .where(F.col("_n") > threshold).select("_h"), "exact-hot")
+        hot = materialize(src.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+                          .where(F.col("_n") > threshold).select(F.col("_h").alias("_hot")), "exact-hot")
         hot = hot if hot.take(1) else None
+    keys = ["_p", "_h"]
     if hot is not None:
-        src = src.join(F.broadcast(hot), F.xxhash64("_t") == F.col("_h"), "left")
-        salt = F.when(F.col("_h").isNotNull(), F.pmod(F.xxhash64("_id"), F.lit(SALTS)) + 1).otherwise(0)
-        src = src.select("_id", "_t", salt.cast("int").alias("_s"))
-    else:
-        src = src.select("_id", "_t", F.lit(0).alias("_s"))
+        src = src.join(F.broadcast(hot), F.col("_h") == F.col("_hot"), "left")
+        salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64("_id"), F.lit(SALTS)) + 1).otherwise(0)
+        src = src.select("_id", "_t", "_p", "_h", salt.cast("int").alias("_s"))
+        keys = [*keys, "_s"]
 
     best = F.max if keep == "largest" else F.min
     order = F.desc_nulls_last("_id") if keep == "largest" else F.asc_nulls_last("_id")
-    group = Window.partitionBy("_t", "_s")
-    rows = (src.repartitionByRange("_t", "_s")
-            .select("_id", "_s", F.sha2("_t", 256).alias("_sha"),
+    group = Window.partitionBy(*keys, "_t")
+    rows = (src.repartitionByRange(*keys)
+            .select("_id", *keys[2:], F.sha2("_t", 256).alias("_sha"),
                     F.row_number().over(group.orderBy(order)).alias("_rn"),
                     F.count(F.lit(1)).over(group).alias("_gn"),
                     best("_id").over(group).alias("_gk")))
