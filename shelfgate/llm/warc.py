@@ -27,6 +27,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 DATE = "2024-01-01T00:00:00Z"
 GAP_BYTES = 64 << 10
 READ_BYTES = 4 << 20
+TASK_BYTES = 8 << 20
 _INDEX = "page_id {id}, url string, file string, offset bigint, length bigint, payload_digest string, record_type string"
 
 
@@ -198,7 +199,9 @@ def read_records(index: DataFrame, folder: str, *, with_payload: bool = True) ->
     id_type = id_field.simpleString()
     from pyspark.sql.pandas.types import to_arrow_type
 
-    rows = (index.select("file", "offset", "length").repartitionByRange("file", "offset")
+    # index rows are narrow, so the number of readers follows from the bytes they stand for
+    size = index.agg(F.sum("length")).first()[0] or 0
+    rows = (index.select("file", "offset", "length").repartitionByRange(max(1, -(-size // TASK_BYTES)), "file", "offset")
             .sortWithinPartitions("file", "offset"))
     schema = (f"page_id {id_type}, url string, payload_bytes bigint, payload_digest string, record_type string, "
               f"refers_to {id_type}" + ", payload binary" * with_payload)
