@@ -41,8 +41,9 @@ def _word_lists(words: pa.Array, buckets: int) -> list[list[str]]:
 
 def _distinct_words(path: str, buckets: int):
     def run(table: pa.Table) -> pa.Table:
-        _, words = encoder(path).split(blocks.texts(table))
-        lists = _word_lists(words.unique(), buckets)
+        words = encoder(path).split(blocks.texts(table))[1].unique()
+        pa.default_memory_pool().release_unused()
+        lists = _word_lists(words, buckets)
         used = [b for b, ws in enumerate(lists) if ws]
         block = table.column("block")[0].as_py()
         return pa.table({"bucket": pa.array(used, pa.int32()), "block": pa.array([block] * len(used), pa.int32()),
@@ -84,15 +85,18 @@ def _join_ids(path: str, buckets: int):
             starts = ends - n.astype(np.int64) * 4
             ids.update(zip(lists[b], (raw[s:e] for s, e in zip(starts.tolist(), ends.tolist()))))
         flat, at = gather(codes, [ids[w] for w in distinct.to_pylist()])
+        del words, coded, codes, lists, ids
         cut = at[offsets]
         raw = flat.tobytes()
+        del flat, at
+        pa.default_memory_pool().release_unused()
         rows = [raw[4 * s:4 * e] for s, e in zip(cut[:-1].tolist(), cut[1:].tolist())]
         return pa.table({"id": docs.column("id"), "ids": pa.array(rows, pa.binary())})
     return run
 
 
 def encode(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text",
-           block_bytes: int = 2 * blocks.BLOCK_BYTES) -> DataFrame:
+           block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
     """One row per input row: ``id_col`` and ``ids`` (binary, little-endian unsigned 32-bit).
 
     Ids are those of the tokenizers library on the whole text, special tokens
