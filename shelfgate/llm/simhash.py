@@ -4,10 +4,12 @@ A fingerprint's 64 bits are cut into three segments of at most 23 bits. The
 perfect Golay code (23, 12) puts every 23-bit word within 3 bits of exactly
 one codeword; decoding a segment and all its neighbours at one bit gives one
 or six codeword indices, and two segments at most 2 bits apart share one
-(the word between them decodes alike for both). If two fingerprints differ in
-at most 4 bits, two of the three segments differ in at most 2 bits together
-(pigeonhole), so keys of two segments' indices meet every pair that is to be
-linked. Fingerprints that share a key are compared in full.
+(the word between them decodes alike for both). Errors are dealt over segments
+by the pigeonhole: of at most 4 differing bits, either no segment has more
+than 2, and the three indices together are a common key, or one segment has
+none and another at most 2, and the bits of the first with the index of the
+other are. Keys of 33 to 36 bits keep chance meetings rare. Fingerprints that
+share a key are compared in full.
 
 A key's group is never spelled out as pairs: each task walks its groups
 breadth first and sends one edge per reached fingerprint. Groups above
@@ -81,11 +83,17 @@ def fuzzy_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.argsort(~fresh, axis=1, kind="stable")[:, :6]
         ok = np.take_along_axis(fresh, at, 1)
         sets.append((np.take_along_axis(idx, at, 1).astype(np.int64), ok))
-    rows, keys = [], []
-    for pair, (a, b) in enumerate(((0, 1), (0, 2), (1, 2))):
-        (ka, oka), (kb, okb) = sets[a], sets[b]
-        key = (pair << 24) | (ka[:, :, None] << 12) | kb[:, None, :]
-        ok = oka[:, :, None] & okb[:, None, :]
+    (k0, ok0), (k1, ok1), (k2, ok2) = sets
+    # no segment has more than two errors: the indices of all three
+    key = (k0[:, :, None, None] << 24) | (k1[:, None, :, None] << 12) | k2[:, None, None, :]
+    ok = ok0[:, :, None, None] & ok1[:, None, :, None] & ok2[:, None, None, :]
+    rows, keys = [np.nonzero(ok)[0]], [key[ok]]
+    # a segment has no error, so one of the others has at most two: its bits and the other's index
+    for kind, (a, b) in enumerate(((0, 1), (0, 2), (1, 0), (1, 2), (2, 0), (2, 1)), 1):
+        low, width = SEGMENTS[a]
+        bits = ((fp >> np.uint64(low)) & np.uint64((1 << width) - 1)).astype(np.int64)
+        index, ok = sets[b]
+        key = (kind << 36) | (bits[:, None] << 12) | index
         rows.append(np.nonzero(ok)[0])
         keys.append(key[ok])
     return np.concatenate(rows), np.concatenate(keys)
@@ -219,7 +227,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> Da
     """
     if max_bits > 4:
         raise ValueError("the keys cover at most 4 differing bits")
-    keys = distinct.select("fp").mapInArrow(_key_rows, "key bigint, fp bigint")
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = distinct.select("fp").repartition(parts, "fp").mapInArrow(_key_rows, "key bigint, fp bigint")
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("key", "k")
     rows = keys.join(sizes, F.col("key") == F.col("k"))
     tiles = F.ceil(F.col("n") / F.lit(tile)).cast("int")
@@ -227,7 +236,6 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> Da
     mine = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
     rows = rows.select("key", "fp", mine.alias("t"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o"))
     rows = rows.select("key", F.least("t", "o").alias("ti"), F.greatest("t", "o").alias("tj"), "fp")
-    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "key", "ti", "tj").sortWithinPartitions("key", "ti", "tj")
     return rows.mapInArrow(_group_edges(max_bits), "a bigint, b bigint").distinct()
 
