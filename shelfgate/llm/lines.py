@@ -28,7 +28,7 @@ from ..session import materialize
 SEGMENTS = 4
 MIN_NEAR_CHARS = 20
 FILTER_BITS = 1 << 23
-_BLANK = r"btrim(line, ' \t\n\u000b\u000c\r') <> ''"
+_FILLED = r"CASE WHEN ascii(line) > 32 THEN true ELSE line RLIKE '[^\\x20\\x09-\\x0D]' END"
 
 
 def _class(n: str) -> str:
@@ -36,14 +36,15 @@ def _class(n: str) -> str:
     return f"({n} - {n} % shiftleft(1, greatest(length(bin({n})) - 5, 0)))"
 
 
-_PARTS = f"""
-flatten(transform(
-  IF(n > {MIN_NEAR_CHARS} AND {_class('n')} = n, array({_class('n')}, {_class('(n - 1)')}), array({_class('n')})),
-  c -> transform(sequence(0, {SEGMENTS - 1}), j -> struct(
-    xxhash64(c, j, left(line, (j * c) DIV {SEGMENTS}), right(line, c - ((j + 1) * c) DIV {SEGMENTS})) AS key,
-    substring(line, CAST((j * c) DIV {SEGMENTS} AS INT) + 1,
-              CAST(n - (j * c) DIV {SEGMENTS} - c + ((j + 1) * c) DIV {SEGMENTS} AS INT)) AS part))))
-"""
+_CLASSES = (f"IF(n > {MIN_NEAR_CHARS} AND {_class('n')} = n, array({_class('n')}, {_class('(n - 1)')}), "
+            f"array({_class('n')}))")
+
+
+def _part(j: int) -> str:
+    """SQL: part ``j`` of a line cut by class ``c``, and the hash of the text around it."""
+    start, rest = f"({j} * c) DIV {SEGMENTS}", f"c - ({j + 1} * c) DIV {SEGMENTS}"
+    return (f"struct(xxhash64(c, {j}, left(line, CAST({start} AS INT)), right(line, CAST({rest} AS INT))) AS key, "
+            f"substring(line, CAST({start} AS INT) + 1, CAST(n - {start} - ({rest}) AS INT)) AS part)")
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -52,7 +53,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     src = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("t"))
     src = src.select("id", F.xxhash64("id", "t").alias("rid"), F.posexplode(F.split("t", "\n", -1)).alias("no", "line"))
     place = F.struct(F.col("id").isNull().alias("nul"), F.col("id"), F.col("no"), F.col("rid"))
-    return (src.where(F.expr(_BLANK))
+    return (src.where(F.expr(_FILLED))
             .select(place.alias("place"), F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"),
                     F.length("line").alias("n"), "line"))
 
@@ -69,7 +70,8 @@ def _exact(lines: DataFrame) -> DataFrame:
 def _near(lines: DataFrame, filter_bits: int) -> DataFrame:
     """First places of lines that are one edit from a line with an earlier first place."""
     parts = (lines.where(F.col("n") >= MIN_NEAR_CHARS)
-             .select("place", "k1", "k2", F.explode(F.expr(_PARTS)).alias("p"))
+             .select("*", F.explode(F.expr(_CLASSES)).alias("c"))
+             .select("place", "k1", "k2", F.explode(F.array(*[F.expr(_part(j)) for j in range(SEGMENTS)])).alias("p"))
              .select("place", "k1", "k2", F.col("p.key").alias("key"), F.col("p.part").alias("part")))
     shared = materialize(parts.groupBy("key").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi"))
                          .where("lo <> hi").select(F.col("key").alias("shared")), "line-keys")
@@ -149,7 +151,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     out = docs.join(gone, (rid == F.col("_grid")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_gid")), "left")
     kept = F.expr(f"transform(array(split(`{text_col}`, '\\n', -1)), ls -> array_join(transform("
                   "array_except(sequence(0, size(ls) - 1), _gone), i -> element_at(ls, i + 1)), '\\n'))[0]")
-    n_lines = F.expr(f"CAST(coalesce(size(filter(split(`{text_col}`, '\\n', -1), line -> {_BLANK})), 0) AS BIGINT)")
+    n_lines = F.expr(f"CAST(coalesce(size(filter(split(`{text_col}`, '\\n', -1), line -> {_FILLED})), 0) AS BIGINT)")
     n_lines = F.when(text.isNull(), F.lit(0).cast("long")).otherwise(n_lines)
     new = F.when(F.col("_gone").isNull(), text).otherwise(kept)
     return out.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
