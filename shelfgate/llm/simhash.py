@@ -72,8 +72,9 @@ def segment_indices(fp: np.ndarray, segment: tuple[int, int]) -> np.ndarray:
     return codeword_index(near)
 
 
-def fuzzy_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(position of the fingerprint, key) for all keys of an array of fingerprints."""
+def fuzzy_keys(fp: np.ndarray, kinds: str = "both") -> tuple[np.ndarray, np.ndarray]:
+    """(position of the fingerprint, key) for the keys of an array of fingerprints:
+    those with a whole segment, those of three indices, or both."""
     sets = []
     for segment in SEGMENTS:
         idx = np.sort(segment_indices(fp, segment), axis=1)
@@ -83,11 +84,16 @@ def fuzzy_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.argsort(~fresh, axis=1, kind="stable")[:, :6]
         ok = np.take_along_axis(fresh, at, 1)
         sets.append((np.take_along_axis(idx, at, 1).astype(np.int64), ok))
-    (k0, ok0), (k1, ok1), (k2, ok2) = sets
-    # no segment has more than two errors: the indices of all three
-    key = (k0[:, :, None, None] << 24) | (k1[:, None, :, None] << 12) | k2[:, None, None, :]
-    ok = ok0[:, :, None, None] & ok1[:, None, :, None] & ok2[:, None, None, :]
-    rows, keys = [np.nonzero(ok)[0]], [key[ok]]
+    rows, keys = [], []
+    if kinds != "segment":
+        (k0, ok0), (k1, ok1), (k2, ok2) = sets
+        # no segment has more than two errors: the indices of all three
+        key = (k0[:, :, None, None] << 24) | (k1[:, None, :, None] << 12) | k2[:, None, None, :]
+        ok = ok0[:, :, None, None] & ok1[:, None, :, None] & ok2[:, None, None, :]
+        rows.append(np.nonzero(ok)[0])
+        keys.append(key[ok])
+    if kinds == "indices":
+        return rows[0], keys[0]
     # a segment has no error, so one of the others has at most two: its bits and the other's index
     for kind, (a, b) in enumerate(((0, 1), (0, 2), (1, 0), (1, 2), (2, 0), (2, 1)), 1):
         low, width = SEGMENTS[a]
@@ -137,13 +143,15 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return src.mapInArrow(_fingerprints(shingle_words), f"id {id_type}, fp bigint")
 
 
-def _key_rows(batches):
-    for batch in batches:
-        fp = batch.column("fp").to_numpy(zero_copy_only=False).astype(np.int64)
-        for lo in range(0, len(fp), 2000):
-            part = fp[lo:lo + 2000]
-            rows, keys = fuzzy_keys(part.view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[rows])], names=["key", "fp"])
+def _key_rows(kinds: str):
+    def run(batches):
+        for batch in batches:
+            fp, value = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("fp", "value"))
+            for lo in range(0, len(fp), 2000):
+                rows, keys = fuzzy_keys(fp[lo:lo + 2000].view(np.uint64), kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(value[lo:lo + 2000][rows])],
+                                                 names=["key", "value"])
+    return run
 
 
 def stars(fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -219,18 +227,27 @@ def _group_edges(max_bits: int):
     return run
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
-    """Edges (a > b) that connect every two fingerprints at most ``max_bits`` apart.
+def links(nodes: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE, kinds: str = "both") -> DataFrame:
+    """Edges (a > b) that connect the fingerprints at most ``max_bits`` apart that share a key.
 
-    ``distinct`` has the column ``fp`` without repeats. Not every such pair is
-    an edge, but each is connected through edges of at most ``max_bits``.
+    ``nodes`` has the columns ``fp``, without repeats, and ``root``, the
+    component the fingerprint is known to be in (itself at first): only keys
+    of more than one component are looked at. Not every such pair is an edge,
+    but each is connected through edges of at most ``max_bits``.
     """
     if max_bits > 4:
         raise ValueError("the keys cover at most 4 differing bits")
-    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = distinct.select("fp").repartition(parts, "fp").mapInArrow(_key_rows, "key bigint, fp bigint")
-    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("key", "k")
-    rows = keys.join(sizes, F.col("key") == F.col("k"))
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nodes = nodes.select("fp", "root").repartition(parts, "fp")
+
+    def keyed(column: str) -> DataFrame:
+        return (nodes.select("fp", F.col(column).alias("value"))
+                .mapInArrow(_key_rows(kinds), "key bigint, value bigint"))
+
+    mixed = (keyed("root").groupBy("key")
+             .agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count(F.lit(1)).alias("n"))
+             .where("lo <> hi").select(F.col("key").alias("k"), "n"))
+    rows = keyed("fp").withColumnRenamed("value", "fp").join(mixed, F.col("key") == F.col("k"))
     tiles = F.ceil(F.col("n") / F.lit(tile)).cast("int")
     rows = rows.select("key", "fp", tiles.alias("tiles"))
     mine = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
@@ -269,6 +286,20 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
+def linked_components(distinct: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
+    """(node, root) of the fingerprints in the column ``fp``, without repeats.
+
+    The fewer keys with a whole segment come first; the keys of three indices
+    then need only find links between the components known by then, so a
+    large group of close fingerprints is not walked once more for each key.
+    """
+    first = components(links(distinct.select("fp", F.col("fp").alias("root")), max_bits, tile, "segment"))
+    known = (distinct.join(first, F.col("fp") == F.col("node"), "left")
+             .select("fp", F.coalesce("root", "fp").alias("root")))
+    second = links(known, max_bits, tile, "indices")
+    return components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(second).distinct())
+
+
 def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """id, ``fp`` (signed long) and ``component_id`` per row of ``docs``.
@@ -283,7 +314,7 @@ def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """
     fps = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words), "simhash")
     reps = materialize(fps.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
-    roots = components(links(reps, max_bits))
+    roots = linked_components(reps.select("fp"), max_bits)
     named = (reps.join(roots, F.col("fp") == F.col("node"), "left")
              .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id")).withColumnRenamed("root", "r")

@@ -197,8 +197,8 @@ def test_links_in_tiles_connect_the_same(spark):
     near = [int(s) ^ sum(1 << int(b) for b in rng.choice(64, k, replace=False)) for s in seeds for k in (0, 1, 2, 3, 4) for _ in range(8)]
     fps = sorted({int(np.uint64(f).astype(np.int64)) for f in near})
     df = spark.createDataFrame([(f,) for f in fps], "fp long")
-    whole = {r.node: r.root for r in simhash.components(simhash.links(df)).collect()}
-    tiled = {r.node: r.root for r in simhash.components(simhash.links(df, tile=4)).collect()}
+    whole = {r.node: r.root for r in simhash.linked_components(df).collect()}
+    tiled = {r.node: r.root for r in simhash.linked_components(df, tile=4).collect()}
     assert whole == tiled and len(set(whole.values())) == 3
 
 
