@@ -23,6 +23,12 @@ from pyspark.sql.types import (
 )
 
 
+def _number(c: Column) -> Column:
+    """Text as a double; the type suffixes and hexadecimal floats that Java reads are no numbers."""
+    t = F.trim(c)
+    return F.when(~t.rlike(r"[0-9.][dDfF]$|[xX]"), t.try_cast(DoubleType()))
+
+
 def to_type(c: Column, source: DataType, target: DataType) -> Column:
     """Cast ``c`` (of type ``source``) to ``target``; bad values become null."""
     if source == target:
@@ -36,7 +42,7 @@ def to_type(c: Column, source: DataType, target: DataType) -> Column:
     if isinstance(target, (FloatType, DoubleType)):
         if isinstance(source, StringType):
             # parse as double first so that the float rounding happens once
-            return F.trim(c).try_cast(DoubleType()).cast(target)
+            return _number(c).cast(target)
         if isinstance(source, (NumericType, BooleanType)):
             return c.cast(target)
         return c.try_cast(target)
@@ -58,7 +64,7 @@ def as_double(c: Column, source: DataType) -> Column:
     if isinstance(source, DoubleType):
         return c
     if isinstance(source, StringType):
-        return F.trim(c).try_cast(DoubleType())
+        return _number(c)
     return c.cast(DoubleType())
 
 

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import json_valid
 from ..functions.schema import col
-from ..session import is_small
-from .keys import repeated_keys
 
 
 def _rates(df: DataFrame, per_col: dict, measure, rate_name: str, limit_name: str, passed) -> DataFrame:
@@ -39,25 +37,14 @@ def json_rates(df: DataFrame, floors: dict[str, float]) -> DataFrame:
 def unique_per_group(df: DataFrame, group: list[str], key: str) -> DataFrame:
     """(group..., ids, distinct_ids, duplicated_ids, passed) over non-null keys.
 
-    Small input: count per (group, key), then per group. Large input: ids per
-    group are a map-side count and only repeated (group, key) pairs are
-    grouped (hash-first, exact), so distinct keys never cross the shuffle.
+    Counted per (group, key), then per group, both combined map-side. A null
+    group is a group of its own.
     """
     src = df.where(col(key).isNotNull())
     gcols = [col(g) for g in group]
-    if is_small(df):
-        per_key = src.groupBy(*gcols, col(key)).agg(F.count(F.lit(1)).alias("n"))
-        out = per_key.groupBy(*gcols).agg(
-            F.sum("n").cast("long").alias("ids"),
-            F.count(F.lit(1)).cast("long").alias("distinct_ids"),
-            F.count_if(F.col("n") > 1).cast("long").alias("duplicated_ids"))
-    else:
-        ids = src.groupBy(*gcols).agg(F.count(F.lit(1)).cast("long").alias("ids"))
-        rep = (repeated_keys(src, group + [key], nulls_equal=False).groupBy(*gcols)
-               .agg(F.count(F.lit(1)).cast("long").alias("duplicated_ids"),
-                    F.sum(F.col("_n") - 1).cast("long").alias("_surplus")))
-        out = (ids.join(rep, group, "left")      # both sides: one row per group
-               .select(*gcols, "ids",
-                       (F.col("ids") - F.coalesce(F.col("_surplus"), F.lit(0))).alias("distinct_ids"),
-                       F.coalesce(F.col("duplicated_ids"), F.lit(0)).cast("long").alias("duplicated_ids")))
+    per_key = src.groupBy(*gcols, col(key)).agg(F.count(F.lit(1)).alias("n"))
+    out = per_key.groupBy(*gcols).agg(
+        F.sum("n").cast("long").alias("ids"),
+        F.count(F.lit(1)).cast("long").alias("distinct_ids"),
+        F.count_if(F.col("n") > 1).cast("long").alias("duplicated_ids"))
     return out.withColumn("passed", F.col("duplicated_ids") == 0)

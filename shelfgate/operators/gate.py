@@ -135,7 +135,7 @@ def _ok(fails: Column, denom: Column, mostly: float | None) -> Column:
     """Rule success for one file: nothing failing, or within ``mostly``."""
     if mostly is None:
         return fails == 0
-    return (fails == 0) | (fails / F.greatest(denom, F.lit(1)) <= F.lit(1.0 - mostly))
+    return (fails == 0) | ((denom - fails) / F.greatest(denom, F.lit(1)) >= F.lit(mostly))
 
 
 def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,

@@ -31,7 +31,6 @@ from pyspark.sql.types import (
 )
 
 from ..functions.predicates import is_missing
-from ..session import is_small
 from .keys import repeated_keys
 
 # --- fixed values: distinct-count ceiling for a categorical text column ----
@@ -96,46 +95,6 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None,
             .agg(F.max("n_distinct").cast("long").alias("n_distinct")))
 
 
-def _capped_sets(columns: list[str], cap: int):
-    """mapInPandas body: per partition, up to ``cap + 1`` distinct values per column.
-
-    Holding more than ``cap`` values in one partition proves the column has
-    more than ``cap`` distinct values; it is then flagged and its values dropped.
-    """
-    def run(batches):
-        import pandas as pd
-
-        seen: dict[str, set] = {c: set() for c in columns}
-        over = dict.fromkeys(columns, False)
-        for pdf in batches:
-            for c in columns:
-                if not over[c]:
-                    seen[c].update(pdf[c].dropna().unique().tolist())
-                    if len(seen[c]) > cap:
-                        over[c], seen[c] = True, set()
-        rows = [(c, None, True) for c in columns if over[c]]
-        rows += [(c, v, False) for c in columns if not over[c] for v in seen[c]]
-        yield pd.DataFrame(rows, columns=["column", "value", "over"])
-
-    return run
-
-
-def capped_distinct_counts(df: DataFrame, columns: list[str], cap: int) -> DataFrame:
-    """(column, n_distinct): exact when at most ``cap``, null when more. Bounded shuffle.
-
-    Each partition sends at most ``cap + 1`` values per column (or one
-    overflow flag), so high-cardinality text never crosses the shuffle.
-    """
-    texts = df.select(*[_q(c).cast("string").alias(c) for c in columns])
-    parts = texts.mapInPandas(_capped_sets(columns, cap), "column string, value string, over boolean")
-    per_col = parts.groupBy("column").agg(F.max("over").alias("_over"),
-                                          F.count_distinct("value").alias("_nd"))
-    zero = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    return zero.join(F.broadcast(per_col), "column", "left").select(   # one row per column
-        "column", F.when(F.coalesce(F.col("_over"), F.lit(False)), F.lit(None))
-        .otherwise(F.coalesce(F.col("_nd"), F.lit(0))).cast("long").alias("n_distinct"))
-
-
 def column_stats(df: DataFrame, max_categorical: int = CATEGORICAL_MAX_DISTINCT,
                  approx_rsd: float | None = None) -> DataFrame:
     """(column, kind, n_nonnull, n_distinct) — kind is Boolean, DateTime, Numeric,
@@ -143,10 +102,8 @@ def column_stats(df: DataFrame, max_categorical: int = CATEGORICAL_MAX_DISTINCT,
 
     Unsupported = no non-null value; text columns with at most
     ``max_categorical`` distinct values are Categorical, the rest Text.
-    ``n_distinct`` is exact for text and boolean columns (small input), or
-    exact up to ``max_categorical`` and null above it (large input: the
-    capped per-partition sets of :func:`capped_distinct_counts`, so
-    high-cardinality text is never shuffled); null for other kinds.
+    ``n_distinct`` is exact for text and boolean columns at every size, and
+    null for other kinds.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     counted = [c for c in df.columns if isinstance(types[c], (StringType, BooleanType))]
@@ -156,10 +113,7 @@ def column_stats(df: DataFrame, max_categorical: int = CATEGORICAL_MAX_DISTINCT,
                  F.col(f"_c{i}").alias("n_nonnull"))
         for i, c in enumerate(df.columns)])))
     if counted:
-        if approx_rsd is None and not is_small(df):
-            nd = capped_distinct_counts(df, counted, max_categorical)
-        else:
-            nd = distinct_counts(df, counted, approx_rsd)
+        nd = distinct_counts(df, counted, approx_rsd)
         base = base.join(F.broadcast(nd), "column", "left")  # at most one row per column
     else:
         base = base.withColumn("n_distinct", F.lit(None).cast("long"))
@@ -264,8 +218,7 @@ def association_columns(df: DataFrame, stats: DataFrame | None = None,
     counted = [c for c in df.columns if isinstance(types[c], (StringType, BooleanType))]
     if not counted:
         return []
-    nd = (distinct_counts(df, counted) if is_small(df)
-          else capped_distinct_counts(df, counted, max_categorical))
+    nd = distinct_counts(df, counted)
     levels = {r["column"]: r["n_distinct"] for r in nd.collect()}   # one row per column
     return [c for c in counted if levels.get(c) is not None and 1 < levels[c] <= max(max_categorical, 2)]
 

@@ -137,24 +137,13 @@ def rules_frame(spark: SparkSession, rules: list[Rule]) -> DataFrame:
 
 def read_rules_json(spark: SparkSession, path: str) -> DataFrame:
     """Rule file read by Spark itself (any file system Spark reaches): one row per expectation."""
-    raw = spark.read.option("multiLine", True).json(path)
-    e = F.posexplode("expectations").alias("pos", "e")
-    rows = raw.select(e)
-    kw_fields = set()
-    for f in rows.schema["e"].dataType.fields:
-        if f.name == "kwargs":
-            kw_fields = set(f.dataType.fieldNames())
-
-    def kw(name: str, cast: str) -> Column:
-        return (F.col(f"e.kwargs.{name}").cast(cast) if name in kw_fields
-                else F.lit(None).cast(cast)).alias(name)
-
-    return rows.select(
-        (F.col("pos") + 1).alias("position"),
-        F.col("e.expectation_type").alias("expectation_type"),
-        kw("column", "string"), kw("min_value", "double"), kw("max_value", "double"),
-        kw("mostly", "double"),
-    )
+    kwargs = "column string, min_value string, max_value string, mostly string"
+    raw = (spark.read.schema(f"expectations array<struct<expectation_type string, kwargs struct<{kwargs}>>>")
+           .option("multiLine", True).json(path))
+    rows = raw.select(F.posexplode("expectations").alias("pos", "e"))
+    numbers = [F.col(f"e.kwargs.{n}").try_cast("double").alias(n) for n in ("min_value", "max_value", "mostly")]
+    return rows.select((F.col("pos") + 1).alias("position"), F.col("e.expectation_type").alias("expectation_type"),
+                       F.col("e.kwargs.column").alias("column"), *numbers)
 
 
 def load_rules_spark(spark: SparkSession, path: str) -> list[Rule]:

@@ -68,18 +68,28 @@ def list_entries(spark: SparkSession, input_dir: str) -> DataFrame:
              .load(root)
              .select("path", "modificationTime", "length"))
     # path of the first component below root: a file, or the folder holding part files
-    first = F.regexp_extract(F.col("path"), r"^(.*?/" + _escape(root.split("/")[-1]) + r"/[^/]+)", 1)
-    return (files.select(F.when(first != "", first).otherwise(F.col("path")).alias("path"),
+    below = below_root(F.col("path"), root_path(spark, root))
+    entry = F.expr("left(path, length(path) - length(below) + length(first))")
+    files = (files.withColumn("below", below).withColumn("first", F.substring_index("below", "/", 1)))
+    return (files.select(F.when(F.col("first") != "", entry).otherwise(F.col("path")).alias("path"),
                          F.col("path").alias("leaf"), "modificationTime", "length")
             .groupBy("path").agg(F.max("modificationTime").alias("modified"),
                                  F.sum("length").alias("bytes"),
                                  F.min("leaf").alias("sample_file")))
 
 
-def _escape(s: str) -> str:
-    import re
+def root_path(spark: SparkSession, root: str) -> str:
+    """The path of ``root`` as its file system resolves it, without scheme and host."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toUri().getPath().rstrip("/")
 
-    return re.escape(s)
+
+def below_root(path: Column, root: str) -> Column:
+    """What follows ``root`` (see :func:`root_path`) in an unencoded path; empty if it is elsewhere."""
+    bare = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.when(bare.startswith(root + "/"), F.substring(bare, len(root) + 2, 1 << 30)).otherwise("")
 
 
 def read_catalog(spark: SparkSession, input_dir: str, sources: list[str] | None = None) -> DataFrame:

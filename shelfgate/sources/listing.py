@@ -9,13 +9,13 @@ their ordered ``(name, type)`` list first; each group is one scan.
 
 from __future__ import annotations
 
-import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import nanos_to_timestamp_ntz
 from ..functions.schema import SOURCE_FILE
+from .catalog import below_root, root_path
 
 _SCHEMA_ROW = "file_name string, ordinal int, column string, type string"
 # type name of a parquet TIMESTAMP(NANOS) column, which Spark reads only as a long
@@ -86,10 +86,11 @@ def with_spark_fallback(spark: SparkSession, schemas: DataFrame, catalog: DataFr
     return schemas.where(F.col("column") != UNREADABLE).unionByName(fixed)
 
 
-def entry_name(root: str) -> F.Column:
+def entry_name(spark: SparkSession, root: str) -> F.Column:
     """Name of the top-level entry under ``root`` holding the scanned row."""
-    leaf = re.escape(root.rstrip("/").split("/")[-1])
-    return F.regexp_extract(F.col("_metadata.file_path"), leaf + r"/([^/]+)", 1)
+    # the metadata path is URL-encoded; a plus sign in it stands for itself
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.substring_index(below_root(path, root_path(spark, root)), "/", 1)
 
 
 def nanos_columns(signature: str) -> list[str]:
@@ -111,4 +112,4 @@ def scan_group(spark: SparkSession, root: str, paths: list[str],
     df = spark.read.parquet(*paths)
     for c in nanos or []:
         df = df.withColumn(c, nanos_to_timestamp_ntz(F.col(f"`{c}`")))
-    return df.withColumn(SOURCE_FILE, entry_name(root))
+    return df.withColumn(SOURCE_FILE, entry_name(spark, root))

@@ -71,7 +71,7 @@ def stream_ingest(spark: SparkSession, input_dir: str, raw_schema: StructType |
               .option("pathGlobFilter", "*.parquet"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    src = reader.parquet(input_dir).withColumn(SOURCE_FILE, entry_name(input_dir))
+    src = reader.parquet(input_dir).withColumn(SOURCE_FILE, entry_name(spark, input_dir))
     writer = (src.writeStream
               .foreachBatch(_process(rules, sources, output_path, verdicts_path, quarantine_path,
                                      schema, on_type_error))

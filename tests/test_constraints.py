@@ -20,11 +20,12 @@ def test_missing_and_json_rates(spark):
     assert js["valid_rate"] == 4 / 5 and js["passed"] is False       # over non-null values
 
 
-def test_unique_per_group_both_plans(spark, monkeypatch):
-    from shelfgate import session
-
+def test_unique_per_group(spark):
     expected = {("r1", 3, 2, 1, False), ("r2", 1, 1, 0, True)}
-    small = {tuple(r) for r in K.unique_per_group(_frame(spark), ["Retailer"], "Product_ID").collect()}
-    monkeypatch.setattr(session, "SMALL_INPUT_BYTES", -1)
-    large = {tuple(r) for r in K.unique_per_group(_frame(spark), ["Retailer"], "Product_ID").collect()}
-    assert small == large == expected
+    assert {tuple(r) for r in K.unique_per_group(_frame(spark), ["Retailer"], "Product_ID").collect()} == expected
+
+
+def test_null_group_is_a_group(spark):
+    df = spark.createDataFrame([(None, "x"), (None, "x"), ("r", "x")], "Retailer string, Product_ID string")
+    found = {tuple(r) for r in K.unique_per_group(df, ["Retailer"], "Product_ID").collect()}
+    assert found == {(None, 2, 1, 1, False), ("r", 1, 1, 0, True)}
