@@ -49,10 +49,11 @@ class GateResult:
     missing_required: list[str] = field(default_factory=list)
     _input_cols: list[str] = field(default_factory=list)
     n_files: int = 0
+    helper: str = "_"          # start of the helper columns of ``rows``
 
     # -- row outputs -------------------------------------------------------
     def _survives(self) -> Column:
-        return (F.size("failed_rules") == 0) & F.col("_file_ok")
+        return (F.size("failed_rules") == 0) & F.col(self.helper + "file_ok")
 
     def survivors(self) -> DataFrame:
         return self.rows.where(self._survives()).select(*[F.col(f"`{c}`") for c in self._input_cols])
@@ -64,14 +65,14 @@ class GateResult:
             *[F.col(f"`{c}`") for c in self._input_cols], "failed_rules")
 
     def flagged(self) -> DataFrame:
-        return self.rows.select(*self._input_cols, "failed_rules")
+        return self.rows.select(*[F.col(f"`{c}`") for c in self._input_cols], "failed_rules")
 
     # -- file outputs ------------------------------------------------------
     def verdicts(self) -> DataFrame:
         """accept: nothing failed; repair: failing rows dropped, survivors kept;
         reject: required column missing, every row failed, or a rule errored
         while no row failed."""
-        counts = self.rows.groupBy("_file").agg(
+        counts = self.rows.groupBy(F.col(self.helper + "file").alias("_file")).agg(
             F.count(F.lit(1)).alias("rows"),
             F.count_if(F.size("failed_rules") > 0).alias("failing_rows"),
         )
@@ -138,22 +139,32 @@ def _ok(fails: Column, denom: Column, mostly: float | None) -> Column:
     return (fails == 0) | ((denom - fails) / F.greatest(denom, F.lit(1)) >= F.lit(mostly))
 
 
+def _helper(columns: list[str]) -> str:
+    """A start of names that no input column has."""
+    start = "_"
+    while any(c.lower().startswith(start) for c in columns):
+        start += "_"
+    return start
+
+
 def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
          on_type_error: str = "cast", required: list[str] | None = None) -> GateResult:
     input_cols = list(df.columns)
     missing = [c for c in (required or []) if c not in input_cols]
     # a null file key still names one file, so none of its rows is orphaned
-    base = df.withColumn("_file", F.coalesce(F.col(f"`{file_col}`").cast("string"), F.lit(NO_FILE))
+    h = _helper(input_cols)
+    base = df.withColumn(h + "file", F.coalesce(F.col(f"`{file_col}`").cast("string"), F.lit(NO_FILE))
                          if file_col else F.lit(ALL_FILES))
+    file = F.col(h + "file").alias("_file")
     plans = plan_rules(df.schema, rules, on_type_error)
     if missing:
         # Rejected before any rule runs: no rows survive, no rule is evaluated.
-        facts = base.groupBy("_file").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
-            "rules_failed", F.lit(0).cast("long"))
+        facts = materialize(base.groupBy(file).agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
+            "rules_failed", F.lit(0).cast("long")), "gate-facts", in_memory=is_small(df))
         rows = base.withColumn("failed_rules", F.array().cast("array<string>")).withColumn(
-            "_file_ok", F.lit(False))
+            h + "file_ok", F.lit(False))
         skipped = [RulePlan(p.rule, "skipped", "file rejected: missing required columns") for p in plans]
-        return GateResult(rows, facts, skipped, file_col, missing, input_cols)
+        return GateResult(rows, facts, skipped, file_col, missing, input_cols, facts.count(), h)
 
     active = [(i, p) for i, p in enumerate(plans) if p.status == "active"]
     errors = [p for p in plans if p.status == "error"]
@@ -163,23 +174,24 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
     repeats = {}
     for i, p in active:
         if p.fails is None:
-            rk = materialize(repeated_keys(base, ["_file", p.rule.column], nulls_equal=False),
+            base = base.withColumn(f"{h}id{i}", p.value)
+            rk = materialize(repeated_keys(base, [h + "file", f"{h}id{i}"], nulls_equal=False),
                              "gate-repeats", in_memory=in_memory)
             repeats[i] = rk
 
     # ---- pass 1: per-file facts ------------------------------------------
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for i, p in active:
-        c = F.col(f"`{p.rule.column}`")
+        c = F.col(f"{h}id{i}" if i in repeats else f"`{p.rule.column}`")
         aggs.append(F.count_if(c.isNotNull()).alias(f"nn{i}"))
         if p.fails is not None:
             aggs.append(F.count_if(p.fails).alias(f"f{i}"))
         else:
             aggs.append(F.count_if(c.isNull()).alias(f"z{i}"))
-    facts = base.groupBy("_file").agg(*aggs)
+    facts = base.groupBy(file).agg(*aggs)
     for i, rk in repeats.items():
         # small: repeated keys only; rows in repeated keys and number of such keys
-        dup = rk.groupBy("_file").agg(F.sum("_n").alias(f"f{i}"), F.count(F.lit(1)).alias(f"kd{i}"))
+        dup = rk.groupBy(file).agg(F.sum("_n").alias(f"f{i}"), F.count(F.lit(1)).alias(f"kd{i}"))
         facts = (facts.join(dup, "_file", "left")
                  .withColumn(f"f{i}", F.coalesce(F.col(f"f{i}"), F.lit(0)))
                  .withColumn(f"kd{i}", F.coalesce(F.col(f"kd{i}"), F.lit(0))))
@@ -214,32 +226,33 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
     n_files, n_rows = int(stats["files"]), int(stats["rows"] or 0)
 
     # ---- pass 2: row flags -----------------------------------------------
+    flag = {k: h + k.removeprefix("_") for k in keep}
     rows = base
     for i, rk in repeats.items():
-        rows = attach_repeats(rows, ["_file", plans[i].rule.column], rk, int(stats[f"kd{i}"] or 0),
-                              f"_k{i}", nulls_equal=False, total=n_rows)
+        rows = attach_repeats(rows, [h + "file", f"{h}id{i}"], rk, int(stats[f"kd{i}"] or 0),
+                              f"{h}k{i}", nulls_equal=False, total=n_rows)
     if file_col is None:
         # one file: its facts are one row of flags, inlined as literals (no join)
         for k in keep:
-            rows = rows.withColumn(k, F.lit(bool(stats[k]) if n_files else False))
+            rows = rows.withColumn(flag[k], F.lit(bool(stats[k]) if n_files else False))
     else:
-        small = facts.select("_file", *keep)
+        small = facts.select(F.col("_file").alias(h + "file"), *[F.col(k).alias(flag[k]) for k in keep])
         if n_files <= MAX_BROADCAST_FILES:
             small = F.broadcast(small)
-        rows = rows.join(small, "_file", "left")
+        rows = rows.join(small, h + "file", "left")
     tags = []
     for i, p in active:
         if p.fails is not None:
             bad = p.fails
         else:
-            c = F.col(f"`{p.rule.column}`")
-            bad = (c.isNotNull() & (F.coalesce(F.col(f"_k{i}"), F.lit(1)) > 1)) | (c.isNull() & F.col(f"nf{i}"))
-        tags.append(F.when(bad & ~F.col(f"s{i}"), F.lit(p.rule.rule_id)))
+            c = F.col(f"{h}id{i}")
+            bad = (c.isNotNull() & (F.coalesce(F.col(f"{h}k{i}"), F.lit(1)) > 1)) | (c.isNull() & F.col(f"{h}nf{i}"))
+        tags.append(F.when(bad & ~F.col(f"{h}s{i}"), F.lit(p.rule.rule_id)))
     if tags:
         failed = F.array_compact(F.array(*tags))
     else:
         failed = F.array().cast("array<string>")
-    rows = rows.select(*[F.col(f"`{c}`") for c in input_cols], "_file",
-                       F.coalesce(F.col("_file_ok"), F.lit(False)).alias("_file_ok"),
+    rows = rows.select(*[F.col(f"`{c}`") for c in input_cols], h + "file",
+                       F.coalesce(F.col(h + "file_ok"), F.lit(False)).alias(h + "file_ok"),
                        failed.alias("failed_rules"))
-    return GateResult(rows, facts, plans, file_col, [], input_cols, n_files)
+    return GateResult(rows, facts, plans, file_col, [], input_cols, n_files, h)

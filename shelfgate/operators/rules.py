@@ -199,7 +199,9 @@ def plan_rules(schema: StructType, rules: list[Rule],
         if r.kind == "not_null":
             plans.append(RulePlan(r, "active", fails=is_missing(c, dtype)))
         elif r.kind == "unique":
-            plans.append(RulePlan(r, "active", value=c))
+            # NaN is a missing id, as in the not-null rule
+            floating = isinstance(dtype, (DoubleType, FloatType))
+            plans.append(RulePlan(r, "active", value=F.when(~F.isnan(c), c) if floating else c))
         elif r.kind == "between":
             if isinstance(dtype, NumericType):
                 v = as_double(c, dtype) if not isinstance(dtype, (DoubleType, FloatType)) else c

@@ -31,7 +31,7 @@ from ..operators.rules import Rule
 from ..operators.schema_checks import new_column_log, schema_missing, schema_signature
 from ..session import is_small, materialize
 from ..sources.catalog import parse_names, read_catalog
-from ..sources.listing import UNREADABLE, file_schemas, nanos_columns, scan_group, with_spark_fallback
+from ..sources.listing import UNREADABLE, damaged_files, file_schemas, nanos_columns, scan_group, with_spark_fallback
 from ..sources.sinks import append_column_log, write_unified
 
 
@@ -142,14 +142,30 @@ def run_ingest(spark: SparkSession, input_dir: str, output_path: str, rules: lis
     outcomes = []
     errored = []
     name_of = {r["path"]: r["file_name"] for r in plan}
+
+    def gated(signature: str, paths: list[str]) -> IngestOutcome:
+        df = scan_group(spark, input_dir, paths, nanos_columns(signature))
+        return ingest_frame(df, rules, file_col=SOURCE_FILE, schema=schema, on_type_error=on_type_error)
+
     for signature, paths in groups.items():
+        bad = paths
         try:
-            df = scan_group(spark, input_dir, paths, nanos_columns(signature))
-            outcomes.append(ingest_frame(df, rules, file_col=SOURCE_FILE, schema=schema,
-                                         on_type_error=on_type_error))
+            try:
+                outcomes.append(gated(signature, paths))
+                continue
+            except Exception:  # noqa: BLE001 - the files that can be read are gated without the others
+                names = damaged_files(spark, input_dir, paths, nanos_columns(signature))
+                bad = [p for p in paths if name_of[p] in names]
+                if not bad:
+                    bad = paths
+                elif len(bad) < len(paths):
+                    damaged, bad = bad, paths
+                    outcomes.append(gated(signature, [p for p in paths if p not in damaged]))
+                    bad = damaged
+                raise
         except Exception as exc:  # noqa: BLE001 - like the reference, an error rejects the file, not the run
-            log.error("files %s rejected: %s", [name_of[p] for p in paths], exc)
-            errored += [(name_of[p], f"error: {type(exc).__name__}: {exc}"[:500]) for p in paths]
+            log.error("files %s rejected: %s", [name_of[p] for p in bad], exc)
+            errored += [(name_of[p], f"error: {type(exc).__name__}: {exc}") for p in bad]
     verdict_parts = [o.verdicts for o in outcomes]
     failures = [(r["file"], "unreadable: " + r["error"]) for r in broken] + errored
     if failures:

@@ -414,6 +414,21 @@ GROUP BY signature, n_columns"""
     q["gate_quarantine"] = _with(LISTING, _flags_cte("'<all>'")) + \
         f"SELECT {_raw_cols()}, {_failed_text()} AS failed_rules FROM flags WHERE {_any_failed()}"
     q["rule_report"] = _rule_report_sql()
+    q["rule_report_mixed"] = """
+WITH s AS (SELECT count(*) AS n, count(*) FILTER (WHERE event_id % 10 = 0) AS bad FROM events)
+SELECT '<all>' AS file, 1 AS position, 'not_null:Shelf' AS rule_id,
+  'ExpectColumnValuesToNotBeNull' AS expectation_type, 'Shelf' AS "column",
+  CASE WHEN 10 * bad <= n THEN 'pass' ELSE 'fail' END AS status, 10 * bad <= n AS success,
+  bad AS unexpected_rows, '' AS reason FROM s
+UNION ALL SELECT '<all>', 2, 'not_null:Shelf', 'ExpectColumnValuesToNotBeNull', 'Shelf',
+  CASE WHEN 20 * bad <= n THEN 'pass' ELSE 'fail' END, 20 * bad <= n, bad, '' FROM s
+UNION ALL VALUES
+  ('<all>', 3, 'not_null:Aisle', 'ExpectColumnValuesToNotBeNull', 'Aisle', 'skipped', true, 0, 'column not in data'),
+  ('<all>', 4, 'unknown:Sale_Price', 'ExpectColumnMedianToBeBetween', 'Sale_Price', 'skipped', true, 0,
+   'unsupported rule type'),
+  ('<all>', 5, 'between:Original_Price', 'ExpectColumnValuesToBeBetween', 'Original_Price', 'error', false, 0,
+   'cannot compare string with a number'),
+  ('<all>', 6, 'not_null:None', 'ExpectColumnValuesToNotBeNull', NULL, 'error', false, 0, 'rule names no column')"""
     q["rule_report_per_file"] = _rule_report_sql("Retailer")
     q["file_verdict"] = _verdict_sql("Retailer", (LISTING,), "listing")
 
@@ -429,6 +444,8 @@ FROM (SELECT Retailer, Product_ID, count(*) AS n FROM listing WHERE Product_ID I
 FROM listing"""
 
     q["ingest_file"] = _ingest_sql(False)
+    q["ingest_folder"] = (_with(LISTING, _flags_cte("Retailer"))
+                          + f"SELECT {_conformed_cols()} FROM flags WHERE NOT {_any_failed()}")
     q["ingest_unified"] = _ingest_sql(True)
     q["sink_unified"] = "SELECT * FROM (" + _ingest_sql(True) + ") UNION ALL SELECT * FROM (" + _ingest_sql(True) + ")"
     q["column_log"] = FS + (f"SELECT file_name, \"column\" AS new_column, TIMESTAMP '{DETECTION_TIME}' AS detection_time "
@@ -449,6 +466,15 @@ HAVING count(*) > 1 ORDER BY l_orderkey NULLS FIRST, l_linenumber NULLS FIRST LI
     q["audit_null_counts"] = LC + " UNION ALL ".join(
         f"SELECT '{c}' AS column, count(*) AS null_count FROM conformed WHERE {c} IS NULL HAVING count(*) > 0" for c in req)
     q["audit_overall"] = _audit_sql()
+    q["audit_table"] = LC + """, t AS (
+  SELECT * FROM conformed UNION ALL SELECT * FROM conformed WHERE Retailer = 'view'),
+u AS (SELECT count(*) AS n FROM (SELECT DISTINCT Retailer, Store_Info, Product_ID, Run_Date FROM t))
+SELECT false AS schema_passed, '["Brand"]' AS missing_columns, false AS types_passed,
+  'In_Stock' AS mismatched_column, 'string' AS actual_type, count(*) = any_value(n) AS duplicates_passed,
+  count(*) AS total_records, any_value(n) AS unique_records, count(*) - any_value(n) AS duplicate_records,
+  false AS nulls_passed, count(*) FILTER (WHERE Product_ID IS NULL) AS null_ids,
+  count(*) FILTER (WHERE Category_Traversal IS NULL) AS null_categories, false AS overall_passed
+FROM t, u"""
     q["preview_rows"] = LC + "SELECT * FROM conformed ORDER BY Run_Date, Retailer, Product_Name LIMIT 20"
 
     q["profile_missing"] = _missing_sql()

@@ -25,12 +25,13 @@ from ..operators.conform import (
     union_conformed,
 )
 from ..operators.gate import gate
-from ..operators.rules import JSON_RATE_FLOORS, MISSING_RATE_LIMITS, RANGE_TOLERANCE, default_rules
+from ..operators.rules import JSON_RATE_FLOORS, MISSING_RATE_LIMITS, RANGE_TOLERANCE, default_rules, parse_rules
 from ..session import scratch_path
 from ..sources import fixtures as X
 from ..sources.catalog import basename, parse_names
 from ..sources.sinks import append_column_log, read_column_log, write_unified
-from .ingest import ingest_frame, ingest_latest_frame
+from .audit import run_audit
+from .ingest import ingest_frame, ingest_latest_frame, run_ingest
 
 REFERENCE_DATE = "2024-01-20"
 DETECTION_TIME = "2024-02-01 00:00:00"
@@ -219,6 +220,24 @@ def q_rule_report(spark, sf):
     return gate(_listing(spark, sf), _rules()).rule_report()
 
 
+MIXED_RULES = {"expectations": [
+    {"expectation_type": "ExpectColumnValuesToNotBeNull", "kwargs": {"column": "Shelf", "mostly": 0.9}},
+    {"expectation_type": "ExpectColumnValuesToNotBeNull", "kwargs": {"column": "Shelf", "mostly": 0.95}},
+    {"expectation_type": "ExpectColumnValuesToNotBeNull", "kwargs": {"column": "Aisle"}},
+    {"expectation_type": "ExpectColumnMedianToBeBetween", "kwargs": {"column": "Sale_Price"}},
+    {"expectation_type": "ExpectColumnValuesToBeBetween",
+     "kwargs": {"column": "Original_Price", "min_value": 4, "max_value": 5760}},
+    {"expectation_type": "ExpectColumnValuesToNotBeNull"},
+]}
+
+
+def q_rule_report_mixed(spark, sf):
+    """Rules that pass by ``mostly`` (a tenth of the rows fails), fail, are skipped, or cannot run."""
+    shelf = F.when(~F.col("Product_Name").endswith("0"), F.lit("a")).alias("Shelf")
+    df = _listing(spark, sf).select("*", shelf)
+    return gate(df, parse_rules(MIXED_RULES), on_type_error="error").rule_report()
+
+
 def q_rule_report_per_file(spark, sf):
     """A5: per-rule result per file."""
     return gate(_listing(spark, sf), _rules(), file_col="Retailer").rule_report()
@@ -274,6 +293,17 @@ def q_ingest_unified(spark, sf):
                                sources=X.EVENT_SOURCES, reference_date=REFERENCE_DATE).unified
 
 
+def q_ingest_folder(spark, sf):
+    """A landing folder ingested whole; its path holds a blank and repeats its last name."""
+    base = scratch_path(spark, "folder")
+    root = base + "/admin/in/a b/in"
+    df = _listing(spark, sf)
+    for source in X.EVENT_SOURCES:
+        df.where(F.col("Retailer") == source).write.parquet(f"{root}/{source}_weekly_20240108_000000.parquet")
+    run_ingest(spark, root, base + "/unified", _rules(), reference_date=REFERENCE_DATE, sources=X.EVENT_SOURCES)
+    return spark.read.parquet(base + "/unified")
+
+
 def q_sink_unified(spark, sf):
     """Append twice (a rerun) and read back."""
     path = scratch_path(spark, "unified")
@@ -330,6 +360,31 @@ def q_audit_overall(spark, sf):
     return A.audit(_conformed(spark, sf))
 
 
+def q_audit_table(spark, sf):
+    """Audit of a table path (a column missing, one of a wrong type, rows twice), report read back."""
+    base = scratch_path(spark, "audit")
+    df = _conformed(spark, sf).drop("Brand").withColumn("In_Stock", F.col("In_Stock").cast("string"))
+    df.unionAll(df.where(F.col("Retailer") == "view")).write.parquet(base + "/table")
+    run_audit(spark, base + "/table", report_path=base + "/report")
+    report = spark.read.text(base + "/report", wholetext=True)
+    paths = {
+        "schema_passed": ("schema_validation.passed", "boolean"),
+        "missing_columns": ("schema_validation.details.missing_columns", "string"),
+        "types_passed": ("data_type_validation.passed", "boolean"),
+        "mismatched_column": ("data_type_validation.details.type_mismatches[0].column", "string"),
+        "actual_type": ("data_type_validation.details.type_mismatches[0].actual_type", "string"),
+        "duplicates_passed": ("duplicate_check.passed", "boolean"),
+        "total_records": ("duplicate_check.details.total_records", "bigint"),
+        "unique_records": ("duplicate_check.details.unique_records", "bigint"),
+        "duplicate_records": ("duplicate_check.details.duplicate_records", "bigint"),
+        "nulls_passed": ("null_check.passed", "boolean"),
+        "null_ids": ("null_check.details.null_counts.Product_ID", "bigint"),
+        "null_categories": ("null_check.details.null_counts.Category_Traversal", "bigint"),
+        "overall_passed": ("overall_passed", "boolean"),
+    }
+    return report.select(*[F.get_json_object("value", "$." + p).cast(t).alias(n) for n, (p, t) in paths.items()])
+
+
 def q_preview_rows(spark, sf):
     """Ordered preview."""
     return A.preview(_conformed(spark, sf), 20, ["Run_Date", "Retailer", "Product_Name"])

@@ -20,6 +20,8 @@ from .catalog import below_root, root_path
 _SCHEMA_ROW = "file_name string, ordinal int, column string, type string"
 # type name of a parquet TIMESTAMP(NANOS) column, which Spark reads only as a long
 NANOS = "timestamp_ns"
+# footers read by one task
+FOOTERS_PER_TASK = 16
 # marker column of a file whose footer cannot be read (``type`` holds the error)
 UNREADABLE = "<unreadable>"
 
@@ -58,9 +60,10 @@ def file_schemas(catalog: DataFrame) -> DataFrame:
     """Per-file schema rows ``(file_name, ordinal, column, type)``.
 
     ``catalog`` needs ``file_name`` and ``sample_file`` (a data file of the
-    entry). Footers are read by the executors, one task per batch of files.
+    entry). Footers are read by the executors, ``FOOTERS_PER_TASK`` files a task on average.
     """
-    return catalog.select("file_name", "sample_file").mapInPandas(_footer_rows, _SCHEMA_ROW)
+    parts = -(-catalog.count() // FOOTERS_PER_TASK)
+    return catalog.select("file_name", "sample_file").repartition(max(1, parts)).mapInPandas(_footer_rows, _SCHEMA_ROW)
 
 
 def with_spark_fallback(spark: SparkSession, schemas: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -113,3 +116,20 @@ def scan_group(spark: SparkSession, root: str, paths: list[str],
     for c in nanos or []:
         df = df.withColumn(c, nanos_to_timestamp_ntz(F.col(f"`{c}`")))
     return df.withColumn(SOURCE_FILE, entry_name(spark, root))
+
+
+def damaged_files(spark: SparkSession, root: str, paths: list[str], nanos: list[str] | None = None) -> list[str]:
+    """Names of the files of a schema group whose data pages cannot all be read.
+
+    One scan decodes every column and skips the rest of a damaged file; its
+    row count then falls short of the one in the footers.
+    """
+    df = scan_group(spark, root, paths, nanos).select(SOURCE_FILE)
+    told = df.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("told"))
+    scan = spark.read.option("ignoreCorruptFiles", "true").parquet(*paths)
+    values = [F.xxhash64(F.col(f"`{c}`").cast("string")) for c in scan.columns]
+    seen = (scan.select(entry_name(spark, root).alias(SOURCE_FILE), F.xxhash64(*values).alias("hash"))
+            .groupBy(SOURCE_FILE).agg(F.count("hash").alias("seen"), F.max("hash").alias("top")))
+    # the test of ``top`` keeps every column in the scan
+    short = told.join(seen, SOURCE_FILE, "left").where(F.col("top").isNull() | (F.col("seen") < F.col("told")))
+    return [r[0] for r in short.select(SOURCE_FILE).collect()]
