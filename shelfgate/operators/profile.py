@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -160,67 +160,69 @@ def numeric_correlation(df: DataFrame, columns: list[str] | None = None, digits:
         for i, (a, b) in enumerate(pairs)])))
 
 
-def categorical_association(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
+def categorical_association(df: DataFrame, columns: list[str] | dict[str, int], digits: int = 6) -> DataFrame:
     """(column_a, column_b, cramers_v, n) for every pair of the given columns.
 
     chi2 = n * (sum_ab n_ab^2 / (n_a n_b) - 1) over observed cells only;
     V = sqrt(chi2 / (n * (min(r, c) - 1))), null when a side has one level.
-    Rows where either value is null are left out of that pair's table.
+    Rows where either value is null are left out of that pair's table; a pair
+    without a row left gives none.
+
+    Only one margin is joined to the cells, that of the column with more
+    levels (``columns`` may give the counts, see :func:`association_columns`),
+    where few cells share a value; the other follows from a combined sum.
     """
-    pairs = list(combinations(columns, 2))
-    if not pairs:
+    levels = columns if isinstance(columns, dict) else {
+        r["column"]: r["n_distinct"] for r in distinct_counts(df, list(columns)).collect()}
+    names = list(columns)
+    wide = len(names)
+    if wide < 2:
         return df.sparkSession.createDataFrame(
             [], "column_a string, column_b string, cramers_v double, n long")
-    cells = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("pair"), _q(a).cast("string").alias("va"), _q(b).cast("string").alias("vb"))
-        for i, (a, b) in enumerate(pairs)])))
-    cells = (cells.where(F.col("va").isNotNull() & F.col("vb").isNotNull())
-             .groupBy("pair", "va", "vb").agg(F.count(F.lit(1)).alias("n_ab")))
-    # the contingency table is small (pairs x levels^2): margins and level
-    # counts are windows over it, so the source is scanned once
-    whole = (Window.unboundedPreceding, Window.unboundedFollowing)
-    wa = Window.partitionBy("pair", "va").orderBy("vb")
-    wb = Window.partitionBy("pair", "vb").orderBy("va")
-    t = (cells.select("*", F.sum("n_ab").over(wa.rowsBetween(*whole)).alias("n_a"),
-                      (F.row_number().over(wa) == 1).alias("first_a"))
-         .select("*", F.sum("n_ab").over(wb.rowsBetween(*whole)).alias("n_b"),
-                 (F.row_number().over(wb) == 1).alias("first_b")))
-    per_pair = t.groupBy("pair").agg(
-        F.sum("n_ab").alias("n"),
-        # doubles: at 10^12 rows the products of counts overflow a long
-        F.sum(F.try_divide(F.col("n_ab").cast("double") * F.col("n_ab"),
-                           F.col("n_a").cast("double") * F.col("n_b"))).alias("s"),
-        F.count_if("first_a").alias("r"), F.count_if("first_b").alias("c"))
+    # The values are made once per row; the rows of the pairs pick theirs by position.
+    # A pair's number holds both positions.
+    picks = [(i * wide + j, *((i, j) if levels[a] <= levels[b] else (j, i)))
+             for (i, a), (j, b) in combinations(enumerate(names), 2)]
+    picks = F.expr("array(" + ", ".join(f"struct({p} AS pair, {i} AS few, {j} AS many)" for p, i, j in picks) + ")")
+    cells = (df.select(F.array(*[_q(c).cast("string") for c in names]).alias("v"))
+             .select("v", F.explode(picks).alias("p"))
+             .select(F.col("p.pair").alias("pair"), F.get("v", F.col("p.few")).alias("few"),
+                     F.get("v", F.col("p.many")).alias("many")))
+    cells = (cells.where(F.col("few").isNotNull() & F.col("many").isNotNull())
+             .groupBy("pair", "few", "many").agg(F.count(F.lit(1)).alias("n_ab")))
+    margin = cells.groupBy(F.col("pair").alias("mpair"), F.col("many").alias("mvalue")).agg(F.sum("n_ab").alias("n_b"))
+    # doubles: at 10^12 rows the products of counts overflow a long
+    share = F.try_divide(F.col("n_ab").cast("double") * F.col("n_ab"), F.col("n_b"))
+    rows = (cells.join(margin, (F.col("pair") == F.col("mpair")) & (F.col("many") == F.col("mvalue")))
+            .groupBy("pair", "few").agg(F.sum("n_ab").alias("n_a"), F.sum(share).alias("q")))
+    per_pair = rows.groupBy("pair").agg(F.sum("n_a").alias("n"), F.sum(F.try_divide("q", "n_a")).alias("s"),
+                                        F.count(F.lit(1)).alias("r"))
+    width = margin.groupBy("mpair").agg(F.count(F.lit(1)).alias("c"))
+    per_pair = per_pair.join(width, F.col("pair") == F.col("mpair"))
     k = F.least(F.col("r"), F.col("c")) - 1
     v = F.when(k > 0, F.sqrt(F.try_divide(F.greatest(F.col("n") * (F.col("s") - 1), F.lit(0.0)), F.col("n") * k)))
-    names = F.create_map(*[x for i, (a, b) in enumerate(pairs)
-                           for x in (F.lit(i), F.array(F.lit(a), F.lit(b)))])
+    named = F.array(*[F.lit(c) for c in names])
     return per_pair.select(
-        F.element_at(names, F.col("pair"))[0].alias("column_a"),
-        F.element_at(names, F.col("pair"))[1].alias("column_b"),
+        F.get(named, F.expr(f"pair DIV {wide}").cast("int")).alias("column_a"),
+        F.get(named, F.col("pair") % wide).alias("column_b"),
         F.round(v, digits).alias("cramers_v"),
         F.col("n").cast("long").alias("n"))
 
 
-def association_columns(df: DataFrame, stats: DataFrame | None = None,
-                        max_categorical: int = CATEGORICAL_MAX_DISTINCT) -> list[str]:
-    """Categorical and boolean columns with more than one level (reads one small table).
+def association_columns(df: DataFrame, stats: DataFrame | None = None) -> dict[str, int]:
+    """Text and boolean columns with more than one level, and their level counts.
 
-    ``max_categorical`` caps the levels of a text column taken as categorical.
-    Without ``stats`` only the distinct counts of text and boolean columns are
-    computed (one job).
+    However many levels: V is undefined only for a single one. ``stats`` (see
+    :func:`column_stats`) saves counting them; either way one row per column
+    comes to the driver.
     """
-    if stats is not None:
-        keep = {r["column"] for r in stats.where(F.col("kind").isin("Categorical", "Boolean")
-                                                 & (F.col("n_distinct") > 1)).select("column").collect()}
-        return [c for c in df.columns if c in keep]
     types = {f.name: f.dataType for f in df.schema.fields}
     counted = [c for c in df.columns if isinstance(types[c], (StringType, BooleanType))]
     if not counted:
-        return []
-    nd = distinct_counts(df, counted)
-    levels = {r["column"]: r["n_distinct"] for r in nd.collect()}   # one row per column
-    return [c for c in counted if levels.get(c) is not None and 1 < levels[c] <= max(max_categorical, 2)]
+        return {}
+    found = stats.where(F.col("n_distinct").isNotNull()) if stats is not None else distinct_counts(df, counted)
+    levels = {r["column"]: r["n_distinct"] for r in found.select("column", "n_distinct").collect()}
+    return {c: levels[c] for c in counted if levels.get(c, 0) > 1}
 
 
 def duplicate_row_count(df: DataFrame) -> int:

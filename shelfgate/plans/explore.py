@@ -60,8 +60,8 @@ def profile_report(df: DataFrame, max_categorical: int = P.CATEGORICAL_MAX_DISTI
                    approx_rsd: float | None = None) -> dict[str, DataFrame]:
     """All profile statistics of ``df`` as DataFrames (the HTML report's numbers).
 
-    ``max_categorical``: level cap for categorical text columns (and for the
-    association pairs); ``approx_rsd``: estimate distinct counts with HLL++.
+    ``max_categorical``: most levels of a text column of the kind Categorical;
+    ``approx_rsd``: estimate distinct counts with HLL++.
     """
     stats = P.column_stats(df, max_categorical, approx_rsd)
     kinds = stats.select("column", "kind")

@@ -234,7 +234,7 @@ def _ingest_sql(latest_only: bool) -> str:
 
 
 def _assoc_sql() -> str:
-    """Cramér's V over every pair of text/boolean columns whose level count is 2..50."""
+    """Cramér's V over every pair of text/boolean columns with two levels or more."""
     cands = [n for n in NAMES + ["Source_File"] if n not in FLOAT_COLS and n != "Run_Date"]
     levels = " UNION ALL ".join(
         f"SELECT '{c}' AS col, count(DISTINCT {c}) AS nd FROM eda" for c in cands)
@@ -248,8 +248,8 @@ def _assoc_sql() -> str:
     return _with(LISTING, LISTING_SRC, EDA, lv, cells) + """,
 m AS (SELECT *, sum(n_ab) OVER (PARTITION BY column_a, column_b, va) AS n_a,
              sum(n_ab) OVER (PARTITION BY column_a, column_b, vb) AS n_b FROM cells
-      WHERE column_a IN (SELECT col FROM lv WHERE nd BETWEEN 2 AND 50)
-        AND column_b IN (SELECT col FROM lv WHERE nd BETWEEN 2 AND 50)),
+      WHERE column_a IN (SELECT col FROM lv WHERE nd >= 2)
+        AND column_b IN (SELECT col FROM lv WHERE nd >= 2)),
 p AS (SELECT column_a, column_b, sum(n_ab) AS n, sum(CAST(n_ab AS DOUBLE) * n_ab / (n_a * n_b)) AS s,
              count(DISTINCT va) AS r, count(DISTINCT vb) AS c FROM m GROUP BY column_a, column_b)
 SELECT column_a, column_b,

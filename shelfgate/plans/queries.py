@@ -423,7 +423,7 @@ def q_profile_corr_numeric(spark, sf):
 
 
 def q_profile_assoc_categorical(spark, sf):
-    """Cramér's V between categorical columns."""
+    """Cramér's V between text and boolean columns."""
     df = _eda(spark, sf)
     cols = P.association_columns(df)
     return P.categorical_association(df, cols)
