@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.schema import AUDIT_KEYS, CANONICAL, col, required_names, types_compatible
-from ..session import is_small, materialize
-from .keys import MAX_BROADCAST_KEYS, attach_repeats, repeated_keys
+from ..session import materialize
+from .keys import attach_repeats, free_prefix, repeated_keys
 
 
 log = logging.getLogger("shelfgate.audit")
@@ -38,21 +38,16 @@ def _surplus(df: DataFrame, keys: list[str]) -> int:
 def duplicate_summary(df: DataFrame, keys: list[str] = AUDIT_KEYS) -> DataFrame:
     """(total_records, unique_records, duplicate_records, passed); null keys are equal.
 
-    Small input: one aggregation over key groups. Large input: the total is a
-    map-side count and the surplus rows come from the repeated keys alone
-    (hash-first, exact), so distinct keys never cross the shuffle as text.
+    The total is a map-side count and the surplus rows come from the repeated
+    keys alone (hash-first, exact), so distinct keys never cross the shuffle
+    as text.
     """
     ks = available_keys(df, keys)
     if not ks:
         raise ValueError("no key column present for the duplicate check")
-    if is_small(df):
-        g = df.groupBy(*[col(k) for k in ks]).agg(F.count(F.lit(1)).alias("_n"))
-        counts = g.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_records"),
-                       F.count(F.lit(1)).cast("long").alias("unique_records"))
-    else:
-        surplus = _surplus(df, ks)
-        counts = df.agg(F.count(F.lit(1)).cast("long").alias("total_records")).select(
-            "total_records", (F.col("total_records") - F.lit(surplus)).alias("unique_records"))
+    surplus = _surplus(df, ks)
+    counts = df.agg(F.count(F.lit(1)).cast("long").alias("total_records")).select(
+        "total_records", (F.col("total_records") - F.lit(surplus)).alias("unique_records"))
     return counts.select(
         "total_records", "unique_records",
         (F.col("total_records") - F.col("unique_records")).alias("duplicate_records"),
@@ -69,17 +64,15 @@ def duplicate_rows(df: DataFrame, keys: list[str] = AUDIT_KEYS, limit: int | Non
     Plan: the repeated keys come from a map-side combined aggregation over
     the key columns. With a limit, the first ``limit`` rows in key order can
     only carry the first ``limit`` repeated keys, so only those are kept
-    and broadcast; without one, all repeated keys are broadcast when their
-    checked count allows it, else the salted window takes over.
+    and broadcast; without one, see :func:`keys.attach_repeats`.
     """
     ks = available_keys(df, keys)
     rest = order if order is not None else [c for c in df.columns if c not in ks]
     rk = repeated_keys(df, ks, nulls_equal=True)
     if limit is not None:
         rk = rk.orderBy(*[col(c).asc_nulls_first() for c in ks]).limit(limit)
-    rk = materialize(rk, "repeated-keys", in_memory=is_small(df))
-    n = rk.count()
-    flagged = attach_repeats(df, ks, rk, n, "dup_count", nulls_equal=True).where(F.col("dup_count") > 1)
+    rk = materialize(rk, "repeated-keys")
+    flagged = attach_repeats(df, ks, rk, "dup_count", nulls_equal=True).where(F.col("dup_count") > 1)
     if limit is None:
         return flagged
     return flagged.orderBy(*[col(c).asc_nulls_first() for c in ks + rest]).limit(limit)
@@ -88,7 +81,7 @@ def duplicate_rows(df: DataFrame, keys: list[str] = AUDIT_KEYS, limit: int | Non
 def duplicate_sample(df: DataFrame, keys: list[str] = AUDIT_KEYS, limit: int = 5) -> DataFrame:
     """First ``limit`` duplicated keys in key order, with their row count (null parts equal).
 
-    Built on the repeated keys (hash-first for large inputs), then a top-k.
+    Built on the repeated keys (hash-first), then a top-k.
     """
     ks = available_keys(df, keys)
     return (repeated_keys(df, ks, nulls_equal=True).withColumnRenamed("_n", "dup_count")
@@ -112,12 +105,9 @@ def with_duplicate_sample(report: DataFrame, df: DataFrame, keys: list[str], lim
 def dedupe_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """One row per key: the smallest by ``order`` (default: the other columns).
 
-    Large input: rows whose key does not repeat pass through without a
-    shuffle; only the rows of repeated keys (found by a key-only, map-side
-    combined count and broadcast after a size check) are reduced with
-    ``min`` over a struct, a partial aggregate, so a hot key is combined on
-    the map side. Small input (Catalyst's size estimate), or too many
-    repeated keys to broadcast: one ``groupBy`` does it all.
+    Rows whose key does not repeat pass through without a shuffle; only the
+    rows of repeated keys are reduced with ``min`` over a struct, a partial
+    aggregate, so a hot key is combined on the map side.
     """
     rest = order if order is not None else [c for c in df.columns if c not in keys]
     others = [c for c in df.columns if c not in keys]
@@ -127,15 +117,11 @@ def dedupe_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None
         return frame.groupBy(*[col(k) for k in keys]).agg(pick.alias("_r")).select(
             *[col(c) if c in keys else F.col("_r").getField(c).alias(c) for c in df.columns])
 
-    if is_small(df):
-        return reduce_(df)
     rk = materialize(repeated_keys(df, keys, nulls_equal=True), "repeated-keys")
-    n = rk.count()
-    if n > MAX_BROADCAST_KEYS:
-        return reduce_(df)
-    flagged = attach_repeats(df, keys, rk, n, "_dup", nulls_equal=True)
-    singles = flagged.where(F.col("_dup") == 1).select(*[col(c) for c in df.columns])
-    return singles.unionByName(reduce_(flagged.where(F.col("_dup") > 1).select(*[col(c) for c in df.columns])))
+    mark = free_prefix(df.columns) + "dup"
+    flagged = attach_repeats(df, keys, rk, mark, nulls_equal=True)
+    singles = flagged.where(F.col(mark) == 1).select(*[col(c) for c in df.columns])
+    return singles.unionByName(reduce_(flagged.where(F.col(mark) > 1).select(*[col(c) for c in df.columns])))
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -175,23 +161,13 @@ def audit(df: DataFrame, schema: StructType = CANONICAL, keys: list[str] = AUDIT
     ks = available_keys(df, keys)
     present_req = [c for c in req if c in df.columns]
     nulls = [F.count_if(col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(present_req)]
-    if ks and is_small(df):
-        # key groups carry row and null counts, so one aggregation does it all
-        per_key = df.groupBy(*[col(k) for k in ks]).agg(F.count(F.lit(1)).alias("_n"), *nulls)
-        totals = per_key.agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_records"),
-            F.count(F.lit(1)).cast("long").alias("unique_records"),
-            *[F.coalesce(F.sum(f"_z{i}"), F.lit(0)).cast("long").alias(f"_z{i}")
-              for i in range(len(present_req))])
-    else:
-        # large input: totals and null counts are map-side counts; the unique
-        # count subtracts the surplus rows of repeated keys (hash-first, exact);
-        # without a key column the unique count is unknown
-        surplus = _surplus(df, ks) if ks else None
-        totals = df.agg(F.count(F.lit(1)).cast("long").alias("total_records"), *nulls)
-        unique = (F.col("total_records") - F.lit(surplus)) if surplus is not None else F.lit(None)
-        totals = totals.select("total_records", unique.cast("long").alias("unique_records"),
-                               *[F.col(f"_z{i}").cast("long").alias(f"_z{i}") for i in range(len(present_req))])
+    # totals and null counts are map-side counts; the unique count subtracts the
+    # surplus rows of repeated keys; without a key column it is unknown
+    surplus = _surplus(df, ks) if ks else None
+    totals = df.agg(F.count(F.lit(1)).cast("long").alias("total_records"), *nulls)
+    unique = (F.col("total_records") - F.lit(surplus)) if surplus is not None else F.lit(None)
+    totals = totals.select("total_records", unique.cast("long").alias("unique_records"),
+                           *[F.col(f"_z{i}").cast("long").alias(f"_z{i}") for i in range(len(present_req))])
     null_text = F.concat_ws(",", *[
         F.when(F.col(f"_z{i}") > 0, F.concat(F.lit(f"{c}="), F.col(f"_z{i}").cast("string")))
         for i, c in enumerate(present_req)]) if present_req else F.lit("")

@@ -17,11 +17,11 @@ Plan shape (no full-row shuffle in the common case):
    materialized (it is small: only values that repeat);
 2. per-file facts (row counts, failing counts per rule, null counts),
    joined with per-file sums of (1), materialized (one row per file);
-3. the row pass: one scan, a broadcast join of (1) when its checked row
-   count is within ``keys.MAX_BROADCAST_KEYS`` (else the exact salted
-   window of ``keys.with_key_count``), the facts as literals (one file) or a
-   broadcast join (checked against ``MAX_BROADCAST_FILES``), and every rule
-   as a Column expression in one projection.
+3. the row pass: the counts of (1) attached to the rows (see
+   ``keys.attach_repeats``: a broadcast up to a checked size, else only rows
+   that may repeat move), the facts as literals (one file) or a join that
+   Spark broadcasts by the size of their table, and every rule as a Column
+   expression in one projection.
 """
 
 from __future__ import annotations
@@ -31,13 +31,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import env_int, is_small, materialize
-from .keys import attach_repeats, repeated_keys
+from ..session import materialize
+from .keys import attach_repeats, free_prefix, repeated_keys
 from .rules import Rule, RulePlan, plan_rules
 
 ALL_FILES = "<all>"
 NO_FILE = "<no file>"
-MAX_BROADCAST_FILES = env_int("SHELFGATE_MAX_BROADCAST_FILES", 2_000_000)
 
 
 @dataclass
@@ -48,7 +47,6 @@ class GateResult:
     file_col: str | None
     missing_required: list[str] = field(default_factory=list)
     _input_cols: list[str] = field(default_factory=list)
-    n_files: int = 0
     helper: str = "_"          # start of the helper columns of ``rows``
 
     # -- row outputs -------------------------------------------------------
@@ -76,10 +74,7 @@ class GateResult:
             F.count(F.lit(1)).alias("rows"),
             F.count_if(F.size("failed_rules") > 0).alias("failing_rows"),
         )
-        small = self.facts.select("_file", "rules_failed")
-        if self.n_files <= MAX_BROADCAST_FILES:
-            small = F.broadcast(small)
-        v = counts.join(small, "_file", "left")
+        v = counts.join(self.facts.select("_file", "rules_failed"), "_file", "left")
         survivors = F.col("rows") - F.col("failing_rows")
         if self.missing_required:
             outcome = F.lit("reject")
@@ -139,20 +134,12 @@ def _ok(fails: Column, denom: Column, mostly: float | None) -> Column:
     return (fails == 0) | ((denom - fails) / F.greatest(denom, F.lit(1)) >= F.lit(mostly))
 
 
-def _helper(columns: list[str]) -> str:
-    """A start of names that no input column has."""
-    start = "_"
-    while any(c.lower().startswith(start) for c in columns):
-        start += "_"
-    return start
-
-
 def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
          on_type_error: str = "cast", required: list[str] | None = None) -> GateResult:
     input_cols = list(df.columns)
     missing = [c for c in (required or []) if c not in input_cols]
     # a null file key still names one file, so none of its rows is orphaned
-    h = _helper(input_cols)
+    h = free_prefix(input_cols)
     base = df.withColumn(h + "file", F.coalesce(F.col(f"`{file_col}`").cast("string"), F.lit(NO_FILE))
                          if file_col else F.lit(ALL_FILES))
     file = F.col(h + "file").alias("_file")
@@ -160,23 +147,21 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
     if missing:
         # Rejected before any rule runs: no rows survive, no rule is evaluated.
         facts = materialize(base.groupBy(file).agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
-            "rules_failed", F.lit(0).cast("long")), "gate-facts", in_memory=is_small(df))
+            "rules_failed", F.lit(0).cast("long")), "gate-facts")
         rows = base.withColumn("failed_rules", F.array().cast("array<string>")).withColumn(
             h + "file_ok", F.lit(False))
         skipped = [RulePlan(p.rule, "skipped", "file rejected: missing required columns") for p in plans]
-        return GateResult(rows, facts, skipped, file_col, missing, input_cols, facts.count(), h)
+        return GateResult(rows, facts, skipped, file_col, missing, input_cols, h)
 
     active = [(i, p) for i, p in enumerate(plans) if p.status == "active"]
     errors = [p for p in plans if p.status == "error"]
-    in_memory = is_small(df)   # helper tables of a small input stay in memory
 
     # ---- pass 1: repeated keys per uniqueness rule (key columns only) ------
     repeats = {}
     for i, p in active:
         if p.fails is None:
             base = base.withColumn(f"{h}id{i}", p.value)
-            rk = materialize(repeated_keys(base, [h + "file", f"{h}id{i}"], nulls_equal=False),
-                             "gate-repeats", in_memory=in_memory)
+            rk = materialize(repeated_keys(base, [h + "file", f"{h}id{i}"], nulls_equal=False), "gate-repeats")
             repeats[i] = rk
 
     # ---- pass 1: per-file facts ------------------------------------------
@@ -190,11 +175,10 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
             aggs.append(F.count_if(c.isNull()).alias(f"z{i}"))
     facts = base.groupBy(file).agg(*aggs)
     for i, rk in repeats.items():
-        # small: repeated keys only; rows in repeated keys and number of such keys
-        dup = rk.groupBy(file).agg(F.sum("_n").alias(f"f{i}"), F.count(F.lit(1)).alias(f"kd{i}"))
+        # small: repeated keys only
+        dup = rk.groupBy(file).agg(F.sum("_n").alias(f"f{i}"))
         facts = (facts.join(dup, "_file", "left")
-                 .withColumn(f"f{i}", F.coalesce(F.col(f"f{i}"), F.lit(0)))
-                 .withColumn(f"kd{i}", F.coalesce(F.col(f"kd{i}"), F.lit(0))))
+                 .withColumn(f"f{i}", F.coalesce(F.col(f"f{i}"), F.lit(0))))
 
     derived = []
     for i, p in active:
@@ -217,28 +201,21 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
         "*", rules_failed.cast("long").alias("rules_failed"),
         # a file whose only problems are rule errors keeps no rows
         (any_rule_rows | F.lit(not errors)).alias("_file_ok"))
-    facts = materialize(facts, "gate-facts", in_memory=in_memory)
+    facts = materialize(facts, "gate-facts")
     keep = ["_file_ok"] + [f"s{i}" for i, _ in active] + [f"nf{i}" for i in repeats]
-    # one small job: file and row totals, repeated-key counts, and (one file) its flags
-    stats = facts.agg(F.count(F.lit(1)).alias("files"), F.sum("n_rows").alias("rows"),
-                      *[F.sum(f"kd{i}").alias(f"kd{i}") for i in repeats],
-                      *[F.first(k).alias(k) for k in keep]).first()
-    n_files, n_rows = int(stats["files"]), int(stats["rows"] or 0)
 
     # ---- pass 2: row flags -----------------------------------------------
     flag = {k: h + k.removeprefix("_") for k in keep}
     rows = base
     for i, rk in repeats.items():
-        rows = attach_repeats(rows, [h + "file", f"{h}id{i}"], rk, int(stats[f"kd{i}"] or 0),
-                              f"{h}k{i}", nulls_equal=False, total=n_rows)
+        rows = attach_repeats(rows, [h + "file", f"{h}id{i}"], rk, f"{h}k{i}", nulls_equal=False)
     if file_col is None:
         # one file: its facts are one row of flags, inlined as literals (no join)
+        stats = facts.select(*keep).first()
         for k in keep:
-            rows = rows.withColumn(flag[k], F.lit(bool(stats[k]) if n_files else False))
+            rows = rows.withColumn(flag[k], F.lit(bool(stats and stats[k])))
     else:
         small = facts.select(F.col("_file").alias(h + "file"), *[F.col(k).alias(flag[k]) for k in keep])
-        if n_files <= MAX_BROADCAST_FILES:
-            small = F.broadcast(small)
         rows = rows.join(small, h + "file", "left")
     tags = []
     for i, p in active:
@@ -255,4 +232,4 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
     rows = rows.select(*[F.col(f"`{c}`") for c in input_cols], h + "file",
                        F.coalesce(F.col(h + "file_ok"), F.lit(False)).alias(h + "file_ok"),
                        failed.alias("failed_rules"))
-    return GateResult(rows, facts, plans, file_col, [], input_cols, n_files, h)
+    return GateResult(rows, facts, plans, file_col, [], input_cols, h)

@@ -3,100 +3,54 @@
 Flagging every row whose key repeats is the core of the uniqueness rule and
 the duplicate audit. A plain ``count().over(Window.partitionBy(key))`` shuffles
 every full row and puts all rows of one key (and all null keys) into one
-task; a third of the data may share one key. Three tools replace it:
+task; a third of the data may share one key. Two tools replace it, with one
+plan for every input size:
 
 * :func:`repeated_keys` — the keys that occur more than once, with counts.
-  Large input: counted by a 64-bit key hash first (8 bytes per key in the
-  shuffle, combined map-side), then only rows whose hash repeats are
-  grouped on the real key. Exact.
-* :func:`attach_repeats` — joins those counts back to the rows through a
-  broadcast whose row count is checked (``MAX_BROADCAST_KEYS``); the rows
-  themselves never move.
-* :func:`with_key_count` — the fallback beyond that bound: keys with more
-  than ``T`` rows ("hot" keys) are found by a partial aggregation; ``T`` is
-  at least ``total / MAX_HOT_KEYS``, so there are provably at most
-  ``MAX_HOT_KEYS`` of them, and they are broadcast with their counts.
-  Hot-key rows (and null-key rows when nulls never match) get a random salt
-  over ``SALT_BUCKETS`` window partitions; every other key keeps salt 0, so
-  its window partition holds the whole key (at most ``T`` rows) and its
-  count is exact; a hot row's count comes from the broadcast.
+  Keys are first counted by a 64-bit hash (8 bytes per key in the shuffle,
+  combined map-side). The repeated hashes become a bit map of fixed size
+  (``FILTER_BITS``); only rows that hit it — true repeats, rare collisions
+  and false hits — are grouped on the real key. Exact.
+* :func:`attach_repeats` — brings those counts back to the rows. Up to
+  ``MAX_BROADCAST_BYTES`` of repeated keys are broadcast and the rows never
+  move. Beyond, rows that miss the bit map pass through where they are and
+  only the others are shuffled to the repeated keys. Keys with more than
+  ``T`` rows ("hot" keys) do not take part in that join: ``T`` is at least
+  the number of repeated rows over ``MAX_HOT_KEYS``, so there are at most
+  that many of them, they are broadcast with their counts, and their rows
+  are spread by a random salt.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions.schema import col
-from ..session import env_int, is_small, materialize
+from ..session import env_int, estimated_bytes, materialize
 
 HOT_ROWS_FLOOR = env_int("SHELFGATE_HOT_ROWS", 1_000_000)
 MAX_HOT_KEYS = env_int("SHELFGATE_MAX_HOT_KEYS", 100_000)
 SALT_BUCKETS = env_int("SHELFGATE_SALT_BUCKETS", 64)
+# bytes of the repeated keys' files (compressed) up to which they are broadcast
+MAX_BROADCAST_BYTES = env_int("SHELFGATE_MAX_BROADCAST_BYTES", 16 << 20)
+# 8 MB of bits, at most a million (word, bits) rows; a full map only saves less
+FILTER_BITS = env_int("SHELFGATE_FILTER_BITS", 1 << 26)
 
 
 def _all(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
-def hot_keys(df: DataFrame, keys: list[str], *, nulls_equal: bool, total: int | None = None,
-             hot_rows: int | None = None, max_hot: int = MAX_HOT_KEYS) -> DataFrame | None:
-    """Keys with more than ``T`` rows, materialized; None when there are none.
-
-    ``T = max(hot_rows, ceil(total / max_hot))`` bounds the result to
-    ``max_hot`` rows, which is what makes broadcasting it safe.
-    """
-    floor = HOT_ROWS_FLOOR if hot_rows is None else hot_rows
-    if total is None:
-        total = df.count()
-    threshold = max(floor, -(-total // max_hot))
-    if total <= threshold:
-        return None
-    src = df if nulls_equal else df.where(_all([col(k).isNotNull() for k in keys]))
-    hot = (src.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_hot_n"))
-           .where(F.col("_hot_n") > threshold))
-    hot = materialize(hot, "hot-keys")
-    return hot if hot.take(1) else None
-
-
-def with_key_count(df: DataFrame, keys: list[str], out_col: str = "_key_n", *,
-                   nulls_equal: bool = False, total: int | None = None,
-                   hot_rows: int | None = None) -> DataFrame:
-    """Add the exact number of rows sharing the row's key.
-
-    ``nulls_equal=False``: a key with a null part matches nothing (SQL
-    equality) and gets a null count. ``nulls_equal=True``: null parts are
-    equal to each other (``dropDuplicates`` / ``GROUP BY`` semantics).
-    ``total`` (the row count of ``df``, when the caller already knows it)
-    saves a counting job.
-    """
-    cols = df.columns
-    hot = hot_keys(df, keys, nulls_equal=nulls_equal, total=total, hot_rows=hot_rows)
-    nonnull = _all([col(k).isNotNull() for k in keys])
-    spread_nulls = F.lit(False) if nulls_equal else ~nonnull
-    if hot is not None:
-        h = hot.select(*[col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_hot_n")
-        cond = _all([
-            (col(k).eqNullSafe(F.col(f"_hk{i}")) if nulls_equal else col(k) == F.col(f"_hk{i}"))
-            for i, k in enumerate(keys)])
-        df = df.join(F.broadcast(h), cond, "left").select(*[col(c) for c in cols], "_hot_n")
-    else:
-        df = df.withColumn("_hot_n", F.lit(None).cast("long"))
-    spread = spread_nulls | F.col("_hot_n").isNotNull()
-    salt = (F.lit(1) + F.floor(F.rand(17) * SALT_BUCKETS)).cast("int")
-    df = df.withColumn("_salt", F.when(spread, salt).otherwise(F.lit(0)))
-    w = Window.partitionBy(*[col(k) for k in keys], F.col("_salt"))
-    n = F.coalesce(F.col("_hot_n"), F.count(F.lit(1)).over(w))
-    if not nulls_equal:
-        n = F.when(nonnull, n)
-    return df.withColumn(out_col, n).drop("_salt", "_hot_n")
-
-
-MAX_BROADCAST_KEYS = env_int("SHELFGATE_MAX_BROADCAST_KEYS", 1_000_000)
-MAX_BROADCAST_CANDIDATES = env_int("SHELFGATE_MAX_BROADCAST_CANDIDATES", 1_000_000)
+def free_prefix(columns: list[str]) -> str:
+    """A start of names that no given column has."""
+    start = "_"
+    while any(c.lower().startswith(start) for c in columns):
+        start += "_"
+    return start
 
 
 def key_hash(df: DataFrame, keys: list[str]) -> Column:
@@ -115,54 +69,84 @@ def key_hash(df: DataFrame, keys: list[str]) -> Column:
     return F.xxhash64(*parts)
 
 
+def _bit(hash_col: str) -> str:
+    return f"pmod(`{hash_col}`, {FILTER_BITS}L)"
+
+
+def _bit_map(hashes: DataFrame, hash_col: str, p: str) -> DataFrame:
+    """(word, bits) of the hashes; at most ``FILTER_BITS / 64`` rows, so it may be broadcast."""
+    bit = _bit(hash_col)
+    return (hashes.groupBy(F.expr(f"CAST({bit} DIV 64 AS INT)").alias(p + "word"))
+            .agg(F.expr(f"bit_or(shiftleft(1L, CAST({bit} % 64 AS INT)))").alias(p + "bits")))
+
+
+def _tested(df: DataFrame, hash_col: str, words: DataFrame, p: str) -> DataFrame:
+    """``df`` with the boolean ``<p>hit``: the bit of its hash is set."""
+    bit = _bit(hash_col)
+    hit = F.expr(f"coalesce(shiftrightunsigned(`{p}bits`, CAST({bit} % 64 AS INT)) & 1L = 1L, false)")
+    return (df.join(F.broadcast(words), F.expr(f"CAST({bit} DIV 64 AS INT) = `{p}word`"), "left")
+            .withColumn(p + "hit", hit))
+
+
 def repeated_keys(df: DataFrame, keys: list[str], *, nulls_equal: bool,
                   count_col: str = "_n") -> DataFrame:
     """Keys occurring more than once, with their count. Exact.
 
-    Small input: one ``groupBy`` over the keys. Large input: the keys are
-    first counted by their 64-bit hash (8 bytes per key cross the shuffle,
-    combined map-side, instead of the key text); only rows whose hash
-    repeats — true repeats plus rare collisions — are then grouped on the
-    real key, after a broadcast semi-join whose side is checked against
-    ``MAX_BROADCAST_CANDIDATES`` (else the one ``groupBy`` is used).
+    ``nulls_equal=False``: a key with a null part matches nothing (SQL
+    equality). ``nulls_equal=True``: null parts are equal to each other
+    (``dropDuplicates`` / ``GROUP BY`` semantics).
     """
     src = df if nulls_equal else df.where(_all([col(k).isNotNull() for k in keys]))
+    p = free_prefix(keys)
+    hashed = src.select(*[col(k) for k in keys], key_hash(src, keys).alias(p + "kh"))
+    cand = materialize(hashed.groupBy(p + "kh").agg(F.count(F.lit(1)).alias(p + "c"))
+                       .where(F.col(p + "c") > 1).select(p + "kh"), "key-hash-candidates")
+    hits = _tested(hashed, p + "kh", _bit_map(cand, p + "kh", p), p).where(F.col(p + "hit"))
+    return (hits.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(count_col))
+            .where(F.col(count_col) > 1))
+
+
+def attach_repeats(df: DataFrame, keys: list[str], repeats: DataFrame, out_col: str, *,
+                   nulls_equal: bool, count_col: str = "_n") -> DataFrame:
+    """Add ``out_col`` = rows sharing the key when it repeats, else 1.
 
-    def exact(frame: DataFrame) -> DataFrame:
-        return (frame.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(count_col))
-                .where(F.col(count_col) > 1))
-
-    if is_small(df):
-        return exact(src)
-    hashed = src.withColumn("_kh", key_hash(src, keys))
-    cand = materialize(hashed.groupBy("_kh").agg(F.count(F.lit(1)).alias("_c"))
-                       .where(F.col("_c") > 1).select("_kh"), "key-hash-candidates")
-    if cand.count() > MAX_BROADCAST_CANDIDATES:
-        return exact(src)
-    return exact(hashed.join(F.broadcast(cand), "_kh", "left_semi").drop("_kh"))
-
-
-def attach_repeats(df: DataFrame, keys: list[str], repeats: DataFrame, n_repeats: int,
-                   out_col: str, *, nulls_equal: bool, total: int | None = None,
-                   count_col: str = "_n") -> DataFrame:
-    """Add ``out_col`` = rows sharing the key when it repeats, else 1 (null key: null).
-
-    ``repeats`` is the materialized output of :func:`repeated_keys` and
-    ``n_repeats`` its row count. When that count is within
-    ``MAX_BROADCAST_KEYS`` the repeated keys are broadcast and ``df`` is
-    never shuffled; beyond it the exact salted window of
-    :func:`with_key_count` takes over.
+    ``repeats`` is the materialized output of :func:`repeated_keys` with the
+    same ``nulls_equal``; without it a key with a null part gets a null.
     """
-    if n_repeats > MAX_BROADCAST_KEYS:
-        return with_key_count(df, keys, out_col, nulls_equal=nulls_equal, total=total)
     cols = df.columns
+    p = free_prefix(cols)
     nonnull = _all([col(k).isNotNull() for k in keys])
-    r = repeats.select(*[col(k).alias(f"_rk{i}") for i, k in enumerate(keys)],
-                       F.col(count_col).alias("_rn"))
-    cond = _all([
-        (col(k).eqNullSafe(F.col(f"_rk{i}")) if nulls_equal else col(k) == F.col(f"_rk{i}"))
-        for i, k in enumerate(keys)])
-    n = F.coalesce(F.col("_rn"), F.lit(1).cast("long"))
-    if not nulls_equal:
-        n = F.when(nonnull, n)
-    return df.join(F.broadcast(r), cond, "left").select(*[col(c) for c in cols], n.alias(out_col))
+
+    def counts(frame: DataFrame, name: str) -> tuple[DataFrame, Column]:
+        side = frame.select(*[col(k).alias(f"{p}{name}{i}") for i, k in enumerate(keys)],
+                            F.col(count_col).alias(f"{p}{name}n"))
+        return side, _all([
+            (col(k).eqNullSafe(F.col(f"{p}{name}{i}")) if nulls_equal else col(k) == F.col(f"{p}{name}{i}"))
+            for i, k in enumerate(keys)])
+
+    def result(frame: DataFrame, *found: Column) -> DataFrame:
+        n = F.coalesce(*found, F.lit(1).cast("long"))
+        return frame.select(*[col(c) for c in cols], (n if nulls_equal else F.when(nonnull, n)).alias(out_col))
+
+    side, same = counts(repeats, "r")
+    if estimated_bytes(repeats) <= MAX_BROADCAST_BYTES:
+        return result(df.join(F.broadcast(side), same, "left"), F.col(p + "rn"))
+
+    words = _bit_map(repeats.select(key_hash(repeats, keys).alias(p + "kh")), p + "kh", p)
+    tested = _tested(df.withColumn(p + "kh", key_hash(df, keys)), p + "kh", words, p)
+    rows = repeats.agg(F.sum(count_col)).first()[0] or 0
+    hot = repeats.where(F.col(count_col) > max(HOT_ROWS_FLOOR, -(-rows // MAX_HOT_KEYS)))
+    hot_side, hot_same = counts(hot, "h")
+    rest = tested.where(F.col(p + "hit")).join(F.broadcast(hot_side), hot_same, "left")
+    # salt 0 meets the repeated keys; rows of hot keys, and null keys that match nothing, are spread
+    apart = F.col(p + "hn").isNotNull() if nulls_equal else F.col(p + "hn").isNotNull() | ~nonnull
+    salt = F.when(apart, 1 + F.floor(F.rand(17) * SALT_BUCKETS)).otherwise(0).cast("int")
+    rest = (rest.withColumn(p + "salt", salt)
+            .join(side.withColumn(p + "zero", F.lit(0)), same & (F.col(p + "salt") == F.col(p + "zero")), "left"))
+    return result(tested.where(~F.col(p + "hit"))).unionAll(result(rest, F.col(p + "hn"), F.col(p + "rn")))
+
+
+def with_key_count(df: DataFrame, keys: list[str], out_col: str = "_key_n", *, nulls_equal: bool = False) -> DataFrame:
+    """Add the exact number of rows sharing the row's key (see :func:`attach_repeats`)."""
+    repeats = materialize(repeated_keys(df, keys, nulls_equal=nulls_equal), "repeated-keys")
+    return attach_repeats(df, keys, repeats, out_col, nulls_equal=nulls_equal)

@@ -228,9 +228,9 @@ def association_columns(df: DataFrame, stats: DataFrame | None = None) -> dict[s
 def duplicate_row_count(df: DataFrame) -> int:
     """Rows minus distinct rows, exact: the repeated-key plan over all columns.
 
-    Large input: rows are counted by a 64-bit hash first (8 bytes per row
-    cross the shuffle instead of whole rows) and only rows whose hash
-    repeats are compared on all columns; small input: one ``groupBy``.
+    Rows are counted by a 64-bit hash first (8 bytes per row cross the
+    shuffle instead of whole rows) and only rows whose hash repeats are
+    compared on all columns.
     """
     r = repeated_keys(df, df.columns, nulls_equal=True).agg(F.sum(F.col("_n") - 1).alias("d")).first()
     return int(r["d"] or 0)

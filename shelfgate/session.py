@@ -44,7 +44,7 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
     Scan splits and shuffle partitions target ``partition_bytes`` each, so a
     task's input fits comfortably in executor memory; AQE coalesces small
     shuffle partitions and splits skewed ones at run time. The explicit
-    broadcasts in this package are all guarded by row-count checks, so the
+    broadcasts in this package have a fixed or checked size, so the
     automatic threshold stays moderate.
     """
     slots = max(1, executors * cores_per_executor)
@@ -94,7 +94,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str = "table", *, in_memory: bool = False) -> DataFrame:
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Compute ``df`` once into a parquet table in the shared folder and read it back.
 
     Used only for small derived tables (per-file facts, repeated keys) that
@@ -104,17 +104,7 @@ def materialize(df: DataFrame, name: str = "table", *, in_memory: bool = False)
     Spark's join planning. A reliable ``checkpoint()`` would compute the
     plan twice (once for the action, once to write the checkpoint); one
     write computes it once.
-
-    ``in_memory`` (callers pass it when their *input* is small, see
-    :func:`is_small`): keep the table in the block manager instead, filled
-    by its first use. Its lineage is one short aggregation over a small
-    input, so recomputing it after a lost executor is cheap, and the write's
-    commit cost and a separate job are saved.
     """
-    if in_memory:
-        from pyspark import StorageLevel
-
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
@@ -122,9 +112,6 @@ def materialize(df: DataFrame, name: str = "table", *, in_memory: bool = False)
     return spark.read.schema(df.schema).parquet(path)
 
 
-SMALL_INPUT_BYTES = int(os.environ.get("SHELFGATE_SMALL_INPUT_BYTES", 1 << 30))
-
-
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (from file sizes; no job)."""
     try:
@@ -133,11 +120,6 @@ def estimated_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
-def is_small(df: DataFrame) -> bool:
-    """True when one plain shuffle of ``df`` is cheaper than a multi-pass plan."""
-    return estimated_bytes(df) <= SMALL_INPUT_BYTES
-
-
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

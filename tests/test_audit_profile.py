@@ -106,18 +106,25 @@ def test_scale_conf():
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 
-def test_large_input_paths_match_small(spark, monkeypatch):
-    """The multi-pass plans for large inputs give the same answers as the direct ones."""
-    from shelfgate import session
-
+def test_duplicates_and_dedupe_by_rows(spark):
     rows = [(i % 13, f"v{i % 5}", None if i % 7 == 0 else i % 3) for i in range(300)]
     rows += rows[:40]
     df = spark.createDataFrame(rows, "k int, s string, x int")
-    small_d = P.duplicate_row_count(df)
-    small_dd = sorted(tuple(r) for r in A.dedupe_by_key(df, ["k", "s"]).collect())
-    monkeypatch.setattr(session, "SMALL_INPUT_BYTES", -1)
-    assert P.duplicate_row_count(df) == small_d
-    assert sorted(tuple(r) for r in A.dedupe_by_key(df, ["k", "s"]).collect()) == small_dd
+    assert P.duplicate_row_count(df) == len(rows) - len(set(rows))
+    first = {}
+    for k, s, x in rows:        # nulls first
+        first[k, s] = min(first.get((k, s), (9, 9)), (x is not None, x or 0))
+    want = sorted((k, s, x if some else None) for (k, s), (some, x) in first.items())
+    assert sorted(tuple(r) for r in A.dedupe_by_key(df, ["k", "s"]).collect()) == want
+
+
+def test_association_takes_columns_of_many_levels(spark):
+    rows = [(f"t{i}", f"c{i % 4}", "one", i % 2 == 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "t string, c string, k string, b boolean")
+    cols = P.association_columns(df)
+    assert cols == {"t": 400, "c": 4, "b": 2}
+    found = {tuple(r) for r in P.categorical_association(df, cols).collect()}
+    assert found == {("t", "c", 1.0, 400), ("t", "b", 1.0, 400), ("c", "b", 1.0, 400)}
 
 
 def test_audit_report_decimal_type_names(spark):

@@ -183,6 +183,7 @@ def test_hot_key_path_matches_plain_count(spark, monkeypatch):
     rows = [(i, "HOT" if i % 3 == 0 else (None if i % 17 == 0 else f"k{i % 40}")) for i in range(2000)]
     df = spark.createDataFrame(rows, "id long, k string")
     monkeypatch.setattr(keys, "HOT_ROWS_FLOOR", 10)
+    monkeypatch.setattr(keys, "MAX_BROADCAST_BYTES", -1)
     got = keys.with_key_count(df, ["k"], "n").select("id", "n")
     ref = df.withColumn("n", F.when(F.col("k").isNotNull(), F.count(F.lit(1)).over(Window.partitionBy("k"))))
     assert sorted(got.collect()) == sorted(ref.select("id", "n").collect())
@@ -206,14 +207,15 @@ def test_float_rounding_of_prices(spark):
     assert dict(conform_types(df).dtypes)["Original_Price"] == "float"
 
 
-def test_gate_window_fallback_matches_broadcast(spark, monkeypatch):
-    """Beyond the broadcast limit the salted window gives the same flags."""
+def test_gate_beyond_the_broadcast_matches(spark, monkeypatch):
+    """Beyond the broadcast bound the bit map and the salted join give the same flags."""
     from shelfgate.operators import keys
 
     rows = [row(i, pid=str(i % 9) if i % 5 else None, cat=None if i % 23 == 0 else "c") for i in range(200)]
     df = frame(spark, rows).withColumn("file", F.when(F.col("Product_Name") < "unit 5", "f1").otherwise("f2"))
     a = sorted((k, tuple(v)) for k, v in _failed(gate(df, RULES, file_col="file")).items())
-    monkeypatch.setattr(keys, "MAX_BROADCAST_KEYS", 0)
+    monkeypatch.setattr(keys, "MAX_BROADCAST_BYTES", -1)
+    monkeypatch.setattr(keys, "FILTER_BITS", 64)
     monkeypatch.setattr(keys, "HOT_ROWS_FLOOR", 5)
     b = sorted((k, tuple(v)) for k, v in _failed(gate(df, RULES, file_col="file")).items())
     assert a == b

@@ -27,27 +27,14 @@ def test_entry_smoke(spark):
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
-def test_all_queries_match_sql_with_large_input_plans(spark, monkeypatch):
-    """The plans chosen for large inputs (hash-first repeated keys, map-side totals,
-    pass-through dedupe) give the same results as the SQL."""
-    from oracle_compare import compare
-
-    from shelfgate import session
-
-    monkeypatch.setattr(session, "SMALL_INPUT_BYTES", -1)
-    res = compare(spark, SF, verbose=False)
-    bad = {k: v for k, v in res.items() if v[0] not in ("ok", "rows-only")}
-    assert not bad, bad
-
-
-@pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
-def test_gate_queries_match_sql_with_salted_window(spark, monkeypatch):
-    """Beyond the broadcast bound: the salted window with broadcast hot keys."""
+def test_key_queries_match_sql_beyond_the_broadcast(spark, monkeypatch):
+    """Beyond the broadcast bound, with a bit map full of false hits and hot keys."""
     from oracle_compare import compare
 
     from shelfgate.operators import keys
 
-    monkeypatch.setattr(keys, "MAX_BROADCAST_KEYS", 0)
+    monkeypatch.setattr(keys, "MAX_BROADCAST_BYTES", -1)
+    monkeypatch.setattr(keys, "FILTER_BITS", 128)
     monkeypatch.setattr(keys, "HOT_ROWS_FLOOR", 2)
     names = ["rule_unique", "gate_failed_rules", "gate_survivors", "file_verdict", "ingest_file",
              "duplicate_rows", "dedupe_by_key"]

@@ -14,13 +14,9 @@ def _plan(df) -> str:
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
-@pytest.mark.parametrize("large", [False, True])
-def test_plan_shapes(spark, monkeypatch, large):
-    from shelfgate import session
+def test_plan_shapes(spark):
     from shelfgate.plans.queries import QUERIES
 
-    if large:
-        monkeypatch.setattr(session, "SMALL_INPUT_BYTES", -1)
     gate_plan = _plan(QUERIES["gate_survivors"](spark, SF))
     assert "BroadcastHashJoin" in gate_plan
     assert "SortMergeJoin" not in gate_plan and "Window" not in gate_plan
@@ -36,5 +32,16 @@ def test_plan_shapes(spark, monkeypatch, large):
 
     dedupe_plan = _plan(QUERIES["dedupe_by_key"](spark, SF))
     assert "SortMergeJoin" not in dedupe_plan and "Window" not in dedupe_plan
-    if large:
-        assert "BroadcastHashJoin" in dedupe_plan
+    assert "BroadcastHashJoin" in dedupe_plan
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
+def test_no_window_beyond_the_broadcast(spark, monkeypatch):
+    """Rows that miss the bit map pass through; the others join the repeated keys."""
+    from shelfgate.operators import keys
+    from shelfgate.plans.queries import QUERIES
+
+    monkeypatch.setattr(keys, "MAX_BROADCAST_BYTES", -1)
+    for name in ("gate_survivors", "dedupe_by_key"):
+        plan = _plan(QUERIES[name](spark, SF))
+        assert "Window" not in plan and "Union" in plan

@@ -11,17 +11,15 @@ def test_shared_dir_is_stable_and_local_only_when_unset(spark):
     assert spark.sparkContext._jsc.sc().getCheckpointDir().isDefined()
 
 
-def test_materialize_written_and_in_memory(spark):
+def test_materialize_cuts_the_lineage(spark):
     df = spark.range(100).selectExpr("id % 7 AS k").groupBy("k").count()
     written = session.materialize(df, "t")
     assert written.count() == 7
     plan = written._jdf.queryExecution().optimizedPlan().toString()
     assert "Relation" in plan and "Aggregate" not in plan      # lineage cut: a scan of the table
-    kept = session.materialize(df, "t", in_memory=True)
-    assert kept.is_cached and kept.count() == 7      # filled by its first use
 
 
 def test_size_estimate_and_scratch_paths(spark):
     df = spark.range(10)
-    assert session.estimated_bytes(df) > 0 and session.is_small(df)
+    assert session.estimated_bytes(df) > 0
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")

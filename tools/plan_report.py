@@ -42,16 +42,16 @@ def main() -> None:
     for name in CORE:
         df = QUERIES[name](spark, sf)
         out += [f"## {name}", "", "```", plan_text(df), "```", ""]
-    # the plans chosen for large inputs (forced here by a zero size threshold)
-    from shelfgate import session
+    # beyond the broadcast bound (forced here)
+    from shelfgate.operators import keys
 
-    session.SMALL_INPUT_BYTES = -1
-    out += ["# Large-input plans", "",
-            "The same queries where the input is above `session.SMALL_INPUT_BYTES` (forced here):",
-            "hash-first repeated keys, map-side totals, pass-through dedupe.", ""]
+    keys.MAX_BROADCAST_BYTES = -1
+    out += ["# Beyond the broadcast bound", "",
+            "The same queries where the repeated keys exceed `keys.MAX_BROADCAST_BYTES` (forced here):",
+            "rows that miss the bit map pass through, the others join the repeated keys.", ""]
     for name in LARGE:
         df = QUERIES[name](spark, sf)
-        out += [f"## {name} (large input)", "", "```", plan_text(df), "```", ""]
+        out += [f"## {name} (beyond the bound)", "", "```", plan_text(df), "```", ""]
     with open(os.path.join(ROOT, "PLANS.md"), "w") as fh:
         fh.write("\n".join(out))
 

@@ -33,6 +33,7 @@ def skewed_listing(spark, sf_dir: str, copies: int):
 
 def main() -> None:
     from shelfgate import session
+    from shelfgate.operators import keys
     from shelfgate.operators.audit import duplicate_summary
     from shelfgate.operators.gate import gate
     from shelfgate.operators.rules import default_rules
@@ -42,7 +43,7 @@ def main() -> None:
     sf = args[1] if len(args) > 1 else "/root/testdata/sf0.1"
     spark = session.local_session(shuffle_partitions=64)
     if "--large" in sys.argv:
-        session.SMALL_INPUT_BYTES = -1
+        keys.MAX_BROADCAST_BYTES = -1
     df = skewed_listing(spark, sf, copies)
     t = time.time()
     n = gate(df, default_rules()).survivors().count()
