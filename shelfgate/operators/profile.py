@@ -146,8 +146,8 @@ def kind_counts(kinds_df: DataFrame) -> DataFrame:
     return kinds_df.groupBy("kind").agg(F.count(F.lit(1)).alias("variables"))
 
 
-def numeric_correlation(df: DataFrame, columns: list[str] | None = None, digits: int = 6) -> DataFrame:
-    """(column_a, column_b, corr) Pearson over pairwise non-null rows, rounded."""
+def numeric_correlation(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """(column_a, column_b, corr) Pearson over pairwise non-null rows."""
     num = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     pairs = list(combinations(num, 2))
     if not pairs:
@@ -156,11 +156,11 @@ def numeric_correlation(df: DataFrame, columns: list[str] | None = None, digits:
                    for i, (a, b) in enumerate(pairs)])
     return agg.select(F.inline(F.array(*[
         F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                 F.round(F.col(f"_r{i}"), digits).alias("corr"))
+                 F.col(f"_r{i}").alias("corr"))
         for i, (a, b) in enumerate(pairs)])))
 
 
-def categorical_association(df: DataFrame, columns: list[str] | dict[str, int], digits: int = 6) -> DataFrame:
+def categorical_association(df: DataFrame, columns: list[str] | dict[str, int]) -> DataFrame:
     """(column_a, column_b, cramers_v, n) for every pair of the given columns.
 
     chi2 = n * (sum_ab n_ab^2 / (n_a n_b) - 1) over observed cells only;
@@ -205,7 +205,7 @@ def categorical_association(df: DataFrame, columns: list[str] | dict[str, int],
     return per_pair.select(
         F.get(named, F.expr(f"pair DIV {wide}").cast("int")).alias("column_a"),
         F.get(named, F.col("pair") % wide).alias("column_b"),
-        F.round(v, digits).alias("cramers_v"),
+        v.alias("cramers_v"),
         F.col("n").cast("long").alias("n"))
 
 

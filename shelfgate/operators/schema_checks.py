@@ -19,17 +19,20 @@ from ..functions.schema import CANONICAL, compatible_col, required_names, schema
 def schema_missing(schemas: DataFrame, required: list[str] | None = None) -> DataFrame:
     """(file_name, missing_column) for each required column a file lacks.
 
-    Each file's present required columns fold into a bit mask (``bit_or``, a
-    fixed-width hash aggregate); the missing names are read off the mask.
+    Each file's present required columns fold into bit masks (``bit_or``, a
+    fixed-width hash aggregate) of 62 names each; the missing names are read
+    off the masks.
     """
     req = required or required_names()
-    if len(req) > 62:
-        raise ValueError("at most 62 required columns fit the bit mask")
-    bits = F.create_map(*[x for i, c in enumerate(req) for x in (F.lit(c), F.lit(1 << i).cast("long"))])
-    bit = F.element_at(bits, F.col("column"))
-    masks = schemas.groupBy("file_name").agg(F.bit_or(F.coalesce(bit, F.lit(0).cast("long"))).alias("_m"))
-    absent = F.array(*[F.when((F.col("_m").bitwiseAND(F.lit(1 << i)) == 0), F.lit(c)) for i, c in enumerate(req)])
-    return (masks.select("file_name", F.explode(absent).alias("missing_column"))
+    masks, absent = [], []
+    for m, lo in enumerate(range(0, len(req), 62)):
+        names = req[lo:lo + 62]
+        bits = F.create_map(*[x for i, c in enumerate(names) for x in (F.lit(c), F.lit(1 << i).cast("long"))])
+        bit = F.element_at(bits, F.col("column"))
+        masks.append(F.bit_or(F.coalesce(bit, F.lit(0).cast("long"))).alias(f"_m{m}"))
+        absent += [F.when(F.col(f"_m{m}").bitwiseAND(F.lit(1 << i)) == 0, F.lit(c)) for i, c in enumerate(names)]
+    return (schemas.groupBy("file_name").agg(*masks)
+            .select("file_name", F.explode(F.array(*absent)).alias("missing_column"))
             .where(F.col("missing_column").isNotNull()))
 
 
@@ -66,14 +69,14 @@ def schema_groups(schemas: DataFrame) -> DataFrame:
     sig = schema_signature(schemas)
     return (sig.groupBy("signature", "n_columns")
             .agg(F.count(F.lit(1)).alias("n_files"), F.min("file_name").alias("first_file"))
-            .select(F.substring(F.sha2(F.col("signature"), 256), 1, 16).alias("schema_group"),
+            .select(F.sha2(F.col("signature"), 256).alias("schema_group"),
                     "n_files", "n_columns", "first_file", "signature"))
 
 
 def file_schema_group(schemas: DataFrame) -> DataFrame:
     """(file_name, schema_group) for routing each file to its group's scan."""
     return schema_signature(schemas).select(
-        "file_name", F.substring(F.sha2(F.col("signature"), 256), 1, 16).alias("schema_group"))
+        "file_name", F.sha2(F.col("signature"), 256).alias("schema_group"))
 
 
 def schema_listing(spark: SparkSession, df: DataFrame) -> DataFrame:

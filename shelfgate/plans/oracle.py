@@ -3,18 +3,48 @@
 The views mirror :mod:`shelfgate.sources.fixtures` expression by expression;
 the checks are written the plain SQL way (windows, ``IN`` sub-queries,
 ``UNION ALL``), not the way the Spark plans compute them, so the two sides
-are independent.
+are independent. Rules, limits, dates and the file-name pattern are written
+out here and not taken from the code they check.
 """
 
 from __future__ import annotations
 
+from collections import namedtuple
 from itertools import combinations
 
 from ..functions.schema import CANONICAL, required_names
-from ..operators.rules import JSON_RATE_FLOORS, MISSING_RATE_LIMITS, RANGE_TOLERANCE, default_rules
-from ..sources.fixtures import EVENT_SOURCES, LANDING_DIR, NEGATIVE_FILE_NAMES
-from ..sources.catalog import name_pattern
-from .queries import DETECTION_TIME, OPTIONAL_DROPPED, PRICES, REFERENCE_DATE, TEXT_SOURCE_RETAILERS
+from ..sources.fixtures import LANDING_DIR, NEGATIVE_FILE_NAMES
+from .queries import OPTIONAL_DROPPED, PRICES, TEXT_SOURCE_RETAILERS
+
+REFERENCE_DATE = "2024-01-20"
+DETECTION_TIME = "2024-02-01 00:00:00"
+PAT = r"^(click|error|purchase|signup|view)_weekly_(\d{8})_(\d{6})\.parquet$"
+
+# --- fixed values: the shipped rules in file order, and the written constraints
+_Rule = namedtuple("_Rule", "position kind column min_value max_value")
+RULES = [_Rule(*r) for r in [
+    (1, "not_null", "Run_Date", None, None),
+    (2, "not_null", "Retailer", None, None),
+    (3, "not_null", "Store_Info", None, None),
+    (4, "not_null", "Category_Traversal", None, None),
+    (5, "not_null", "Brand", None, None),
+    (6, "not_null", "Product_Name", None, None),
+    (7, "unique", "Product_ID", None, None),
+    (8, "not_null", "Variant_Info", None, None),
+    (9, "not_null", "Size_Or_Quantity", None, None),
+    (10, "between", "Original_Price", 4, 5760),
+    (11, "between", "Sale_Price", 2.4, 9644.4),
+    (12, "not_null", "In_Stock", None, None),
+]]
+RULE_TYPES = {"not_null": "ExpectColumnValuesToNotBeNull", "unique": "ExpectColumnValuesToBeUnique",
+              "between": "ExpectColumnValuesToBeBetween"}
+MISSING_RATE_LIMITS = {
+    "Run_Date": 0.005, "Retailer": 0.005, "In_Stock": 0.005,
+    "Brand": 0.01, "Product_Name": 0.01, "Size_Or_Quantity": 0.01,
+    "Category_Traversal": 0.02, "Original_Price": 0.02, "Sale_Price": 0.02,
+}
+JSON_RATE_FLOORS = {"Store_Info": 1.0, "Variant_Info": 0.95}
+RANGE_TOLERANCE = 0.2
 
 NAMES = [f.name for f in CANONICAL.fields]
 FLOAT_COLS = ["Number_Of_Reviews", "Average_Rating", "Original_Price", "Sale_Price"]
@@ -70,7 +100,6 @@ def _conformed_cols(src_alias: str = "", float_t: str = "FLOAT", nulls: tuple =
 CONFORMED = f"conformed AS (SELECT {_conformed_cols()} FROM listing)"
 EDA = f"eda AS (SELECT {_conformed_cols(float_t='DOUBLE')}, Source_File FROM listing_src)"
 
-PAT = name_pattern(EVENT_SOURCES)
 NAMES_CTE = (
     "names AS (SELECT concat('" + LANDING_DIR + "/', event_type, '_weekly_', strftime(ts, '%Y%m%d'), '_', "
     "strftime(ts, '%H%M%S'), '.parquet') AS path FROM events UNION ALL SELECT * FROM (VALUES "
@@ -129,9 +158,6 @@ file_schemas AS (
 
 
 # ---- rule flags over a listing scope ------------------------------------------------------
-RULES = default_rules()
-
-
 def _flags_cte(file_expr: str, rules=RULES, src: str = "listing") -> str:
     """Per-row failure flags ``r1..rN`` (row fails the rule and the rule failed in its file)."""
     a_cols, b_cols = [], []
@@ -164,7 +190,7 @@ def _flags_cte(file_expr: str, rules=RULES, src: str = "listing") -> str:
 
 
 def _failed_text(rules=RULES) -> str:
-    parts = ", ".join(f"CASE WHEN r{i} THEN '{r.rule_id}' END" for i, r in enumerate(rules))
+    parts = ", ".join(f"CASE WHEN r{i} THEN '{r.kind}:{r.column}' END" for i, r in enumerate(rules))
     return f"concat_ws(',', {parts})"
 
 
@@ -181,7 +207,7 @@ def _raw_cols(prefix: str = "") -> str:
 def _gate_pairs(kind: str) -> str:
     rules = [r for r in RULES if r.kind == kind]
     sel = " UNION ALL ".join(
-        f"SELECT Product_Name, '{r.rule_id}' AS rule_id FROM flags WHERE r{i}" for i, r in enumerate(rules))
+        f"SELECT Product_Name, '{r.kind}:{r.column}' AS rule_id FROM flags WHERE r{i}" for i, r in enumerate(rules))
     return _with(LISTING, _flags_cte("'<all>'", rules)) + sel
 
 
@@ -196,8 +222,8 @@ def _rule_report_sql(file_expr: str = "'<all>'") -> str:
         else:
             unexpected = f"count(*) FILTER (WHERE r{i})"
         rows.append(
-            f"SELECT CAST(_f AS VARCHAR) AS file, {r.position} AS position, '{r.rule_id}' AS rule_id, "
-            f"'{r.expectation_type}' AS expectation_type, '{c}' AS column, "
+            f"SELECT CAST(_f AS VARCHAR) AS file, {r.position} AS position, '{r.kind}:{c}' AS rule_id, "
+            f"'{RULE_TYPES[r.kind]}' AS expectation_type, '{c}' AS column, "
             f"CASE WHEN {unexpected} = 0 THEN 'pass' ELSE 'fail' END AS status, "
             f"{unexpected} = 0 AS success, {unexpected} AS unexpected_rows, '' AS reason FROM flags GROUP BY _f")
     return _with(LISTING, _flags_cte(file_expr)) + " UNION ALL ".join(rows)
@@ -397,7 +423,7 @@ def oracle_sql() -> dict[str, str]:
 WHERE expected_type IS NOT NULL AND NOT (lower(actual_type) = lower(expected_type)
   OR {fam.format(t='actual_type')} = {fam.format(t='expected_type')}
   OR ({fam.format(t='actual_type')} = 'timestamp' AND {fam.format(t='expected_type')} = 'date'))"""
-    q["schema_groups"] = FS + f"""SELECT substr(sha256(signature), 1, 16) AS schema_group, count(*) AS n_files,
+    q["schema_groups"] = FS + f"""SELECT sha256(signature) AS schema_group, count(*) AS n_files,
   n_columns, min(file_name) AS first_file, signature
 FROM (SELECT file_name, count(*) AS n_columns, {sig} AS signature FROM file_schemas GROUP BY file_name)
 GROUP BY signature, n_columns"""
@@ -480,6 +506,12 @@ FROM t, u"""
     q["profile_missing"] = _missing_sql()
     q["profile_constant"] = _constant_sql()
     q["profile_dataset"] = _dataset_sql()
+    # files of error lack Currency, those of purchase hold prices as doubles
+    q["explore_profile"] = _with(LISTING, LISTING_SRC, EDA, "e AS (SELECT * REPLACE (CASE WHEN Retailer <> 'error' "
+                                 "THEN Currency END AS Currency) FROM eda)") + f"""
+SELECT CAST(3 AS BIGINT) AS schema_groups, count(*) AS rows, CAST({len(NAMES) + 1} AS BIGINT) AS variables,
+  CAST(count(*) * {len(NAMES) + 1} - ({' + '.join(f'count({n})' for n in NAMES + ['Source_File'])}) AS BIGINT) AS missing_cells,
+  count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM e)) AS duplicate_rows FROM e"""
     q["profile_kinds"] = _kinds_sql()
     q["profile_kind_counts"] = ("SELECT kind, count(*) AS variables FROM (" + _kinds_sql() + ") GROUP BY kind")
     q["profile_corr_numeric"] = _corr_sql()

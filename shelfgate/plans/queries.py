@@ -31,6 +31,7 @@ from ..sources import fixtures as X
 from ..sources.catalog import basename, parse_names
 from ..sources.sinks import append_column_log, read_column_log, write_unified
 from .audit import run_audit
+from .explore import explore
 from .ingest import ingest_frame, ingest_latest_frame, run_ingest
 
 REFERENCE_DATE = "2024-01-20"
@@ -419,14 +420,31 @@ def q_profile_kind_counts(spark, sf):
 
 def q_profile_corr_numeric(spark, sf):
     """Numeric correlation."""
-    return P.numeric_correlation(_eda(spark, sf))
+    return P.numeric_correlation(_eda(spark, sf)).withColumn("corr", F.round("corr", 6))
 
 
 def q_profile_assoc_categorical(spark, sf):
     """Cramér's V between text and boolean columns."""
     df = _eda(spark, sf)
     cols = P.association_columns(df)
-    return P.categorical_association(df, cols)
+    return P.categorical_association(df, cols).withColumn("cramers_v", F.round("cramers_v", 6))
+
+
+def q_explore_profile(spark, sf):
+    """A folder of three schemas explored (grouped, normalized, united) and profiled."""
+    root = scratch_path(spark, "explore")
+    df = _listing(spark, sf)
+    for source in X.EVENT_SOURCES:
+        part = df.where(F.col("Retailer") == source)
+        if source == "error":
+            part = part.drop("Currency")
+        if source == "purchase":
+            part = part.withColumns({c: F.expr(f"try_cast({c} AS double)") for c in PRICES})
+        part.write.parquet(f"{root}/{source}_weekly_20240108_000000.parquet")
+    found = explore(spark, root, X.EVENT_SOURCES)
+    groups = found.groups.count()
+    return P.dataset_summary(found.unified).select(
+        F.lit(groups).cast("long").alias("schema_groups"), "rows", "variables", "missing_cells", "duplicate_rows")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

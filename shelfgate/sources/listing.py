@@ -42,7 +42,7 @@ def _footer_rows(batches):
                 fs, inner = pafs.FileSystem.from_uri(uri)
                 schema = pq.read_schema(inner, filesystem=fs)
             except Exception as exc:  # noqa: BLE001 - an unreadable file is reported, not fatal
-                out.append((name, 0, UNREADABLE, f"{type(exc).__name__}: {exc}"[:500]))
+                out.append((name, 0, UNREADABLE, f"{type(exc).__name__}: {exc}"))
                 continue
             for i, field in enumerate(schema):
                 try:
