@@ -8,7 +8,8 @@ code points, end exclusive.
 The patterns are written so that Java's matcher needs linear time and no
 recursion on very long texts (no repeated groups of varying length); each
 accepts exactly the leftmost non-overlapping matches of the plain form given
-beside it.
+beside it. The IBAN pattern takes in only the first four characters and looks
+ahead for the rest, so every place where one could start is tried.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ BLOCK = 256
 @dataclass(frozen=True)
 class Kind:
     """One kind of span. ``valid`` is SQL over ``v`` (the matched text); ``score`` and
-    ``boost`` give the score without and with a context word nearby."""
+    ``boost`` give the score without and with a context word nearby. The span is ``group``
+    of the pattern and starts where the match does."""
 
     name: str
     probe: str
@@ -34,6 +36,7 @@ class Kind:
     score: float = 1.0
     boost: float = 0.0
     context: tuple[str, ...] = ()
+    group: int = 0
 
 
 _DIGITS = "regexp_replace(v, '[^0-9]', '')"
@@ -45,6 +48,18 @@ _MOD97 = (f"aggregate(split(concat(substring({_IBAN}, 5), left({_IBAN}, 4)), '')
           "IF(c >= '0' AND c <= '9', (a * 10 + CAST(try_cast(c AS INT) AS INT)) % 97, "
           "(a * 100 + ascii(c) - 55) % 97)) = 1")
 
+# Characters of an IBAN by country: the ISO 13616 register and the countries that use one without being in it.
+IBAN_CHARS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+              21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+              24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR",
+              27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+              28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA",
+              30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_KNOWN = "|".join(" ".join(IBAN_CHARS.values()).split())
+# other codes: the whole run
+_IBAN_RUN = "|".join([rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_CHARS.items()]
+                     + [rf"(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+"])
+
 KINDS = (
     # [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
     Kind("email", "@",
@@ -62,9 +77,9 @@ KINDS = (
     # \+[0-9][\x20().0-9-]+[0-9], 8 to 15 digits
     Kind("phone", r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 8 AND 15"),
     Kind("iban", r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]",
-         r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+         rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=({_IBAN_RUN})(?![A-Za-z0-9]))[A-Z]{{2}}[0-9]{{2}}",
          f"length({_IBAN}) BETWEEN 15 AND 34 AND {_MOD97}", base=False, score=0.7, boost=0.3,
-         context=("iban", "account", "bank", "konto", "cuenta", "compte")),
+         context=("iban", "account", "bank", "konto", "cuenta", "compte"), group=1),
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
          r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
          "left(v, 3) NOT IN ('000', '666') AND left(v, 1) <> '9' AND substring(v, 5, 2) <> '00' "
@@ -106,14 +121,16 @@ def _spans(kind: Kind, k: int) -> str:
                 f"substring(_t, CAST(e AS INT) + 1, {CONTEXT_CHARS}))) RLIKE '{words}'")
     score = f"CAST({kind.score} + IF({near}, {kind.boost}, 0) AS DOUBLE)"
     ends = _running("transform(m, (x, i) -> CAST(length(x) + length(element_at(g, i + 1)) AS BIGINT))")
+    zipped = f"zip_with(m, {ends}, (v, e) -> struct(v AS v, e AS e))"
+    if kind.group:  # from the match's start to the end of the group
+        zipped = (f"zip_with({zipped}, regexp_extract_all(_t, {pat}, {kind.group}), "
+                  "(x, v) -> struct(v AS v, x.e - length(x.v) + length(v) AS e))")
     # a validator is evaluated only where its pattern matched
     one = (f"transform(array(x.e), e -> transform(array(x.v), v -> IF({kind.valid}, "
            f"struct('{kind.name}' AS kind, {k} AS k, e - length(v) AS start, e AS end, {score} AS score), null))[0])[0]")
     found = (f"transform(array(regexp_extract_all(_t, {pat}, 0)), m -> IF(size(m) = 0, {_EMPTY}, "
              f"transform(array(split(_t, {pat}, -1)), g -> "
-             f"filter(transform(arrays_zip(m AS v, {ends} AS e), x -> {one}), s -> s IS NOT NULL))[0]))[0]")
-    found = found.replace("arrays_zip(m AS v, ", "zip_with(m, ").replace(
-        f"{ends} AS e)", f"{ends}, (v, e) -> struct(v AS v, e AS e))")
+             f"filter(transform({zipped}, x -> {one}), s -> s IS NOT NULL))[0]))[0]")
     return f"CASE WHEN {probe} THEN {found} ELSE {_EMPTY} END"
 
 
@@ -122,7 +139,9 @@ def find_pii(docs: DataFrame, *, text_col: str = "text", threshold: float = THRE
     """``docs`` plus ``spans_col``: array of (kind, k, start, end, score), by kind then start.
 
     A span is proposed by its kind's pattern and confirmed by its validator;
-    failing matches are dropped without a retry. Kinds with ``base`` are
+    failing matches are dropped without a retry. An IBAN has its country's
+    length, so what follows it after a blank is not taken in, and one may start
+    inside a match that failed. Kinds with ``base`` are
     always reported, others when their score, raised by a context word within
     40 characters, reaches ``threshold``. Null text counts as empty; a column
     named ``spans_col`` is replaced.

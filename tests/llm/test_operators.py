@@ -316,6 +316,19 @@ def test_pii_equals_brute_force(spark, docs, rows):
             assert extra == [("DE89 3704 0044 0532 0130 00", 1.0), ("123-45-6789", 0.7), ("123-45-6789", 0.7)]
 
 
+def test_iban_beside_words_and_numbers(spark):
+    texts = {"DE89370400440532013000 Please": "DE89370400440532013000", "GB82WEST12345698765432 12 May": "GB82WEST12345698765432",
+             "é😀 DE89 3704 0044 0532 0130 00 BIC X": "DE89 3704 0044 0532 0130 00", "NO9386011117947 A1": "NO9386011117947",
+             "MT84MALT011000012345MTLCAST001S": "MT84MALT011000012345MTLCAST001S", "AB12 NO93 8601 1117 947 B": "NO93 8601 1117 947",
+             "BE12 GB82 WEST 1234 5698 7654 32 AND": "GB82 WEST 1234 5698 7654 32", "DE89370400440532013001 Please": None,
+             "XDE89370400440532013000": None, "DE893704004405320130007 Z": None}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.text: [r.text[s.start:s.end] for s in r.pii if s.kind == "iban"] for r in pii.find_pii(df).collect()}
+    assert got == {t: [v] if v else [] for t, v in texts.items()}
+    clean = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert all(clean[i] == t.replace(v, "[IBAN]") for i, (t, v) in enumerate(texts.items()) if v)
+
+
 def test_redact(odd, empty):
     got = pii.redact(odd)
     assert got.columns == odd.columns
