@@ -4,6 +4,9 @@ A scanner feeds a tree builder that supplies implied end tags (paragraphs,
 list items, table parts, options) and missing table rows; a renderer walks
 the tree without recursion and emits all visible text with block spacing,
 list markers and aligned table cells.
+
+Elements of svg and math are named ``svg/g`` or ``math/mi`` in the tree (no tag
+name holds a slash), so no rule for HTML elements applies to them.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from .tokens import string_column
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp noscript".split())
 HIDDEN = frozenset("head title script style template noscript iframe object canvas audio video datalist "
-                   "noembed noframes svg math".split())
+                   "noembed noframes svg/svg math/math".split())
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr fieldset xmp".split())
 BLOCK = PARAGRAPH | frozenset("html body address article aside center dd details dialog dir div dt figcaption footer "
                               "form header hgroup legend li main menu nav optgroup option search section select "
@@ -38,6 +41,13 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu", "dir", "table"}), "dt": ({"dt", "
            "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
            "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
            "caption": ({"caption"}, {"table"}), "body": ({"head"}, {"html"})}
+# inside svg and math: tags that end it, elements whose content is HTML again
+BREAK_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li "
+                      "listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul "
+                      "var".split())
+MATH_TEXT = frozenset(("math/mi", "math/mo", "math/mn", "math/ms", "math/mtext"))
+SVG_HTML = frozenset(("svg/foreignobject", "svg/desc", "svg/title"))
+SCOPE = MATH_TEXT | SVG_HTML | {"math/annotation-xml"}
 HEAD_ONLY = frozenset("base link meta title style script noscript template".split())
 ALIGN = 48
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -84,8 +94,9 @@ def _attributes(page: str, at: int) -> tuple[dict[str, str], int, bool]:
             at += 1
 
 
-def scan(page: str):
-    """Tokens: ("text", text), ("open", tag, attributes), ("close", tag)."""
+def scan(page: str, b: "Builder"):
+    """Tokens: ("text", text), ("open", tag, (attributes, closes itself)), ("close", tag).
+    What follows an open tag depends on where ``b`` put it."""
     at, n = 0, len(page)
     while at < n:
         lt = page.find("<", at)
@@ -98,6 +109,10 @@ def scan(page: str):
         if page.startswith("<!--", lt):
             end = page.find("-->", lt + 2)
             at = n if end < 0 else end + 3
+        elif page.startswith("<![CDATA[", lt) and "/" in b.node.tag:
+            end = page.find("]]>", lt)
+            yield "text", page[lt + 9:n if end < 0 else end], None
+            at = n if end < 0 else end + 3
         elif nxt in ("!", "?") and nxt:
             end = page.find(">", lt)
             at = n if end < 0 else end + 1
@@ -111,11 +126,11 @@ def scan(page: str):
             at = n if end < 0 else end + 1
         elif m := _NAME.match(page, lt + 1):
             tag = m[0].lower()
-            attrs, at, _ = _attributes(page, m.end())
+            attrs, at, closed = _attributes(page, m.end())
             if at < 0:
                 return  # a tag that never ends is no text
-            yield "open", tag, attrs
-            if tag in RAW:
+            yield "open", tag, (attrs, closed)
+            if tag in RAW and b.node.tag == tag:
                 close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
                 end = close.start() if close else n
                 raw = page[at:end]
@@ -127,6 +142,15 @@ def scan(page: str):
             at = lt + 1
 
 
+def _takes_html(node: Node, tag: str) -> bool:
+    """Whether a start tag in ``node`` follows the rules of HTML."""
+    if node.tag in MATH_TEXT:
+        return tag not in ("mglyph", "malignmark")
+    if node.tag == "math/annotation-xml":
+        return tag == "svg" or node.attrs.get("encoding", "").lower() in ("text/html", "application/xhtml+xml")
+    return "/" not in node.tag or node.tag in SVG_HTML
+
+
 class Builder:
     """The tree of one page. ``open`` counts open tags by name, so a missing one costs nothing."""
 
@@ -151,7 +175,7 @@ class Builder:
         if not any(self.open.get(t) for t in tags):
             return
         node, found = self.node, None
-        while node.parent is not None and node.tag not in stop:
+        while node.parent is not None and node.tag not in stop and node.tag not in SCOPE:
             if node.tag in tags:
                 found = node
             node = node.parent
@@ -160,7 +184,19 @@ class Builder:
                 self.pop()
             self.pop()
 
-    def start(self, tag: str, attrs: dict[str, str]) -> None:
+    def break_out(self) -> None:
+        """Close svg and math up to an element whose content is HTML."""
+        while not _takes_html(self.node, ""):
+            self.pop()
+
+    def start(self, tag: str, attrs: dict[str, str], closed: bool = False) -> None:
+        if not _takes_html(self.node, tag):
+            if tag not in BREAK_OUT and not (tag == "font" and attrs.keys() & {"color", "face", "size"}):
+                self.push(f"{self.node.tag.split('/')[0]}/{tag}", attrs)
+                if closed:
+                    self.pop()
+                return
+            self.break_out()
         if tag in ("html", "body") and self.open.get(tag):
             return
         if self.open.get("head") and tag not in HEAD_ONLY and tag not in ("html", "head"):
@@ -171,16 +207,31 @@ class Builder:
             self.close_until(*IMPLIED[tag])
         if tag in CELL and self.open.get("table") and self.node.tag in ("table", *SECTION):
             self.push("tr", {})
-        self.push(tag, attrs)
+        foreign = tag in ("svg", "math")
+        self.push(f"{tag}/{tag}" if foreign else tag, attrs)
+        if foreign and closed:
+            self.pop()
 
     def end(self, tag: str) -> None:
+        if "/" in self.node.tag:
+            if tag in ("br", "p"):
+                self.break_out()
+            elif self.open.get(f"svg/{tag}") or self.open.get(f"math/{tag}"):
+                node = self.node
+                while "/" in node.tag and not node.tag.endswith(f"/{tag}"):
+                    node = node.parent
+                if "/" in node.tag:
+                    while self.node is not node:
+                        self.pop()
+                    self.pop()
+                    return
         if tag == "br":
             self.push("br", {})
         elif tag == "p" and not self.open.get("p"):
             self.push("p", {})
             self.pop()
         elif self.open.get(tag):
-            stop = () if tag in ("table", "html", "body") else {"table"} if tag in CELL | SECTION | {"tr"} else CELL
+            stop = () if tag in ("table", "html", "body") else {"table"} if tag in CELL | SECTION | {"tr"} else CELL | SCOPE
             node = self.node
             while node.parent is not None and node.tag != tag and node.tag not in stop:
                 node = node.parent
@@ -205,11 +256,11 @@ class Builder:
 
 def build(page: str) -> Node:
     b = Builder()
-    for kind, value, attrs in scan(page):
+    for kind, value, more in scan(page, b):
         if kind == "text":
             b.text(value)
         elif kind == "open":
-            b.start(value, attrs)
+            b.start(value, *more)
         else:
             b.end(value)
     return b.root
@@ -444,7 +495,8 @@ def extract_text(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "
     Null and empty pages give the empty string; null ids and repeated rows
     keep their row; other columns are ignored; an empty table gives an empty
     result. Unclosed and stray tags, very deep nesting and very long pages
-    are rendered whole.
+    are rendered whole. svg and math end as in the HTML standard: ``/>`` closes
+    their elements, block tags close them.
     """
     src = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{html_col}`").alias("html"))
     id_type = pages.schema[id_col].dataType.simpleString()

@@ -282,6 +282,16 @@ def test_html_odd_pages(spark):
     assert html.extract_text(df.where("false")).count() == 0
 
 
+def test_html_svg_and_math_end():
+    for page, text in [('<p>a <svg class="i"/>b<p>c', "a b\n\nc"), ("a<svg><title/><path d='m0'/></svg> b", "a b"),
+                       ("a<svg><style/><script/><g/></svg> b</title>", "a b"), ("<svg><g><path><p>b<div>c</div>d", "b\n\nc\nd"),
+                       ("<math><mrow><mi/><table><tr><td>x<td>y</table>z", "x  y\n\nz"), ("<div><svg><g></div>a", "a"),
+                       ("<svg><title>t<b>u</b></title></svg>a", "a"), ("<svg><style>a</style><title><![CDATA[>x]]></title></svg>b", "b"),
+                       ("<svg><g></svg>a</g>b", "ab"), ("<svg></p>a", "a"), ("<p>a<svg:svg/>b<style/>c</style>d", "abd"),
+                       ("<svg>" + "<g>" * 20_000 + "</x>" * 20_000 + "<p>deep", "deep")]:
+        assert html.page_text(page) == text, page[:80]
+
+
 # ---- 6 PII
 
 def brute_pii(text):
