@@ -23,7 +23,9 @@ from .tokens import string_column
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp noscript".split())
 HIDDEN = frozenset("head title script style template noscript iframe object canvas audio video datalist "
-                   "noembed noframes svg/svg math/math".split())
+                   "noembed noframes svg/defs svg/desc svg/metadata svg/title svg/style svg/script svg/symbol "
+                   "svg/clippath svg/mask svg/marker svg/pattern math/annotation math/annotation-xml math/mphantom "
+                   "math/style math/script".split())
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr fieldset xmp".split())
 BLOCK = PARAGRAPH | frozenset("html body address article aside center dd details dialog dir div dt figcaption footer "
                               "form header hgroup legend li main menu nav optgroup option search section select "
@@ -48,12 +50,17 @@ BREAK_OUT = frozenset("b big blockquote body br center code dd div dl dt em embe
 MATH_TEXT = frozenset(("math/mi", "math/mo", "math/mn", "math/ms", "math/mtext"))
 SVG_HTML = frozenset(("svg/foreignobject", "svg/desc", "svg/title"))
 SCOPE = MATH_TEXT | SVG_HTML | {"math/annotation-xml"}
+# the only elements of svg whose own text is shown; parts of svg and math that stand apart from what is beside them
+SVG_TEXT = frozenset(("svg/text", "svg/tspan", "svg/textpath", "svg/foreignobject"))
+APART = frozenset(("svg/text", "svg/foreignobject", "math/mtr", "math/mtd"))
+FRACTION = frozenset(("math/mfrac", "math/mroot"))
 HEAD_ONLY = frozenset("base link meta title style script noscript template".split())
 ALIGN = 48
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)?(\s*=\s*)?")
 _HIDE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\b", re.I)
+_SVG_VISIBILITY = re.compile(r"\s*(hidden|collapse|visible)\s*$")
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 
 
@@ -266,6 +273,12 @@ def build(page: str) -> Node:
     return b.root
 
 
+def _apart(node: Node) -> bool:
+    """Whether a blank stands around a part of svg or math: a label, a placed piece of one, a cell, half a fraction."""
+    return (node.tag in APART or node.tag == "svg/tspan" and bool(node.attrs.keys() & {"x", "y", "dy"})
+            or node.tag.startswith("math/") and node.parent.tag in FRACTION)
+
+
 class Flow:
     """Text under construction: lines, pending line breaks, collapsed white space."""
 
@@ -395,7 +408,9 @@ def render(root: Node) -> str:
             continue
         tag = item.tag
         if leaving:
-            if tag in CELL and flows:
+            if "/" in tag:
+                flow.text(" ")
+            elif tag in CELL and flows:
                 lines = flow.done()
                 flow = flows.pop()
                 if tables:
@@ -431,6 +446,18 @@ def render(root: Node) -> str:
         if m := _VISIBILITY.search(style):
             shown = m[1].lower() == "visible"
         children = item.children
+        if "/" in tag:
+            if item.attrs.get("display", "").strip() == "none":
+                continue
+            if not m and (m := _SVG_VISIBILITY.match(item.attrs.get("visibility", ""))):
+                shown = m[1] == "visible"
+            if tag.startswith("svg/") and tag not in SVG_TEXT and not (tag == "svg/a" and item.parent.tag in SVG_TEXT):
+                children = [c for c in children if isinstance(c, Node)]
+            if _apart(item):
+                flow.text(" ")
+                steps.append((item, True, shown, pre))
+            steps.extend((c, False, shown, pre) for c in reversed(children))
+            continue
         if tag == "details" and "open" not in item.attrs:
             children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
         if tag == "br":
@@ -496,7 +523,9 @@ def extract_text(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "
     keep their row; other columns are ignored; an empty table gives an empty
     result. Unclosed and stray tags, very deep nesting and very long pages
     are rendered whole. svg and math end as in the HTML standard: ``/>`` closes
-    their elements, block tags close them.
+    their elements, block tags close them. Of svg the labels are shown, of math
+    all but annotations; labels, matrix cells and the halves of fractions are
+    set apart by a blank.
     """
     src = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{html_col}`").alias("html"))
     id_type = pages.schema[id_col].dataType.simpleString()

@@ -292,6 +292,17 @@ def test_html_svg_and_math_end():
         assert html.page_text(page) == text, page[:80]
 
 
+def test_html_svg_and_math_text():
+    for page, text in [("<p>Euler: <math><mi>e</mi><mo>=</mo><mn>2.7</mn><annotation>no</annotation></math>.", "Euler: e=2.7."),
+                       ("<math><mfrac><mn>1</mn><mn>2</mn></mfrac></math>", "1 2"),
+                       ("<svg>no<title>no</title><defs><text>no</text></defs><text>A</text><g><text>B<tspan>C</tspan></text></g></svg>x", "A BC x"),
+                       ("<svg><text display='none'>no</text><g visibility='hidden'><text>no</text><text visibility='visible'>D</text></g></svg>", "D"),
+                       ("<svg><text><tspan x='1'>a</tspan><tspan x='1'>b</tspan><a>c</a></text><a>no</a></svg>", "a b c"),
+                       ("<svg><style>no</style><foreignObject><p>p<div>q</div></foreignObject><desc>no</desc></svg>r", "p\n\nq\nr"),
+                       ("<table><tr><td><math><mtr><mtd>1</mtd><mtd>2</mtd></mtr></math><td>b</table>", "1 2  b")]:
+        assert html.page_text(page) == text, page
+
+
 # ---- 6 PII
 
 def brute_pii(text):
