@@ -16,6 +16,11 @@ line at the start of its class takes part in the class below as well.
 Lines are found a second time by a filter of ``FILTER_BITS`` bits over the
 candidate keys, a table of fixed size that may be broadcast; it only saves
 shuffling, candidates are joined by their full keys afterwards.
+
+Other bounds than one edit take another way: ``k`` edits leave one of
+``k + 1`` parts of the shorter line whole, so the lines that hold an equal
+part at a place the edits allow are compared. Their number grows with the
+square of the lines that share a part.
 """
 
 from __future__ import annotations
@@ -27,6 +32,8 @@ from ..session import materialize
 
 SEGMENTS = 4
 MIN_NEAR_CHARS = 20
+#: Edits between two lines by the length they hold from; the shorter line decides.
+BOUNDS = ((MIN_NEAR_CHARS, 1),)
 FILTER_BITS = 1 << 23
 _FILLED = r"CASE WHEN ascii(line) > 32 THEN true ELSE line RLIKE '[^\\x20\\x09-\\x0D]' END"
 
@@ -117,19 +124,60 @@ def _near(lines: DataFrame, filter_bits: int) -> DataFrame:
             .where("other.place < place AND levenshtein(part, other.part, 1) >= 0").select("place"))
 
 
+def _near_within(lines: DataFrame, bounds: tuple[tuple[int, int], ...]) -> DataFrame:
+    """First places of lines within ``bounds`` of a line with an earlier first place."""
+    low, most = min(n for n, _ in bounds), max(k for _, k in bounds)
+
+    def bound(n: str) -> str:
+        whens = " ".join(f"WHEN {n} >= {at} THEN {k}" for at, k in sorted(bounds, reverse=True))
+        return f"CASE {whens} ELSE 0 END"
+
+    def part(n: str, k: str, shift: str) -> str:
+        """SQL: key of part ``i`` of ``k + 1`` of a line of ``n`` characters, looked up ``shift`` further on."""
+        start, end = f"(i * {n}) DIV ({k} + 1)", f"((i + 1) * {n}) DIV ({k} + 1)"
+        return (f"xxhash64({n}, i, substring(line, CAST({start} + {shift} AS INT) + 1, CAST({end} - {start} AS INT)))")
+
+    first = (lines.where(F.col("n") >= low).groupBy("k1", "k2")
+             .agg(F.min("place").alias("place"), F.first("n").alias("n"), F.first("line").alias("line"))
+             .select(F.xxhash64("k1", "k2").alias("cid"), "place", "n", "line"))
+    first = materialize(first, "line-first")
+    # before a whole part i lie at most i edits, behind it at most k - i, if no part before it is as well placed
+    places = (f"filter(sequence(-i, i), d -> abs(d - (n - l)) <= k - i AND (i * l) DIV (k + 1) + d >= 0 "
+              "AND ((i + 1) * l) DIV (k + 1) + d <= n)")
+    longer = (f"flatten(transform(filter(sequence(greatest(n - {most}, {low}), n), l -> n - l <= {bound('l')}), "
+              f"l -> transform(array({bound('l')}), k -> flatten(transform(sequence(0, k), "
+              f"i -> transform({places}, d -> {part('l', 'k', 'd')}))))[0]))")
+    shorter = f"transform(array({bound('n')}), k -> transform(sequence(0, k), i -> {part('n', 'k', '0')}))[0]"
+    left = first.select(F.col("cid").alias("a"), F.explode(F.array_distinct(F.expr(shorter))).alias("key"))
+    right = first.select(F.col("cid").alias("b"), F.explode(F.array_distinct(F.expr(longer))).alias("bkey"))
+    pairs = (left.join(right, (F.col("key") == F.col("bkey")) & (F.col("a") != F.col("b"))).select("a", "b").distinct())
+    pairs = materialize(pairs, "line-pairs")
+    one, two = [first.select(*[F.col(c).alias(f"{s}_{c}") for c in first.columns]) for s in ("a", "b")]
+    met = (pairs.join(one, F.col("a") == F.col("a_cid")).join(two, F.col("b") == F.col("b_cid"))
+           .where(F.expr(f"levenshtein(a_line, b_line, {bound('a_n')}) >= 0")))
+    return met.select(F.expr("IF(a_place < b_place, b_place, a_place)").alias("place")).distinct()
+
+
 def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", near: bool = True,
-                   filter_bits: int = FILTER_BITS) -> DataFrame:
+                   bounds: tuple[tuple[int, int], ...] = BOUNDS, filter_bits: int = FILTER_BITS) -> DataFrame:
     """``place`` (nul, id, no, rid) of every line that repeats an earlier one; ``no`` counts from 0.
 
     Lines are what stands between line feeds, blank ones aside. Earlier means
     a smaller id (null ids last), or a smaller line number in the same
-    document. A line repeats if it equals an earlier line or, from
-    ``MIN_NEAR_CHARS`` characters on, is one character insertion, deletion or
-    replacement away from a line whose first place is earlier.
+    document. A line repeats if it equals an earlier line or is near a line
+    whose first place is earlier. Near means at most as many character
+    insertions, deletions and replacements as ``bounds``, pairs of (from this
+    many characters, so many edits), allows for the shorter of the two; one
+    from ``MIN_NEAR_CHARS`` characters on unless given.
     """
+    bounds = tuple((n, k) for n, k in bounds)
+    if any(n < 1 or k < 0 for n, k in bounds):
+        raise ValueError(f"bounds need lengths from 1 and edits from 0: {bounds}")
     lines = _lines(docs, id_col, text_col)
     found = _exact(lines)
-    return found.unionAll(_near(lines, filter_bits)) if near else found
+    if not near or not any(k for _, k in bounds):
+        return found
+    return found.unionAll(_near(lines, filter_bits) if bounds == BOUNDS else _near_within(lines, bounds))
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:

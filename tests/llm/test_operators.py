@@ -127,6 +127,48 @@ def test_lines_equal_brute_force(spark):
                           "\n".join(x for n, x in enumerate(text.split("\n")) if (r.doc_id, n) not in gone))
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row = row, [i + 1]
+        for j, y in enumerate(b):
+            row.append(min(last[j] + (x != y), last[j + 1] + 1, row[j] + 1))
+    return row[-1]
+
+
+def test_lines_within_wider_bounds_equal_brute_force(spark):
+    rng = random.Random(5)
+    bounds = ((2, 1), (15, 2), (40, 3))
+    base = ["".join(rng.choice("abl é") for _ in range(n)) for n in (2, 3, 5, 9, 14, 15, 16, 24, 39, 40, 41, 42, 64, 90)]
+    made = []
+    for i in range(40):
+        some = [rng.choice(base) for _ in range(4)]
+        for _ in range(4):
+            some = [edited(rng, s) if s and rng.random() < .45 else s for s in some]
+        made.append((i, "\n".join(some)))
+    places = [(i, n, line) for i, t in made for n, line in enumerate(t.split("\n")) if words(line)]
+    first = {}
+    for at, (_, _, line) in enumerate(places):
+        first.setdefault(line, at)
+
+    def near(a, b):
+        n = min(len(a), len(b))
+        return edits(a, b) <= max([k for at, k in bounds if n >= at], default=0)
+    gone = {(i, n) for at, (i, n, line) in enumerate(places)
+            if first[line] < at or any(first[b] < at and near(line, b) for b in first)}
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    assert {(r.id, r.no) for r in lines.repeated_lines(df, bounds=bounds).select("place.*").collect()} == gone
+    kept = {r.doc_id: r.text for r in lines.dedup_lines(df, bounds=bounds).collect()}
+    assert kept == {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone) for i, t in made}
+    # one edit by the general way is one edit by the default one
+    plain, general = [{(r.id, r.no) for r in lines.repeated_lines(df, bounds=b).select("place.*").collect()}
+                      for b in (lines.BOUNDS, (*lines.BOUNDS, (10_000, 1)))]
+    assert plain == general and len(plain) < len(gone)
+    licence = "Copyright 2021 " + "all rights reserved by the owners, " * 8
+    df = spark.createDataFrame([(1, licence + "\nHome 1"), (2, licence.replace("2021", "2034") + "\nHome 2")], "doc_id long, text string")
+    assert lines.dedup_lines(df, bounds=((4, 1), (40, 2))).where("doc_id = 2").first().n_removed == 2
+
+
 def test_lines_odd_rows(odd, empty):
     got = lines.dedup_lines(odd)
     assert got.columns == [c for c in odd.columns if c != "n_lines"] + ["n_lines", "n_removed"]
