@@ -94,6 +94,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there. Other failures (permissions, an unknown scheme) raise."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Compute ``df`` once into a parquet table in the shared folder and read it back.
 
