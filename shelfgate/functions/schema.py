@@ -124,3 +124,44 @@ def schema_rows(schema: StructType) -> list[tuple[int, str, str, bool]]:
         (i + 1, f.name, f.dataType.simpleString(), f.nullable)
         for i, f in enumerate(schema.fields)
     ]
+
+
+# --- merging the types that the parts of one file give a column -------------
+_INTEGRAL_ORDER = ["tinyint", "smallint", "int", "bigint"]
+_WALL_CLOCK = ["date", "timestamp_ntz", "timestamp_ns"]
+
+
+def merged_type(types: Column) -> Column:
+    """The type that holds the values of all ``types`` (array of type names); null if there is none.
+
+    Equal types stay. Integers widen to the widest; next to fractions they become double (integers
+    beyond 2**53 are then rounded, as a reader of the whole file as double would). Decimals widen
+    while 38 digits suffice. Dates and timestamps become timestamps. A column without values in a
+    part (``void``) takes the type of the others.
+    """
+    given = F.array_sort(F.array_distinct(F.filter(types, lambda t: t != "void")))
+
+    def among(names: list[str]) -> Column:
+        return F.forall(given, lambda t: t.isin(names))
+
+    def has(names: list[str]) -> Column:
+        return F.exists(given, lambda t: t.isin(names))
+
+    widest = F.lit("tinyint")
+    for name in _INTEGRAL_ORDER:
+        widest = F.when(F.array_contains(given, name), name).otherwise(widest)
+
+    def digits(group: int) -> Column:
+        return F.transform(given, lambda t: F.regexp_extract(t, r"^decimal\((\d+),(\d+)\)$", group).try_cast("int"))
+
+    scale = F.array_max(digits(2))
+    precision = F.array_max(F.zip_with(digits(1), digits(2), lambda a, b: a - b)) + scale
+    return (F.when(F.size(given) == 0, "void")
+            .when(F.size(given) == 1, F.element_at(given, 1))
+            .when(among(_INTEGRAL_ORDER), widest)
+            .when(among([*_INTEGRAL_ORDER, "float", "double"]),
+                  F.when(has(["double", "int", "bigint"]), "double").otherwise("float"))
+            .when(among(_WALL_CLOCK), "timestamp_ntz")
+            .when(among([*_WALL_CLOCK, "timestamp"]), "timestamp")
+            .when(F.forall(given, lambda t: t.startswith("decimal(")) & (precision <= 38),
+                  F.concat(F.lit("decimal("), precision.cast("string"), F.lit(","), scale.cast("string"), F.lit(")"))))

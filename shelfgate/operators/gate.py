@@ -10,14 +10,17 @@ whose DataFrames are all lazy:
 * ``verdicts()``  one row per file: accept / repair / reject
 * ``rule_report()`` one row per (file, rule)
 
-Plan shape (no full-row shuffle in the common case):
-
-1. per uniqueness rule, the repeated ``(file, value)`` keys with their
-   counts: an aggregation over the two key columns only, combined map-side,
-   materialized (it is small: only values that repeat);
-2. per-file facts (row counts, failing counts per rule, null counts),
-   joined with per-file sums of (1), materialized (one row per file);
-3. the row pass: the counts of (1) attached to the rows (see
+Plan shape: three scans, no full-row shuffle in the common case.
+
+1. keys: one pass over the key columns counts 64-bit hashes of the
+   ``(file, value)`` keys of all uniqueness rules and leaves a bit map;
+2. facts: one pass over the rule columns counts rows by file, by the set of
+   row-local rules they fail, and by key where the bit map says that it may
+   repeat. Rows of unique keys collapse map-side into a few groups per file,
+   so the table is small; repeated keys, per-file facts (rows, failing rows
+   per rule, null ids), verdicts and the rule report all follow from it
+   without another look at the rows;
+3. rows: the repeated keys attached to the rows (see
    ``keys.attach_repeats``: a broadcast up to a checked size, else only rows
    that may repeat move), the facts as literals (one file) or a join that
    Spark broadcasts by the size of their table, and every rule as a Column
@@ -27,16 +30,18 @@ Plan shape (no full-row shuffle in the common case):
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .keys import attach_repeats, free_prefix, repeated_keys
+from .keys import attach_repeats, free_prefix, marked_repeats
 from .rules import Rule, RulePlan, plan_rules
 
 ALL_FILES = "<all>"
 NO_FILE = "<no file>"
+MASK_BITS = 62
 
 
 @dataclass
@@ -48,18 +53,19 @@ class GateResult:
     missing_required: list[str] = field(default_factory=list)
     _input_cols: list[str] = field(default_factory=list)
     helper: str = "_"          # start of the helper columns of ``rows``
+    tally: DataFrame | None = None   # (_file, n, failing): rows of a file that fail, or not
 
     # -- row outputs -------------------------------------------------------
-    def _survives(self) -> Column:
+    def survives(self) -> Column:
         return (F.size("failed_rules") == 0) & F.col(self.helper + "file_ok")
 
     def survivors(self) -> DataFrame:
-        return self.rows.where(self._survives()).select(*[F.col(f"`{c}`") for c in self._input_cols])
+        return self.rows.where(self.survives()).select(*[F.col(f"`{c}`") for c in self._input_cols])
 
     def quarantine(self) -> DataFrame:
         """Every row that does not survive: rows with failed rules, and all rows of
         rejected files (their ``failed_rules`` may be empty; ``verdicts`` says why)."""
-        return self.rows.where(~self._survives()).select(
+        return self.rows.where(~self.survives()).select(
             *[F.col(f"`{c}`") for c in self._input_cols], "failed_rules")
 
     def flagged(self) -> DataFrame:
@@ -70,11 +76,13 @@ class GateResult:
         """accept: nothing failed; repair: failing rows dropped, survivors kept;
         reject: required column missing, every row failed, or a rule errored
         while no row failed."""
-        counts = self.rows.groupBy(F.col(self.helper + "file").alias("_file")).agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.size("failed_rules") > 0).alias("failing_rows"),
-        )
-        v = counts.join(self.facts.select("_file", "rules_failed"), "_file", "left")
+        if self.tally is None:   # rejected before any rule ran
+            v = self.facts.select("_file", F.col("n_rows").alias("rows"), F.lit(0).cast("long").alias("failing_rows"),
+                                  "rules_failed")
+        else:
+            v = self.tally.groupBy("_file").agg(
+                F.sum("n").alias("rows"), F.sum(F.when(F.col("failing"), F.col("n")).otherwise(0)).alias("failing_rows"))
+            v = v.join(self.facts.select("_file", "rules_failed"), "_file", "left")
         survivors = F.col("rows") - F.col("failing_rows")
         if self.missing_required:
             outcome = F.lit("reject")
@@ -156,24 +164,47 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
     active = [(i, p) for i, p in enumerate(plans) if p.status == "active"]
     errors = [p for p in plans if p.status == "error"]
 
-    # ---- pass 1: repeated keys per uniqueness rule (key columns only) ------
+    # ---- keys that may repeat, rows counted by what they fail -----------------
+    local = [(i, p) for i, p in active if p.fails is not None]
+    unique = [(i, p) for i, p in active if p.fails is None]
+    for i, p in unique:
+        base = base.withColumn(f"{h}id{i}", p.value)
+    counted = base
+    if unique:
+        counted = marked_repeats(base, {f"{h}hit{i}": [h + "file", f"{h}id{i}"] for i, _ in unique})
+    by = [file]
+    for m, lo in enumerate(range(0, len(local), MASK_BITS)):
+        bits = [F.when(p.fails, F.lit(1 << b)).otherwise(F.lit(0)).cast("long")
+                for b, (_, p) in enumerate(local[lo:lo + MASK_BITS])]
+        by.append(sum(bits[1:], bits[0]).alias(f"m{m}"))
+    for i, _ in unique:
+        by.append(F.when(F.col(f"{h}hit{i}"), F.col(f"{h}id{i}")).alias(f"k{i}"))
+        by.append(F.col(f"{h}id{i}").isNull().alias(f"null{i}"))
+    nonnull = [F.count_if(F.col(f"`{p.rule.column}`").isNotNull()).alias(f"nn{i}")
+               for i, p in local if p.rule.mostly is not None and p.rule.kind != "not_null"]
+    groups = materialize(counted.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *nonnull), "gate-groups")
+    fails = {i: F.col(f"m{j // MASK_BITS}").bitwiseAND(F.lit(1 << j % MASK_BITS)) != 0 for j, (i, _) in enumerate(local)}
+
     repeats = {}
-    for i, p in active:
-        if p.fails is None:
-            base = base.withColumn(f"{h}id{i}", p.value)
-            rk = materialize(repeated_keys(base, [h + "file", f"{h}id{i}"], nulls_equal=False), "gate-repeats")
-            repeats[i] = rk
+    for i, _ in unique:
+        rk = (groups.where(F.col(f"k{i}").isNotNull())
+              .groupBy(F.col("_file").alias(h + "file"), F.col(f"k{i}").alias(f"{h}id{i}"))
+              .agg(F.sum("n").alias("_n")).where(F.col("_n") > 1))
+        repeats[i] = materialize(rk, "gate-repeats")
+
+    # ---- per-file facts, from the groups alone ---------------------------------
+    def rows_where(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("n")).otherwise(0))
 
-    # ---- pass 1: per-file facts ------------------------------------------
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    aggs = [F.sum("n").alias("n_rows")]
     for i, p in active:
-        c = F.col(f"{h}id{i}" if i in repeats else f"`{p.rule.column}`")
-        aggs.append(F.count_if(c.isNotNull()).alias(f"nn{i}"))
         if p.fails is not None:
-            aggs.append(F.count_if(p.fails).alias(f"f{i}"))
+            aggs.append(rows_where(fails[i]).alias(f"f{i}"))
+            if f"nn{i}" in groups.columns:
+                aggs.append(F.sum(f"nn{i}").alias(f"nn{i}"))
         else:
-            aggs.append(F.count_if(c.isNull()).alias(f"z{i}"))
-    facts = base.groupBy(file).agg(*aggs)
+            aggs += [rows_where(F.col(f"null{i}")).alias(f"z{i}"), rows_where(~F.col(f"null{i}")).alias(f"nn{i}")]
+    facts = groups.groupBy("_file").agg(*aggs)
     for i, rk in repeats.items():
         # small: repeated keys only
         dup = rk.groupBy(file).agg(F.sum("_n").alias(f"f{i}"))
@@ -183,7 +214,7 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
     derived = []
     for i, p in active:
         r = p.rule
-        denom = F.col("n_rows") if r.kind == "not_null" else F.col(f"nn{i}")
+        denom = F.col(f"nn{i}") if r.mostly is not None and r.kind != "not_null" else F.col("n_rows")
         ok = _ok(F.col(f"f{i}"), denom, r.mostly)
         derived.append(ok.alias(f"s{i}"))
         if p.fails is None:
@@ -204,7 +235,15 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
     facts = materialize(facts, "gate-facts")
     keep = ["_file_ok"] + [f"s{i}" for i, _ in active] + [f"nf{i}" for i in repeats]
 
-    # ---- pass 2: row flags -----------------------------------------------
+    tally = groups.join(facts.select("_file", *keep), "_file", "left")
+    failing = [fails[i] & ~F.col(f"s{i}") for i, _ in local]
+    for i, rk in repeats.items():
+        side = rk.select(F.col(h + "file").alias(f"r_file{i}"), F.col(f"{h}id{i}").alias(f"r_id{i}"))
+        tally = tally.join(side, (F.col("_file") == F.col(f"r_file{i}")) & (F.col(f"k{i}") == F.col(f"r_id{i}")), "left")
+        failing.append((F.col(f"r_id{i}").isNotNull() & ~F.col(f"s{i}")) | (F.col(f"null{i}") & F.col(f"nf{i}")))
+    tally = tally.select("_file", "n", reduce(lambda a, b: a | b, failing, F.lit(False)).alias("failing"))
+
+    # ---- row flags --------------------------------------------------------------
     flag = {k: h + k.removeprefix("_") for k in keep}
     rows = base
     for i, rk in repeats.items():
@@ -232,4 +271,4 @@ def gate(df: DataFrame, rules: list[Rule], *, file_col: str | None = None,
     rows = rows.select(*[F.col(f"`{c}`") for c in input_cols], h + "file",
                        F.coalesce(F.col(h + "file_ok"), F.lit(False)).alias(h + "file_ok"),
                        failed.alias("failed_rules"))
-    return GateResult(rows, facts, plans, file_col, [], input_cols, h)
+    return GateResult(rows, facts, plans, file_col, [], input_cols, h, tally)

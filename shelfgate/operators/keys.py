@@ -88,6 +88,28 @@ def _tested(df: DataFrame, hash_col: str, words: DataFrame, p: str) -> DataFrame
             .withColumn(p + "hit", hit))
 
 
+def marked_repeats(df: DataFrame, key_sets: dict[str, list[str]]) -> DataFrame:
+    """``df`` with a boolean column per key set, named by its dictionary key: the key may repeat.
+
+    False means that the key occurs once or has a null part. One scan of the
+    key columns serves all sets; it counts 64-bit hashes and leaves a bit map of
+    fixed size, which is broadcast.
+    """
+    p = free_prefix([*df.columns, *key_sets])
+    hashes = {name: F.when(_all([col(k).isNotNull() for k in keys]), F.xxhash64(F.lit(i), key_hash(df, keys)))
+              for i, (name, keys) in enumerate(key_sets.items())}
+    hashed = df.select(F.explode(F.array(*hashes.values())).alias(p + "kh")).where(F.col(p + "kh").isNotNull())
+    cand = materialize(hashed.groupBy(p + "kh").agg(F.count(F.lit(1)).alias(p + "c"))
+                       .where(F.col(p + "c") > 1).select(p + "kh"), "key-hash-candidates")
+    words = _bit_map(cand, p + "kh", p)
+    out = df
+    for name, kh in hashes.items():
+        tested = _tested(out.withColumn(p + "kh", kh), p + "kh", words, p)
+        out = tested.select(*[col(c) for c in out.columns],
+                            (F.col(p + "kh").isNotNull() & F.col(p + "hit")).alias(name))
+    return out
+
+
 def repeated_keys(df: DataFrame, keys: list[str], *, nulls_equal: bool,
                   count_col: str = "_n") -> DataFrame:
     """Keys occurring more than once, with their count. Exact.

@@ -2,10 +2,11 @@
 lineage, and the data profile (the reference's exploration notebook).
 
 Every file of the folder is taken (not only the newest). Files are grouped
-by their ordered ``(name, type)`` list, each group is one scan, every group
-is normalized to the exploration schema (64-bit floats, missing canonical
-columns filled) with ``Source_File`` lineage, and the groups are unioned by
-name. Unreadable files are reported and left out.
+by their ordered ``(name, type)`` list, which all their parts make together;
+every group is normalized to the exploration schema (64-bit floats, missing
+canonical columns filled) with ``Source_File`` lineage, and the groups are
+unioned by name. Files that cannot be read, and files whose parts do not go
+together, are reported and left out.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from ..functions.schema import CANONICAL, SOURCE_FILE, eda_schema
 from ..operators import profile as P
 from ..operators.catalog import usable
 from ..operators.conform import conform_types
-from ..operators.schema_checks import schema_groups, schema_signature
-from ..session import materialize
+from ..operators.schema_checks import schema_groups
 from ..sources.catalog import read_catalog
-from ..sources.listing import UNREADABLE, file_schemas, nanos_columns, scan_group, with_spark_fallback
+from ..sources.listing import scan
+from .ingest import read_landing
 
 
 @dataclass
@@ -40,20 +41,12 @@ def explore(spark: SparkSession, input_dir: str, sources: list[str] | None = Non
     catalog = usable(read_catalog(spark, input_dir, sources))
     if files is not None:
         catalog = catalog.where(F.col("file_name").isin(list(files)))
-    schemas = with_spark_fallback(spark, materialize(file_schemas(catalog), "file-schemas"), catalog)
-    readable = schemas.where(F.col("column") != UNREADABLE)
-    unreadable = schemas.where(F.col("column") == UNREADABLE).select(
-        "file_name", F.col("type").alias("error"))
-    # the scans to open: one path list per schema group (file metadata, not rows)
-    routes = (schema_signature(readable).join(catalog.select("file_name", "path"), "file_name")
-              .select("signature", "path").collect())
-    by_group: dict[str, list[str]] = {}
-    for r in routes:
-        by_group.setdefault(r["signature"], []).append(r["path"])
-    parts = [conform_types(scan_group(spark, input_dir, paths, nanos_columns(sig)), eda_schema(schema),
-                           fill_missing=True, keep=[SOURCE_FILE]) for sig, paths in by_group.items()]
+    landing = read_landing(spark, input_dir, catalog)
+    unreadable = spark.createDataFrame(landing.rejected, "file_name string, error string")
+    parts = [conform_types(scan(spark, input_dir, group), eda_schema(schema), fill_missing=True, keep=[SOURCE_FILE])
+             for group in landing.groups]
     unified = reduce(lambda a, b: a.unionByName(b), parts) if parts else None
-    return ExploreResult(schema_groups(readable), unified, unreadable)
+    return ExploreResult(schema_groups(landing.schemas), unified, unreadable)
 
 
 def profile_report(df: DataFrame, max_categorical: int = P.CATEGORICAL_MAX_DISTINCT,

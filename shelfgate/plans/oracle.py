@@ -472,6 +472,14 @@ FROM listing"""
     q["ingest_file"] = _ingest_sql(False)
     q["ingest_folder"] = (_with(LISTING, _flags_cte("Retailer"))
                           + f"SELECT {_conformed_cols()} FROM flags WHERE NOT {_any_failed()}")
+    q["ingest_drift"] = (_with(LISTING, _flags_cte("Retailer")) + f"""
+SELECT * REPLACE (CASE WHEN Retailer = 'click' AND CAST(split_part(Product_Name, ' ', 2) AS BIGINT) % 2 = 1 THEN NULL
+                       ELSE Url END AS Url)
+FROM (SELECT {_conformed_cols()} FROM flags WHERE NOT {_any_failed()} AND Retailer <> 'signup')""")
+    q["ingest_replay"] = q["ingest_folder"]
+    q["ingest_quarantine"] = _with(LISTING, _flags_cte("Retailer")) + (
+        "SELECT " + ", ".join(f"CAST({n} AS VARCHAR) AS {n}" for n in NAMES)
+        + f", {_failed_text()} AS failed_rules FROM flags WHERE {_any_failed()}")
     q["ingest_unified"] = _ingest_sql(True)
     q["sink_unified"] = "SELECT * FROM (" + _ingest_sql(True) + ") UNION ALL SELECT * FROM (" + _ingest_sql(True) + ")"
     q["column_log"] = FS + (f"SELECT file_name, \"column\" AS new_column, TIMESTAMP '{DETECTION_TIME}' AS detection_time "

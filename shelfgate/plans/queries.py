@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.schema import SOURCE_FILE, eda_schema, required_names
 from ..operators import audit as A
@@ -28,8 +29,9 @@ from ..operators.gate import gate
 from ..operators.rules import JSON_RATE_FLOORS, MISSING_RATE_LIMITS, RANGE_TOLERANCE, default_rules, parse_rules
 from ..session import scratch_path
 from ..sources import fixtures as X
+from ..sources import publish
 from ..sources.catalog import basename, parse_names
-from ..sources.sinks import append_column_log, read_column_log, write_unified
+from ..sources.sinks import append_column_log, read_column_log, read_unified, write_unified
 from .audit import run_audit
 from .explore import explore
 from .ingest import ingest_frame, ingest_latest_frame, run_ingest
@@ -305,6 +307,65 @@ def q_ingest_folder(spark, sf):
     return spark.read.parquet(base + "/unified")
 
 
+def _odd():
+    return F.substring_index("Product_Name", " ", -1).cast("long") % 2 == 1
+
+
+def q_ingest_drift(spark, sf):
+    """Entries whose parts differ. Of click the odd rows lack Url, of view the even ones have a
+    column more, purchase has a number in two widths, signup prices as text and as numbers (rejected whole)."""
+    base = scratch_path(spark, "drift")
+    df = _listing(spark, sf)
+    prices = {c: F.expr(f"try_cast({c} AS double)") for c in PRICES}
+    same = (lambda d: d, lambda d: d)
+    parts = {
+        "click": (lambda d: d.drop("Url"), lambda d: d),
+        "view": (lambda d: d, lambda d: d.withColumn("Promo_Code", F.lit("x"))),
+        "purchase": (lambda d: d.withColumn("Size_Or_Quantity", F.col("Size_Or_Quantity").cast("int")),
+                     lambda d: d.withColumn("Size_Or_Quantity", F.col("Size_Or_Quantity").cast("bigint"))),
+        "signup": (lambda d: d.withColumns(prices), lambda d: d),
+    }
+    for source in X.EVENT_SOURCES:
+        rows = df.where(F.col("Retailer") == source)
+        odd, even = parts.get(source, same)
+        path = f"{base}/in/{source}_weekly_20240108_000000.parquet"
+        odd(rows.where(_odd())).write.parquet(path)
+        even(rows.where(~_odd())).write.mode("append").parquet(path)
+    run_ingest(spark, base + "/in", base + "/unified", _rules(), reference_date=REFERENCE_DATE, sources=X.EVENT_SOURCES)
+    return spark.read.parquet(base + "/unified")
+
+
+def _published(spark, sf):
+    """A folder published twice over: first a file that holds half of click, then all files, then all again;
+    beside them what a run left that ended before its commit."""
+    base = scratch_path(spark, "replay")
+    df = _listing(spark, sf)
+    name = "{}_weekly_20240108_000000.parquet".format
+    df.where((F.col("Retailer") == "click") & _odd()).write.parquet(f"{base}/first/{name('click')}")
+    for source in X.EVENT_SOURCES:
+        df.where(F.col("Retailer") == source).write.parquet(f"{base}/second/{name(source)}")
+    for folder in ("first", "second", "second"):
+        run_ingest(spark, f"{base}/{folder}", base + "/unified", _rules(), reference_date=REFERENCE_DATE,
+                   sources=X.EVENT_SOURCES, quarantine_path=base + "/quarantine", once=True)
+    lost = conform_types(df.withColumn(SOURCE_FILE, F.lit(name("click"))), keep=[SOURCE_FILE])
+    publish.stage(lost.where(F.col("Retailer") == "click"), base + "/unified", "lost", SOURCE_FILE)
+    return base
+
+
+def q_ingest_replay(spark, sf):
+    """The rows of files published several times over, each once."""
+    return read_unified(spark, _published(spark, sf) + "/unified")
+
+
+def q_ingest_quarantine(spark, sf):
+    """What did not survive a published ingest, raw values as text, by the manifest of the unified table."""
+    base = _published(spark, sf)
+    names = conform_types(_listing(spark, sf)).columns
+    schema = StructType([StructField(c, StringType()) for c in names] + [StructField("failed_rules", ArrayType(StringType()))])
+    rows = publish.read_published(spark, base + "/quarantine", schema, manifest_of=base + "/unified")
+    return rows.withColumn("failed_rules", _text(F.col("failed_rules")))
+
+
 def q_sink_unified(spark, sf):
     """Append twice (a rerun) and read back."""
     path = scratch_path(spark, "unified")

@@ -59,8 +59,9 @@ def parse_names(df: DataFrame, sources: list[str], path_col: str = "path") -> Da
     )
 
 
-def list_entries(spark: SparkSession, input_dir: str) -> DataFrame:
-    """Top-level entries of ``input_dir`` that hold parquet data (file or folder)."""
+def list_files(spark: SparkSession, input_dir: str) -> DataFrame:
+    """Every parquet file below ``input_dir``, at any depth: ``path`` (the top-level entry that holds it,
+    a file or a folder of part files), ``leaf`` (the file), ``modified``, ``bytes``."""
     root = input_dir.rstrip("/")
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", "true")
@@ -71,11 +72,22 @@ def list_entries(spark: SparkSession, input_dir: str) -> DataFrame:
     below = below_root(F.col("path"), root_path(spark, root))
     entry = F.expr("left(path, length(path) - length(below) + length(first))")
     files = (files.withColumn("below", below).withColumn("first", F.substring_index("below", "/", 1)))
-    return (files.select(F.when(F.col("first") != "", entry).otherwise(F.col("path")).alias("path"),
-                         F.col("path").alias("leaf"), "modificationTime", "length")
-            .groupBy("path").agg(F.max("modificationTime").alias("modified"),
-                                 F.sum("length").alias("bytes"),
-                                 F.min("leaf").alias("sample_file")))
+    return files.select(F.when(F.col("first") != "", entry).otherwise(F.col("path")).alias("path"),
+                        F.col("path").alias("leaf"), F.col("modificationTime").alias("modified"),
+                        F.col("length").alias("bytes"))
+
+
+def list_entries(spark: SparkSession, input_dir: str) -> DataFrame:
+    """Top-level entries of ``input_dir`` that hold parquet data (file or folder)."""
+    return (list_files(spark, input_dir).groupBy("path")
+            .agg(F.max("modified").alias("modified"), F.sum("bytes").alias("bytes"),
+                 F.count(F.lit(1)).alias("parts")))
+
+
+def entry_files(spark: SparkSession, input_dir: str, entries: DataFrame) -> DataFrame:
+    """The files (see :func:`list_files`) of ``entries`` (``path``, ``file_name``), with their ``file_name``."""
+    named = entries.select("path", "file_name")
+    return list_files(spark, input_dir).join(named, "path").select("file_name", "path", "leaf", "bytes")
 
 
 def root_path(spark: SparkSession, root: str) -> str:

@@ -11,43 +11,50 @@ per-file uniqueness rule stays exact. One stream handles one schema group
 (a file source has one schema); text-price and double-price folders are two
 streams writing the same table.
 
-Delivery is at least once: a micro-batch that fails after its write and is
-replayed appends again. ``verdicts_path`` receives one row per file and
-batch, so a replay is visible in the log.
+Every write of a micro-batch is keyed by it: survivors, quarantine and
+verdicts go to the batch's own partition and count once the manifest of the
+unified table names the batch (``sources.publish``). A micro-batch that is
+replayed replaces what its first try left, so rows are delivered once; a
+file that comes again under its old name replaces its earlier rows. Read the
+tables with ``read_unified`` and ``publish.read_published``.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..functions.schema import CANONICAL, SOURCE_FILE, required_names
-from ..operators.conform import conform_types
-from ..operators.gate import gate
+from ..functions.schema import CANONICAL, SOURCE_FILE
 from ..operators.rules import Rule
+from ..plans.ingest import ingest_frame
+from ..session import materialize
+from ..sources import publish
 from ..sources.catalog import name_pattern
 from ..sources.listing import entry_name
 
 
 def _process(rules: list[Rule], sources: list[str], output_path: str, verdicts_path: str | None,
-             quarantine_path: str | None, schema: StructType, on_type_error: str):
+             quarantine_path: str | None, schema: StructType, on_type_error: str, stream: str):
     pattern = name_pattern(sources)
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        name = f"s{stream}-{batch_id}"
         rows = batch.where(F.col(SOURCE_FILE).rlike(pattern))
-        g = gate(rows, rules, file_col=SOURCE_FILE, on_type_error=on_type_error,
-                 required=required_names(schema))
-        conform_types(g.survivors(), schema, fill_missing=True).write.mode("append").parquet(output_path)
+        outcome = ingest_frame(rows, rules, schema=schema, on_type_error=on_type_error, keep_source=True)
+        verdicts = materialize(outcome.verdicts, "stream-verdicts")
+        publish.stage(outcome.unified, output_path, name, SOURCE_FILE)
         if verdicts_path:
-            (g.verdicts().withColumn("batch_id", F.lit(batch_id).cast("long"))
-             .write.mode("append").parquet(verdicts_path))
+            publish.stage(verdicts.withColumn("batch_id", F.lit(batch_id).cast("long")), verdicts_path, name)
         if quarantine_path:
-            q = g.quarantine()
-            (q.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in q.columns if c != "failed_rules"],
-                      "failed_rules", F.lit(batch_id).cast("long").alias("batch_id"))
-             .write.mode("append").parquet(quarantine_path))
+            q = outcome.quarantine().withColumn("batch_id", F.lit(batch_id).cast("long"))
+            publish.stage(q, quarantine_path, name, SOURCE_FILE)
+        files = verdicts.select(F.col("file").alias("entry"), F.lit(None).cast("long").alias("bytes"),
+                                F.lit(name).alias("digest"))
+        publish.commit(batch.sparkSession, output_path, name, files)
 
     return run
 
@@ -74,7 +81,8 @@ def stream_ingest(spark: SparkSession, input_dir: str, raw_schema: StructType |
     src = reader.parquet(input_dir).withColumn(SOURCE_FILE, entry_name(spark, input_dir))
     writer = (src.writeStream
               .foreachBatch(_process(rules, sources, output_path, verdicts_path, quarantine_path,
-                                     schema, on_type_error))
+                                     schema, on_type_error,
+                                     hashlib.sha256(checkpoint_location.encode()).hexdigest()[:12]))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

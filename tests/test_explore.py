@@ -49,6 +49,7 @@ def test_explore_named_files(spark):
 
 def test_footer_fallback_through_spark(spark):
     """A footer the executors could not open is read again by Spark; a broken file stays unreadable."""
+    from shelfgate.sources.catalog import entry_files
     from shelfgate.sources.listing import UNREADABLE, with_spark_fallback
 
     root = tempfile.mkdtemp(prefix="fallback-", dir="/tmp")
@@ -56,12 +57,18 @@ def test_footer_fallback_through_spark(spark):
     spark.createDataFrame([(1, "a")], "x bigint, y string").coalesce(1).write.parquet(good)
     with open(f"{root}/bad.parquet", "w") as fh:
         fh.write("broken")
-    schemas = spark.createDataFrame(
-        [("good.parquet", 0, UNREADABLE, "OSError: no such file system"),
-         ("bad.parquet", 0, UNREADABLE, "ArrowInvalid: not parquet")],
-        "file_name string, ordinal int, column string, type string")
-    catalog = spark.createDataFrame([("good.parquet", good), ("bad.parquet", f"{root}/bad.parquet")],
-                                    "file_name string, path string")
-    out = sorted(tuple(r) for r in with_spark_fallback(spark, schemas, catalog).collect())
-    assert out == [("bad.parquet", 0, UNREADABLE, "ArrowInvalid: not parquet"),
-                   ("good.parquet", 1, "x", "bigint"), ("good.parquet", 2, "y", "string")]
+    mixed = f"{root}/mixed.parquet"   # parts that Spark does not merge are asked one by one
+    spark.createDataFrame([(1,)], "x int").coalesce(1).write.parquet(mixed)
+    spark.createDataFrame([("a",)], "x string").coalesce(1).write.mode("append").parquet(mixed)
+    names = ["bad.parquet", "good.parquet", "mixed.parquet"]
+    files = entry_files(spark, root, spark.createDataFrame([(f"file:{root}/{n}", n) for n in names],
+                                                           "path string, file_name string"))
+    parts = files.select("file_name", "leaf", F.lit(None).cast("string").alias("digest"), F.lit(0).alias("ordinal"),
+                         F.lit(UNREADABLE).alias("column"), F.lit("OSError: no such file system").alias("type"))
+    parts = parts.unionByName(spark.createDataFrame([("other.parquet", "o", "d", 1, "z", "int")], parts.schema))
+    out = sorted((r["file_name"], r["ordinal"], r["column"], r["type"])
+                 for r in with_spark_fallback(spark, parts, files).collect())
+    assert out == [("bad.parquet", 0, UNREADABLE, "OSError: no such file system"),
+                   ("good.parquet", 1, "x", "bigint"), ("good.parquet", 2, "y", "string"),
+                   ("mixed.parquet", 1, "x", "int"), ("mixed.parquet", 1, "x", "string"),
+                   ("other.parquet", 1, "z", "int")]

@@ -13,7 +13,7 @@ from shelfgate.operators.gate import _ok, gate
 from shelfgate.operators.rules import default_rules, parse_rules, read_rules_json
 from shelfgate.plans.ingest import run_ingest
 from shelfgate.sources.catalog import list_entries
-from shelfgate.sources.listing import file_schemas, scan_group
+from shelfgate.sources.listing import part_schemas, scan_group
 
 from frames import frame, row
 
@@ -82,8 +82,8 @@ def test_a_damaged_file_is_rejected_alone(spark, tmp_path):
 def test_footers_are_read_by_several_tasks(spark, tmp_path):
     spark.range(1).coalesce(1).write.parquet(str(tmp_path / "f"))
     path = next(str(p) for p in (tmp_path / "f").iterdir() if p.suffix == ".parquet")
-    files = spark.range(400).select(F.concat(F.lit("n"), F.col("id")).alias("file_name"), F.lit(path).alias("sample_file"))
-    schemas = file_schemas(files.coalesce(1))
+    files = spark.range(400).select(F.concat(F.lit("n"), F.col("id")).alias("file_name"), F.lit(path).alias("leaf"))
+    schemas = part_schemas(files.coalesce(1))
     assert schemas.count() == 400
     assert schemas.rdd.getNumPartitions() == 25
 
