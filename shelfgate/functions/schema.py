@@ -52,6 +52,14 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_prefix(columns: list[str]) -> str:
+    """A start of names that no given column has."""
+    start = "_"
+    while any(c.lower().startswith(start) for c in columns):
+        start += "_"
+    return start
+
+
 def canonical_names(schema: StructType = CANONICAL) -> list[str]:
     return schema.fieldNames()
 

@@ -35,8 +35,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.schema import free_prefix
 from ..session import materialize
-from .keys import attach_repeats, free_prefix, marked_repeats
+from .keys import attach_repeats, marked_repeats
 from .rules import Rule, RulePlan, plan_rules
 
 ALL_FILES = "<all>"

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ..functions.schema import col
+from ..functions.schema import col, free_prefix
 from ..session import env_int, estimated_bytes, materialize
 
 HOT_ROWS_FLOOR = env_int("SHELFGATE_HOT_ROWS", 1_000_000)
@@ -45,14 +45,6 @@ def _all(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
-def free_prefix(columns: list[str]) -> str:
-    """A start of names that no given column has."""
-    start = "_"
-    while any(c.lower().startswith(start) for c in columns):
-        start += "_"
-    return start
-
-
 def key_hash(df: DataFrame, keys: list[str]) -> Column:
     """64-bit hash of a key; null parts are marked so (null, x) differs from (x, null).
 

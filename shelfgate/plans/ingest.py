@@ -29,11 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.schema import CANONICAL, SOURCE_FILE, col, required_names
+from ..functions.schema import CANONICAL, SOURCE_FILE, col, free_prefix, required_names
 from ..operators.catalog import latest_as_of
 from ..operators.conform import conform_types
 from ..operators.gate import GateResult, gate
-from ..operators.keys import free_prefix
 from ..operators.rules import Rule
 from ..operators.schema_checks import new_column_log, schema_missing
 from ..session import materialize, scratch_path
