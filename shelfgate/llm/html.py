@@ -54,6 +54,8 @@ SCOPE = MATH_TEXT | SVG_HTML | {"math/annotation-xml"}
 SVG_TEXT = frozenset(("svg/text", "svg/tspan", "svg/textpath", "svg/foreignobject"))
 APART = frozenset(("svg/text", "svg/foreignobject", "math/mtr", "math/mtd"))
 FRACTION = frozenset(("math/mfrac", "math/mroot"))
+# paragraphs around these are not closed from inside
+SHIELDS = CELL | {"table", "caption"} | SCOPE
 HEAD_ONLY = frozenset("base link meta title style script noscript template".split())
 ALIGN = 48
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -159,12 +161,14 @@ def _takes_html(node: Node, tag: str) -> bool:
 
 
 class Builder:
-    """The tree of one page. ``open`` counts open tags by name, so a missing one costs nothing."""
+    """The tree of one page. ``open`` counts open tags by name, so a missing one costs nothing;
+    ``paragraphs`` counts open paragraphs inside each element that shields those around it."""
 
     def __init__(self):
         self.root = Node("#root", {}, None)
         self.node = self.root
         self.open: dict[str, int] = {}
+        self.paragraphs = [0]
 
     def push(self, tag: str, attrs: dict[str, str]) -> None:
         node = Node(tag, attrs, self.node)
@@ -172,9 +176,17 @@ class Builder:
         if tag not in VOID:
             self.node = node
             self.open[tag] = self.open.get(tag, 0) + 1
+            if tag in SHIELDS:
+                self.paragraphs.append(0)
+            elif tag == "p":
+                self.paragraphs[-1] += 1
 
     def pop(self) -> None:
         self.open[self.node.tag] -= 1
+        if self.node.tag in SHIELDS:
+            self.paragraphs.pop()
+        elif self.node.tag == "p":
+            self.paragraphs[-1] -= 1
         self.node = self.node.parent
 
     def close_until(self, tags, stop) -> None:
@@ -208,8 +220,10 @@ class Builder:
             return
         if self.open.get("head") and tag not in HEAD_ONLY and tag not in ("html", "head"):
             self.close_until({"head"}, ())
-        if tag in CLOSES_P and self.open.get("p"):
-            self.close_until({"p"}, CELL | {"table", "caption"})
+        if tag in CLOSES_P and self.paragraphs[-1]:  # the only one open here: what is walked is closed
+            while self.node.tag != "p":
+                self.pop()
+            self.pop()
         if tag in IMPLIED:
             self.close_until(*IMPLIED[tag])
         if tag in CELL and self.open.get("table") and self.node.tag in ("table", *SECTION):
@@ -357,30 +371,58 @@ def _number(text: str | None, default: int, low: int, high: int) -> int:
         return default
 
 
+def _wrapped(lines: list[str]) -> list[str]:
+    """Lines broken at blanks so that they have at most ``ALIGN`` characters, longer words aside."""
+    out = []
+    for line in lines:
+        text = ""
+        for word in line.split(" ") if len(line) > ALIGN else ():
+            if text and len(text) + 1 + len(word) > ALIGN:
+                out.append(text)
+                text = word
+            else:
+                text = f"{text} {word}" if text else word
+        out.append(text if len(line) > ALIGN else line)
+    return out
+
+
 def align(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
-    """Lines of a table; a cell is (lines, columns, rows). Columns are as wide as their widest
-    cell of one column, those above ``ALIGN`` characters are not padded to it."""
+    """Lines of a table; a cell is (lines, columns, rows). Columns are as wide as their widest cell of
+    one column, at most ``ALIGN``: longer lines of a cell are wrapped unless it is the last of its row."""
     width: dict[int, int] = {}
-    placed, taken = [], {}
-    for row in rows:
-        at, line = 0, []
-        for lines, cols, height in row:
-            while taken.get(at, 0) > 0:
-                at += 1
+    placed = []
+    taken: list[tuple[int, int, int]] = []  # (first column, last + 1, row it ends at) of cells from rows above
+    for r, row in enumerate(rows):
+        taken = [x for x in taken if x[2] > r]
+        at, k, line, new = 0, 0, [], []
+        for i, (lines, cols, height) in enumerate(row):
+            while k < len(taken) and taken[k][0] <= at:
+                at = max(at, taken[k][1])
+                k += 1
+            lines = _wrapped(lines) if i < len(row) - 1 else lines
             line.append((at, lines))
             if cols == 1:
-                width[at] = max([width.get(at, 0), *map(len, lines)])
-            for c in range(at, at + cols):
-                taken[c] = height
+                width[at] = max([width.get(at, 0), *(min(len(x), ALIGN) for x in lines)])
+            if height > 1:
+                new.append((at, at + cols, min(r + height, len(rows))))
             at += cols
         placed.append(line)
-        taken = {c: h - 1 for c, h in taken.items() if h > 1}
+        if new:
+            merged: list[tuple[int, int, int]] = []
+            for a, b, end in sorted(taken + new):
+                if merged and a < merged[-1][1]:
+                    a = merged[-1][1]
+                if merged and a == merged[-1][1] and end == merged[-1][2]:
+                    merged[-1] = (merged[-1][0], max(b, a), end)
+                elif a < b:
+                    merged.append((a, b, end))
+            taken = merged
+    used = sorted({at for line in placed for at, _ in line})
     out = []
     start, pos = {}, 0
-    for c in range(max([k for r in placed for k, _ in r], default=-1) + 1):
+    for c in used:  # columns that no cell starts in take no room
         start[c] = pos
-        w = width.get(c, 0)
-        pos += (w if w <= ALIGN else 0) + 2 if w else 0
+        pos += width.get(c, 0) + 2 if width.get(c) else 0
     for line in placed:
         for k in range(max((len(x) for _, x in line), default=0)):
             text = ""
@@ -499,6 +541,8 @@ def render(root: Node) -> str:
         elif tag in CELL:
             flow.gap(1)
         pre = pre or tag in ("pre", "xmp", "textarea")
+        if tag in ("pre", "textarea") and children and isinstance(children[0], str):  # a first line feed is not shown
+            children = [re.sub(r"^\r?\n", "", children[0]), *children[1:]]
         steps.append((item, True, shown, pre))
         steps.extend((c, False, shown, pre) for c in reversed(children))
     return "\n".join(flow.done())

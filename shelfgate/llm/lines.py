@@ -28,10 +28,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.schema import col, free_prefix
 from ..session import materialize
 
 SEGMENTS = 4
-MIN_NEAR_CHARS = 20
+MIN_NEAR_CHARS = 10
 #: Edits between two lines by the length they hold from; the shorter line decides.
 BOUNDS = ((MIN_NEAR_CHARS, 1),)
 FILTER_BITS = 1 << 23
@@ -180,28 +181,34 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return found.unionAll(_near(lines, filter_bits) if bounds == BOUNDS else _near_within(lines, bounds))
 
 
-def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", counts: bool = True,
+                **kw) -> DataFrame:
     """``docs`` with repeated lines cut out of the text, plus ``n_lines`` and ``n_removed`` (long).
 
     ``n_lines`` counts lines with text. Blank lines stay. Null texts count as
     empty and stay null; rows that repeat id and text are one document, and
     both keep the same lines. A document whose lines all repeat keeps an
     empty text. Columns named ``n_lines`` or ``n_removed`` are replaced;
-    others stay. An empty table gives an empty result.
+    others stay. Without ``counts`` the two are not added and every column
+    stays. An empty table gives an empty result.
     """
     place = repeated_lines(docs, id_col=id_col, text_col=text_col, **kw)
-    gone = (place.select("place.*").groupBy("id", "rid").agg(F.collect_set("no").alias("_gone"))
-            .select(F.col("id").alias("_gid"), F.col("rid").alias("_grid"), "_gone"))
+    p = free_prefix(docs.columns)
+    gone = (place.select("place.*").groupBy("id", "rid").agg(F.collect_set("no").alias(p + "gone"))
+            .select(F.col("id").alias(p + "id"), F.col("rid").alias(p + "rid"), p + "gone"))
     gone = materialize(gone, "repeated-lines")
-    docs = docs.drop("n_lines", "n_removed")
-    text = F.col(f"`{text_col}`")
-    rid = F.xxhash64(F.col(f"`{id_col}`"), F.coalesce(text, F.lit("")))
-    out = docs.join(gone, (rid == F.col("_grid")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_gid")), "left")
-    kept = F.expr(f"transform(array(split(`{text_col}`, '\\n', -1)), ls -> array_join(transform("
-                  "array_except(sequence(0, size(ls) - 1), _gone), i -> element_at(ls, i + 1)), '\\n'))[0]")
-    n_lines = F.expr(f"CAST(coalesce(size(filter(split(`{text_col}`, '\\n', -1), line -> {_FILLED})), 0) AS BIGINT)")
+    docs = docs.drop("n_lines", "n_removed") if counts else docs
+    text = col(text_col)
+    rid = F.xxhash64(col(id_col), F.coalesce(text, F.lit("")))
+    out = docs.join(gone, (rid == F.col(p + "rid")) & col(id_col).eqNullSafe(F.col(p + "id")), "left")
+    split = f"split(`{text_col}`, '\\n', -1)"
+    kept = F.expr(f"transform(array({split}), ls -> array_join(transform("
+                  f"array_except(sequence(0, size(ls) - 1), `{p}gone`), i -> element_at(ls, i + 1)), '\\n'))[0]")
+    new = F.when(F.col(p + "gone").isNull(), text).otherwise(kept)
+    columns = [new.alias(c) if c == text_col else col(c) for c in docs.columns]
+    if not counts:
+        return out.select(*columns)
+    n_lines = F.expr(f"CAST(coalesce(size(filter({split}, line -> {_FILLED})), 0) AS BIGINT)")
     n_lines = F.when(text.isNull(), F.lit(0).cast("long")).otherwise(n_lines)
-    new = F.when(F.col("_gone").isNull(), text).otherwise(kept)
-    return out.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-                      n_lines.alias("n_lines"),
-                      F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_removed"))
+    return out.select(*columns, n_lines.alias("n_lines"),
+                      F.when(F.col(p + "gone").isNull(), 0).otherwise(F.size(p + "gone")).cast("long").alias("n_removed"))

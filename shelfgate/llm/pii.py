@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.schema import col, free_prefix
+
 BLOCK = 256
 
 
@@ -147,11 +149,14 @@ def find_pii(docs: DataFrame, *, text_col: str = "text", threshold: float = THRE
     named ``spans_col`` is replaced.
     """
     cols = [c for c in docs.columns if c != spans_col]
-    src = docs.select(*[F.col(f"`{c}`") for c in cols], F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_t"))
+    # the given columns travel in one struct, so that none can have the name of a helper
+    src = docs.select(F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(cols)]).alias("row"),
+                      F.coalesce(col(text_col), F.lit("")).alias("_t"))
     parts = [f"_p{k}" for k in range(len(kinds))]
     src = src.select("*", *[F.expr(_spans(kind, k)).alias(p) for (k, kind), p in zip(enumerate(kinds), parts)])
     kept = [p if kind.base else f"filter({p}, s -> s.score >= {threshold})" for kind, p in zip(kinds, parts)]
-    return src.select(*[F.col(f"`{c}`") for c in cols], F.expr(f"concat({', '.join(kept)})").alias(spans_col))
+    return src.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(cols)],
+                      F.expr(f"concat({', '.join(kept)})").alias(spans_col))
 
 
 def redact(docs: DataFrame, *, text_col: str = "text", **kw) -> DataFrame:
@@ -161,23 +166,30 @@ def redact(docs: DataFrame, *, text_col: str = "text", **kw) -> DataFrame:
     covered stretch is replaced as a whole. Texts without spans, and null
     texts, stay as they are. Columns and their order are unchanged.
     """
-    found = find_pii(docs, text_col=text_col, spans_col="_pii", **kw)
-    merged = """
-      aggregate(sort_array(transform(_pii, s -> struct(s.start AS a, s.end AS b, s.kind AS kind))),
+    spans = free_prefix(docs.columns) + "pii"
+    found = find_pii(docs, text_col=text_col, spans_col=spans, **kw)
+    merged = f"""
+      aggregate(sort_array(transform(`{spans}`, s -> struct(s.start AS a, s.end AS b, s.kind AS kind))),
         CAST(array() AS array<struct<a:bigint,b:bigint,kind:string>>),
         (m, s) -> IF(size(m) > 0 AND s.a < element_at(m, -1).b,
                      concat(slice(m, 1, size(m) - 1),
                             array(struct(element_at(m, -1).a AS a, greatest(element_at(m, -1).b, s.b) AS b,
                                          element_at(m, -1).kind AS kind))),
                      concat(m, array(s))))"""
-    # code points once, then slices: the cost stays linear in the text
+    # The text is cut BLOCK spans at a time: a cut by position costs what stands before it, so first the
+    # stretch of a block of spans is cut out of the text, then the pieces between them out of the stretch.
+    quoted = f"`{text_col}`"
+    before = "IF(i = 0, 0L, element_at(m, CAST(greatest(i, 1) AS INT)).b)"
+    piece = ("transform(slice(m, j * {n} + 1, {n}), (s, k) -> transform(array(j * {n} + k), i -> concat("
+             "substring(part, CAST({before} - off AS INT) + 1, CAST(s.a - {before} AS INT)), '[', upper(s.kind), ']'))[0])")
+    piece = piece.format(n=BLOCK, before=before)
     text = f"""
-      transform(array(regexp_extract_all(`{text_col}`, '(?s).', 0)), cs -> transform(array({merged}), m ->
-        array_join(concat(
-          flatten(transform(m, (s, i) -> array(
-            array_join(slice(cs, CAST(IF(i = 0, 0, element_at(m, greatest(i, 1)).b) AS INT) + 1,
-                             CAST(s.a - IF(i = 0, 0, element_at(m, greatest(i, 1)).b) AS INT)), ''),
-            concat('[', upper(s.kind), ']')))),
-          array(array_join(slice(cs, CAST(element_at(m, -1).b AS INT) + 1, size(cs)), ''))), ''))[0])[0]"""
-    new = F.expr(f"CASE WHEN size(_pii) > 0 THEN {text} ELSE `{text_col}` END")
-    return found.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+      transform(array({merged}), m -> concat(
+        array_join(transform(sequence(0, CAST((size(m) - 1) DIV {BLOCK} AS INT)), j ->
+          transform(array(transform(array(j * {BLOCK}), i -> {before})[0]), off ->
+            transform(array(substring({quoted}, CAST(off AS INT) + 1,
+                      CAST(element_at(m, CAST(least((j + 1) * {BLOCK}, size(m)) AS INT)).b - off AS INT))), part ->
+              array_join({piece}, ''))[0])[0]), ''),
+        substring({quoted}, CAST(element_at(m, -1).b AS INT) + 1)))[0]"""
+    new = F.expr(f"CASE WHEN size(`{spans}`) > 0 THEN {text} ELSE {quoted} END")
+    return found.select(*[new.alias(c) if c == text_col else col(c) for c in docs.columns])

@@ -14,6 +14,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.schema import col
+
 WS = r"[\\x20\\x09-\\x0D]+"
 # The character classes that the statistics count.
 _UPPER, _DIGIT, _SYMBOL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "#*$%&|<>"
@@ -48,9 +50,11 @@ def text_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
     replaced.
     """
     own = {*BASE, *FEATURES}
-    cols = [F.col(f"`{c}`") for c in df.columns if c not in own]
-    t = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    src = df.select(*cols, t.alias("_t"))
+    cols = [c for c in df.columns if c not in own]
+    t = F.coalesce(col(text_col), F.lit(""))
+    # the given columns travel in one struct, so that none can have the name of a helper
+    src = df.select(F.struct(F.lit(0).alias("_"), *[col(c).alias(f"c{i}") for i, c in enumerate(cols)]).alias("row"),
+                    t.alias("_t"))
     src = src.select("*", F.expr(r"btrim(_t, ' \t\n\u000b\u000c\r')").alias("_b"))
     src = src.select("*", F.expr(f"if(_b = '', CAST(array() AS array<string>), split(_b, '{WS}', -1))").alias("_w"),
                      F.expr(r"filter(split(_t, '\n', -1), l -> btrim(l, ' \t\n\u000b\u000c\r') <> '')").alias("_l"))
@@ -83,7 +87,7 @@ def text_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
              "distinct_ratio": per(F.size(F.array_distinct("_h1")), words),
              "bang_ratio": per(count("_t", "!"), chars), "pipe_ratio": per(count("_t", "|"), chars)}
     # a generator, so that a filter on the statistics is not pushed down and computed a second time
-    return src.select(*cols, F.inline(F.array(F.struct(*[c.alias(k) for k, c in stats.items()]))))
+    return src.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(cols)], F.inline(F.array(F.struct(*[c.alias(k) for k, c in stats.items()]))))
 
 
 def base_failed() -> Column:
@@ -226,3 +230,11 @@ def apply_rules(docs: DataFrame, rules: DecisionList, *, text_col: str = "text")
     fail, else the list's verdict). Null and empty texts fail the base rules."""
     out = text_stats(docs.drop("base_failed", "kept"), text_col).withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & rules.expression())
+
+
+def keep_good(docs: DataFrame, rules: DecisionList, *, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`apply_rules` keeps, with their own columns alone, whatever their names."""
+    packed = docs.select(F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("doc"),
+                         col(text_col).alias("text"))
+    return (apply_rules(packed, rules).where("kept")
+            .select(*[F.col(f"doc.c{i}").alias(c) for i, c in enumerate(docs.columns)]))

@@ -119,12 +119,13 @@ w AS (SELECT * FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 first AS (SELECT line, length(line) AS n, min({'d': doc_id, 'no': no}) AS f FROM w GROUP BY line),
 pairs AS (
   SELECT a.line AS a, b.line AS b, a.n AS an, b.n AS bn
-  FROM first a JOIN first b ON b.n = a.n AND b.f < a.f WHERE a.n >= 20
+  FROM first a JOIN first b ON b.n = a.n AND b.f < a.f WHERE a.n >= 10
   UNION ALL
-  SELECT a.line, b.line, a.n, b.n FROM first a JOIN first b ON b.n = a.n + 1 AND b.f < a.f WHERE a.n >= 20
+  SELECT a.line, b.line, a.n, b.n FROM first a JOIN first b ON b.n = a.n + 1 AND b.f < a.f WHERE a.n >= 10
   UNION ALL
-  SELECT a.line, b.line, a.n, b.n FROM first a JOIN first b ON b.n = a.n - 1 AND b.f < a.f WHERE b.n >= 20),
-close AS (SELECT * FROM pairs WHERE left(a, 9) = left(b, 9) OR right(a, 9) = right(b, 9)),
+  SELECT a.line, b.line, a.n, b.n FROM first a JOIN first b ON b.n = a.n - 1 AND b.f < a.f WHERE b.n >= 10),
+close AS (SELECT * FROM (SELECT *, CAST(least(9, (least(an, bn) - 1) // 2) AS BIGINT) AS h FROM pairs)
+          WHERE left(a, h) = left(b, h) OR right(a, h) = right(b, h)),
 near AS (
   SELECT DISTINCT a AS line FROM close
   WHERE len(list_filter(range(0, greatest(an, bn)), lambda i:

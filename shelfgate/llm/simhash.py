@@ -26,7 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.schema import col, free_prefix
 from ..session import materialize
+from .bitmap import bit_map, marked
 from .tokens import string_column
 
 SHINGLE_WORDS = 4
@@ -131,16 +133,22 @@ def _fingerprints(shingle_words: int):
         for batch in batches:
             text = string_column(batch, "text").to_pylist()
             fp = np.fromiter((fingerprint(t, shingle_words) for t in text), np.uint64, len(text))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fp.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h1"), batch.column("h2"),
+                                              pa.array(fp.view(np.int64))], names=["id", "h1", "h2", "fp"])
     return run
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """id and ``fp`` (the 64 bits as a signed long) per row; null text counts as empty."""
-    src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    """id, two hashes of the text, and ``fp`` (the 64 bits as a signed long) per row; null text counts as empty."""
+    src = docs.select(col(id_col).alias("id"), *_hashes(text_col), col(text_col).alias("text"))
     id_type = docs.schema[id_col].dataType.simpleString()
-    return src.mapInArrow(_fingerprints(shingle_words), f"id {id_type}, fp bigint")
+    return src.mapInArrow(_fingerprints(shingle_words), f"id {id_type}, h1 bigint, h2 bigint, fp bigint")
+
+
+def _hashes(text_col: str):
+    text = F.coalesce(col(text_col), F.lit(""))
+    return F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")
 
 
 def _key_rows(kinds: str):
@@ -300,6 +308,15 @@ def linked_components(distinct: DataFrame, max_bits: int = MAX_BITS, tile: int =
     return components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(second).distinct())
 
 
+def _named(fps: DataFrame, max_bits: int) -> DataFrame:
+    """``fp``, its ``root``, and ``best``: the smallest (id is null, id, hashes) of its rows."""
+    best = F.min(F.struct(F.col("id").isNull().alias("nul"), "id", "h1", "h2")).alias("best")
+    reps = materialize(fps.groupBy("fp").agg(best), "simhash-distinct")
+    roots = linked_components(reps.select("fp"), max_bits)
+    return (reps.join(roots, F.col("fp") == F.col("node"), "left")
+            .select("fp", "best", F.coalesce("root", "fp").alias("root")))
+
+
 def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """id, ``fp`` (signed long) and ``component_id`` per row of ``docs``.
@@ -313,23 +330,39 @@ def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     are ignored; an empty table gives an empty result.
     """
     fps = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words), "simhash")
-    reps = materialize(fps.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
-    roots = linked_components(reps.select("fp"), max_bits)
-    named = (reps.join(roots, F.col("fp") == F.col("node"), "left")
-             .select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    lowest = named.groupBy("root").agg(F.min("first").alias("component_id")).withColumnRenamed("root", "r")
+    named = _named(fps, max_bits)
+    lowest = named.groupBy("root").agg(F.min("best").alias("least")).withColumnRenamed("root", "r")
     found = (named.join(lowest, F.col("root") == F.col("r"))
-             .select(F.col("fp").alias("cfp"), "component_id"))
+             .select(F.col("fp").alias("cfp"), F.col("least.id").alias("component_id")))
     return fps.join(found, F.col("fp") == F.col("cfp")).select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", **kw) -> DataFrame:
-    """``docs`` with one document of each component: the one whose id names it.
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+             shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of each component, with all its columns: that of the smallest id (rows without an id
+    come last), among rows of one id that of the smallest hash of the text.
 
-    Rows that repeat that id all stay, and so do rows without an id, which
-    no component can be named after.
+    Of rows that repeat id and text one stays; every component keeps exactly
+    one row, however ids are repeated or missing. Columns may have any name.
     """
-    found = near_dedup(docs, id_col=id_col, **kw)
-    gone = (found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct())
-    gone = materialize(gone, "simhash-gone")
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
+    fps = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words), "simhash")
+    least = _named(fps, max_bits).groupBy("root").agg(F.min("best").alias("least"))
+    p = free_prefix(docs.columns)
+    best = materialize(least.select(F.col("least.id").alias(p + "id"), F.col("least.h1").alias(p + "b1"),
+                                    F.col("least.h2").alias(p + "b2")), "simhash-best")
+    counts = fps.groupBy("id", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    same = (F.col("h1") == F.col(p + "b1")) & (F.col("h2") == F.col(p + "b2"))
+    doubtful = counts.join(best, same & F.col("id").eqNullSafe(F.col(p + "id")), "left")
+    doubtful = materialize(doubtful.where(F.col(p + "b1").isNull() | (F.col("n") > 1))
+                           .select(F.xxhash64("id", "h1", "h2").alias("h")), "simhash-doubtful")
+    # Rows that are one of a kind and stay do not move; only those that may go, or repeat, meet the best ones.
+    h1, h2 = _hashes(text_col)
+    rows = docs.select("*", h1.alias(p + "h1"), h2.alias(p + "h2"))
+    rows = rows.withColumn(p + "h", F.xxhash64(col(id_col), p + "h1", p + "h2"))
+    rows = marked(rows, p + "h", bit_map(doubtful, "h", p + "m"), p + "m")
+    same = (F.col(p + "h1") == F.col(p + "b1")) & (F.col(p + "h2") == F.col(p + "b2"))
+    met = rows.where(F.col(p + "m")).join(best, same & col(id_col).eqNullSafe(F.col(p + "id")), "left_semi")
+    whole = F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    once = met.groupBy(p + "h1", p + "h2", col(id_col).alias(p + "id")).agg(F.first(whole).alias(p + "row"))
+    return (rows.where(~F.col(p + "m")).select(*[col(c) for c in docs.columns])
+            .unionAll(once.select(*[F.col(f"{p}row.c{i}").alias(c) for i, c in enumerate(docs.columns)])))

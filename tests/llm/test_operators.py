@@ -110,7 +110,7 @@ def edited(rng, line):
 
 def test_lines_equal_brute_force(spark):
     rng = random.Random(3)
-    base = ["".join(rng.choice("abl é") for _ in range(n)) for n in (5, 19, 20, 21, 31, 32, 33, 63, 64, 65, 127, 128, 129, 300)]
+    base = ["".join(rng.choice("abl é") for _ in range(n)) for n in (5, 9, 10, 11, 12, 19, 20, 21, 31, 32, 33, 63, 64, 65, 127, 128, 129, 300)]
     made = []
     for i in range(80):
         some = [rng.choice(base) for _ in range(rng.randrange(6))]
@@ -519,3 +519,72 @@ def test_rules_without_labels_keep_everything(odd, empty, spark):
     got = quality.apply_rules(odd, quality.DecisionList())
     assert all(r.kept != r.base_failed for r in got.collect()) and got.count() == len(ODD)
     assert quality.apply_rules(empty, quality.DecisionList()).count() == 0
+
+
+# ---- columns with the names of helpers, groups that must not lose their last row
+
+CLASHING = "_t _w _gone _gid _grid _pii n_words kept row _ _n n_lines n_removed h1 fp _m `a.b` __pii".split()
+
+
+def clashing(spark, texts):
+    names = ", ".join(f"{c} string" for c in CLASHING)
+    return spark.createDataFrame([(i, t, *[f"{c}{i}" for c in CLASHING]) for i, t in enumerate(texts)],
+                                 f"doc_id long, text string, {names}")
+
+
+def own(rows, skip=()):
+    return {r["doc_id"]: tuple(r[c.strip("`")] for c in CLASHING if c not in skip) for r in rows}
+
+
+def test_helpers_clash_with_no_column(spark):
+    texts = ["one two three\nmail a.b@c.de", "one two three", None, " ".join(f"w{i}" for i in range(60))]
+    df = clashing(spark, texts)
+    whole = own(df.collect())
+    assert own(pii.redact(df).collect()) == whole and pii.redact(df).columns == df.columns
+    assert own(pii.find_pii(df).collect()) == whole
+    assert own(lines.dedup_lines(df, counts=False).collect()) == whole
+    replaced = ("n_lines", "n_removed")
+    assert own(lines.dedup_lines(df).collect(), replaced) == own(df.collect(), replaced)
+    kept = simhash.keep_one(df).collect()
+    assert own(kept) == {i: v for i, v in whole.items() if i in {r.doc_id for r in kept}}
+    stats = quality.text_stats(df)
+    assert own(stats.collect(), ("n_words",)) == own(df.collect(), ("n_words",))
+    good = quality.keep_good(df, quality.DecisionList())
+    assert good.columns == df.columns and own(good.collect()) == {3: whole[3]}
+
+
+def test_keep_one_keeps_one_of_every_group(spark):
+    a, b = "alpha beta gamma delta epsilon", "one two three four five six seven"
+    for rows, expected in [([(1, a), (5, a), (5, b)], [(1, a), (5, b)]), ([(None, a), (None, a), (7, b)], [(7, b), (None, a)]),
+                           ([(3, a), (3, a), (3, a)], [(3, a)]), ([(None, None), (None, ""), (None, b)], [(None, b), (None, None)]),
+                           ([(2, b), (1, a), (2, a), (1, b)], [(1, a), (1, b)]), ([], [])]:
+        df = spark.createDataFrame([(i, t, {"k": "v"}) for i, t in rows], "doc_id long, text string, extra map<string,string>")
+        got = sorted(((r.doc_id, r.text or None) for r in simhash.keep_one(df).collect()), key=repr)
+        assert got == sorted(expected, key=repr), rows
+
+
+def test_redact_of_many_spans(spark):
+    text = "".join(f"é😀 x{i}@mail.example, " for i in range(1500)) + "end"
+    df = spark.createDataFrame([(1, text), (2, "a@b.c"), (3, "x")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert got == {1: "é😀 [EMAIL], " * 1500 + "end", 2: "[EMAIL]", 3: "x"}
+
+
+def test_html_hostile_nesting_is_linear():
+    import time
+
+    start = time.process_time()
+    assert html.page_text("<p>" + "<div><p>" * 20_000 + "x").split() == ["x"]
+    assert html.page_text("<table><td><p>" + "<div>" * 20_000 + "x").split() == ["x"]
+    wide = "<table>" + "<tr>" + "".join(f"<td colspan=1000 rowspan=65534>{i}<tr>" for i in range(400)) + "</table>"
+    assert html.page_text(wide).split() == [str(i) for i in range(400)]
+    assert time.process_time() - start < 4
+
+
+def test_html_long_cells_and_pre():
+    long = "lorem ipsum dolor sit amet " * 4
+    page = f"<table><tr><td>a<td>{long}<td>z1<tr><td>bb<td>short<td>z2</table><pre>\nx\n\ny</pre><textarea>\r\nt</textarea>"
+    first, second, third = ("lorem ipsum dolor sit amet lorem ipsum dolor sit", "amet lorem ipsum dolor sit amet lorem ipsum",
+                            "dolor sit amet")
+    assert html.page_text(page) == (f"a   {first}  z1\n    {second}\n    {third}\n"
+                                    f"bb  {'short'.ljust(48)}  z2\n\nx\n\ny\n\nt")
