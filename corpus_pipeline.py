@@ -28,16 +28,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that pass the base rules and the decision list learned from ``labels``.
     Null and empty texts fail the base rules."""
     rules = quality.fit_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.apply_rules(docs, rules).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return quality.keep_good(docs, rules)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that repeat an earlier one."""
-    return _rewritten(docs, lines.dedup_lines(docs))
+    return _rewritten(docs, lines.dedup_lines(docs, counts=False))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id."""
+    """One document of each near-duplicate group: the one with the smallest id, of repeated rows one."""
     return simhash.keep_one(docs)
 
 
