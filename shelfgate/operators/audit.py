@@ -1,11 +1,9 @@
 """Audit of a unified table: schema, types, duplicate keys, nulls.
 
 The reference runs about 13 separate jobs. Here schema and type checks read
-only ``df.schema`` (no job). For a small table the data part is one
-aggregation over key groups that carries row and null counts; for a large
-table totals and null counts are one map-side aggregation and the
-duplicate count comes from the repeated keys alone (hash-first, exact), so
-distinct keys never cross the shuffle as text.
+only ``df.schema`` (no job); totals and null counts are one map-side
+aggregation, and the duplicate count comes from the repeated keys alone
+(hash-first, exact), so distinct keys never cross the shuffle as text.
 """
 
 from __future__ import annotations
@@ -17,9 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.schema import AUDIT_KEYS, CANONICAL, col, required_names, types_compatible
+from ..functions.schema import AUDIT_KEYS, CANONICAL, col, free_prefix, required_names, types_compatible
 from ..session import materialize
-from .keys import attach_repeats, free_prefix, repeated_keys
+from ..sources.footers import Facts
+from .keys import attach_repeats, repeated_keys
+from .profile import one_row
 
 
 log = logging.getLogger("shelfgate.audit")
@@ -124,17 +124,31 @@ def dedupe_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None
     return singles.unionByName(reduce_(flagged.where(F.col(mark) > 1).select(*[col(c) for c in df.columns])))
 
 
-def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(column, null_count) for each listed column that has nulls (one pass)."""
+def null_counts(df: DataFrame, columns: list[str] | None = None, known: dict[str, Facts] | None = None) -> DataFrame:
+    """(column, null_count) for each listed column that has nulls (one pass over the columns that the
+    table's footers, ``known``, do not tell)."""
     cols = [c for c in (columns or required_names()) if c in df.columns]
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, null_count long")
-    agg = df.agg(*[F.count_if(col(c).isNull()).alias(c) for c in cols])
-    stacked = agg.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), col(c).cast("long").alias("null_count")) for c in cols])))
+    nulls, scanned = _nulls(cols, known)
+    stacked = one_row(df, scanned).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), n.cast("long").alias("null_count")) for c, n in nulls.items()])))
     return stacked.where(F.col("null_count") > 0)
 
 
+def _nulls(columns: list[str], known: dict[str, Facts] | None) -> tuple[dict[str, Column], list[Column]]:
+    """The null count of each column, a literal where ``known`` tells it, and the aggregates for the others."""
+    counts, scanned = {}, []
+    for i, c in enumerate(columns):
+        facts = (known or {}).get(c)
+        if facts and facts.nulls is not None:
+            counts[c] = F.lit(facts.nulls)
+        else:
+            scanned.append(F.count_if(col(c).isNull()).alias(f"_z{i}"))
+            counts[c] = F.col(f"_z{i}")
+    return counts, scanned
+
+
 def schema_findings(df: DataFrame, schema: StructType = CANONICAL, required: list[str] | None = None):
     """Plan-time schema and type findings from ``df.schema`` (no job)."""
     cols = set(df.columns)
@@ -150,24 +164,29 @@ def schema_findings(df: DataFrame, schema: StructType = CANONICAL, required: lis
 
 
 def audit(df: DataFrame, schema: StructType = CANONICAL, keys: list[str] = AUDIT_KEYS,
-          required: list[str] | None = None, checked_at: str | None = None) -> DataFrame:
+          required: list[str] | None = None, checked_at: str | None = None,
+          known: dict[str, Facts] | None = None) -> DataFrame:
     """One-row audit report (the four checks, each with details, and the verdict).
 
     Keys missing from ``df`` are dropped from the duplicate key; with no key
-    column left the duplicate check fails with ``duplicate_error`` set.
+    column left the duplicate check fails with ``duplicate_error`` set. Row
+    and null counts that the table's footers tell (``known``) are not scanned.
     """
     req = required or required_names(schema)
     missing, extra, mismatches = schema_findings(df, schema, req)
     ks = available_keys(df, keys)
     present_req = [c for c in req if c in df.columns]
-    nulls = [F.count_if(col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(present_req)]
+    nulls, scanned = _nulls(present_req, known)
     # totals and null counts are map-side counts; the unique count subtracts the
     # surplus rows of repeated keys; without a key column it is unknown
     surplus = _surplus(df, ks) if ks else None
-    totals = df.agg(F.count(F.lit(1)).cast("long").alias("total_records"), *nulls)
+    rows = next((F.lit(f.rows) for f in (known or {}).values()), None)
+    total = one_row(df, ([] if rows is not None else [F.count(F.lit(1)).alias("_n")]) + scanned)
+    total = total.select((F.col("_n") if rows is None else rows).cast("long").alias("total_records"),
+                         *[n.cast("long").alias(f"_z{i}") for i, n in enumerate(nulls.values())])
     unique = (F.col("total_records") - F.lit(surplus)) if surplus is not None else F.lit(None)
-    totals = totals.select("total_records", unique.cast("long").alias("unique_records"),
-                           *[F.col(f"_z{i}").cast("long").alias(f"_z{i}") for i in range(len(present_req))])
+    totals = total.select("total_records", unique.cast("long").alias("unique_records"),
+                          *[F.col(f"_z{i}") for i in range(len(present_req))])
     null_text = F.concat_ws(",", *[
         F.when(F.col(f"_z{i}") > 0, F.concat(F.lit(f"{c}="), F.col(f"_z{i}").cast("string")))
         for i, c in enumerate(present_req)]) if present_req else F.lit("")

@@ -9,13 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import json_valid
+from ..functions.predicates import is_missing, json_valid
 from ..functions.schema import col
 
 
 def _rates(df: DataFrame, per_col: dict, measure, rate_name: str, limit_name: str, passed) -> DataFrame:
     cols = [c for c in per_col if c in df.columns]
-    agg = df.agg(*[F.avg(measure(col(c)).cast("int")).alias(f"_r{i}") for i, c in enumerate(cols)])
+    if not cols:
+        return df.sparkSession.createDataFrame(
+            [], f"column string, {rate_name} double, {limit_name} double, passed boolean")
+    agg = df.agg(*[F.avg(measure(c).cast("int")).alias(f"_r{i}") for i, c in enumerate(cols)])
     return agg.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"_r{i}").alias(rate_name),
                  F.lit(float(per_col[c])).alias(limit_name),
@@ -24,14 +27,14 @@ def _rates(df: DataFrame, per_col: dict, measure, rate_name: str, limit_name: st
 
 
 def missing_rates(df: DataFrame, limits: dict[str, float]) -> DataFrame:
-    """(column, missing_rate, max_missing_rate, passed) — rate over all rows."""
-    return _rates(df, limits, lambda c: c.isNull(), "missing_rate", "max_missing_rate",
+    """(column, missing_rate, max_missing_rate, passed) — rate over all rows; NaN is missing, as in the profile."""
+    return _rates(df, limits, lambda c: is_missing(col(c), df.schema[c].dataType), "missing_rate", "max_missing_rate",
                   lambda r, lim: r <= lim)
 
 
 def json_rates(df: DataFrame, floors: dict[str, float]) -> DataFrame:
     """(column, valid_rate, min_valid_rate, passed) — rate over non-null values."""
-    return _rates(df, floors, json_valid, "valid_rate", "min_valid_rate", lambda r, lim: r >= lim)
+    return _rates(df, floors, lambda c: json_valid(col(c)), "valid_rate", "min_valid_rate", lambda r, lim: r >= lim)
 
 
 def unique_per_group(df: DataFrame, group: list[str], key: str) -> DataFrame:

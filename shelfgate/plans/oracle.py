@@ -520,6 +520,25 @@ FROM t, u"""
 SELECT CAST(3 AS BIGINT) AS schema_groups, count(*) AS rows, CAST({len(NAMES) + 1} AS BIGINT) AS variables,
   CAST(count(*) * {len(NAMES) + 1} - ({' + '.join(f'count({n})' for n in NAMES + ['Source_File'])}) AS BIGINT) AS missing_cells,
   count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM e)) AS duplicate_rows FROM e"""
+    li = {c: c not in ("l_returnflag", "l_linestatus", "l_shipdate") for c in LINEITEM_COLS}
+    ev = {c: c in ("event_id", "user_id", "value") for c in ("event_id", "ts", "user_id", "event_type", "value", "props")}
+    miss, bounds = [], []
+    for t, cols in (("lineitem", li), ("events", ev)):
+        for c, number in cols.items():
+            gone = f"count(*) FILTER (WHERE {c} IS NULL{f' OR isnan(CAST({c} AS DOUBLE))' if number else ''})"
+            miss.append(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", {gone} AS n_missing, "
+                        f"{gone} * 100.0::DOUBLE / count(*) AS pct_missing FROM {t}")
+            if number:
+                lo, hi = (f"CAST({f}({c}) AS DOUBLE)" for f in ("min", "max"))
+                bounds.append(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", {lo} AS observed_min, {hi} AS observed_max, "
+                              f"{lo} * (1 - {RANGE_TOLERANCE}::DOUBLE) AS min_bound, "
+                              f"{hi} * (1 + {RANGE_TOLERANCE}::DOUBLE) AS max_bound FROM {t}")
+    q["footer_missing"] = " UNION ALL ".join(miss)
+    q["footer_bounds"] = " UNION ALL ".join(bounds)
+    q["footer_constant"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", '{c}' AS \"column\" FROM {t} HAVING count(DISTINCT {c}) = 1"
+        for t, cols in (("lineitem", li), ("events", ev)) for c in cols) + " UNION ALL " + " UNION ALL ".join(
+        f"SELECT '{t}', 'kind' FROM {t} HAVING count(*) > 0" for t in ("lineitem", "events"))
     q["profile_kinds"] = _kinds_sql()
     q["profile_kind_counts"] = ("SELECT kind, count(*) AS variables FROM (" + _kinds_sql() + ") GROUP BY kind")
     q["profile_corr_numeric"] = _corr_sql()

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, NumericType, StringType, StructField, StructType
 
 from ..functions.schema import SOURCE_FILE, eda_schema, required_names
 from ..operators import audit as A
@@ -31,6 +31,7 @@ from ..session import scratch_path
 from ..sources import fixtures as X
 from ..sources import publish
 from ..sources.catalog import basename, parse_names
+from ..sources.footers import column_facts
 from ..sources.sinks import append_column_log, read_column_log, read_unified, write_unified
 from .audit import run_audit
 from .explore import explore
@@ -464,6 +465,35 @@ def q_profile_constant(spark, sf):
     return P.constant_columns(_eda(spark, sf))
 
 
+FOOTER_TABLES = ["lineitem", "events"]
+
+
+def _from_footers(spark, sf, found):
+    """``found(df, facts)`` of each table, with its name."""
+    parts = []
+    for name in FOOTER_TABLES:
+        path = f"{sf.rstrip('/')}/{name}.parquet"
+        part = found(spark.read.parquet(path), column_facts(spark, path))
+        parts.append(part.select(F.lit(name).alias("table"), *part.columns))
+    return parts[0].unionAll(parts[1])
+
+
+def q_footer_missing(spark, sf):
+    """Missing values per column, from footers where they tell them."""
+    return _from_footers(spark, sf, P.missing)
+
+
+def q_footer_constant(spark, sf):
+    """A10: constant columns, from footers where they tell the bounds."""
+    return _from_footers(spark, sf, lambda df, known: P.constant_columns(df.withColumn("kind", F.lit("x")), known))
+
+
+def q_footer_bounds(spark, sf):
+    """Bounds of every number, from footers where they tell them."""
+    return _from_footers(spark, sf, lambda df, known: P.price_bounds(
+        df, [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)], RANGE_TOLERANCE, known))
+
+
 def q_profile_dataset(spark, sf):
     """Dataset summary."""
     return P.dataset_summary(_eda(spark, sf))

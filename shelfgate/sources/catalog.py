@@ -16,8 +16,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.schema import col
+
 # --- fixed values: the reference's three listing sources --------------------
 DEFAULT_SOURCES = ["cubesmart", "smartstopselfstorage", "storagemart"]
+# characters of ``_weekly_<8 digits>_<6 digits>.parquet``
+_TAIL = 31
 
 
 def name_pattern(sources: list[str]) -> str:
@@ -40,22 +44,25 @@ def parse_names(df: DataFrame, sources: list[str], path_col: str = "path") -> Da
     status: ``ok``; ``no_match`` (unknown source, bad ending, missing time);
     ``bad_date`` (matches but the date does not exist; left out, counted).
     """
-    pat = name_pattern(sources)
     name = basename(F.col(path_col))
-    source = F.regexp_extract(name, pat, 1)
-    matched = source != ""           # the source group is never empty on a match
-    date_txt = F.regexp_extract(name, pat, 2)
-    file_date = F.to_date(F.try_to_timestamp(date_txt, F.lit("yyyyMMdd")))
-    return df.select(
+    # the part behind the source has a fixed length, so the name is cut by position and one short
+    # pattern tests it (the format of name_pattern)
+    tail = F.right(name, F.lit(_TAIL))
+    source = F.substring(name, F.lit(1), F.length(name) - _TAIL)
+    named = df.select("*", name.alias("_name"), tail.alias("_tail"),
+                      (source.isin(list(sources)) & tail.rlike(r"^_weekly_[0-9]{8}_[0-9]{6}\.parquet$")).alias("_match"))
+    matched = F.col("_match")
+    file_date = F.to_date(F.try_to_timestamp(F.substring("_tail", 9, 8), F.lit("yyyyMMdd")))
+    return named.select(
         F.col(path_col).alias("path"),
-        name.alias("file_name"),
-        F.when(matched, source).alias("retailer"),
+        F.col("_name").alias("file_name"),
+        F.when(matched, F.expr(f"left(_name, length(_name) - {_TAIL})")).alias("retailer"),
         F.when(matched, file_date).alias("file_date"),
-        F.when(matched, F.regexp_extract(name, pat, 3)).alias("file_time"),
+        F.when(matched, F.substring("_tail", 18, 6)).alias("file_time"),
         F.when(~matched, F.lit("no_match"))
          .when(file_date.isNull(), F.lit("bad_date"))
          .otherwise(F.lit("ok")).alias("status"),
-        *[F.col(c) for c in df.columns if c != path_col],
+        *[col(c) for c in df.columns if c != path_col],
     )
 
 
