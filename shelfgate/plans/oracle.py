@@ -520,6 +520,25 @@ FROM t, u"""
 SELECT CAST(3 AS BIGINT) AS schema_groups, count(*) AS rows, CAST({len(NAMES) + 1} AS BIGINT) AS variables,
   CAST(count(*) * {len(NAMES) + 1} - ({' + '.join(f'count({n})' for n in NAMES + ['Source_File'])}) AS BIGINT) AS missing_cells,
   count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM e)) AS duplicate_rows FROM e"""
+    q["key_history"] = """
+WITH past AS (SELECT l_orderkey, l_linenumber, count(*) AS n_before FROM lineitem WHERE l_shipdate < '1997-01-01' GROUP BY ALL),
+week AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem WHERE l_shipdate >= '1997-01-01' GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, n, coalesce(n_before, 0) AS n_before FROM week LEFT JOIN past USING (l_orderkey, l_linenumber)"""
+    q["json_structure"] = _with(LISTING) + """, t AS (
+  SELECT 'Store_Info' AS "column", Store_Info AS x FROM listing UNION ALL SELECT 'Variant_Info', Variant_Info FROM listing),
+v AS (SELECT "column", '$' AS path, x, json_valid(x) AS ok FROM t WHERE x IS NOT NULL),
+m AS (SELECT "column", unnest(json_keys(x)) AS k, x FROM v WHERE ok AND json_type(x) = 'OBJECT'),
+a AS (
+  SELECT "column", path, CASE WHEN NOT ok THEN 'INVALID' ELSE json_type(CASE WHEN ok THEN x END) END AS kind FROM v
+  UNION ALL SELECT "column", concat('$.', k), json_type(json_extract(x, concat('$."', k, '"'))) FROM m)
+SELECT "column", path, CASE kind WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING' WHEN 'NULL' THEN 'VOID'
+                                 ELSE kind END AS type, count(*) AS n_values
+FROM a GROUP BY ALL"""
+    q["json_columns"] = _with(LISTING) + """
+SELECT Product_Name, Store_Info, Variant_Info,
+  TRY_CAST(CASE WHEN json_valid(Store_Info) THEN json_extract_string(Store_Info, '$.store_id') END AS BIGINT) AS "Store_Info.store_id",
+  TRY_CAST(CASE WHEN json_valid(Variant_Info) THEN json_extract_string(Variant_Info, '$.k') END AS BIGINT) AS "Variant_Info.k"
+FROM listing"""
     li = {c: c not in ("l_returnflag", "l_linestatus", "l_shipdate") for c in LINEITEM_COLS}
     ev = {c: c in ("event_id", "user_id", "value") for c in ("event_id", "ts", "user_id", "event_type", "value", "props")}
     miss, bounds = [], []

@@ -17,6 +17,7 @@ from ..functions.schema import SOURCE_FILE, eda_schema, required_names
 from ..operators import audit as A
 from ..operators import catalog as C
 from ..operators import constraints as K
+from ..operators import json_structure as J
 from ..operators import profile as P
 from ..operators import schema_checks as S
 from ..operators.conform import (
@@ -26,6 +27,7 @@ from ..operators.conform import (
     union_conformed,
 )
 from ..operators.gate import gate
+from ..operators.key_history import KeyHistory
 from ..operators.rules import JSON_RATE_FLOORS, MISSING_RATE_LIMITS, RANGE_TOLERANCE, default_rules, parse_rules
 from ..session import scratch_path
 from ..sources import fixtures as X
@@ -40,6 +42,7 @@ from .ingest import ingest_frame, ingest_latest_frame, run_ingest
 REFERENCE_DATE = "2024-01-20"
 DETECTION_TIME = "2024-02-01 00:00:00"
 LINEITEM_KEYS = ["l_orderkey", "l_linenumber"]
+HISTORY_BUCKETS = 16
 TEXT_SOURCE_RETAILERS = ["click", "view"]
 OPTIONAL_DROPPED = ["Retailer_Website", "Currency", "Url"]
 PRICES = ["Original_Price", "Sale_Price"]
@@ -284,6 +287,19 @@ def q_json_extract(spark, sf):
         F.try_variant_get(F.try_parse_json("Variant_Info"), "$.k", "bigint").alias("variant_k"))
 
 
+JSON_COLUMNS = ["Store_Info", "Variant_Info"]
+
+
+def q_json_structure(spark, sf):
+    """Every path in the JSON columns, with types and counts."""
+    return J.json_paths(_listing(spark, sf), JSON_COLUMNS)
+
+
+def q_json_columns(spark, sf):
+    """a column for every path that was found."""
+    return J.extract_json(_listing(spark, sf).select("Product_Name", *JSON_COLUMNS), JSON_COLUMNS)
+
+
 # ---- ingest and sinks -------------------------------------------------------------
 
 def q_ingest_file(spark, sf):
@@ -413,6 +429,21 @@ def q_dedupe_by_key(spark, sf):
     return A.dedupe_by_key(_lineitem(spark, sf), LINEITEM_KEYS)
 
 
+HISTORY_WEEKS = ["1996-01-01", "1997-01-01"]
+
+
+def q_key_history(spark, sf):
+    """Q2, A2, A3: keys of the newest rows against the keys of two earlier batches (the second added twice)."""
+    df = _lineitem(spark, sf)
+    history = KeyHistory(spark, scratch_path(spark, "key-history"), {k: df.schema[k].dataType.simpleString() for k in LINEITEM_KEYS},
+                         buckets=HISTORY_BUCKETS)
+    first, second = (F.lit(d).cast("timestamp_ntz") for d in HISTORY_WEEKS)
+    history.add(df.where(F.col("l_shipdate") < first), "1")
+    for _ in range(2):
+        history.add(df.where((F.col("l_shipdate") >= first) & (F.col("l_shipdate") < second)), "2")
+    return history.lookup(df.where(F.col("l_shipdate") >= second))
+
+
 def q_audit_null_counts(spark, sf):
     """A4, Q9: nulls in required columns."""
     return A.null_counts(_conformed(spark, sf))
