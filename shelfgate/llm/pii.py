@@ -26,9 +26,10 @@ BLOCK = 256
 
 @dataclass(frozen=True)
 class Kind:
-    """One kind of span. ``valid`` is SQL over ``v`` (the matched text); ``score`` and
-    ``boost`` give the score without and with a context word nearby. The span is ``group``
-    of the pattern and starts where the match does."""
+    """One kind of span. ``valid`` is SQL over ``v`` (the matched text); ``score`` is that of a
+    confirmed span, raised by ``boost`` if one of the ``context`` words is nearby. The span is
+    ``group`` of the pattern and starts where the match does. ``base`` kinds are reported
+    whatever their score."""
 
     name: str
     probe: str
@@ -62,22 +63,27 @@ _KNOWN = "|".join(" ".join(IBAN_CHARS.values()).split())
 _IBAN_RUN = "|".join([rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_CHARS.items()]
                      + [rf"(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+"])
 
+_PHONE_WORDS = ("tel", "phone", "telephone", "mobile", "cell", "call", "fax", "telefon", "handy", "portable")
 KINDS = (
     # [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
     Kind("email", "@",
          r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++\.[A-Za-z0-9-]"
-         r"(?:(?!\.(?![A-Za-z0-9-]))[A-Za-z0-9.-])*+", "true"),
+         r"(?:(?!\.(?![A-Za-z0-9-]))[A-Za-z0-9.-])*+", "true", score=0.9, boost=0.1,
+         context=("mail", "email", "e-mail", "contact", "courriel", "correo")),
     # [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+), parts at most 255
     Kind("ip", r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]",
          r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
          "forall(split(v, '[.]'), p -> length(ltrim('0', p)) <= 3 AND "
-         "CAST(concat('0', left(ltrim('0', p), 3)) AS INT) <= 255)"),
+         "CAST(concat('0', left(ltrim('0', p), 3)) AS INT) <= 255)", score=0.5, boost=0.4,
+         context=("ip", "host", "server", "client", "address", "login")),
     # [0-9]([\x20-]?[0-9])+, 16 to 19 digits passing Luhn
     Kind("card", r"[0-9](?:[\x20-]?[0-9]){15}",
          r"[0-9](?=[\x20-]?[0-9])(?:(?![\x20-](?![0-9]))[0-9\x20-])*+",
-         f"length({_DIGITS}) BETWEEN 16 AND 19 AND {_LUHN}"),
+         f"length({_DIGITS}) BETWEEN 16 AND 19 AND {_LUHN}", score=0.7, boost=0.3,
+         context=("card", "visa", "mastercard", "credit", "karte", "carte", "tarjeta")),
     # \+[0-9][\x20().0-9-]+[0-9], 8 to 15 digits
-    Kind("phone", r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 8 AND 15"),
+    Kind("phone", r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 8 AND 15", score=0.6,
+         boost=0.3, context=_PHONE_WORDS),
     Kind("iban", r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]",
          rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=({_IBAN_RUN})(?![A-Za-z0-9]))[A-Z]{{2}}[0-9]{{2}}",
          f"length({_IBAN}) BETWEEN 15 AND 34 AND {_MOD97}", base=False, score=0.7, boost=0.3,
@@ -87,6 +93,12 @@ KINDS = (
          "left(v, 3) NOT IN ('000', '666') AND left(v, 1) <> '9' AND substring(v, 5, 2) <> '00' "
          "AND right(v, 4) <> '0000'", base=False, score=0.3, boost=0.4,
          context=("ssn", "social security", "taxpayer")),
+    # numbers that say little alone: only a word beside them makes them personal
+    Kind("local_phone", r"[0-9]{3}[\x20./-][0-9]",
+         r"(?<![A-Za-z0-9+.-])\(?[0-9]{2,5}\)?[\x20./-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![A-Za-z0-9-]|\.[0-9])",
+         f"length({_DIGITS}) BETWEEN 8 AND 13", base=False, score=0.2, boost=0.4, context=_PHONE_WORDS),
+    Kind("account", r"[0-9]{8}", r"(?<![A-Za-z0-9.,-])[0-9]{8,12}(?![A-Za-z0-9-]|[.,][0-9])", "true", base=False,
+         score=0.2, boost=0.4, context=("account", "acct", "konto", "kontonummer", "compte", "cuenta")),
 )
 THRESHOLD = 0.5
 CONTEXT_CHARS = 40
@@ -117,10 +129,10 @@ def _spans(kind: Kind, k: int) -> str:
     near = "false"
     if kind.context:
         # only validated matches get here, so the two substrings are rare
-        words = "|".join(kind.context)
+        words = f"(?<![a-z])(?:{'|'.join(kind.context)})(?![a-z])"
         near = (f"lower(concat(substring(_t, CAST(greatest(e - length(v) - {CONTEXT_CHARS}, 0) AS INT) + 1, "
                 f"CAST(least({CONTEXT_CHARS}, e - length(v)) AS INT)), ' ', "
-                f"substring(_t, CAST(e AS INT) + 1, {CONTEXT_CHARS}))) RLIKE '{words}'")
+                f"substring(_t, CAST(e AS INT) + 1, {CONTEXT_CHARS}))) RLIKE {_sql(words)}")
     score = f"CAST({kind.score} + IF({near}, {kind.boost}, 0) AS DOUBLE)"
     ends = _running("transform(m, (x, i) -> CAST(length(x) + length(element_at(g, i + 1)) AS BIGINT))")
     zipped = f"zip_with(m, {ends}, (v, e) -> struct(v AS v, e AS e))"

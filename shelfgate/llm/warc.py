@@ -13,6 +13,7 @@ import base64
 import hashlib
 import uuid
 import zlib
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,6 +26,8 @@ from .tokens import string_column
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
+ESCAPED = "X-Target-URI-Escaped"
+HOT_ROWS, MAX_HOT = 1000, 100_000
 GAP_BYTES = 64 << 10
 READ_BYTES = 4 << 20
 TASK_BYTES = 8 << 20
@@ -38,22 +41,24 @@ def _file_system(path: str):
 
 
 def _record_id(page_id) -> str:
-    return f"<urn:page:{'' if page_id is None else page_id}>"
-
-
-def _header_value(text: str) -> str:
-    return text.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A") if "\r" in text or "\n" in text else text
+    """``<urn:page:ID>``, the id as percent-encoded text; ``<urn:page>`` without one."""
+    return "<urn:page>" if page_id is None else f"<urn:page:{quote(str(page_id), safe='')}>"
 
 
 def record(page_id, url: str | None, payload: bytes, refers_to, is_revisit: bool, digest: str) -> bytes:
-    """One WARC record; a revisit keeps the HTTP header, with the payload's length, and no payload."""
+    """One WARC record; a revisit keeps the HTTP header, with the payload's length, and no payload.
+
+    A URL that would break its header line is written percent-encoded, and a header of its own says so.
+    """
     http = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n").encode()
     block = http if is_revisit else http + payload
     head = [VERSION, f"WARC-Type: {'revisit' if is_revisit else 'response'}", f"WARC-Record-ID: {_record_id(page_id)}",
             f"WARC-Date: {DATE}", "Content-Type: application/http; msgtype=response",
             f"WARC-Payload-Digest: sha1:{digest}", f"Content-Length: {len(block)}"]
     if url is not None:
-        head.append(f"WARC-Target-URI: {_header_value(url)}")
+        broken = "\r" in url or "\n" in url
+        head.append(f"WARC-Target-URI: {quote(url, safe='/:?&=#') if broken else url}")
+        head += [f"{ESCAPED}: true"] if broken else []
     if is_revisit:
         head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {_record_id(refers_to)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -105,7 +110,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, *, min_bytes: in
     its header out. A null page_id never is the response others refer to; if
     no record of a payload has an id, all are responses. Rows that repeat the
     largest id are responses too. Other columns are ignored, and an empty
-    table gives an empty index. The folder must be one that all executors
+    table gives an empty index. Ids may be of any type that its text gives
+    back (numbers, texts, dates). The folder must be one that all executors
     reach; the default lies in the shared folder of the session.
     """
     folder = folder or scratch_path(pages.sparkSession, "warc")
@@ -113,9 +119,17 @@ def write_archives(pages: DataFrame, folder: str | None = None, *, min_bytes: in
     src = src.withColumn("sha", F.sha1(F.col("html").cast("binary")))
     same = (src.where(F.octet_length("html") >= min_bytes).groupBy("sha")
             .agg(F.max("page_id").alias("response_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-            .select(F.col("sha").alias("same_sha"), "response_id"))
-    # a frequent payload is split by the skew handling of the join
-    rows = src.join(same, F.col("sha") == F.col("same_sha"), "left").select("page_id", "url", "html", "response_id")
+            .select(F.col("sha").alias("same_sha"), "response_id", "n"))
+    same = materialize(same, "warc-payloads")
+    # frequent payloads, at most MAX_HOT of them, are told to every task; their rows are spread over the join
+    limit = max(HOT_ROWS, -(-pages.count() // MAX_HOT))
+    hot = same.where(F.col("n") > limit).select(F.col("same_sha").alias("hot_sha"), F.col("response_id").alias("hot_id"))
+    src = src.join(F.broadcast(hot), F.col("sha") == F.col("hot_sha"), "left")
+    src = src.withColumn("key", F.when(F.col("hot_sha").isNull(), F.col("sha"))
+                         .otherwise(F.floor(F.rand(11) * (1 << 20)).cast("string")))
+    rare = same.where(F.col("n") <= limit).drop("n")
+    rows = (src.join(rare, F.col("key") == F.col("same_sha"), "left")
+            .select("page_id", "url", "html", F.coalesce("hot_id", "response_id").alias("response_id")))
     schema = _INDEX.format(id=pages.schema["page_id"].dataType.simpleString())
     return materialize(rows.mapInArrow(_write(folder), schema), "warc-index"), folder
 
@@ -136,9 +150,17 @@ def parse(data: bytes) -> dict:
     return fields
 
 
-def _number(record_id: str):
-    digits = record_id[len("<urn:page:"):-1]
-    return int(digits) if digits else None
+def _page_id(record_id: str) -> str | None:
+    return unquote(record_id[len("<urn:page:"):-1]) if record_id != "<urn:page>" else None
+
+
+def _ids(texts, id_type: pa.DataType) -> pa.Array:
+    return pa.array(texts, pa.string()).cast(id_type)
+
+
+def _url(fields: dict) -> str | None:
+    url = fields.get("WARC-Target-URI")
+    return unquote(url) if ESCAPED in fields else url
 
 
 def _runs(rows: list[tuple]):
@@ -178,11 +200,12 @@ def _read(folder: str, with_payload: bool, id_type: pa.DataType):
                     digest = r["WARC-Payload-Digest"].removeprefix("sha1:")
                     if not revisit and base64.b32encode(hashlib.sha1(r["payload"]).digest()).decode() != digest:
                         raise ValueError(f"{name} at {offset}: payload does not match its digest")
-                    found.append((_number(r["WARC-Record-ID"]), r.get("WARC-Target-URI"),
+                    found.append((_page_id(r["WARC-Record-ID"]), _url(r),
                                   int(r["http"]["Content-Length"]), digest, r["WARC-Type"],
-                                  _number(r["WARC-Refers-To"]) if revisit else None,
+                                  _page_id(r["WARC-Refers-To"]) if revisit else None,
                                   *((None if revisit else r["payload"],) if with_payload else ())))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names=names)
+                yield pa.RecordBatch.from_arrays([_ids(c, t) if n in ("page_id", "refers_to") else pa.array(c, t)
+                                                  for n, c, t in zip(names, zip(*found), types)], names=names)
         if source is not None:
             source.close()
     return run

@@ -392,6 +392,19 @@ def test_iban_beside_words_and_numbers(spark):
     assert all(clean[i] == t.replace(v, "[IBAN]") for i, (t, v) in enumerate(texts.items()) if v)
 
 
+def test_context_words_decide_and_grade(spark):
+    texts = ["Tel. 030 123-4567", "room 030 123-4567", "hotel 030 123-4567", "account no 12345678", "order 12345678", "Konto: 0012345678",
+             "contact a@b.cd", "x a@b.cd", "login from 10.0.0.1", "v 10.0.0.1", "credit card 4111111111111111", "4111111111111111"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(s.kind, r.text[s.start:s.end], round(s.score, 2)) for s in r.pii] for r in pii.find_pii(df).collect()}
+    assert got == {0: [("local_phone", "030 123-4567", 0.6)], 1: [], 2: [], 3: [("account", "12345678", 0.6)], 4: [],
+                   5: [("account", "0012345678", 0.6)], 6: [("email", "a@b.cd", 1.0)], 7: [("email", "a@b.cd", 0.9)],
+                   8: [("ip", "10.0.0.1", 0.9)], 9: [("ip", "10.0.0.1", 0.5)], 10: [("card", "4" + "1" * 15, 1.0)],
+                   11: [("card", "4" + "1" * 15, 0.7)]}
+    weak = pii.find_pii(df, threshold=0.1).collect()
+    assert sum(len(r.pii) for r in weak) == 12 and {r.pii[0].score for r in weak if r.doc_id in (1, 2, 4)} == {0.2}
+
+
 def test_redact(odd, empty):
     got = pii.redact(odd)
     assert got.columns == odd.columns
@@ -415,7 +428,7 @@ def test_warc_round_trip(spark):
     for i in (1, 2):
         assert (by[i].record_type, by[i].refers_to, by[i].payload_bytes, by[i].payload) == ("revisit", 6, 5, None)
     assert by[3].record_type == "revisit" and by[3].refers_to == 4 and by[4].payload_bytes == 0
-    assert bytes(by[7].payload) == b"\r\n\r\n" * 9 and by[4].url == "http://a/4%0D%0AX: y" and by[3].url is None
+    assert bytes(by[7].payload) == b"\r\n\r\n" * 9 and by[4].url == "http://a/4\r\nX: y" and by[3].url is None
     assert sorted(r.record_type for r in got if r.page_id is None) == ["response", "response", "revisit"]
     some = warc.read_records(index.where("page_id in (5, 7)"), folder, with_payload=False)
     assert sorted(r.page_id for r in some.collect()) == [5, 7]
@@ -425,6 +438,20 @@ def test_warc_round_trip(spark):
     assert warc.read_records(none, folder).count() == 0
 
 
+def test_warc_ids_and_urls_come_back_as_they_were(spark, monkeypatch):
+    monkeypatch.setattr(warc, "HOT_ROWS", 2)     # the empty payload is a frequent one
+    made = [("a b%20", "u%0A", "x"), ("", "u\n%0A é", "x"), ("é>:\r\n", "", ""), (None, " u ", ""), ("7", None, None), ("07", "u", "")]
+    df = spark.createDataFrame(made, "page_id string, url string, html string")
+    index, folder = warc.write_archives(df)
+    got = warc.read_records(index, folder).collect()
+    assert sorted(((r.page_id, r.url) for r in got), key=repr) == sorted(((i, u) for i, u, _ in made), key=repr)
+    assert {r.page_id: r.refers_to for r in got} == {"a b%20": None, "": "a b%20", "é>:\r\n": None, None: "é>:\r\n",
+                                                     "7": "é>:\r\n", "07": "é>:\r\n"}
+    dates = spark.createDataFrame([("2024-01-02", "u", "x")], "page_id string, url string, html string").selectExpr(
+        "CAST(page_id AS date) AS page_id", "url", "html")
+    assert str(warc.read_records(*warc.write_archives(dates)).first().page_id) == "2024-01-02"
+
+
 # ---- 8 exact dedup
 
 @pytest.mark.parametrize("keep,hot_rows", [("largest", 1000), ("smallest", 1000), ("largest", 2), ("smallest", 1)])
