@@ -520,6 +520,18 @@ FROM t, u"""
 SELECT CAST(3 AS BIGINT) AS schema_groups, count(*) AS rows, CAST({len(NAMES) + 1} AS BIGINT) AS variables,
   CAST(count(*) * {len(NAMES) + 1} - ({' + '.join(f'count({n})' for n in NAMES + ['Source_File'])}) AS BIGINT) AS missing_cells,
   count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM e)) AS duplicate_rows FROM e"""
+    parts = []
+    for n in NAMES:
+        number = n in FLOAT_COLS
+        text = not number and n != "Run_Date"
+        gone = f"{n} IS NULL OR isnan({n})" if number else f"{n} IS NULL"
+        low, high = ((f"{f}({n}) FILTER (NOT isnan({n}))" for f in ("min", "max")) if number
+                     else ("CAST(NULL AS DOUBLE)",) * 2)
+        levels = (f"CASE WHEN (SELECT max(d) FROM (SELECT count(DISTINCT {n}) AS d FROM eda GROUP BY Run_Date)) <= 50 "
+                  f"THEN count(DISTINCT {n}) END") if text else "CAST(NULL AS BIGINT)"
+        parts.append(f"SELECT '{n}' AS \"column\", count(*) AS rows, count(*) FILTER ({gone}) AS n_missing, {low} AS low, "
+                     f"{high} AS high, {levels} AS n_distinct FROM eda")
+    q["profile_weeks"] = _with(LISTING, LISTING_SRC, EDA) + "\nUNION ALL ".join(parts)
     q["key_history"] = """
 WITH past AS (SELECT l_orderkey, l_linenumber, count(*) AS n_before FROM lineitem WHERE l_shipdate < '1997-01-01' GROUP BY ALL),
 week AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem WHERE l_shipdate >= '1997-01-01' GROUP BY ALL)

@@ -29,6 +29,7 @@ from ..operators.conform import (
 from ..operators.gate import gate
 from ..operators.key_history import KeyHistory
 from ..operators.rules import JSON_RATE_FLOORS, MISSING_RATE_LIMITS, RANGE_TOLERANCE, default_rules, parse_rules
+from ..operators.weekly_state import WeeklyProfile
 from ..session import scratch_path
 from ..sources import fixtures as X
 from ..sources import publish
@@ -552,6 +553,17 @@ def q_profile_assoc_categorical(spark, sf):
     return P.categorical_association(df, cols).withColumn("cramers_v", F.round("cramers_v", 6))
 
 
+def q_profile_weeks(spark, sf):
+    """A9, A13, A14, A16 over weeks: the profile merged from one kept state per week (its exact part)."""
+    df = _eda(spark, sf).drop(SOURCE_FILE)
+    state = WeeklyProfile(spark, scratch_path(spark, "weeks"))
+    weeks = [r["w"] for r in df.select(F.date_format("Run_Date", "yyyyMMdd").alias("w")).distinct().orderBy("w").collect()]
+    for week in weeks:   # as they come in, one by one
+        state.add(df.where(F.date_format("Run_Date", "yyyyMMdd") == week), week)
+    return state.merged().select("column", "rows", "n_missing", "low", "high",
+                                 F.when(F.col("distinct_exact"), F.col("n_distinct")).alias("n_distinct"))
+
+
 def q_explore_profile(spark, sf):
     """A folder of three schemas explored (grouped, normalized, united) and profiled."""
     root = scratch_path(spark, "explore")
