@@ -10,7 +10,8 @@ corpus cannot be repeated, and a sixth of the positions need comparing.
 Texts are dealt into blocks (:mod:`.blocks`). A block sends each distinct
 hash once, so a passage in a third of all documents makes as many rows as
 there are blocks, not documents. At the last level the earliest start of
-each window, of those each block sends, is the one that stays.
+each window, of those each block sends, is the one that stays. There and in
+the removal a window is known by two 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -129,6 +130,29 @@ def _repeated(found: pa.Table) -> np.ndarray:
     return np.sort(found.column("h").to_numpy().astype(np.int64).view(np.uint64))
 
 
+def _first_of_equals(h: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """For each window, the position of the first one with the same two hashes."""
+    _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+    out = first[inverse]
+    if (h2[out] != h2).any():  # two windows share a hash
+        _, first, inverse = np.unique(np.stack([h, h2], axis=1), axis=0, return_index=True, return_inverse=True)
+        out = first[inverse.ravel()]
+    return out
+
+
+def _among(h: np.ndarray, h2: np.ndarray, found: pa.Table) -> np.ndarray:
+    """Whether the two hashes of a window are those of a row of ``found``."""
+    f, f2 = (found.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in ("h", "h2"))
+    order = np.argsort(f, kind="stable")
+    f, f2 = f[order], f2[order]
+    low = np.searchsorted(f, h)
+    at = np.minimum(low, len(f) - 1)
+    hit = (f[at] == h) & (f2[at] == h2)
+    for k in np.nonzero((f[at] == h) & ~hit)[0]:  # rows that share a hash
+        hit[k] = (f2[low[k]:np.searchsorted(f, h[k], side="right")] == h2[k]).any()
+    return hit
+
+
 def _middle_level(base: int, length: int, target: int):
     """Windows of ``length`` whose halves were repeated; later levels look only at those."""
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
@@ -168,12 +192,13 @@ def _last_level(base: int, target: int, anchored: bool, id_type: pa.DataType):
             cand = starts[half[starts] & half[starts + target // 2]]
         if not len(cand):
             return none
-        # starts ascend, so the first of equal hashes is the earliest of the block
-        values, first = np.unique(b.windows(target)[cand], return_index=True)
+        # starts ascend, so the first of equal windows is the earliest of the block
+        h, h2 = b.windows(target)[cand], b.windows(target, 1)[cand]
+        first = _first_of_equals(h, h2) == np.arange(len(cand))
         at = cand[first]
         doc = np.searchsorted(b.offsets, at, side="right") - 1
-        return pa.table({"block": pa.array(np.full(len(at), _block_id(docs), np.int32)), "h": _signed(values),
-                         "h2": _signed(b.windows(target, 1)[at]),
+        return pa.table({"block": pa.array(np.full(len(at), _block_id(docs), np.int32)), "h": _signed(h[first]),
+                         "h2": _signed(h2[first]),
                          "id": b.table.column("id").combine_chunks().take(pa.array(doc)),
                          "start": pa.array((at - b.offsets[doc]).astype(np.int32))})
     return run
@@ -186,11 +211,10 @@ def _remove(target: int):
         gone = np.zeros(len(b.codes) + 1, np.int64)
         starts = b.starts(target)
         if len(starts):
-            h = b.windows(target)[starts]
-            _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-            dup = first[inverse] != np.arange(len(h))
+            h, h2 = b.windows(target)[starts], b.windows(target, 1)[starts]
+            dup = _first_of_equals(h, h2) != np.arange(len(h))
             if later.num_rows:
-                dup |= np.isin(h, _repeated(later))
+                dup |= _among(h, h2, later)
             np.add.at(gone, starts[dup], 1)
             np.add.at(gone, starts[dup] + target, -1)
         kept = np.cumsum(gone[:-1]) == 0
@@ -257,7 +281,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         _last_level(base_words, min_words, len(levels) == 2, to_arrow_type(id_field)),
         f"block int, h bigint, h2 bigint, id {id_type}, start int")
     order = Window.partitionBy("h", "h2").orderBy(F.asc_nulls_last("id"), "start", "block")
-    later = (firsts.withColumn("rn", F.row_number().over(order)).where("rn > 1").select("block", "h")
+    later = (firsts.withColumn("rn", F.row_number().over(order)).where("rn > 1").select("block", "h", "h2")
              .repartition(parts, "block"))
     run = _remove(min_words)
     out = grouped.cogroup(later.groupBy("block")).applyInArrow(

@@ -266,6 +266,15 @@ def test_repeats_equal_brute_force(docs, rows, base):
     assert multiset(map(tuple, got)) == multiset(brute_repeats(rows))
 
 
+def test_windows_that_share_one_hash_are_told_apart(docs, rows, monkeypatch):
+    h, h2 = (np.array(x, np.uint64) for x in ([5, 5, 7, 5, 7, 5], [1, 2, 3, 1, 3, 2]))
+    assert substrings._first_of_equals(h, h2).tolist() == [0, 1, 2, 0, 2, 1]
+    import pyarrow as pa
+
+    found = pa.table({"h": pa.array([5, 9, 5], pa.int64()), "h2": pa.array([2, 3, 4], pa.int64())})
+    assert substrings._among(h, h2, found).tolist() == [False, True, False, False, False, True]
+
+
 def test_repeats_odd_rows(odd, empty):
     found = {(r[0], r[1], r[2]) for r in substrings.remove_repeats(odd, block_bytes=1000).collect()}
     assert {(0, 0, 0), (1, 0, 0), (2, 0, 0), (3, 3, 0), (None, 3, 0)} <= found
