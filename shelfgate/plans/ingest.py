@@ -182,7 +182,7 @@ def read_landing(spark: SparkSession, input_dir: str, chosen: DataFrame) -> Land
                        F.sha2(F.concat_ws(":", F.col("bytes").cast("string"), F.col("n").cast("string"),
                                           "digest"), 256).alias("digest")))
     bad = [(r["file_name"], r["error"]) for r in rejected(schemas).collect()]
-    return Landing(readable(schemas), plan_scans(parts, schemas, files), bad, materialize(entries, "landing-entries"))
+    return Landing(readable(schemas), plan_scans(parts, schemas, files), bad, entries)
 
 
 def run_ingest(spark: SparkSession, input_dir: str, output_path: str, rules: list[Rule], *,
