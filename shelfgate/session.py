@@ -9,7 +9,9 @@ pick a scratch folder under /tmp ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,6 +102,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def drop_scratch(spark: SparkSession, older_than_hours: float = 24 * 7) -> list[str]:
+    """Delete helper tables of finished runs from the shared folder; returns their paths.
+
+    Only what :func:`scratch_path` named and nothing wrote to for ``older_than_hours``: results of
+    running jobs may still read younger ones. Never called by the library itself.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    limit = (time.time() - older_than_hours * 3600) * 1000
+    gone = []
+    for status in fs.listStatus(root):
+        path = status.getPath()
+        if re.fullmatch(r"[a-z][a-z0-9-]*-[0-9a-f]{12}", path.getName()) and status.getModificationTime() < limit:
+            fs.delete(path, True)
+            gone.append(path.toString())
+    return sorted(gone)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Compute ``df`` once into a parquet table in the shared folder and read it back.
 

@@ -67,11 +67,11 @@ def stream_ingest(spark: SparkSession, input_dir: str, raw_schema: StructType |
                   available_now: bool = True) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops after the files present now.
 
-    ``raw_schema`` None: taken from the files already in the folder (one
-    schema group per stream).
+    ``raw_schema`` None: what all files already in the folder have together
+    (one schema group per stream; types that do not merge raise).
     """
     if raw_schema is None:
-        raw_schema = (spark.read.option("recursiveFileLookup", "true")
+        raw_schema = (spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
                       .option("pathGlobFilter", "*.parquet").parquet(input_dir).schema)
     reader = (spark.readStream.schema(raw_schema)
               .option("recursiveFileLookup", "true")

@@ -23,3 +23,16 @@ def test_size_estimate_and_scratch_paths(spark):
     df = spark.range(10)
     assert session.estimated_bytes(df) > 0
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+def test_drop_scratch_takes_old_helper_tables_alone(spark, monkeypatch, tmp_path):
+    from shelfgate import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda s: str(tmp_path))
+    session.materialize(spark.range(3), "old-one")
+    kept = spark.range(3)
+    kept.write.parquet(str(tmp_path / "users-table"))
+    assert session.drop_scratch(spark, older_than_hours=1) == []
+    gone = session.drop_scratch(spark, older_than_hours=-1)
+    assert len(gone) == 1 and "/old-one-" in gone[0]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["users-table"]
