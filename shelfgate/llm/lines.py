@@ -36,6 +36,7 @@ MIN_NEAR_CHARS = 10
 #: Edits between two lines by the length they hold from; the shorter line decides.
 BOUNDS = ((MIN_NEAR_CHARS, 1),)
 FILTER_BITS = 1 << 23
+HOT_ROWS, MAX_HOT = 1000, 100_000
 _FILLED = r"CASE WHEN ascii(line) > 32 THEN true ELSE line RLIKE '[^\\x20\\x09-\\x0D]' END"
 
 
@@ -67,12 +68,23 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _exact(lines: DataFrame) -> DataFrame:
-    """Places of lines that equal an earlier one."""
-    first = (lines.groupBy("k1", "k2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("c"))
-             .where("c > 1").select(F.col("k1").alias("f1"), F.col("k2").alias("f2"), "first"))
-    return (lines.select("k1", "k2", "place")
-            .join(first, (F.col("k1") == F.col("f1")) & (F.col("k2") == F.col("f2")))
-            .where("place > first").select("place"))
+    """Places of lines that equal an earlier one.
+
+    Lines that occur more than ``max(HOT_ROWS, repeated lines / MAX_HOT)`` times, at most ``MAX_HOT``
+    of them, are told to every task; their rows are spread over the join with the others.
+    """
+    first = materialize(lines.groupBy("k1", "k2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("c"))
+                        .where("c > 1").select(F.col("k1").alias("f1"), F.col("k2").alias("f2"), "first", "c"), "line-firsts")
+    rows = first.agg(F.sum("c")).first()[0] or 0
+    limit = max(HOT_ROWS, -(-rows // MAX_HOT))
+    hot = first.where(F.col("c") > limit).select(F.col("f1").alias("h1"), F.col("f2").alias("h2"), F.col("first").alias("hot"))
+    spread = (lines.select("k1", "k2", "place")
+              .join(F.broadcast(hot), (F.col("k1") == F.col("h1")) & (F.col("k2") == F.col("h2")), "left"))
+    spread = spread.select(F.when(F.col("hot").isNull(), F.col("k1")).otherwise(F.floor(F.rand(5) * (1 << 40)).cast("long")).alias("k1"),
+                           "k2", "place", "hot")
+    rare = first.where(F.col("c") <= limit).drop("c")
+    return (spread.join(rare, (F.col("k1") == F.col("f1")) & (F.col("k2") == F.col("f2")), "left")
+            .where(F.col("place") > F.coalesce("hot", "first")).select("place"))
 
 
 def _near(lines: DataFrame, filter_bits: int) -> DataFrame:
@@ -90,9 +102,9 @@ def _near(lines: DataFrame, filter_bits: int) -> DataFrame:
     hit = (parts.join(F.broadcast(words), F.expr(f"CAST({place_bit} DIV 64 AS INT) = word"))
            .where(F.expr(f"shiftrightunsigned(bits, CAST({place_bit} % 64 AS INT)) & 1L = 1L"))
            .drop("word", "bits"))
-    cand = (hit.join(shared, F.col("key") == F.col("shared"))
-            .groupBy("key", "k1", "k2").agg(F.min("place").alias("place"), F.first("part").alias("part")))
-    cand = materialize(cand, "line-candidates")
+    # a line that very many documents share is one row before the join
+    cand = hit.groupBy("key", "k1", "k2").agg(F.min("place").alias("place"), F.first("part").alias("part"))
+    cand = materialize(cand.join(shared, F.col("key") == F.col("shared")).drop("shared"), "line-candidates")
     # lines of m characters in their part, and lines one longer, meet under (key, m)
     sized = cand.select("*", F.length("part").alias("len")).select(
         "*", F.explode(F.expr("IF(len > 0, array(len, len - 1), array(len))")).alias("m"))

@@ -127,6 +127,16 @@ def test_lines_equal_brute_force(spark):
                           "\n".join(x for n, x in enumerate(text.split("\n")) if (r.doc_id, n) not in gone))
 
 
+def test_a_very_common_line_is_removed_alike(spark, monkeypatch):
+    rng = random.Random(9)
+    made = [(i, "\n".join(rng.choice(["the common line of all", f"own line number {i} here", "another shared line", "the common line of oll"])
+                          for _ in range(4))) for i in range(60)]
+    gone = brute_lines(made)
+    monkeypatch.setattr(lines, "HOT_ROWS", 3)
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    assert {(r.id, r.no) for r in lines.repeated_lines(df).select("place.*").collect()} == gone
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a):
