@@ -35,6 +35,7 @@ SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 TILE = 8192
+FILTER_BITS = 1 << 25
 # Fixed value: the generator polynomial x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 of the Golay code.
 GOLAY = 0b110001110101
 
@@ -255,7 +256,11 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE, kinds: s
     mixed = (keyed("root").groupBy("key")
              .agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count(F.lit(1)).alias("n"))
              .where("lo <> hi").select(F.col("key").alias("k"), "n"))
-    rows = keyed("fp").withColumnRenamed("value", "fp").join(mixed, F.col("key") == F.col("k"))
+    mixed = materialize(mixed, "simhash-keys")
+    # the keys are made a second time; those that miss the bit map, nearly all, go no further
+    rows = keyed("fp").withColumnRenamed("value", "fp")
+    rows = marked(rows, "key", bit_map(mixed, "k", "seen", FILTER_BITS), "seen", FILTER_BITS).where("seen").drop("seen")
+    rows = rows.join(mixed, F.col("key") == F.col("k"))
     tiles = F.ceil(F.col("n") / F.lit(tile)).cast("int")
     rows = rows.select("key", "fp", tiles.alias("tiles"))
     mine = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
