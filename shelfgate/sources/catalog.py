@@ -35,7 +35,7 @@ def name_pattern(sources: list[str]) -> str:
 
 def basename(path: Column) -> Column:
     """Last path component (``os.path.basename``)."""
-    return F.regexp_extract(path, r"([^/]*)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 def parse_names(df: DataFrame, sources: list[str], path_col: str = "path") -> DataFrame:
@@ -52,8 +52,11 @@ def parse_names(df: DataFrame, sources: list[str], path_col: str = "path") -> Da
     named = df.select("*", name.alias("_name"), tail.alias("_tail"),
                       (source.isin(list(sources)) & tail.rlike(r"^_weekly_[0-9]{8}_[0-9]{6}\.parquet$")).alias("_match"))
     matched = F.col("_match")
-    file_date = F.to_date(F.try_to_timestamp(F.substring("_tail", 9, 8), F.lit("yyyyMMdd")))
-    return named.select(
+    # eight digits by now, so the cast is all the parsing there is; there is no year 0
+    year = F.substring("_tail", 9, 4)
+    file_date = F.when(year != "0000", F.concat_ws("-", year, F.substring("_tail", 13, 2), F.substring("_tail", 15, 2))
+                       .try_cast("date"))
+    parsed = F.struct(
         F.col(path_col).alias("path"),
         F.col("_name").alias("file_name"),
         F.when(matched, F.expr(f"left(_name, length(_name) - {_TAIL})")).alias("retailer"),
@@ -61,9 +64,11 @@ def parse_names(df: DataFrame, sources: list[str], path_col: str = "path") -> Da
         F.when(matched, F.substring("_tail", 18, 6)).alias("file_time"),
         F.when(~matched, F.lit("no_match"))
          .when(file_date.isNull(), F.lit("bad_date"))
-         .otherwise(F.lit("ok")).alias("status"),
-        *[col(c) for c in df.columns if c != path_col],
-    )
+         .otherwise(F.lit("ok")).alias("status"))
+    others = [c for c in df.columns if c != path_col]
+    # a generator, so that filters on the result do not parse every name again
+    out = named.select(*[col(c) for c in others], F.inline(F.array(parsed)))
+    return out.select("path", "file_name", "retailer", "file_date", "file_time", "status", *[col(c) for c in others])
 
 
 def list_files(spark: SparkSession, input_dir: str) -> DataFrame:
