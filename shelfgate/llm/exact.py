@@ -8,11 +8,16 @@ ordered by their first ``PREFIX`` characters, then by a hash, then in full:
 the splitters, which Spark samples through the driver, stay short however
 long the texts are, and texts with one common beginning spread over ranges.
 
-Skew: all rows of one text would meet in one range. Texts that occur more
-than ``max(HOT_ROWS, rows / MAX_HOT)`` times are found by a count over
-64-bit hashes (combined map-side, at most ``MAX_HOT`` of them by that bound,
-so they may be broadcast); their rows get a salt that is part of the sort
-key, and the few salted sub-groups are merged afterwards from one row each.
+Skew and memory: all rows of one text would meet in one range, and the
+window holds up to 4,096 rows of a group in memory, each with its text.
+Texts that occur more than ``max(HOT_ROWS, rows / MAX_HOT)`` times, or whose
+copies have more than ``max(HOT_BYTES, bytes / MAX_HOT)`` bytes together, are
+found by a count over 64-bit hashes (combined map-side, at most ``MAX_HOT``
+by either bound, so they may be broadcast). Their rows get a salt that is
+part of the sort key, of as many values as keep the mean sub-group within
+both bounds (``SALTS`` at least); the sub-groups are merged afterwards from
+one row each. The salt follows from the id: rows that repeat one id and one
+text stay together.
 """
 
 from __future__ import annotations
@@ -24,12 +29,13 @@ from ..session import materialize
 
 PREFIX = 64
 HOT_ROWS = 1000
+HOT_BYTES = 16 << 20
 MAX_HOT = 100_000
 SALTS = 64
 
 
 def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                keep: str = "largest", hot_rows: int = HOT_ROWS) -> DataFrame:
+                keep: str = "largest", hot_rows: int = HOT_ROWS, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """One row per input row: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
     Texts are equal when their bytes are identical; null counts as empty.
@@ -42,17 +48,21 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"keep must be 'largest' or 'smallest', not {keep!r}")
     src = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_t"))
     src = src.select("_id", "_t", F.left("_t", F.lit(PREFIX)).alias("_p"), F.xxhash64("_t").alias("_h"))
-    total = src.count()
-    threshold = max(hot_rows, -(-total // MAX_HOT))
+    n, size = F.count(F.lit(1)).alias("_n"), F.sum(F.octet_length("_t").cast("long")).alias("_b")
+    total = src.agg(n, size).first()
+    most_rows = max(hot_rows, -(-total["_n"] // MAX_HOT))
+    most_bytes = max(hot_bytes, -(-(total["_b"] or 0) // MAX_HOT))
     hot = None
-    if total > threshold:
-        hot = materialize(src.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-                          .where(F.col("_n") > threshold).select(F.col("_h").alias("_hot")), "exact-hot")
+    if total["_n"] > most_rows or (total["_b"] or 0) > most_bytes:
+        salts = F.greatest(F.lit(SALTS), F.ceil(F.col("_n") / most_rows), F.ceil(F.col("_b") / most_bytes))
+        hot = materialize(src.groupBy("_h").agg(n, size)
+                          .where((F.col("_n") > 1) & ((F.col("_n") > most_rows) | (F.col("_b") > most_bytes)))
+                          .select(F.col("_h").alias("_hot"), salts.cast("int").alias("_salts")), "exact-hot")
         hot = hot if hot.take(1) else None
     keys = ["_p", "_h"]
     if hot is not None:
         src = src.join(F.broadcast(hot), F.col("_h") == F.col("_hot"), "left")
-        salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64("_id"), F.lit(SALTS)) + 1).otherwise(0)
+        salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64("_id"), F.col("_salts")) + 1).otherwise(0)
         src = src.select("_id", "_t", "_p", "_h", salt.cast("int").alias("_s"))
         keys = [*keys, "_s"]
 

@@ -13,6 +13,7 @@ import xxhash
 
 from shelfgate.llm import bpe, exact, html, lines, packing, pii, quality, simhash, substrings, warc
 from shelfgate.llm.queries import tokenizer_path
+from shelfgate.session import materialize
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -487,6 +488,28 @@ def test_exact_equals_brute_force(odd, empty, keep, hot_rows):
     assert exact.exact_dedup(empty).count() == 0
 
 
+@pytest.mark.parametrize("keep", ["largest", "smallest"])
+def test_exact_splits_long_copies_that_are_few(spark, odd, keep, monkeypatch):
+    groups = []
+
+    def noted(df, name):
+        if name == "exact-rows":
+            groups.append(df.agg({"_gn": "max"}).first()[0])
+        return materialize(df, name)
+
+    monkeypatch.setattr(exact, "materialize", noted)
+    size, copies = 200_000, 300         # 60 MB of one text, fewer rows than HOT_ROWS
+    df = spark.range(copies + 5).selectExpr("id AS doc_id", f"IF(id < {copies}, repeat('x', {size}), CAST(id AS string)) AS text")
+    got = exact.exact_dedup(df, keep=keep).collect()
+    assert groups and groups[0] * size <= exact.HOT_BYTES
+    stays = copies - 1 if keep == "largest" else 0
+    assert multiset((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got) == multiset(
+        [(i, stays, copies, i == stays) for i in range(copies)] + [(i, i, 1, True) for i in range(copies, copies + 5)])
+    whole = exact.exact_dedup(odd, keep=keep).collect()
+    assert multiset(exact.exact_dedup(odd, keep=keep, hot_bytes=2).collect()) == multiset(whole)
+    assert len(groups) == 2             # the split ran for the odd rows too
+
+
 # ---- 9 packing
 
 @pytest.mark.parametrize("which", ["docs", "odd"])
